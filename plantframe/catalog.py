@@ -27,10 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(F.col("user_id").alias("site_id"), "ts",
-                     F.col("value").alias("kwh"), "event_id")
+                     F.col("value").alias("kwh"), "event_id", "event_type")
 
 
-SQL_READINGS = "readings AS (SELECT user_id AS site_id, ts, value AS kwh, event_id FROM events)"
+SQL_READINGS = "readings AS (SELECT user_id AS site_id, ts, value AS kwh, event_id, event_type FROM events)"
 
 
 # ------------------------------------------------------------------ hourly
