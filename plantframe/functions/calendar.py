@@ -60,8 +60,11 @@ def temp_category_code(temp) -> Column:
 
 
 def temp_category_name(temp) -> Column:
-    code = temp_category_code(temp)
-    return F.element_at(F.array(*[F.lit(n) for n in TEMP_NAMES]), code + F.lit(1))
+    t = _c(temp)
+    t = F.when(~F.isnan(t), t)
+    return (F.when(t.isNull(), F.lit(None).cast("string"))
+            .when(t < TEMP_EDGES[0], F.lit(TEMP_NAMES[0])).when(t < TEMP_EDGES[1], F.lit(TEMP_NAMES[1]))
+            .when(t < TEMP_EDGES[2], F.lit(TEMP_NAMES[2])).otherwise(F.lit(TEMP_NAMES[3])))
 
 
 # ---------------------------------------------------------------------- P6

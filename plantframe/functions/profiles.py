@@ -42,9 +42,12 @@ def with_default_weather(df: DataFrame, ts: str = "ts") -> DataFrame:
     })
 
 
-SQL_WEATHER = ("15.0::DOUBLE + 10.0::DOUBLE * sin(2 * pi() * ({h} - 6) / 24.0::DOUBLE) AS temperature, "
-               "greatest(0.0::DOUBLE, 800.0::DOUBLE * sin(2 * pi() * ({h} - 6) / 24.0::DOUBLE)) AS solar_irradiance, "
-               "50.0::DOUBLE AS humidity")
+SQL_WEATHER_COLS = {
+    "temperature": "15.0::DOUBLE + 10.0::DOUBLE * sin(2 * pi() * ({h} - 6) / 24.0::DOUBLE)",
+    "solar_irradiance": "greatest(0.0::DOUBLE, 800.0::DOUBLE * sin(2 * pi() * ({h} - 6) / 24.0::DOUBLE))",
+    "humidity": "50.0::DOUBLE",
+}
+SQL_WEATHER = ", ".join(f"{e} AS {n}" for n, e in SQL_WEATHER_COLS.items())
 
 
 # ----------------------------------------------------------------- control
@@ -68,12 +71,15 @@ def with_default_control(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumns(control_columns(_hour(ts)))
 
 
-SQL_CONTROL = ("CASE WHEN {h} BETWEEN 8 AND 20 THEN 100.0 ELSE 50.0 END::DOUBLE AS chp_power, "
-               "CASE WHEN {h} < 6 OR {h} > 22 THEN 50.0 ELSE 0.0 END::DOUBLE AS boiler_heat, "
-               "CASE WHEN {h} BETWEEN 6 AND 22 THEN 100.0 ELSE 0.0 END::DOUBLE AS heat_pump_heat, "
-               "0.0::DOUBLE AS electric_heater_heat, "
-               "CASE WHEN {h} BETWEEN 10 AND 16 THEN 20.0 ELSE 0.0 END::DOUBLE AS battery_charge, "
-               "CASE WHEN {h} BETWEEN 18 AND 22 THEN 20.0 ELSE 0.0 END::DOUBLE AS battery_discharge")
+SQL_CONTROL_COLS = {
+    "chp_power": "CASE WHEN {h} BETWEEN 8 AND 20 THEN 100.0 ELSE 50.0 END::DOUBLE",
+    "boiler_heat": "CASE WHEN {h} < 6 OR {h} > 22 THEN 50.0 ELSE 0.0 END::DOUBLE",
+    "heat_pump_heat": "CASE WHEN {h} BETWEEN 6 AND 22 THEN 100.0 ELSE 0.0 END::DOUBLE",
+    "electric_heater_heat": "0.0::DOUBLE",
+    "battery_charge": "CASE WHEN {h} BETWEEN 10 AND 16 THEN 20.0 ELSE 0.0 END::DOUBLE",
+    "battery_discharge": "CASE WHEN {h} BETWEEN 18 AND 22 THEN 20.0 ELSE 0.0 END::DOUBLE",
+}
+SQL_CONTROL = ", ".join(f"{e} AS {n}" for n, e in SQL_CONTROL_COLS.items())
 
 
 # ------------------------------------------------------------------- price

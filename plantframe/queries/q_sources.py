@@ -1 +1,277 @@
-"""placeholder"""
+"""S1–S9 and A9 over the test tables.
+
+Landed inputs (meter text, JSON payloads, HTML pages, parameter files) are
+derived from the test tables with Spark, then read back through the
+source operators, so every query's work grows with the tables.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from plantframe import catalog as cat
+from plantframe.functions import profiles
+from plantframe.operators import metrics, series
+from plantframe.queries.common import R4, register, round_doubles
+from plantframe.session import scratch_path
+from plantframe.sources import meter_csv, params, payloads, prices, sinks
+
+RD, HR = cat.SQL_READINGS, cat.SQL_HOURLY
+W = cat.with_sql
+
+# Fixed-date public holidays used to build holiday payloads
+# (month-day, national, county codes).
+HOLIDAY_TEMPLATE = [
+    ("01-01", True, None),
+    ("01-06", False, ["DE-BW", "DE-BY", "DE-ST"]),
+    ("03-08", False, ["DE-BE", "DE-MV"]),
+    ("05-01", True, None),
+    ("08-15", False, ["DE-SL"]),
+    ("10-03", True, None),
+    ("10-31", False, ["DE-BB", "DE-HB", "DE-HH", "DE-MV", "DE-NI", "DE-SN", "DE-ST", "DE-SH", "DE-TH"]),
+    ("11-01", False, ["DE-BW", "DE-BY", "DE-NW", "DE-RP", "DE-SL"]),
+    ("12-25", True, None),
+    ("12-26", True, None),
+]
+
+
+def _holiday_payload(year_col):
+    items = []
+    for md, glob, counties in HOLIDAY_TEMPLATE:
+        c = F.array(*[F.lit(x) for x in counties]) if counties else F.lit(None).cast("array<string>")
+        items.append(F.struct(F.format_string(f"%d-{md}", year_col).alias("date"), F.lit(glob).alias("global"),
+                              c.alias("counties")))
+    return F.to_json(F.array(*items))
+
+
+def _sql_holiday_values() -> str:
+    rows = []
+    for md, glob, counties in HOLIDAY_TEMPLATE:
+        m, d = md.split("-")
+        lst = "NULL::VARCHAR[]" if not counties else "[" + ", ".join(f"'{c}'" for c in counties) + "]"
+        rows.append(f"({int(m)}, {int(d)}, {str(glob).upper()}, {lst})")
+    return "(VALUES " + ", ".join(rows) + ") t(m, d, g, counties)"
+
+
+def site_region(site_col="site_id"):
+    return F.when(F.pmod(F.col(site_col), F.lit(2)) == 0, F.lit("DE-SH")).otherwise(F.lit("DE-BY"))
+
+
+def holidays_from_data(spark, d, region: str = "DE-SH"):
+    """S5 + A10: holiday dates for every year present in the readings."""
+    years = cat.readings(spark, d).select(F.year("ts").alias("year")).distinct()
+    pay = years.select("year", _holiday_payload(F.col("year")).alias("payload"))
+    return payloads.holiday_dates(pay, region)
+
+
+SQL_HOLIDAYS = ("holidays AS (SELECT DISTINCT make_date(y.y, t.m, t.d) AS date FROM "
+                "(SELECT DISTINCT year(ts) AS y FROM readings) y CROSS JOIN " + _sql_holiday_values()
+                + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), 'DE-SH'))")
+
+
+# ---------------------------------------------------------------------- S1
+@register("scan_meter_csv", W(RD) + "SELECT site_id, strptime(strftime(ts, '%d.%m.%Y %H:%M'), '%d.%m.%Y %H:%M') AS ts, "
+          f"{R4('kwh')} AS kwh FROM readings")
+def q_scan_meter(spark, d):
+    r = cat.readings(spark, d)
+    data = r.select("site_id", F.concat_ws(";", F.date_format("ts", "dd.MM.yyyy HH:mm"),
+                                           F.regexp_replace(F.col("kwh").cast("string"), r"\.", ","),
+                                           F.lit("kWh")).alias("line"))
+    sites = r.select("site_id").distinct()
+    pre = sites.select("site_id", F.explode(F.array(
+        F.concat(F.lit("Zählpunkt;DE0000000000"), F.col("site_id").cast("string")),
+        F.lit("Zeitraum;01.01.2024 - 31.01.2024;"),
+        F.lit("Datum;Wert;Einheit"))).alias("line"))
+    lines = pre.unionByName(data)
+    raw = meter_csv.split_lines(lines, keep=("site_id",))
+    return round_doubles(meter_csv.parse_meter_frame(raw, keep=("site_id",)))
+
+
+# ---------------------------------------------------------------------- S2
+@register("scan_forecast_csv", W(HR) + "SELECT site_id, ts, "
+          f"{R4('CASE WHEN hour(ts) % 3 = 0 THEN kwh / 10.0::DOUBLE ELSE 15.0::DOUBLE + 10.0::DOUBLE * sin(2 * pi() * (hour(ts) - 6) / 24.0::DOUBLE) END')} AS temperature, "
+          f"{R4('CASE WHEN hour(ts) % 3 = 0 THEN kwh ELSE greatest(0.0::DOUBLE, 800.0::DOUBLE * sin(2 * pi() * (hour(ts) - 6) / 24.0::DOUBLE)) END')} AS solar_irradiance, "
+          "CASE WHEN hour(ts) % 3 = 0 THEN 60.0::DOUBLE ELSE 50.0::DOUBLE END AS humidity FROM hourly")
+def q_scan_forecast(spark, d):
+    h = cat.hourly(spark, d)
+    base = h.select("site_id", "ts")
+    observed = h.filter(F.pmod(F.hour("ts"), F.lit(3)) == 0).select(
+        "site_id", "ts", (F.col("kwh") / 10.0).alias("temperature"), F.col("kwh").alias("solar_irradiance"),
+        F.lit(60.0).alias("humidity"))
+    return round_doubles(meter_csv.with_profile_fallback(base, observed, "weather"))
+
+
+# ---------------------------------------------------------------------- S3
+@register("params_table", W(RD, "s AS (SELECT site_id, count(*) AS n FROM readings GROUP BY site_id)")
+          + "SELECT site_id, 150.0::DOUBLE + 10.0::DOUBLE * (site_id % 6) AS chp__P_max, 0.35::DOUBLE AS chp__eta_el, "
+          "least(90.0::DOUBLE, 20.0::DOUBLE + n) AS battery_storage__initial_level, 1900.0::DOUBLE AS thermal_storage__max_level, "
+          "CAST(3 AS BIGINT) AS electric_heaters__stages, 200.0::DOUBLE AS stage_total FROM s")
+def q_params(spark, d):
+    s = cat.readings(spark, d).groupBy("site_id").agg(F.count(F.lit(1)).alias("n"))
+    js = s.select("site_id", F.to_json(F.struct(F.struct(
+        F.struct((F.lit(150.0) + F.lit(10.0) * F.pmod("site_id", F.lit(6))).alias("P_max")).alias("chp"),
+        F.struct(F.least(F.lit(90.0), F.lit(20.0) + F.col("n")).alias("initial_level")).alias("battery_storage"),
+    ).alias("system_parameters"))).alias("j"))
+    p = params.parse_params_json(js, "j").drop("j")
+    flat = params.flat_system_params(p)
+    out = flat.select("site_id", "chp__P_max", "chp__eta_el", "battery_storage__initial_level",
+                      "thermal_storage__max_level", F.col("electric_heaters__stages").cast("long").alias("electric_heaters__stages"),
+                      F.aggregate("electric_heaters__stage_powers", F.lit(0.0), lambda a, x: a + x).alias("stage_total"))
+    return round_doubles(out)
+
+
+# ---------------------------------------------------------------------- S4
+def _field(name):
+    return lambda x: x[name]
+
+
+_S4_VARS = {"temperature_2m": "temperature", "relative_humidity_2m": "humidity",
+            "wind_speed_10m": "wind_speed", "precipitation": "precipitation"}
+
+
+@register("flatten_series_payload", W(HR) + "SELECT site_id, date_trunc('minute', ts) AS ts, "
+          f"{R4('kwh / 10.0::DOUBLE - 5.0::DOUBLE')} AS temperature, {R4('50.0::DOUBLE + n')} AS humidity, "
+          f"{R4('kwh / 20.0::DOUBLE')} AS wind_speed, CASE WHEN n > 1 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS precipitation "
+          "FROM hourly")
+def q_flatten_series(spark, d):
+    h = cat.hourly(spark, d)
+    row = F.struct(F.col("ts").alias("ts"), (F.col("kwh") / 10.0 - 5.0).alias("temperature_2m"),
+                   (F.lit(50.0) + F.col("n")).alias("relative_humidity_2m"), (F.col("kwh") / 20.0).alias("wind_speed_10m"),
+                   F.when(F.col("n") > 1, F.lit(0.5)).otherwise(F.lit(0.0)).alias("precipitation"))
+    per_day = h.groupBy("site_id", F.to_date("ts").alias("day")).agg(F.array_sort(F.collect_list(row)).alias("a"))
+    hourly_obj = F.struct(F.transform("a", lambda x: F.date_format(x["ts"], "yyyy-MM-dd'T'HH:mm")).alias("time"),
+                          *[F.transform("a", _field(v)).alias(v) for v in _S4_VARS])
+    pay = per_day.select("site_id", F.to_json(F.struct(hourly_obj.alias("hourly"))).alias("payload"))
+    return round_doubles(payloads.flatten_series_payload(pay, _S4_VARS, keep=("site_id",)))
+
+
+# ---------------------------------------------------------------------- S5
+@register("holiday_dates", W(RD) + "SELECT DISTINCT r.site_id, make_date(r.y, t.m, t.d) AS date FROM "
+          "(SELECT DISTINCT site_id, year(ts) AS y FROM readings) r CROSS JOIN " + _sql_holiday_values()
+          + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), "
+          "CASE WHEN r.site_id % 2 = 0 THEN 'DE-SH' ELSE 'DE-BY' END)")
+def q_holiday_dates(spark, d):
+    sy = cat.readings(spark, d).select("site_id", F.year("ts").alias("year")).distinct()
+    pay = sy.select("site_id", _holiday_payload(F.col("year")).alias("payload"))
+    return payloads.holiday_dates(pay, site_region(), keep=("site_id",))
+
+
+# ------------------------------------------------------------------- S6/S8
+PAGE_ROWS = 32
+
+
+def price_pages(spark, d):
+    """One HTML market-results page per 32 consecutive readings of a site."""
+    r = series.with_position(cat.readings(spark, d), pos="pos")
+    cell = F.when(F.col("event_type") != "error", F.regexp_replace(F.col("kwh").cast("string"), r"\.", ",")) \
+        .otherwise(F.lit("n/a"))
+    tr = F.concat(F.lit("<tr><td>"), F.hour("ts").cast("string"), F.lit("</td><td>"), F.col("event_type"),
+                  F.lit("</td><td class=\"v\">"), F.col("site_id").cast("string"), F.lit("</td><td>"), cell,
+                  F.lit("</td></tr>"))
+    rows = r.select("site_id", F.floor(F.col("pos") / PAGE_ROWS).cast("long").alias("page"), "pos", "ts", tr.alias("tr"))
+    pages = rows.groupBy("site_id", "page").agg(
+        F.min("ts").alias("first_ts"),
+        F.array_sort(F.collect_list(F.struct("pos", "tr"))).alias("rows"))
+    html = F.concat(F.lit("<html><body><table><tr><th>Hour</th><th>Type</th><th>Site</th><th>Price</th></tr>"
+                          "<tr><td>total</td><td>-</td><td>1,0</td></tr>"),
+                    F.array_join(F.transform("rows", lambda x: x["tr"]), ""), F.lit("</table></body></html>"))
+    return pages.select("site_id", "page", F.to_date("first_ts").alias("delivery_date"), html.alias("html"))
+
+
+_SQL_PAGES = (RD + ", rp AS (SELECT *, (row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1) // 32 AS page FROM readings), "
+              "rp2 AS (SELECT *, min(ts) OVER (PARTITION BY site_id, page) AS first_ts, "
+              "sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY site_id, page) AS nvalid FROM rp), "
+              "rv AS (SELECT *, row_number() OVER (PARTITION BY site_id, page ORDER BY ts) - 1 AS hr FROM rp2 "
+              "WHERE event_type <> 'error' AND nvalid >= 24), "
+              "scraped AS (SELECT site_id, page, CAST(first_ts AS DATE) AS delivery_date, hr AS hour, "
+              "CAST(first_ts AS DATE) + hr * INTERVAL 1 HOUR AS ts, kwh AS price_eur_mwh, kwh / 10.0::DOUBLE AS price_ct_kwh "
+              "FROM rv WHERE hr < 24)")
+
+
+@register("extract_price_table", W(_SQL_PAGES) + "SELECT site_id, page, delivery_date, CAST(hour AS BIGINT) AS hour, "
+          f"CAST(ts AS TIMESTAMP) AS ts, {R4('price_eur_mwh')} AS price_eur_mwh, {R4('price_ct_kwh')} AS price_ct_kwh FROM scraped")
+def q_extract_price(spark, d):
+    return round_doubles(prices.extract_price_table(price_pages(spark, d), keep=("site_id", "page")))
+
+
+def price_sources(spark, d):
+    scraped = prices.extract_price_table(price_pages(spark, d), keep=("site_id",)).select(
+        "site_id", F.col("delivery_date").alias("day"), F.lit("scrape").alias("source"), F.lit(1).alias("priority"),
+        "hour", F.col("price_ct_kwh").alias("price_ct"))
+    api = cat.hourly(spark, d).select("site_id", F.to_date("ts").alias("day"), F.lit("api").alias("source"),
+                                      F.lit(2).alias("priority"), F.hour("ts").cast("long").alias("hour"),
+                                      (F.col("kwh") / 10.0).alias("price_ct"))
+    return scraped.unionByName(api)
+
+
+_SQL_SOURCES = (_SQL_PAGES + ", hourly AS (SELECT site_id, time_bucket(INTERVAL '1 hour', ts) AS ts, avg(kwh) AS kwh "
+                "FROM readings GROUP BY ALL), "
+                "src AS (SELECT site_id, delivery_date AS day, 'scrape' AS source, 1 AS priority, hour, price_ct_kwh AS price_ct FROM scraped "
+                "UNION ALL SELECT site_id, CAST(ts AS DATE), 'api', 2, hour(ts), kwh / 10.0::DOUBLE FROM hourly)")
+
+
+@register("price_source_fallback", W(_SQL_SOURCES,
+                                     "cnt AS (SELECT *, count(*) OVER (PARTITION BY site_id, day, source) AS n FROM src)",
+                                     "complete AS (SELECT * FROM cnt WHERE n = 24)",
+                                     "best AS (SELECT site_id, day, min(priority) AS priority FROM complete GROUP BY ALL)",
+                                     "days AS (SELECT DISTINCT site_id, CAST(ts AS DATE) AS day FROM readings)",
+                                     "chosen AS (SELECT c.site_id, c.day, c.hour, c.price_ct, c.source FROM complete c "
+                                     "JOIN best b USING (site_id, day, priority))",
+                                     "fb AS (SELECT d.site_id, d.day, unnest(range(0, 24)) AS hour FROM days d "
+                                     "ANTI JOIN best b USING (site_id, day))",
+                                     "allp AS (SELECT * FROM chosen UNION ALL SELECT site_id, day, hour, "
+                                     + profiles.SQL_PRICE.format(h="hour") + ", 'default' FROM fb)")
+          + f"SELECT site_id, day, CAST(hour AS BIGINT) AS hour, {R4('price_ct')} AS price_ct, source FROM allp")
+def q_price_fallback(spark, d):
+    days = cat.readings(spark, d).select("site_id", F.to_date("ts").alias("day"))
+    return round_doubles(prices.price_source_fallback(price_sources(spark, d), days))
+
+
+@register("available_sources", W(_SQL_SOURCES) + "SELECT site_id, day, string_agg(DISTINCT source, ',' ORDER BY source) "
+          "AS sources_label FROM src GROUP BY site_id, day")
+def q_available_sources(spark, d):
+    return metrics.available_sources(price_sources(spark, d), ["site_id", "day"]).drop("sources")
+
+
+# ---------------------------------------------------------------------- S7
+def price_payloads(spark, d):
+    r = series.with_position(cat.readings(spark, d), pos="pos")
+    item = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("date"), F.col("kwh").alias("value"),
+                    F.when(F.pmod("site_id", F.lit(2)) == 0, F.lit("DE-LU")).otherwise(F.lit("AT")).alias("region"),
+                    F.lit("PT60M").alias("resolution"))
+    rows = r.select("site_id", F.floor(F.col("pos") / PAGE_ROWS).cast("long").alias("page"), "pos", item.alias("item"))
+    pages = rows.groupBy("site_id", "page").agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("a"))
+    items = F.transform("a", lambda x: x["item"])
+    payload = F.when(F.pmod("page", F.lit(2)) == 0, F.to_json(items)) \
+        .otherwise(F.to_json(F.struct(items.alias("data"))))
+    return pages.select("site_id", "page", payload.alias("payload"))
+
+
+@register("flatten_price_json", W(RD, "rp AS (SELECT *, (row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1) // 32 AS page "
+                                  "FROM readings)")
+          + f"SELECT site_id, CAST(page AS BIGINT) AS page, date_trunc('minute', ts) AS timestamp, {R4('kwh')} AS price, "
+          "'DE-LU' AS region, 'PT60M' AS resolution FROM rp WHERE site_id % 2 = 0 "
+          "AND date_trunc('minute', ts) >= TIMESTAMP '2024-01-05 00:00:00' AND date_trunc('minute', ts) < TIMESTAMP '2024-01-25 00:00:00'")
+def q_flatten_price(spark, d):
+    out = payloads.flatten_price_json(price_payloads(spark, d), keep=("site_id", "page"), region="DE-LU",
+                                      start="2024-01-05 00:00:00", end="2024-01-25 00:00:00")
+    return round_doubles(out)
+
+
+# ---------------------------------------------------------------------- S9
+@register("sink_series", W(cat.SQL_PLAN_INPUTS, "ru AS (SELECT site_id, ts, least(200.0::DOUBLE, greatest(0.0::DOUBLE, "
+                                                "0.7::DOUBLE * heat_demand)) AS chp_power FROM plan_inputs)")
+          + f"SELECT site_id, CAST(count(*) AS BIGINT) AS n, {R4('sum(chp_power)')} AS chp_power_sum, min(ts) AS ts_min, "
+          "max(ts) AS ts_max FROM ru GROUP BY site_id")
+def q_sink(spark, d):
+    from plantframe.functions import dispatch
+    plan = dispatch.rule_dispatch(cat.plan_inputs(spark, d)).select("site_id", "ts", "chp_power", "boiler_heat")
+    path = scratch_path(spark, f"sink-{uuid.uuid4().hex}")
+    sinks.sink_series(plan, path, "csv")
+    back = sinks.read_sink(spark, path, "csv", "ts timestamp_ntz, chp_power double, boiler_heat double, site_id long")
+    out = back.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.sum("chp_power").alias("chp_power_sum"),
+                                      F.min("ts").alias("ts_min"), F.max("ts").alias("ts_max"))
+    return round_doubles(out)

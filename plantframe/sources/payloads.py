@@ -13,7 +13,7 @@ narrow, per-row operation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Weather API variable names -> our column names.
@@ -55,11 +55,13 @@ def read_series_payloads(spark: SparkSession, paths: str | list[str], variables)
 HOLIDAY_SCHEMA = "array<struct<date: string, global: boolean, counties: array<string>>>"
 
 
-def holiday_dates(df: DataFrame, region: str = "DE-SH", *, payload: str = "payload",
+def holiday_dates(df: DataFrame, region: str | Column = "DE-SH", *, payload: str = "payload",
                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """Dates that are national holidays or holidays in ``region``; distinct over all payloads."""
-    items = df.select(*keep, F.explode(F.from_json(F.col(payload), HOLIDAY_SCHEMA)).alias("h"))
-    sel = items.filter(F.col("h.global") | F.coalesce(F.array_contains("h.counties", region), F.lit(False)))
+    """Dates that are national holidays or holidays in ``region`` (a code, or a
+    column holding each row's code); distinct over all payloads."""
+    reg = region if isinstance(region, Column) else F.lit(region)
+    items = df.select(*keep, reg.alias("__region"), F.explode(F.from_json(F.col(payload), HOLIDAY_SCHEMA)).alias("h"))
+    sel = items.filter(F.col("h.global") | F.coalesce(F.array_contains("h.counties", F.col("__region")), F.lit(False)))
     return sel.select(*keep, F.to_date(F.col("h.date")).alias("date")).distinct()
 
 
