@@ -92,3 +92,7 @@ SQL_SUPPLIER_PRICES = ("supplier_prices AS (SELECT n_name AS region, s_suppkey A
 def with_sql(*ctes: str) -> str:
     """Join CTE fragments into one ``WITH`` prefix (fragments may already be chains)."""
     return "WITH " + ", ".join(ctes) + " "
+
+
+def with_recursive_sql(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ", ".join(ctes) + " "

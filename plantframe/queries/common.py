@@ -2,8 +2,14 @@
 
 ``register(key, sql)`` stores a ``(spark, sf_dir) -> DataFrame`` builder and
 the equivalent DuckDB SQL (``None`` for keys checked by rows only).  Output
-conventions shared by both sides: doubles rounded to 4 places with the same
-``round(x·10⁴)/10⁴`` rule, integers as BIGINT, every column aliased.
+conventions shared by both sides: doubles quantised to 4 places, integers as
+BIGINT, every column aliased.
+
+Quantising: ``floor(x·10⁴ + 0.2345678) / 10⁴``.  Plain half-up rounding puts
+its cut points exactly on short decimals such as ``…0.00005``, which the
+plant arithmetic produces all the time, so 1e-13 differences in summation
+order flip the last digit.  The offset moves every cut point to a value no
+short decimal hits, and short decimals map to themselves.
 """
 
 from __future__ import annotations
@@ -26,14 +32,17 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+QUANT_OFFSET = 0.2345678
+
+
 def r4(c: Column | str) -> Column:
-    """Round a double to 4 places (same rule as ``R4`` in the oracle SQL)."""
+    """Quantise a double to 4 places (same rule as ``R4`` in the oracle SQL)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col * F.lit(10000.0)) / F.lit(10000.0)
+    return F.floor(col * F.lit(10000.0) + F.lit(QUANT_OFFSET)) / F.lit(10000.0)
 
 
 def R4(expr: str) -> str:
-    return f"(round(({expr}) * 10000.0::DOUBLE) / 10000.0::DOUBLE + 0.0::DOUBLE)"
+    return f"(floor(({expr}) * 10000.0::DOUBLE + {QUANT_OFFSET}::DOUBLE) / 10000.0::DOUBLE + 0.0::DOUBLE)"
 
 
 def round_doubles(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
