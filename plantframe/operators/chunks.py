@@ -55,51 +55,50 @@ def with_chunk(df: DataFrame, ts: str, unit: str = "day", name: str = CHUNK) ->
 
 # ----------------------------------------------------------------- fill scan
 def fill_scan(df: DataFrame, part: Sequence[str] | str, order: Sequence[str] | str,
-              values: Sequence[str] | str, direction: str = "prev", inclusive: bool = True,
-              chunk: str = CHUNK, prefix: str | None = None) -> DataFrame:
-    """For every row, the nearest row (before or after, in ``order``) whose value is non-NULL.
-
-    Adds one struct column per value, ``{prefix}{value}`` with fields
-    ``o0..ok`` (the order key of that row) and ``v`` (the value); NULL when no
-    such row exists.  ``df`` must already carry the ``chunk`` column.
-    ``inclusive`` makes the current row a candidate.
+              values: Sequence[str] | str, direction: str = "both", inclusive: bool = True,
+              chunk: str = CHUNK, prev_prefix: str = "_prev_", next_prefix: str = "_next_") -> DataFrame:
+    """For every row, the nearest row before and/or after it (in ``order``) whose value is non-NULL.
+
+    Adds struct columns ``{prev_prefix}{value}`` / ``{next_prefix}{value}``
+    with fields ``o0..ok`` (that row's order key) and ``v`` (its value); NULL
+    when no such row exists.  ``df`` must already carry the ``chunk`` column.
+    ``inclusive`` makes the current row a candidate.  Both directions share
+    one window pass, one summary aggregate and one join.
     """
     part, order, values = _as_list(part), _as_list(order), _as_list(values)
-    prefix = prefix if prefix is not None else f"_{direction}_"
+    if direction not in ("prev", "next", "both"):
+        raise ValueError(direction)
+    dirs = ["prev", "next"] if direction == "both" else [direction]
     keys = part + [chunk]
 
     def packed(v: str) -> Column:
         fields = [F.col(o).alias(f"o{i}") for i, o in enumerate(order)] + [F.col(v).alias("v")]
         return F.when(F.col(v).isNotNull(), F.struct(*fields))
 
-    ordering = [F.col(o) for o in order]
-    if direction == "prev":
-        frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
-        in_chunk = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(*frame)
-        pick = lambda c: F.last(c, ignorenulls=True)
-        summarise = F.max
-        carry_frame = (Window.unboundedPreceding, -1)
-    elif direction == "next":
-        frame = (Window.currentRow if inclusive else 1, Window.unboundedFollowing)
-        in_chunk = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(*frame)
-        pick = lambda c: F.first(c, ignorenulls=True)
-        summarise = F.min
-        carry_frame = (1, Window.unboundedFollowing)
-    else:
-        raise ValueError(direction)
-
-    local = df.withColumns({f"__in_{v}": pick(packed(v)).over(in_chunk) for v in values})
-    # one row per (site, chunk): the chunk's extreme known value per column.
+    w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
+    frames = {
+        "prev": w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1),
+        "next": w.rowsBetween(Window.currentRow if inclusive else 1, Window.unboundedFollowing),
+    }
+    pick = {"prev": lambda c: F.last(c, ignorenulls=True), "next": lambda c: F.first(c, ignorenulls=True)}
+    summarise = {"prev": F.max, "next": F.min}
+    carry_frame = {"prev": (Window.unboundedPreceding, -1), "next": (1, Window.unboundedFollowing)}
+    prefix = {"prev": prev_prefix, "next": next_prefix}
+
+    local = df.withColumns({f"__in_{dr}_{v}": pick[dr](packed(v)).over(frames[dr]) for dr in dirs for v in values})
+    # one row per (site, chunk): the chunk's last / first known value per column.
     # Aggregating ``local`` (already hash-partitioned on the chunk keys by the
     # window) needs no further exchange of the big side.
-    summary = local.groupBy(*keys).agg(*[summarise(packed(v)).alias(f"__s_{v}") for v in values])
-    across = Window.partitionBy(*part).orderBy(chunk).rowsBetween(*carry_frame)
-    carry = summary.select(*keys, *[pick(F.col(f"__s_{v}")).over(across).alias(f"__c_{v}")
-                                    for v in values])
+    summary = local.groupBy(*keys).agg(*[summarise[dr](packed(v)).alias(f"__s_{dr}_{v}")
+                                         for dr in dirs for v in values])
+    ws = Window.partitionBy(*part).orderBy(chunk)
+    carry = summary.select(*keys, *[pick[dr](F.col(f"__s_{dr}_{v}")).over(ws.rowsBetween(*carry_frame[dr]))
+                                    .alias(f"__c_{dr}_{v}") for dr in dirs for v in values])
     joined = local.join(carry, keys, "left")
     return joined.select(
         *[c for c in local.columns if not c.startswith("__in_")],
-        *[F.coalesce(F.col(f"__in_{v}"), F.col(f"__c_{v}")).alias(f"{prefix}{v}") for v in values])
+        *[F.coalesce(F.col(f"__in_{dr}_{v}"), F.col(f"__c_{dr}_{v}")).alias(f"{prefix[dr]}{v}")
+          for dr in dirs for v in values])
 
 
 # ---------------------------------------------------------- positional index

@@ -59,57 +59,68 @@ def _fold(maps: Column) -> Column:
     return F.aggregate(maps, identity(), lambda acc, m: compose(acc, m))
 
 
-def _prefix(df: DataFrame, part: list[str], order: str, m: str, out: str) -> DataFrame:
+def _prefix(df: DataFrame, part: list[str], order: str, maps: dict[str, str]) -> DataFrame:
+    """Inclusive prefix compositions, one column per ledger, all in one window pass."""
     w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, _fold(F.collect_list(F.col(m)).over(w)))
+    return df.withColumns({out: _fold(F.collect_list(F.col(m)).over(w)) for m, out in maps.items()})
 
 
-def run_ledger(df: DataFrame, step_map: Column, initial: Column | float, *, site: str = "site_id",
-               ts: str = "ts", level_in: str = "level_in", level_out: str = "level_out") -> DataFrame:
-    """Add ``level_in`` / ``level_out`` for a per-step map, starting each site at ``initial``.
+def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]], *, site: str = "site_id",
+                ts: str = "ts") -> DataFrame:
+    """Run several independent ledgers in one scan.
 
-    ``initial`` may be a literal or a column constant per site (e.g. from a
-    joined parameter table).
+    ``ledgers``: name -> (step map, initial level).  Adds ``{name}_in`` and
+    ``{name}_out`` per ledger.  ``initial`` may be a literal or a column that
+    is constant per site (e.g. from a joined parameter table).
     """
-    init = initial if isinstance(initial, Column) else F.lit(float(initial))
-    steps = df.withColumns({"__m": step_map, "__day": F.to_date(ts), "__l0": init})
+    names = list(ledgers)
+    cols = {}
+    for n, (m, init) in ledgers.items():
+        cols[f"__m_{n}"] = m
+        cols[f"__l0_{n}"] = init if isinstance(init, Column) else F.lit(float(init))
+    steps = df.withColumns(cols).withColumn("__day", F.to_date(ts))
     steps = steps.withColumn("__month", F.trunc("__day", "month"))
-    # 1. prefixes within (site, day)
-    steps = _prefix(steps, [site, "__day"], ts, "__m", "__pm")
+    # 1. prefixes within (site, day); the last one is the day's map
+    steps = _prefix(steps, [site, "__day"], ts, {f"__m_{n}": f"__pm_{n}" for n in names})
     day_maps = steps.groupBy(site, "__day").agg(
-        F.max_by("__pm", ts).alias("__dm"), F.first("__month").alias("__month"),
-        F.first("__l0").alias("__l0"))
-    # 2. prefixes of day maps within (site, month); 3. of month maps within site
-    day_maps = _prefix(day_maps, [site, "__month"], "__day", "__dm", "__pd")
+        F.first("__month").alias("__month"),
+        *[F.max_by(f"__pm_{n}", ts).alias(f"__dm_{n}") for n in names],
+        *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
+    # 2. prefixes of day maps within (site, month)
+    day_maps = _prefix(day_maps, [site, "__month"], "__day", {f"__dm_{n}": f"__pd_{n}" for n in names})
     wd = Window.partitionBy(site, "__month").orderBy("__day")
-    day_maps = day_maps.withColumn("__pd_ex", F.coalesce(F.lag("__pd").over(wd), identity()))
+    day_maps = day_maps.withColumns({f"__pdx_{n}": F.coalesce(F.lag(f"__pd_{n}").over(wd), identity())
+                                     for n in names})
+    # 3. prefixes of month maps within the site
     month_maps = day_maps.groupBy(site, "__month").agg(
-        F.max_by("__pd", "__day").alias("__mm"), F.first("__l0").alias("__l0"))
-    month_maps = _prefix(month_maps, [site], "__month", "__mm", "__pmm")
+        *[F.max_by(f"__pd_{n}", "__day").alias(f"__mm_{n}") for n in names],
+        *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
+    month_maps = _prefix(month_maps, [site], "__month", {f"__mm_{n}": f"__pmm_{n}" for n in names})
     wm = Window.partitionBy(site).orderBy("__month")
-    month_entry = month_maps.select(
-        site, "__month",
-        apply_map(F.coalesce(F.lag("__pmm").over(wm), identity()), F.col("__l0")).alias("__me"))
+    month_entry = month_maps.select(site, "__month", *[
+        apply_map(F.coalesce(F.lag(f"__pmm_{n}").over(wm), identity()), F.col(f"__l0_{n}")).alias(f"__me_{n}")
+        for n in names])
+    # 4. entry levels flow back down: month -> day -> step
     day_entry = day_maps.join(month_entry, [site, "__month"]).select(
-        site, "__day", apply_map(F.col("__pd_ex"), F.col("__me")).alias("__de"))
-    # 4. levels of every step from its day's entry level
-    out = steps.join(day_entry, [site, "__day"]).withColumn(level_out, apply_map(F.col("__pm"), F.col("__de")))
+        site, "__day", *[apply_map(F.col(f"__pdx_{n}"), F.col(f"__me_{n}")).alias(f"__de_{n}") for n in names])
+    out = steps.join(day_entry, [site, "__day"])
+    out = out.withColumns({f"{n}_out": apply_map(F.col(f"__pm_{n}"), F.col(f"__de_{n}")) for n in names})
     ws = Window.partitionBy(site, "__day").orderBy(ts)
-    out = out.withColumn(level_in, F.coalesce(F.lag(level_out).over(ws), F.col("__de")))
-    return out.drop("__m", "__day", "__month", "__l0", "__pm", "__de")
+    out = out.withColumns({f"{n}_in": F.coalesce(F.lag(f"{n}_out").over(ws), F.col(f"__de_{n}")) for n in names})
+    drop = ["__day", "__month"] + [f"__{k}_{n}" for n in names for k in ("m", "l0", "pm", "de")]
+    return out.drop(*drop)
 
 
-# ---------------------------------------------------------------------- R1
-def battery_ledger(df: DataFrame, p: Params = DEFAULT, *, charge: str = "battery_charge",
-                   discharge: str = "battery_discharge", site: str = "site_id", ts: str = "ts",
-                   initial: Column | float | None = None) -> DataFrame:
-    """Requested charge/discharge -> actual charge, discharge and battery level.
+def run_ledger(df: DataFrame, step_map: Column, initial: Column | float, *, site: str = "site_id",
+               ts: str = "ts", level_in: str = "level_in", level_out: str = "level_out") -> DataFrame:
+    """Single-ledger form of ``run_ledgers``."""
+    out = run_ledgers(df, {"__led": (step_map, initial)}, site=site, ts=ts)
+    return out.withColumnsRenamed({"__led_in": level_in, "__led_out": level_out})
 
-    Per step: charge (rate, headroom / η_c), then discharge (rate,
-    (L − min)·η_d), then self-discharge.  Output columns
-    ``battery_charge_actual``, ``battery_discharge_actual``,
-    ``battery_level_in``, ``battery_level``.
-    """
+
+# ---------------------------------------------------------------------- R1
+def battery_map(p: Params = DEFAULT, charge: str = "battery_charge", discharge: str = "battery_discharge") -> Column:
+    """Charge (rate, headroom) then discharge (rate, floor) then self-discharge, as one map."""
     c, d = F.col(charge), F.col(discharge)
     eta_c, eta_d = p("battery_storage.charge_efficiency"), p("battery_storage.discharge_efficiency")
     lo, hi = p("battery_storage.min_level"), p("battery_storage.max_level")
@@ -118,17 +129,52 @@ def battery_ledger(df: DataFrame, p: Params = DEFAULT, *, charge: str = "battery
     m_c = F.when(c > 0, clamp_map(1.0, kc, None, hi)).otherwise(identity())
     m_d = F.when(d > 0, clamp_map(1.0, -kd, lo, None)).otherwise(identity())
     m_s = clamp_map(F.lit(1.0) - p("battery_storage.self_discharge_rate"), 0.0)
-    step = compose(compose(m_c, m_d), m_s)
-    init = initial if initial is not None else p("battery_storage.initial_level")
-    led = run_ledger(df, step, init, site=site, ts=ts, level_in="battery_level_in", level_out="battery_level")
-    l0 = F.col("battery_level_in")
-    a_c = F.when(c > 0, F.least(c, p("battery_storage.max_charge_rate"), (hi - l0) / eta_c)).otherwise(F.lit(0.0))
-    l1 = l0 + a_c * eta_c
+    return compose(compose(m_c, m_d), m_s)
+
+
+def battery_details(level_in: Column, p: Params = DEFAULT, charge: str = "battery_charge",
+                    discharge: str = "battery_discharge") -> dict[str, Column]:
+    """Actual charge / discharge of a step, from the level it starts at."""
+    c, d = F.col(charge), F.col(discharge)
+    eta_c, eta_d = p("battery_storage.charge_efficiency"), p("battery_storage.discharge_efficiency")
+    lo, hi = p("battery_storage.min_level"), p("battery_storage.max_level")
+    a_c = F.when(c > 0, F.least(c, p("battery_storage.max_charge_rate"), (hi - level_in) / eta_c)).otherwise(F.lit(0.0))
+    l1 = level_in + a_c * eta_c
     a_d = F.when(d > 0, F.least(d, p("battery_storage.max_discharge_rate"), (l1 - lo) * eta_d)).otherwise(F.lit(0.0))
-    return led.withColumn("battery_charge_actual", a_c).withColumn("battery_discharge_actual", a_d)
+    return {"battery_charge_actual": a_c, "battery_discharge_actual": a_d}
+
+
+def battery_ledger(df: DataFrame, p: Params = DEFAULT, *, charge: str = "battery_charge",
+                   discharge: str = "battery_discharge", site: str = "site_id", ts: str = "ts",
+                   initial: Column | float | None = None) -> DataFrame:
+    """Requested charge/discharge -> actual charge, discharge and battery level.
+
+    Output columns ``battery_charge_actual``, ``battery_discharge_actual``,
+    ``battery_level_in``, ``battery_level``.
+    """
+    init = initial if initial is not None else p("battery_storage.initial_level")
+    led = run_ledger(df, battery_map(p, charge, discharge), init, site=site, ts=ts,
+                     level_in="battery_level_in", level_out="battery_level")
+    return led.withColumns(battery_details(F.col("battery_level_in"), p, charge, discharge))
 
 
 # ---------------------------------------------------------------------- R2
+def thermal_map(p: Params = DEFAULT, supply: str = "heat_supply", demand: str = "heat_demand") -> Column:
+    b = F.col(supply) - F.col(demand)
+    eta_c, eta_d = p("thermal_storage.charge_efficiency"), p("thermal_storage.discharge_efficiency")
+    lo, hi = p("thermal_storage.min_level"), p("thermal_storage.max_level")
+    return F.when(b > 0, clamp_map(1.0, b * eta_c, None, hi)).otherwise(clamp_map(1.0, b / eta_d, lo, None))
+
+
+def thermal_details(level_in: Column, p: Params = DEFAULT, supply: str = "heat_supply",
+                    demand: str = "heat_demand") -> dict[str, Column]:
+    b = F.col(supply) - F.col(demand)
+    eta_c, eta_d = p("thermal_storage.charge_efficiency"), p("thermal_storage.discharge_efficiency")
+    lo, hi = p("thermal_storage.min_level"), p("thermal_storage.max_level")
+    return {"thermal_storage_charge": F.when(b > 0, F.least(b, (hi - level_in) / eta_c)).otherwise(F.lit(0.0)),
+            "thermal_storage_discharge": F.when(b <= 0, F.least(-b, (level_in - lo) * eta_d)).otherwise(F.lit(0.0))}
+
+
 def thermal_ledger(df: DataFrame, p: Params = DEFAULT, *, supply: str = "heat_supply",
                    demand: str = "heat_demand", site: str = "site_id", ts: str = "ts",
                    initial: Column | float | None = None) -> DataFrame:
@@ -137,17 +183,20 @@ def thermal_ledger(df: DataFrame, p: Params = DEFAULT, *, supply: str = "heat_su
     Output ``thermal_storage_charge``, ``thermal_storage_discharge``,
     ``thermal_storage_level_in``, ``thermal_storage_level``.
     """
-    b = F.col(supply) - F.col(demand)
-    eta_c, eta_d = p("thermal_storage.charge_efficiency"), p("thermal_storage.discharge_efficiency")
-    lo, hi = p("thermal_storage.min_level"), p("thermal_storage.max_level")
-    step = F.when(b > 0, clamp_map(1.0, b * eta_c, None, hi)).otherwise(clamp_map(1.0, b / eta_d, lo, None))
     init = initial if initial is not None else p("thermal_storage.initial_level")
-    led = run_ledger(df, step, init, site=site, ts=ts, level_in="thermal_storage_level_in",
-                     level_out="thermal_storage_level")
-    s0 = F.col("thermal_storage_level_in")
-    q_c = F.when(b > 0, F.least(b, (hi - s0) / eta_c)).otherwise(F.lit(0.0))
-    q_d = F.when(b <= 0, F.least(-b, (s0 - lo) * eta_d)).otherwise(F.lit(0.0))
-    return led.withColumn("thermal_storage_charge", q_c).withColumn("thermal_storage_discharge", q_d)
+    led = run_ledger(df, thermal_map(p, supply, demand), init, site=site, ts=ts,
+                     level_in="thermal_storage_level_in", level_out="thermal_storage_level")
+    return led.withColumns(thermal_details(F.col("thermal_storage_level_in"), p, supply, demand))
+
+
+def plant_ledgers(df: DataFrame, p: Params = DEFAULT, *, site: str = "site_id", ts: str = "ts") -> DataFrame:
+    """R1 + R2 in a single scan (they are independent of each other)."""
+    led = run_ledgers(df, {"battery": (battery_map(p), p("battery_storage.initial_level")),
+                           "thermal": (thermal_map(p), p("thermal_storage.initial_level"))}, site=site, ts=ts)
+    led = led.withColumnsRenamed({"battery_in": "battery_level_in", "battery_out": "battery_level",
+                                  "thermal_in": "thermal_storage_level_in", "thermal_out": "thermal_storage_level"})
+    led = led.withColumns(battery_details(F.col("battery_level_in"), p))
+    return led.withColumns(thermal_details(F.col("thermal_storage_level_in"), p))
 
 
 # ---------------------------------------------------------------------- R3

@@ -88,32 +88,42 @@ def resample_mean_dense(df: DataFrame, every: str, cols: Sequence[str] | str, *,
     sparse = resample_mean(df, every, cols, site=site, ts=ts)
     grid = time_grid(bounds(sparse, site=site, ts=ts), every, site=site, ts=ts)
     dense = grid.join(sparse, [site, ts], "left")
-    return interpolate_linear(dense, cols, site=site, ts=ts, chunk=chunk)
+    # the grid is regular, so time-weighted equals position-weighted interpolation
+    return interpolate_linear(dense, cols, site=site, ts=ts, chunk=chunk, by="time")
 
 
 # ---------------------------------------------------------------------- T4
 def interpolate_linear(df: DataFrame, cols: Sequence[str] | str, *, site: str = "site_id",
-                       ts: str = "ts", chunk: str = "day") -> DataFrame:
-    """T4: linear interpolation by row position (pandas ``interpolate('linear')``).
-
-    Leading gaps stay NULL; trailing gaps repeat the last known value;
-    known points are unchanged.  Positions and the nearest known neighbours
-    are found with chunked scans.
+                       ts: str = "ts", chunk: str = "day", by: str = "position") -> DataFrame:
+    """T4: linear interpolation between known points (pandas ``interpolate('linear')``).
+
+    ``by="position"`` weights by row position (the pandas rule for any
+    series); ``by="time"`` weights by elapsed time, which is the same thing
+    on a regular grid and skips the positional index.  Leading gaps stay
+    NULL; trailing gaps repeat the last known value; known points are
+    unchanged.  The nearest known neighbours come from one chunked scan.
     """
     cols = _as_list(cols)
     base = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols})
     base = chunks.with_chunk(base, ts, chunk)
-    base = chunks.positional_index(base, site, ts, pos="__pos")
-    # carry (pos, value) as the packed payload: order by ts, value struct(pos, v)
+    if by == "position":
+        base = chunks.positional_index(base, site, ts, pos="__pos")
+        x = F.col("__pos").cast("double")
+    elif by == "time":
+        base = base.withColumn("__pos", F.timestamp_diff("MICROSECOND", F.lit("2000-01-01 00:00:00")
+                                                         .cast("timestamp_ntz"), F.col(ts)))
+        x = F.col("__pos").cast("double")
+    else:
+        raise ValueError(by)
+    # carry (x, value) as the packed payload
     packed = base.withColumns({f"__pv_{c}": F.when(F.col(c).isNotNull(), F.struct(
-        F.col("__pos").alias("p"), F.col(c).alias("x"))) for c in cols})
+        F.col("__pos").cast("double").alias("p"), F.col(c).alias("x"))) for c in cols})
     pv = [f"__pv_{c}" for c in cols]
-    prev = chunks.fill_scan(packed, site, ts, pv, "prev", prefix="__P")
-    both = chunks.fill_scan(prev, site, ts, pv, "next", prefix="__N")
+    both = chunks.fill_scan(packed, site, ts, pv, "both", prev_prefix="__P", next_prefix="__N")
     out = {}
     for c in cols:
         p, n = F.col(f"__P__pv_{c}.v"), F.col(f"__N__pv_{c}.v")
-        frac = (F.col("__pos") - p.p) / (n.p - p.p)
+        frac = (x - p.p) / (n.p - p.p)
         interp = F.when(n.isNull() | (n.p == p.p), p.x).otherwise(p.x + (n.x - p.x) * frac)
         out[c] = F.when(F.col(c).isNotNull(), F.col(c)).otherwise(interp)
     res = both.withColumns(out)
@@ -129,7 +139,7 @@ def upsample_linear(df: DataFrame, every: str, cols: Sequence[str] | str, *, sit
     cols = _as_list(cols)
     grid = time_grid(bounds(df, site=site, ts=ts), every, site=site, ts=ts)
     dense = grid.join(df.select(site, ts, *cols), [site, ts], "left")
-    return interpolate_linear(dense, cols, site=site, ts=ts, chunk=chunk)
+    return interpolate_linear(dense, cols, site=site, ts=ts, chunk=chunk, by="time")
 
 
 # ---------------------------------------------------------------- T6 / J5
@@ -150,8 +160,7 @@ def align_nearest(targets: DataFrame, series: DataFrame, cols: Sequence[str] | s
     u = t.withColumn("__row", F.lit(None).cast(s.schema["__row"].dataType)) \
         .unionByName(s, allowMissingColumns=True)
     u = chunks.with_chunk(u, ts, chunk)
-    u = chunks.fill_scan(u, site, [ts, "__kind"], "__row", "prev", prefix="__P")
-    u = chunks.fill_scan(u, site, [ts, "__kind"], "__row", "next", prefix="__N")
+    u = chunks.fill_scan(u, site, [ts, "__kind"], "__row", "both", prev_prefix="__P", next_prefix="__N")
     p, n = F.col("__P__row.v"), F.col("__N__row.v")
     dp = F.expr(f"timestampdiff(MICROSECOND, __P__row.v.t, {ts})")
     dn = F.expr(f"timestampdiff(MICROSECOND, {ts}, __N__row.v.t)")
@@ -167,8 +176,7 @@ def fill_forward_backward(df: DataFrame, cols: Sequence[str] | str, *, site: str
     """Forward fill, then back-fill the leading gap, per column."""
     cols = _as_list(cols)
     base = chunks.with_chunk(df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols}), ts, chunk)
-    prev = chunks.fill_scan(base, site, ts, cols, "prev", prefix="__P")
-    both = chunks.fill_scan(prev, site, ts, cols, "next", prefix="__N")
+    both = chunks.fill_scan(base, site, ts, cols, "both", prev_prefix="__P", next_prefix="__N")
     res = both.withColumns({c: F.coalesce(F.col(f"__P{c}.v"), F.col(f"__N{c}.v")) for c in cols})
     return res.drop(CHUNK, *[f"__P{c}" for c in cols], *[f"__N{c}" for c in cols])
 

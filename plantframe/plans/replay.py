@@ -1,9 +1,9 @@
 """R4 ``plan_replay``: replay a control schedule against the plant model.
 
 J1 (4-way join on site, ts) -> P22 defaults -> P14–P16 conversions -> R1
-battery ledger -> R2 thermal ledger -> P17 grid exchange -> P18 economics.
-One lazy plan; the only ordered work is the two ledger scans, both chunked
-by (site, day).
+battery ledger + R2 thermal ledger -> P17 grid exchange -> P18 economics.
+One lazy plan; the only ordered work is a single chunked scan that carries
+both storage levels at once (they do not depend on each other).
 """
 
 from __future__ import annotations
@@ -52,10 +52,9 @@ def replay_steps(joined: DataFrame, p: Params = DEFAULT, *, site: str = "site_id
         "electric_heater_power": plant.heater_power("electric_heater_heat", p),
         "pv_generation": plant.pv_physical("solar_irradiance", "temperature", p),
     })
-    df = ledger.battery_ledger(df, p, site=site, ts=ts)
     df = df.withColumn("heat_supply", F.col("chp_heat") + F.col("boiler_heat") + F.col("heat_pump_heat")
                        + F.col("electric_heater_heat"))
-    df = ledger.thermal_ledger(df, p, site=site, ts=ts)
+    df = ledger.plant_ledgers(df, p, site=site, ts=ts)
     df = df.withColumns({"battery_charge": F.col("battery_charge_actual"),
                          "battery_discharge": F.col("battery_discharge_actual")})
     df = plant.grid_exchange(df, convention)
