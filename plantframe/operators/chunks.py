@@ -5,10 +5,14 @@ to one task.  When one site holds a third of all rows that task is the
 whole job.  The helpers here split each site into time chunks (default:
 one calendar day) and run the window per ``(site, chunk)``.  Whatever has
 to cross a chunk boundary is reduced to a *summary table* with one row per
-chunk (last known value, row count, first/last row).  That table is small
-(sites × days), is scanned per site, and is joined back on
-``(site, chunk)``.  The big side is already hash-partitioned on exactly
-those keys by the chunk window, so the join adds no second shuffle of it.
+chunk (last known value, row count, first/last row), built with map-side
+partial aggregation.  That table is small (sites × days), is scanned per
+site, and is joined back on ``(site, chunk)``.  The big side is already
+hash-partitioned on exactly those keys by the chunk window, so the join
+adds no second shuffle of it (or none at all when AQE broadcasts the
+summary after measuring it).  Joins are inner: every chunk of the input
+has a summary row; rows with a NULL site or stamp have no place in a
+series and are dropped.
 
 * ``fill_scan``         last / next non-NULL value (with its order key)
 * ``positional_index``  0-based row position per site
@@ -86,15 +90,15 @@ def fill_scan(df: DataFrame, part: Sequence[str] | str, order: Sequence[str] | s
     prefix = {"prev": prev_prefix, "next": next_prefix}
 
     local = df.withColumns({f"__in_{dr}_{v}": pick[dr](packed(v)).over(frames[dr]) for dr in dirs for v in values})
-    # one row per (site, chunk): the chunk's last / first known value per column.
-    # Aggregating ``local`` (already hash-partitioned on the chunk keys by the
-    # window) needs no further exchange of the big side.
-    summary = local.groupBy(*keys).agg(*[summarise[dr](packed(v)).alias(f"__s_{dr}_{v}")
+    # one row per (site, chunk): the chunk's last / first known value per
+    # column, aggregated from the input with map-side partial aggregation, so
+    # only one row per (site, chunk, task) is shuffled for it.
+    summary = df.groupBy(*keys).agg(*[summarise[dr](packed(v)).alias(f"__s_{dr}_{v}")
                                          for dr in dirs for v in values])
     ws = Window.partitionBy(*part).orderBy(chunk)
     carry = summary.select(*keys, *[pick[dr](F.col(f"__s_{dr}_{v}")).over(ws.rowsBetween(*carry_frame[dr]))
                                     .alias(f"__c_{dr}_{v}") for dr in dirs for v in values])
-    joined = local.join(carry, keys, "left")
+    joined = local.join(carry, keys, "inner")
     return joined.select(
         *[c for c in local.columns if not c.startswith("__in_")],
         *[F.coalesce(F.col(f"__in_{dr}_{v}"), F.col(f"__c_{dr}_{v}")).alias(f"{prefix[dr]}{v}")
@@ -114,13 +118,13 @@ def positional_index(df: DataFrame, part: Sequence[str] | str, order: Sequence[s
     keys = part + [chunk]
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order]))
     local = df.withColumn("__rn", rn)
-    counts = local.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*part).orderBy(chunk)
     offs = counts.select(
         *keys,
         F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
         *([F.sum("__n").over(Window.partitionBy(*part)).alias(with_count)] if with_count else []))
-    out = local.join(offs, keys, "left").withColumn(pos, (F.col("__off") + F.col("__rn") - 1).cast("long"))
+    out = local.join(offs, keys, "inner").withColumn(pos, (F.col("__off") + F.col("__rn") - 1).cast("long"))
     return out.drop("__rn", "__off")
 
 
@@ -139,11 +143,11 @@ def neighbor_rows(df: DataFrame, part: Sequence[str] | str, order: Sequence[str]
                    *[F.col(v).alias(v) for v in values])
     w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
     local = df.withColumns({"__lag": F.lag(row).over(w), "__lead": F.lead(row).over(w)})
-    summary = local.groupBy(*keys).agg(F.min(row).alias("__first"), F.max(row).alias("__last"))
+    summary = df.groupBy(*keys).agg(F.min(row).alias("__first"), F.max(row).alias("__last"))
     ws = Window.partitionBy(*part).orderBy(chunk)
     carry = summary.select(*keys, F.lag("__last").over(ws).alias("__cprev"),
                            F.lead("__first").over(ws).alias("__cnext"))
-    out = local.join(carry, keys, "left")
+    out = local.join(carry, keys, "inner")
     return out.select(*[c for c in local.columns if c not in ("__lag", "__lead")],
                       F.coalesce("__lag", "__cprev").alias(prev),
                       F.coalesce("__lead", "__cnext").alias(nxt))
