@@ -15,7 +15,8 @@ is associative, so the level sequence is a *prefix scan* over maps:
 No task ever holds more than one day of one site's steps, one month of day
 maps, or one site's month maps, whatever the skew across sites.  The day
 summaries are joined back on ``(site, day)``, the keys the step table is
-already partitioned on.
+already partitioned on.  The bucket levels are a parameter (e.g. hour →
+day → month for sub-minute data, where a day-long fold would be quadratic).
 """
 
 from __future__ import annotations
@@ -65,56 +66,78 @@ def _prefix(df: DataFrame, part: list[str], order: str, maps: dict[str, str]) ->
     return df.withColumns({out: _fold(F.collect_list(F.col(m)).over(w)) for m, out in maps.items()})
 
 
+def _level_key(ts: str, unit: str) -> Column:
+    if unit == "hour":
+        return F.window(F.col(ts), "1 hour").start
+    if unit == "day":
+        return F.to_date(ts)
+    if unit == "month":
+        return F.trunc(F.to_date(ts), "month")
+    if unit == "year":
+        return F.trunc(F.to_date(ts), "year")
+    raise ValueError(unit)
+
+
 def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]], *, site: str = "site_id",
-                ts: str = "ts") -> DataFrame:
-    """Run several independent ledgers in one scan.
+                ts: str = "ts", levels: tuple[str, ...] = ("day", "month")) -> DataFrame:
+    """Run several independent ledgers in one hierarchical scan.
 
     ``ledgers``: name -> (step map, initial level).  Adds ``{name}_in`` and
     ``{name}_out`` per ledger.  ``initial`` may be a literal or a column that
     is constant per site (e.g. from a joined parameter table).
+
+    ``levels`` are nested time buckets, finest first: steps are folded per
+    (site, levels[0]), those maps per (site, levels[1]), …, and the
+    coarsest maps per site.  Each window holds at most one bucket of the
+    level below, so the work per task is bounded whatever one site's size.
+    Use ``("hour", "day", "month")`` for sub-minute meter data.
     """
     names = list(ledgers)
     cols = {}
     for n, (m, init) in ledgers.items():
         cols[f"__m_{n}"] = m
         cols[f"__l0_{n}"] = init if isinstance(init, Column) else F.lit(float(init))
-    steps = df.withColumns(cols).withColumn("__day", F.to_date(ts))
-    steps = steps.withColumn("__month", F.trunc("__day", "month"))
-    # 1. prefixes within (site, day); the last one is the day's map
-    steps = _prefix(steps, [site, "__day"], ts, {f"__m_{n}": f"__pm_{n}" for n in names})
-    day_maps = steps.groupBy(site, "__day").agg(
-        F.first("__month").alias("__month"),
-        *[F.max_by(f"__pm_{n}", ts).alias(f"__dm_{n}") for n in names],
-        *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
-    # 2. prefixes of day maps within (site, month)
-    day_maps = _prefix(day_maps, [site, "__month"], "__day", {f"__dm_{n}": f"__pd_{n}" for n in names})
-    wd = Window.partitionBy(site, "__month").orderBy("__day")
-    day_maps = day_maps.withColumns({f"__pdx_{n}": F.coalesce(F.lag(f"__pd_{n}").over(wd), identity())
-                                     for n in names})
-    # 3. prefixes of month maps within the site
-    month_maps = day_maps.groupBy(site, "__month").agg(
-        *[F.max_by(f"__pd_{n}", "__day").alias(f"__mm_{n}") for n in names],
-        *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
-    month_maps = _prefix(month_maps, [site], "__month", {f"__mm_{n}": f"__pmm_{n}" for n in names})
-    wm = Window.partitionBy(site).orderBy("__month")
-    month_entry = month_maps.select(site, "__month", *[
-        apply_map(F.coalesce(F.lag(f"__pmm_{n}").over(wm), identity()), F.col(f"__l0_{n}")).alias(f"__me_{n}")
-        for n in names])
-    # 4. entry levels flow back down: month -> day -> step
-    day_entry = day_maps.join(month_entry, [site, "__month"]).select(
-        site, "__day", *[apply_map(F.col(f"__pdx_{n}"), F.col(f"__me_{n}")).alias(f"__de_{n}") for n in names])
-    out = steps.join(day_entry, [site, "__day"])
-    out = out.withColumns({f"{n}_out": apply_map(F.col(f"__pm_{n}"), F.col(f"__de_{n}")) for n in names})
-    ws = Window.partitionBy(site, "__day").orderBy(ts)
-    out = out.withColumns({f"{n}_in": F.coalesce(F.lag(f"{n}_out").over(ws), F.col(f"__de_{n}")) for n in names})
-    drop = ["__day", "__month"] + [f"__{k}_{n}" for n in names for k in ("m", "l0", "pm", "de")]
+    keys = [f"__k{i}" for i in range(len(levels))]
+    steps = df.withColumns(cols).withColumns({k: _level_key(ts, u) for k, u in zip(keys, levels)})
+
+    # upward pass: inclusive prefixes inside each bucket; the last one is the bucket's map
+    steps = _prefix(steps, [site, keys[0]], ts, {f"__m_{n}": f"__p0_{n}" for n in names})
+    tables = [steps]   # tables[i]: rows of level i (level 0 = steps) with their prefix maps __p{i}_*
+    order = [ts] + keys
+    for i in range(1, len(levels) + 1):
+        parent = [site] + keys[i:i + 1]            # (site, next bucket) or just site at the top
+        prev = tables[-1]
+        summary = prev.groupBy(site, *keys[i - 1:]).agg(
+            *[F.max_by(f"__p{i - 1}_{n}", order[i - 1]).alias(f"__b{i}_{n}") for n in names],
+            *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
+        summary = _prefix(summary, parent, keys[i - 1], {f"__b{i}_{n}": f"__p{i}_{n}" for n in names})
+        tables.append(summary)
+
+    # downward pass: entry level of each bucket = exclusive prefix applied to the parent's entry
+    top = tables[-1]
+    wt = Window.partitionBy(site).orderBy(keys[-1])
+    entry = top.select(site, keys[-1], *[
+        apply_map(F.coalesce(F.lag(f"__p{len(levels)}_{n}").over(wt), identity()), F.col(f"__l0_{n}"))
+        .alias(f"__e_{n}") for n in names])
+    for i in range(len(levels) - 1, 0, -1):
+        t = tables[i]
+        w = Window.partitionBy(site, *keys[i:]).orderBy(keys[i - 1])
+        t = t.withColumns({f"__x_{n}": F.coalesce(F.lag(f"__p{i}_{n}").over(w), identity()) for n in names})
+        entry = t.join(entry, [site, *keys[i:]]).select(
+            site, *keys[i - 1:], *[apply_map(F.col(f"__x_{n}"), F.col(f"__e_{n}")).alias(f"__e_{n}") for n in names])
+    out = steps.join(entry, [site, *keys])
+    out = out.withColumns({f"{n}_out": apply_map(F.col(f"__p0_{n}"), F.col(f"__e_{n}")) for n in names})
+    ws = Window.partitionBy(site, keys[0]).orderBy(ts)
+    out = out.withColumns({f"{n}_in": F.coalesce(F.lag(f"{n}_out").over(ws), F.col(f"__e_{n}")) for n in names})
+    drop = keys + [f"__{k}_{n}" for n in names for k in ("m", "l0", "p0", "e")]
     return out.drop(*drop)
 
 
 def run_ledger(df: DataFrame, step_map: Column, initial: Column | float, *, site: str = "site_id",
-               ts: str = "ts", level_in: str = "level_in", level_out: str = "level_out") -> DataFrame:
+               ts: str = "ts", level_in: str = "level_in", level_out: str = "level_out",
+               levels: tuple[str, ...] = ("day", "month")) -> DataFrame:
     """Single-ledger form of ``run_ledgers``."""
-    out = run_ledgers(df, {"__led": (step_map, initial)}, site=site, ts=ts)
+    out = run_ledgers(df, {"__led": (step_map, initial)}, site=site, ts=ts, levels=levels)
     return out.withColumnsRenamed({"__led_in": level_in, "__led_out": level_out})
 
 

@@ -91,7 +91,8 @@ def _sequential_battery(charges, discharges, p=DEFAULT):
     return out
 
 
-def test_chunked_ledger_equals_sequential_over_months(spark):
+@pytest.mark.parametrize("levels", [("day", "month"), ("hour", "day", "month"), ("month",)])
+def test_chunked_ledger_equals_sequential_over_months(spark, levels):
     rnd = random.Random(1)
     rows = []
     for s in range(2):
@@ -100,8 +101,9 @@ def test_chunked_ledger_equals_sequential_over_months(spark):
             t += dt.timedelta(hours=1)
             rows.append((s, t, rnd.choice([0.0, 0.0, rnd.uniform(0, 80)]), rnd.choice([0.0, rnd.uniform(0, 80)])))
     df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, battery_charge double, battery_discharge double")
-    got = ledger.battery_ledger(df).select("site_id", "ts", "battery_level", "battery_charge_actual").collect()
-    got = {(r.site_id, r.ts): r.battery_level for r in got}
+    led = ledger.run_ledger(df, ledger.battery_map(), DEFAULT.value("battery_storage.initial_level"),
+                            level_out="battery_level", levels=levels)
+    got = {(r.site_id, r.ts): r.battery_level for r in led.collect()}
     for s in range(2):
         srows = [r for r in rows if r[0] == s]
         exp = _sequential_battery([r[2] for r in srows], [r[3] for r in srows])
