@@ -46,7 +46,8 @@ def R4(expr: str) -> str:
 
 
 def round_doubles(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Apply ``r4`` to every double column; cast int columns to BIGINT."""
+    """Apply ``r4`` to every double column; cast int columns to BIGINT; dates to ``yyyy-MM-dd`` text
+    (DATE values reach pandas as ``datetime.date`` from Spark but as timestamps from DuckDB)."""
     out = []
     for f in df.schema.fields:
         t = f.dataType.simpleString()
@@ -56,6 +57,8 @@ def round_doubles(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
             out.append(r4(F.col(f.name).cast("double")).alias(f.name))
         elif t in ("int", "smallint", "tinyint"):
             out.append(F.col(f.name).cast("long").alias(f.name))
+        elif t == "date":
+            out.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

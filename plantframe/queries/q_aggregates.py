@@ -16,7 +16,7 @@ W = cat.with_sql
 
 
 # ---------------------------------------------------------------------- A1
-@register("daily_average", W(HR) + f"SELECT site_id, CAST(ts AS DATE) AS date, {R4('avg(kwh)')} AS avg_kwh FROM hourly "
+@register("daily_average", W(HR) + f"SELECT site_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, {R4('avg(kwh)')} AS avg_kwh FROM hourly "
           "WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' GROUP BY site_id, CAST(ts AS DATE)")
 def q_daily_average(spark, d):
     return round_doubles(metrics.daily_average(cat.hourly(spark, d), "kwh", "2024-01-02"))
@@ -75,7 +75,7 @@ _A5_PLAN = ("ru AS (SELECT site_id, ts, heat_demand, electricity_price, "
             "ru3 AS (SELECT *, greatest(0.0::DOUBLE, heat_demand - chp_heat) AS boiler_heat FROM ru2)")
 
 
-@register("plant_kpis", W(PI, _A5_PLAN) + "SELECT site_id, CAST(ts AS DATE) AS date, "
+@register("plant_kpis", W(PI, _A5_PLAN) + "SELECT site_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, "
           f"{R4('sum(chp_power * electricity_price)')} AS total_revenue, {R4('sum(chp_power * 0.03::DOUBLE)')} AS total_cost, "
           f"{R4('sum(chp_power * electricity_price) - sum(chp_power * 0.03::DOUBLE)')} AS net_profit, "
           f"{R4('CASE WHEN sum(chp_heat) + sum(boiler_heat) > 0 THEN sum(heat_demand) / (sum(chp_heat) + sum(boiler_heat)) * 100.0::DOUBLE ELSE 0.0::DOUBLE END')} AS efficiency, "
@@ -88,11 +88,11 @@ def q_plant_kpis(spark, d):
 
 
 # --------------------------------------------------------------------- A10
-@register("holiday_year_union", W(RD) + "SELECT DISTINCT make_date(y.y, t.m, t.d) AS date FROM "
+@register("holiday_year_union", W(RD) + "SELECT DISTINCT CAST(make_date(y.y, t.m, t.d) AS VARCHAR) AS date FROM "
           "(SELECT DISTINCT year(ts) AS y FROM readings UNION SELECT DISTINCT year(ts) + 1 FROM readings) y CROSS JOIN "
           + _sql_holiday_values() + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), 'DE-SH')")
 def q_holiday_union(spark, d):
     years = cat.readings(spark, d).select(F.year("ts").alias("year")).distinct()
     this_year = payloads.holiday_dates(years.select(_holiday_payload(F.col("year")).alias("payload")))
     next_year = payloads.holiday_dates(years.select(_holiday_payload(F.col("year") + 1).alias("payload")))
-    return metrics.holiday_year_union(this_year, next_year)
+    return round_doubles(metrics.holiday_year_union(this_year, next_year))

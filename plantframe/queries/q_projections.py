@@ -50,13 +50,14 @@ _TEMP = "CASE WHEN event_type <> 'error' THEN kwh / 4.0::DOUBLE - 10.0::DOUBLE E
 
 @register("temp_category", W(RD, f"t AS (SELECT site_id, event_id, {_TEMP} AS temperature FROM readings)")
           + "SELECT site_id, event_id, CAST(CASE WHEN temperature IS NULL THEN NULL WHEN temperature < 0 THEN 0 "
-          "WHEN temperature < 10 THEN 1 WHEN temperature < 20 THEN 2 ELSE 3 END AS BIGINT) AS temp_category_int, "
+          "WHEN temperature < 10 THEN 1 WHEN temperature < 20 THEN 2 ELSE 3 END AS DOUBLE) AS temp_category_int, "
           "CASE WHEN temperature IS NULL THEN NULL WHEN temperature < 0 THEN 'Very Cold' WHEN temperature < 10 THEN 'Cold' "
           "WHEN temperature < 20 THEN 'Normal' ELSE 'Hot' END AS temp_category FROM t")
 def q_temp_category(spark, d):
     r = cat.readings(spark, d)
     t = F.when(F.col("event_type") != "error", F.col("kwh") / 4.0 - 10.0)
-    return r.select("site_id", "event_id", calendar.temp_category_code(t).cast("long").alias("temp_category_int"),
+    # the code is NULL for missing temperatures: emitted as DOUBLE so a NULL survives pandas as NaN on both sides
+    return r.select("site_id", "event_id", calendar.temp_category_code(t).cast("double").alias("temp_category_int"),
                     calendar.temp_category_name(t).alias("temp_category"))
 
 

@@ -149,14 +149,14 @@ def q_flatten_series(spark, d):
 
 
 # ---------------------------------------------------------------------- S5
-@register("holiday_dates", W(RD) + "SELECT DISTINCT r.site_id, make_date(r.y, t.m, t.d) AS date FROM "
+@register("holiday_dates", W(RD) + "SELECT DISTINCT r.site_id, CAST(make_date(r.y, t.m, t.d) AS VARCHAR) AS date FROM "
           "(SELECT DISTINCT site_id, year(ts) AS y FROM readings) r CROSS JOIN " + _sql_holiday_values()
           + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), "
           "CASE WHEN r.site_id % 2 = 0 THEN 'DE-SH' ELSE 'DE-BY' END)")
 def q_holiday_dates(spark, d):
     sy = cat.readings(spark, d).select("site_id", F.year("ts").alias("year")).distinct()
     pay = sy.select("site_id", _holiday_payload(F.col("year")).alias("payload"))
-    return payloads.holiday_dates(pay, site_region(), keep=("site_id",))
+    return round_doubles(payloads.holiday_dates(pay, site_region(), keep=("site_id",)))
 
 
 # ------------------------------------------------------------------- S6/S8
@@ -191,7 +191,7 @@ _SQL_PAGES = (RD + ", rp AS (SELECT *, (row_number() OVER (PARTITION BY site_id
               "FROM rv WHERE hr < 24)")
 
 
-@register("extract_price_table", W(_SQL_PAGES) + "SELECT site_id, page, delivery_date, CAST(hour AS BIGINT) AS hour, "
+@register("extract_price_table", W(_SQL_PAGES) + "SELECT site_id, page, CAST(delivery_date AS VARCHAR) AS delivery_date, CAST(hour AS BIGINT) AS hour, "
           f"CAST(ts AS TIMESTAMP) AS ts, {R4('price_eur_mwh')} AS price_eur_mwh, {R4('price_ct_kwh')} AS price_ct_kwh FROM scraped")
 def q_extract_price(spark, d):
     return round_doubles(prices.extract_price_table(price_pages(spark, d), keep=("site_id", "page")))
@@ -224,23 +224,24 @@ _SQL_SOURCES = (_SQL_PAGES + ", hourly AS (SELECT site_id, time_bucket(INTERVAL
                                      "ANTI JOIN best b USING (site_id, day))",
                                      "allp AS (SELECT * FROM chosen UNION ALL SELECT site_id, day, hour, "
                                      + profiles.SQL_PRICE.format(h="hour") + ", 'default' FROM fb)")
-          + f"SELECT site_id, day, CAST(hour AS BIGINT) AS hour, {R4('price_ct')} AS price_ct, source FROM allp")
+          + f"SELECT site_id, CAST(day AS VARCHAR) AS day, CAST(hour AS BIGINT) AS hour, {R4('price_ct')} AS price_ct, source FROM allp")
 def q_price_fallback(spark, d):
     days = cat.readings(spark, d).select("site_id", F.to_date("ts").alias("day"))
     return round_doubles(prices.price_source_fallback(price_sources(spark, d), days))
 
 
-@register("available_sources", W(_SQL_SOURCES) + "SELECT site_id, day, string_agg(DISTINCT source, ',' ORDER BY source) "
+@register("available_sources", W(_SQL_SOURCES) + "SELECT site_id, CAST(day AS VARCHAR) AS day, string_agg(DISTINCT source, ',' ORDER BY source) "
           "AS sources_label FROM src GROUP BY site_id, day")
 def q_available_sources(spark, d):
-    return metrics.available_sources(price_sources(spark, d), ["site_id", "day"]).drop("sources")
+    return round_doubles(metrics.available_sources(price_sources(spark, d), ["site_id", "day"]).drop("sources"))
 
 
 # ---------------------------------------------------------------------- S7
 def price_payloads(spark, d):
     r = series.with_position(cat.readings(spark, d), pos="pos")
     item = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("date"), F.col("kwh").alias("value"),
-                    F.when(F.pmod("site_id", F.lit(2)) == 0, F.lit("DE-LU")).otherwise(F.lit("AT")).alias("region"),
+                    F.when(F.col("event_type").isin("view", "click", "signup"), F.lit("DE-LU"))
+                    .otherwise(F.lit("AT")).alias("region"),
                     F.lit("PT60M").alias("resolution"))
     rows = r.select("site_id", F.floor(F.col("pos") / PAGE_ROWS).cast("long").alias("page"), "pos", item.alias("item"))
     pages = rows.groupBy("site_id", "page").agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("a"))
@@ -253,7 +254,7 @@ def price_payloads(spark, d):
 @register("flatten_price_json", W(RD, "rp AS (SELECT *, (row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1) // 32 AS page "
                                   "FROM readings)")
           + f"SELECT site_id, CAST(page AS BIGINT) AS page, date_trunc('minute', ts) AS timestamp, {R4('kwh')} AS price, "
-          "'DE-LU' AS region, 'PT60M' AS resolution FROM rp WHERE site_id % 2 = 0 "
+          "'DE-LU' AS region, 'PT60M' AS resolution FROM rp WHERE event_type IN ('view', 'click', 'signup') "
           "AND date_trunc('minute', ts) >= TIMESTAMP '2024-01-05 00:00:00' AND date_trunc('minute', ts) < TIMESTAMP '2024-01-25 00:00:00'")
 def q_flatten_price(spark, d):
     out = payloads.flatten_price_json(price_payloads(spark, d), keep=("site_id", "page"), region="DE-LU",
