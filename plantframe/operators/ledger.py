@@ -60,6 +60,10 @@ def _fold(maps: Column) -> Column:
     return F.aggregate(maps, identity(), lambda acc, m: compose(acc, m))
 
 
+def _field(name: str):
+    return lambda e: e[name]
+
+
 def _prefix(df: DataFrame, part: list[str], order: str, maps: dict[str, str]) -> DataFrame:
     """Inclusive prefix compositions, one column per ledger, all in one window pass."""
     w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -98,18 +102,25 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
         cols[f"__m_{n}"] = m
         cols[f"__l0_{n}"] = init if isinstance(init, Column) else F.lit(float(init))
     keys = [f"__k{i}" for i in range(len(levels))]
-    steps = df.withColumns(cols).withColumns({k: _level_key(ts, u) for k, u in zip(keys, levels)})
-
-    # upward pass: inclusive prefixes inside each bucket; the last one is the bucket's map
-    steps = _prefix(steps, [site, keys[0]], ts, {f"__m_{n}": f"__p0_{n}" for n in names})
+    base = df.withColumns(cols).withColumns({k: _level_key(ts, u) for k, u in zip(keys, levels)})
+
+    # upward pass.  Level 0: inclusive prefixes of the steps inside each finest bucket.
+    steps = _prefix(base, [site, keys[0]], ts, {f"__m_{n}": f"__p0_{n}" for n in names})
+    # Level 1: each finest bucket's map, folded straight from the input (one ordered fold per
+    # bucket, map-side partial collection) rather than from the prefix window above.
+    seq = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("o"), *[F.col(f"__m_{n}").alias(n) for n in names])))
+    level1 = base.groupBy(site, *keys).agg(seq.alias("__seq"), *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
+    level1 = level1.select(site, *keys, *[f"__l0_{n}" for n in names],
+                           *[_fold(F.transform("__seq", _field(n))).alias(f"__b1_{n}") for n in names])
     tables = [steps]   # tables[i]: rows of level i (level 0 = steps) with their prefix maps __p{i}_*
-    order = [ts] + keys
     for i in range(1, len(levels) + 1):
         parent = [site] + keys[i:i + 1]            # (site, next bucket) or just site at the top
-        prev = tables[-1]
-        summary = prev.groupBy(site, *keys[i - 1:]).agg(
-            *[F.max_by(f"__p{i - 1}_{n}", order[i - 1]).alias(f"__b{i}_{n}") for n in names],
-            *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
+        if i == 1:
+            summary = level1
+        else:
+            summary = tables[-1].groupBy(site, *keys[i - 1:]).agg(
+                *[F.max_by(f"__p{i - 1}_{n}", keys[i - 2]).alias(f"__b{i}_{n}") for n in names],
+                *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
         summary = _prefix(summary, parent, keys[i - 1], {f"__b{i}_{n}": f"__p{i}_{n}" for n in names})
         tables.append(summary)
 
@@ -125,7 +136,10 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
         t = t.withColumns({f"__x_{n}": F.coalesce(F.lag(f"__p{i}_{n}").over(w), identity()) for n in names})
         entry = t.join(entry, [site, *keys[i:]]).select(
             site, *keys[i - 1:], *[apply_map(F.col(f"__x_{n}"), F.col(f"__e_{n}")).alias(f"__e_{n}") for n in names])
-    out = steps.join(entry, [site, *keys])
+    # join on exactly the keys the step table is partitioned on (coarser buckets are
+    # implied by the finest), so a shuffle join never re-shuffles the steps
+    entry = entry.select(site, keys[0], *[f"__e_{n}" for n in names])
+    out = steps.join(entry, [site, keys[0]])
     out = out.withColumns({f"{n}_out": apply_map(F.col(f"__p0_{n}"), F.col(f"__e_{n}")) for n in names})
     ws = Window.partitionBy(site, keys[0]).orderBy(ts)
     out = out.withColumns({f"{n}_in": F.coalesce(F.lag(f"{n}_out").over(ws), F.col(f"__e_{n}")) for n in names})

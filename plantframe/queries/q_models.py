@@ -130,7 +130,7 @@ def q_next_7_days(spark, d):
 def q_next_day_pv(spark, d):
     model = fc.fit_gbt(pv_frame(spark, d), calendar.PV_FEATURES, "pv_kw", rounds=QUERY_ROUNDS, scale=False)
     h = cat.hourly(spark, d)
-    starts = h.groupBy("site_id").agg(F.date_trunc("day", F.max("ts")).cast("timestamp_ntz").alias("start"))
+    starts = h.groupBy("site_id").agg(F.to_date(F.max("ts")).cast("timestamp_ntz").alias("start"))
     grid = series.time_grid_periods(starts, 72, "1 hour")          # three-day hourly weather forecast
     tomorrow = series.slice_rows(grid, 24, 24)                      # rows 24..47 = tomorrow
     lat = F.lit(47.0) + F.pmod("site_id", F.lit(8))
