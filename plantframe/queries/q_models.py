@@ -8,11 +8,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plantframe import catalog as cat
-from plantframe.functions import calendar, plant, profiles, solar
+from plantframe.functions import calendar, profiles, solar
 from plantframe.ml_features import consumption_frame, pv_frame
 from plantframe.operators import samples, series
 from plantframe.plans import forecast as fc

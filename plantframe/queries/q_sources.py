@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plantframe import catalog as cat

@@ -2,9 +2,8 @@
 
 Parameters are a nested JSON document.  We read it with the JSON source into
 one row of nested structs (or one row per site), fill every missing field
-from the defaults below, and attach it to step tables with a broadcast
-join: one row, or one row per site, so its size is bounded by the site
-count, which is checked before broadcasting.
+from the defaults below, and attach it to step tables: the one-row table by broadcast, a per-site table
+by an equi-join that AQE broadcasts once it has measured the table.
 """
 
 from __future__ import annotations
@@ -127,17 +126,15 @@ def flat_system_params(params: DataFrame, col: str = "params") -> DataFrame:
     return params.select(*keep, *cols)
 
 
-def params_cross(df: DataFrame, params: DataFrame, site: str = "site_id",
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def params_cross(df: DataFrame, params: DataFrame, site: str = "site_id") -> DataFrame:
     """Attach parameters to every row.
 
-    A one-row table is cross-joined by broadcast (its size is fixed).  A
-    per-site table (has a ``site`` column) is equi-joined on the site; it is
-    broadcast only when its row count is under ``max_broadcast_rows``,
-    otherwise it goes through a regular shuffle join.
+    A one-row table is cross-joined by broadcast (its size is fixed at one
+    row).  A per-site table (has a ``site`` column) is equi-joined on the
+    site and left to AQE, which broadcasts it only after measuring its real
+    size at run time, and otherwise shuffle-joins it (splitting a hot site's
+    partition with skew-join handling).
     """
     if site in params.columns:
-        n = params.count()
-        right = F.broadcast(params) if n <= max_broadcast_rows else params
-        return df.join(right, site, "left")
+        return df.join(params, site, "left")
     return df.crossJoin(F.broadcast(params.limit(1)))
