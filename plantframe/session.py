@@ -57,14 +57,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     from the session.  Only when nothing is configured (tests, local runs) do we
     fall back to a fresh scratch folder.
     """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="plantframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext.getCheckpointDir() or current
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # noqa: BLE001 - some deployments refuse runtime core confs
+            pass
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
