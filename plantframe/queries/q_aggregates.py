@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantframe import catalog as cat
-from plantframe.functions import dispatch
-from plantframe.operators import metrics
+from plantframe.functions import calendar, dispatch
+from plantframe.operators import metrics, series
 from plantframe.queries.common import R4, register, round_doubles
 from plantframe.queries.q_sources import _holiday_payload, _sql_holiday_values
 from plantframe.sources import payloads
@@ -19,7 +19,11 @@ W = cat.with_sql
 @register("daily_average", W(HR) + f"SELECT site_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, {R4('avg(kwh)')} AS avg_kwh FROM hourly "
           "WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' GROUP BY site_id, CAST(ts AS DATE)")
 def q_daily_average(spark, d):
-    return round_doubles(metrics.daily_average(cat.hourly(spark, d), "kwh", "2024-01-02"))
+    # the day-aligned bound is applied to the raw readings (pushed into the Parquet scan);
+    # it selects exactly the hourly bins on/after that day
+    readings = calendar.horizon_filter(cat.readings(spark, d), "2024-01-02")
+    hourly = series.resample_mean(readings, "1 hour", ["kwh"])
+    return round_doubles(metrics.daily_average(hourly, "kwh"))
 
 
 # ---------------------------------------------------------------------- A2
