@@ -41,8 +41,8 @@ def join_plan_inputs(demand: DataFrame, price: DataFrame, weather: DataFrame | N
 
 
 def replay_steps(joined: DataFrame, p: Params = DEFAULT, *, site: str = "site_id", ts: str = "ts",
-                 convention: str = "reference") -> DataFrame:
-    """Per-step replay on an already-joined input table."""
+                 convention: str = "reference", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per-step replay on an already-joined input table; ``keep`` passes extra input columns through."""
     df = profiles.default_if_missing(joined, {k: v for k, v in profiles.FIELD_DEFAULTS.items()
                                               if k != "pv_generation"})
     cop = plant.heatpump_cop(F.col("temperature"), p)
@@ -60,15 +60,15 @@ def replay_steps(joined: DataFrame, p: Params = DEFAULT, *, site: str = "site_id
     df = plant.grid_exchange(df, convention)
     df = plant.step_economics(df, p)
     cols = [site] + [ts if c == "timestamp" else c for c in REPLAY_COLUMNS]
-    return df.select(*cols)
+    return df.select(*cols, *[k for k in keep if k not in cols])
 
 
 def plan_replay(demand: DataFrame, price: DataFrame, weather: DataFrame | None = None,
                 control: DataFrame | None = None, p: Params = DEFAULT, *, site: str = "site_id",
-                ts: str = "ts", convention: str = "reference") -> DataFrame:
-    """The 27-column replay per (site, step)."""
+                ts: str = "ts", convention: str = "reference", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 27-column replay per (site, step) (plus ``keep`` input columns)."""
     return replay_steps(join_plan_inputs(demand, price, weather, control, site=site, ts=ts),
-                        p, site=site, ts=ts, convention=convention)
+                        p, site=site, ts=ts, convention=convention, keep=keep)
 
 
 def replay_totals(replay: DataFrame, *, site: str = "site_id") -> DataFrame:

@@ -74,14 +74,10 @@ SQL_REPLAY = PI + (
 _REPLAY_COLS = [c for c in replay.REPLAY_COLUMNS if c != "timestamp"]
 
 
-def _replay(spark, d):
-    pi = cat.plan_inputs(spark, d)
-    demand = pi.select("site_id", "ts", "heat_demand")
-    price = pi.select("site_id", "ts", "electricity_price")
-    weather = pi.select("site_id", "ts", "temperature", "solar_irradiance", "humidity")
-    control = pi.select("site_id", "ts", "battery_charge", "battery_discharge", "chp_power", "boiler_heat",
-                        "heat_pump_heat", "electric_heater_heat")
-    return replay.plan_replay(demand, price, weather, control)
+def _replay(spark, d, keep=()):
+    """R4 on ``plan_inputs`` (already one row per step with demand, price, weather and control;
+    the 4-way input join J1 has its own query)."""
+    return replay.replay_steps(cat.plan_inputs(spark, d), keep=keep)
 
 
 # ---------------------------------------------------------------------- R4
@@ -149,9 +145,8 @@ def q_buffer(spark, d):
 
 # ---------------------------------------------------------------------- R5
 def _audit_plan(spark, d):
-    r = _replay(spark, d)
-    pi = cat.plan_inputs(spark, d).select("site_id", "ts", "temperature")
-    return r.join(pi, ["site_id", "ts"]).withColumns({
+    r = _replay(spark, d, keep=("temperature",))
+    return r.withColumns({
         "thermal_charge": F.col("thermal_storage_charge"), "thermal_discharge": F.col("thermal_storage_discharge"),
         "thermal_level": F.col("thermal_storage_level"),
         "chp_on": (F.col("chp_power") > 0).cast("double"), "boiler_on": (F.col("boiler_heat") > 0).cast("double"),
@@ -209,7 +204,10 @@ _AUDIT_SQL = W(SQL_REPLAY, "a0 AS (SELECT *, CASE WHEN chp_power > 0 THEN 1.0 EL
 
 @register("plan_audit", _AUDIT_SQL)
 def q_audit(spark, d):
-    res = audit.plan_audit(_audit_plan(spark, d))
+    # the audited plan is materialised once in the shared checkpoint folder, as an audit of a
+    # stored plan table would read it; the audit's two passes then scan it instead of replaying twice
+    plan = _audit_plan(spark, d).checkpoint(eager=True)
+    res = audit.plan_audit(plan)
     out = res.groupBy("site_id", "rule").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.when(~F.col("ok"), F.lit(1)).otherwise(F.lit(0))).alias("n_violations"),
         F.max("residual").alias("max_residual"))

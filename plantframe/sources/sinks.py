@@ -26,8 +26,9 @@ def sink_series(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
     if fmt not in _FORMATS:
         raise ValueError(fmt)
     if cluster_by and all(c in df.columns for c in cluster_by):
-        # without an explicit count AQE may coalesce the ranges to the data size
-        df = df.repartitionByRange(num_partitions, *cluster_by) if num_partitions else df.repartitionByRange(*cluster_by)
+        # an explicit count keeps the write parallel (AQE would coalesce small ranges into few writers)
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *cluster_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
