@@ -1,0 +1 @@
+"""Column expressions: calendar, solar position, tariffs, plant physics, dispatch rules, profiles."""

@@ -1,0 +1 @@
+"""DataFrame operators: chunked ordered scans, time series, samples, joins, ledgers, audits, metrics."""

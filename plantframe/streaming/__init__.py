@@ -1,0 +1 @@
+"""Structured Streaming ingestion of landed meter files."""
