@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 
@@ -57,6 +58,57 @@ def with_chunk(df: DataFrame, ts: str, unit: str = "day", name: str = CHUNK) ->
     return df.withColumn(name, chunk_expr(ts, unit))
 
 
+
+_INT_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+
+def _order_code(df: DataFrame, order: list[str]):
+    """One LONG that sorts like ``order``, plus a decoder back to the order columns.
+
+    Supported orders: a timestamp, or a timestamp plus a 0/1 integer flag.
+    Summaries keyed on a primitive code can use hash aggregation (``max``,
+    ``max_by``) instead of sorting every input row for a struct ``max``.
+    Returns None for other orders (the struct path is used then).
+    """
+    types = [df.schema[o].dataType.simpleString() for o in order]
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    if types[0] == "timestamp_ntz":
+        micros = F.timestamp_diff("MICROSECOND", epoch, F.col(order[0]))
+        to_ts = lambda c: F.timestamp_add("MICROSECOND", c, epoch)
+    elif types[0] == "timestamp":
+        micros = F.unix_micros(F.col(order[0]))
+        to_ts = F.timestamp_micros
+    else:
+        return None
+    if len(order) == 1:
+        return micros, lambda c: [to_ts(c)]
+    if len(order) == 2 and types[1] in _INT_TYPES:
+        code = micros * F.lit(2) + F.col(order[1]).cast("long")
+        def decode(c: Column) -> list[Column]:
+            flag = F.pmod(c, F.lit(2))
+            return [to_ts(((c - flag) / F.lit(2)).cast("long")), flag.cast(types[1])]
+        return code, decode
+    return None
+
+
+def _fields(df: DataFrame, v: str) -> list[tuple[str, Column]] | None:
+    """Primitive fields of column ``v`` (itself, or the members of a flat struct)."""
+    t = df.schema[v].dataType
+    if isinstance(t, T.StructType):
+        if any(isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) for f in t.fields):
+            return None
+        return [(f.name, F.col(v).getField(f.name)) for f in t.fields]
+    if isinstance(t, (T.ArrayType, T.MapType)):
+        return None
+    return [("", F.col(v))]
+
+
+def _rebuild(fields: list[tuple[str, Column]], cols: list[Column]) -> Column:
+    if len(fields) == 1 and fields[0][0] == "":
+        return cols[0]
+    return F.struct(*[c.alias(name) for (name, _), c in zip(fields, cols)])
+
+
 # ----------------------------------------------------------------- fill scan
 def fill_scan(df: DataFrame, part: Sequence[str] | str, order: Sequence[str] | str,
               values: Sequence[str] | str, direction: str = "both", inclusive: bool = True,
@@ -93,8 +145,8 @@ def fill_scan(df: DataFrame, part: Sequence[str] | str, order: Sequence[str] | s
     # one row per (site, chunk): the chunk's last / first known value per
     # column, aggregated from the input with map-side partial aggregation, so
     # only one row per (site, chunk, task) is shuffled for it.
-    summary = df.groupBy(*keys).agg(*[summarise[dr](packed(v)).alias(f"__s_{dr}_{v}")
-                                         for dr in dirs for v in values])
+    summary = _known_summary(df, keys, order, values, dirs) or \
+        df.groupBy(*keys).agg(*[summarise[dr](packed(v)).alias(f"__s_{dr}_{v}") for dr in dirs for v in values])
     ws = Window.partitionBy(*part).orderBy(chunk)
     carry = summary.select(*keys, *[pick[dr](F.col(f"__s_{dr}_{v}")).over(ws.rowsBetween(*carry_frame[dr]))
                                     .alias(f"__c_{dr}_{v}") for dr in dirs for v in values])
@@ -105,6 +157,32 @@ def fill_scan(df: DataFrame, part: Sequence[str] | str, order: Sequence[str] | s
           for dr in dirs for v in values])
 
 
+def _known_summary(df: DataFrame, keys: list[str], order: list[str], values: list[str], dirs: list[str]):
+    """Hash-aggregated form of the per-chunk last/first known (order, value) structs, or None."""
+    enc = _order_code(df, order)
+    fields = {v: _fields(df, v) for v in values}
+    if enc is None or any(f is None for f in fields.values()):
+        return None
+    code, decode = enc
+    ext = {"prev": (F.max, F.max_by), "next": (F.min, F.min_by)}
+    aggs = []
+    for dr in dirs:
+        agg, agg_by = ext[dr]
+        for v in values:
+            ordk = F.when(F.col(v).isNotNull(), code)
+            aggs.append(agg(ordk).alias(f"__k_{dr}_{v}"))
+            aggs += [agg_by(c, ordk).alias(f"__f_{dr}_{v}_{i}") for i, (_, c) in enumerate(fields[v])]
+    raw = df.groupBy(*keys).agg(*aggs)
+    out = []
+    for dr in dirs:
+        for v in values:
+            k = F.col(f"__k_{dr}_{v}")
+            o = [c.alias(f"o{i}") for i, c in enumerate(decode(k))]
+            val = _rebuild(fields[v], [F.col(f"__f_{dr}_{v}_{i}") for i in range(len(fields[v]))])
+            out.append(F.when(k.isNotNull(), F.struct(*o, val.alias("v"))).alias(f"__s_{dr}_{v}"))
+    return raw.select(*keys, *out)
+
+
 # ---------------------------------------------------------- positional index
 def positional_index(df: DataFrame, part: Sequence[str] | str, order: Sequence[str] | str,
                      pos: str = "pos", chunk: str = CHUNK, with_count: str | None = None) -> DataFrame:
@@ -143,7 +221,8 @@ def neighbor_rows(df: DataFrame, part: Sequence[str] | str, order: Sequence[str]
                    *[F.col(v).alias(v) for v in values])
     w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
     local = df.withColumns({"__lag": F.lag(row).over(w), "__lead": F.lead(row).over(w)})
-    summary = df.groupBy(*keys).agg(F.min(row).alias("__first"), F.max(row).alias("__last"))
+    summary = _edge_summary(df, keys, order, values) or \
+        df.groupBy(*keys).agg(F.min(row).alias("__first"), F.max(row).alias("__last"))
     ws = Window.partitionBy(*part).orderBy(chunk)
     carry = summary.select(*keys, F.lag("__last").over(ws).alias("__cprev"),
                            F.lead("__first").over(ws).alias("__cnext"))
@@ -153,6 +232,23 @@ def neighbor_rows(df: DataFrame, part: Sequence[str] | str, order: Sequence[str]
                       F.coalesce("__lead", "__cnext").alias(nxt))
 
 
+def _edge_summary(df: DataFrame, keys: list[str], order: list[str], values: list[str]):
+    """Hash-aggregated first / last row of every chunk (order key + values), or None."""
+    enc = _order_code(df, order)
+    if enc is None or any(_fields(df, v) is None for v in values):
+        return None
+    code, decode = enc
+    raw = df.groupBy(*keys).agg(
+        F.min(code).alias("__kf"), F.max(code).alias("__kl"),
+        *[F.min_by(F.col(v), code).alias(f"__vf_{i}") for i, v in enumerate(values)],
+        *[F.max_by(F.col(v), code).alias(f"__vl_{i}") for i, v in enumerate(values)])
+
+    def row(k: str, pre: str) -> Column:
+        o = [c.alias(f"o{i}") for i, c in enumerate(decode(F.col(k)))]
+        return F.struct(*o, *[F.col(f"{pre}{i}").alias(v) for i, v in enumerate(values)])
+    return raw.select(*keys, row("__kf", "__vf_").alias("__first"), row("__kl", "__vl_").alias("__last"))
+
+
 # ------------------------------------------------------------ halo partitions
 def halo_partition(df: DataFrame, part: Sequence[str] | str, pos: str, lookback: int,
                    lookahead: int = 0, rows_per_chunk: int = 4096,
