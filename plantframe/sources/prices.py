@@ -50,12 +50,19 @@ def price_source_fallback(sources: DataFrame, days: DataFrame, *, site: str = "s
     ``sources``: (site, day, source, priority, hour, price_ct).  ``days``:
     the (site, day) pairs that need prices.  Output: (site, day, hour,
     price_ct, source) with ``source = 'default'`` for fallback days.
+
+    Completeness and the best complete source are window aggregates over
+    (site, day) — one pass, no self-join; the default profile is generated
+    only for the days no source completes (anti-join on the covered days).
     """
-    w = Window.partitionBy(site, day, "source")
-    complete = sources.withColumn("__n", F.count(F.lit(1)).over(w)).filter(F.col("__n") == expected_rows)
-    best = complete.groupBy(site, day).agg(F.min("priority").alias("priority"))
-    chosen = complete.join(best, [site, day, "priority"]).select(site, day, "hour", "price_ct", "source")
-    missing = days.select(site, day).distinct().join(best.select(site, day), [site, day], "left_anti")
+    n_rows = F.count(F.lit(1)).over(Window.partitionBy(site, day, "source"))
+    cand = sources.withColumn("__complete", n_rows == expected_rows)
+    best = F.min(F.when(F.col("__complete"), F.col("priority"))).over(Window.partitionBy(site, day))
+    chosen = cand.withColumn("__best", best) \
+        .filter(F.col("__complete") & (F.col("priority") == F.col("__best"))) \
+        .select(site, day, F.col("hour").cast("long").alias("hour"), "price_ct", "source")
+    covered = chosen.select(site, day).distinct()
+    missing = days.select(site, day).distinct().join(covered, [site, day], "left_anti")
     fallback = missing.select(site, day, F.explode(F.sequence(F.lit(0), F.lit(expected_rows - 1))).alias("hour")) \
         .withColumn("hour", F.col("hour").cast("long"))
     fallback = fallback.withColumn("price_ct", profiles.default_price_ct(F.col("hour"))) \
