@@ -32,6 +32,10 @@ class Params:
         group, field = path.split(".")
         return float(self.values[group][field])
 
+    def scalar(self, path: str) -> float | Column:
+        """A float for a literal parameter set, the column otherwise."""
+        return self(path) if self.columns else self.value(path)
+
 
 DEFAULT = Params()
 

@@ -97,21 +97,28 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
     Use ``("hour", "day", "month")`` for sub-minute meter data.
     """
     names = list(ledgers)
-    cols = {}
-    for n, (m, init) in ledgers.items():
-        cols[f"__m_{n}"] = m
-        cols[f"__l0_{n}"] = init if isinstance(init, Column) else F.lit(float(init))
+    cols = {f"__m_{n}": m for n, (m, _) in ledgers.items()}
+    # initial levels: literals stay literals; per-site columns go to a small per-site table joined at
+    # the top.  Keeping them out of the bucket tables lets both consumers of each bucket table prune to
+    # the same columns, so Spark reuses its exchange instead of recomputing the table.
+    per_site_init = {n: init for n, (_, init) in ledgers.items() if isinstance(init, Column)}
+    init_lit = {n: F.lit(float(init)) for n, (_, init) in ledgers.items() if not isinstance(init, Column)}
     keys = [f"__k{i}" for i in range(len(levels))]
     base = df.withColumns(cols).withColumns({k: _level_key(ts, u) for k, u in zip(keys, levels)})
+    # state the key constraints once, up front: otherwise each join below infers its own null filters
+    # and the copies of the bucket tables differ, which stops Spark from reusing their exchanges
+    not_null = F.col(site).isNotNull() & F.col(ts).isNotNull()
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    base = base.filter(not_null)
 
     # upward pass.  Level 0: inclusive prefixes of the steps inside each finest bucket.
     steps = _prefix(base, [site, keys[0]], ts, {f"__m_{n}": f"__p0_{n}" for n in names})
     # Level 1: each finest bucket's map, folded straight from the input (one ordered fold per
     # bucket, map-side partial collection) rather than from the prefix window above.
     seq = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("o"), *[F.col(f"__m_{n}").alias(n) for n in names])))
-    level1 = base.groupBy(site, *keys).agg(seq.alias("__seq"), *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
-    level1 = level1.select(site, *keys, *[f"__l0_{n}" for n in names],
-                           *[_fold(F.transform("__seq", _field(n))).alias(f"__b1_{n}") for n in names])
+    level1 = base.groupBy(site, *keys).agg(seq.alias("__seq"))
+    level1 = level1.select(site, *keys, *[_fold(F.transform("__seq", _field(n))).alias(f"__b1_{n}") for n in names])
     tables = [steps]   # tables[i]: rows of level i (level 0 = steps) with their prefix maps __p{i}_*
     for i in range(1, len(levels) + 1):
         parent = [site] + keys[i:i + 1]            # (site, next bucket) or just site at the top
@@ -119,16 +126,19 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
             summary = level1
         else:
             summary = tables[-1].groupBy(site, *keys[i - 1:]).agg(
-                *[F.max_by(f"__p{i - 1}_{n}", keys[i - 2]).alias(f"__b{i}_{n}") for n in names],
-                *[F.first(f"__l0_{n}").alias(f"__l0_{n}") for n in names])
+                *[F.max_by(f"__p{i - 1}_{n}", keys[i - 2]).alias(f"__b{i}_{n}") for n in names])
         summary = _prefix(summary, parent, keys[i - 1], {f"__b{i}_{n}": f"__p{i}_{n}" for n in names})
         tables.append(summary)
 
     # downward pass: entry level of each bucket = exclusive prefix applied to the parent's entry
     top = tables[-1]
+    if per_site_init:
+        inits = df.groupBy(site).agg(*[F.first(c).alias(f"__l0_{n}") for n, c in per_site_init.items()])
+        top = top.join(inits, site)
+    l0 = {n: init_lit[n] if n in init_lit else F.col(f"__l0_{n}") for n in names}
     wt = Window.partitionBy(site).orderBy(keys[-1])
     entry = top.select(site, keys[-1], *[
-        apply_map(F.coalesce(F.lag(f"__p{len(levels)}_{n}").over(wt), identity()), F.col(f"__l0_{n}"))
+        apply_map(F.coalesce(F.lag(f"__p{len(levels)}_{n}").over(wt), identity()), l0[n])
         .alias(f"__e_{n}") for n in names])
     for i in range(len(levels) - 1, 0, -1):
         t = tables[i]
@@ -143,7 +153,7 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
     out = out.withColumns({f"{n}_out": apply_map(F.col(f"__p0_{n}"), F.col(f"__e_{n}")) for n in names})
     ws = Window.partitionBy(site, keys[0]).orderBy(ts)
     out = out.withColumns({f"{n}_in": F.coalesce(F.lag(f"{n}_out").over(ws), F.col(f"__e_{n}")) for n in names})
-    drop = keys + [f"__{k}_{n}" for n in names for k in ("m", "l0", "p0", "e")]
+    drop = keys + [f"__{k}_{n}" for n in names for k in ("m", "p0", "e")]
     return out.drop(*drop)
 
 
@@ -189,7 +199,7 @@ def battery_ledger(df: DataFrame, p: Params = DEFAULT, *, charge: str = "battery
     Output columns ``battery_charge_actual``, ``battery_discharge_actual``,
     ``battery_level_in``, ``battery_level``.
     """
-    init = initial if initial is not None else p("battery_storage.initial_level")
+    init = initial if initial is not None else p.scalar("battery_storage.initial_level")
     led = run_ledger(df, battery_map(p, charge, discharge), init, site=site, ts=ts,
                      level_in="battery_level_in", level_out="battery_level")
     return led.withColumns(battery_details(F.col("battery_level_in"), p, charge, discharge))
@@ -220,7 +230,7 @@ def thermal_ledger(df: DataFrame, p: Params = DEFAULT, *, supply: str = "heat_su
     Output ``thermal_storage_charge``, ``thermal_storage_discharge``,
     ``thermal_storage_level_in``, ``thermal_storage_level``.
     """
-    init = initial if initial is not None else p("thermal_storage.initial_level")
+    init = initial if initial is not None else p.scalar("thermal_storage.initial_level")
     led = run_ledger(df, thermal_map(p, supply, demand), init, site=site, ts=ts,
                      level_in="thermal_storage_level_in", level_out="thermal_storage_level")
     return led.withColumns(thermal_details(F.col("thermal_storage_level_in"), p, supply, demand))
@@ -228,8 +238,8 @@ def thermal_ledger(df: DataFrame, p: Params = DEFAULT, *, supply: str = "heat_su
 
 def plant_ledgers(df: DataFrame, p: Params = DEFAULT, *, site: str = "site_id", ts: str = "ts") -> DataFrame:
     """R1 + R2 in a single scan (they are independent of each other)."""
-    led = run_ledgers(df, {"battery": (battery_map(p), p("battery_storage.initial_level")),
-                           "thermal": (thermal_map(p), p("thermal_storage.initial_level"))}, site=site, ts=ts)
+    led = run_ledgers(df, {"battery": (battery_map(p), p.scalar("battery_storage.initial_level")),
+                           "thermal": (thermal_map(p), p.scalar("thermal_storage.initial_level"))}, site=site, ts=ts)
     led = led.withColumnsRenamed({"battery_in": "battery_level_in", "battery_out": "battery_level",
                                   "thermal_in": "thermal_storage_level_in", "thermal_out": "thermal_storage_level"})
     led = led.withColumns(battery_details(F.col("battery_level_in"), p))

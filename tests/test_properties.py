@@ -144,3 +144,12 @@ def test_chrono_split_counts(spark):
     counts = {(r.site_id, r.split): r["count"] for r in samples.chrono_split(df).groupBy("site_id", "split").count().collect()}
     for s in range(3):
         assert counts[(s, "train")] == 70 and counts[(s, "val")] == 15 and counts[(s, "test")] == 15
+
+
+def test_ledger_with_per_site_initial_levels(spark):
+    rows = [(s, D(2024, 1, 1) + dt.timedelta(hours=h), 10.0, 0.0, 20.0 + 30.0 * s) for s in range(2) for h in range(60)]
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, battery_charge double, battery_discharge double, l0 double")
+    led = ledger.run_ledger(df, ledger.battery_map(), F.col("l0"), level_out="battery_level")
+    first = {r.site_id: r.battery_level for r in led.filter(F.col("ts") == D(2024, 1, 1)).collect()}
+    assert first[0] == pytest.approx((20.0 + 9.2) * 0.999)
+    assert first[1] == pytest.approx((50.0 + 9.2) * 0.999)
