@@ -26,11 +26,21 @@ def daily_average(df: DataFrame, col: str, from_date: str | None = None, *, site
 
 
 # ---------------------------------------------------------------------- A2
-def series_summary(df: DataFrame, col: str, *, by: Sequence[str] = ("site_id",), ts: str = "ts") -> DataFrame:
-    """count, first/last stamp, min/max/mean value."""
-    return df.groupBy(*by).agg(
+def series_summary(df: DataFrame, col: str, *, by: Sequence[str] = ("site_id",), ts: str = "ts",
+                   require_range: bool = False) -> DataFrame:
+    """count, first/last stamp, min/max/mean value.
+
+    ``require_range``: fail the job (``raise_error``) for a group without
+    stamps — the bounds feed a weather request and must exist.
+    """
+    out = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.min(ts).alias("ts_min"), F.max(ts).alias("ts_max"),
         F.min(col).alias("v_min"), F.max(col).alias("v_max"), F.avg(col).alias("v_mean"))
+    if require_range:
+        bad = F.col("ts_min").isNull() | F.col("ts_max").isNull()
+        out = out.withColumn("ts_min", F.when(bad, F.raise_error(F.lit("series has no valid timestamps")))
+                             .otherwise(F.col("ts_min")))
+    return out
 
 
 # ---------------------------------------------------------------------- A3

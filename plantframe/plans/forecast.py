@@ -100,6 +100,21 @@ def multi_horizon_frame(df: DataFrame, target: str, w: int, horizons: int, *, si
     return ex.withColumn("__vec", array_to_vector(F.concat("lags", F.array("h")))).drop("h0")
 
 
+def fallback_short_history(forecast: DataFrame, history: DataFrame, window: int, *, col: str = "prediction",
+                           site: str = "site_id", default: float | None = None) -> DataFrame:
+    """A site whose history is shorter than the model window gets the constant default forecast.
+
+    ``forecast`` holds one row per (site, step) to fill; the per-site history
+    length is a partial-aggregated count joined on the site.
+    """
+    from plantframe.functions.profiles import DEFAULT_FORECAST
+    value = DEFAULT_FORECAST if default is None else default
+    counts = history.groupBy(site).agg(F.count(F.lit(1)).alias("__hist_n"))
+    out = forecast.join(counts, site, "left")
+    short = F.coalesce(F.col("__hist_n"), F.lit(0)) < F.lit(window)
+    return out.withColumn(col, F.when(short, F.lit(float(value))).otherwise(F.col(col))).drop("__hist_n")
+
+
 # ---------------------------------------------------------------------- M5
 def seasonal_features(ts: str = "ts", origin: str = "2000-01-01 00:00:00") -> dict[str, Column]:
     """Trend + Fourier terms: daily (3 pairs), weekly (3), yearly (2)."""
@@ -156,5 +171,5 @@ def feature_importances(model: PipelineModel, features: Sequence[str]) -> list[t
 
 
 __all__ = ["gbt_pipeline", "score", "fit_gbt", "holdout_mse", "lag_vector_frame", "fit_gbt_vector",
-           "multi_horizon_frame", "seasonal_features", "fit_seasonal", "forecast_seasonal", "save_model",
+           "multi_horizon_frame", "fallback_short_history", "seasonal_features", "fit_seasonal", "forecast_seasonal", "save_model",
            "load_model", "load_or_train", "feature_importances", "vector_to_array"]

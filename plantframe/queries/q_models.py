@@ -71,12 +71,16 @@ def q_multi_horizon(spark, d):
     # score from each site's latest window: the last LAGS values, oldest first
     last = series.last_n(h, LAGS).groupBy("site_id").agg(
         F.max("ts").alias("anchor_ts"), F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(F.struct("ts", "kwh"))).alias("w")).filter(F.col("n") == LAGS)
+        F.array_sort(F.collect_list(F.struct("ts", "kwh"))).alias("w"))
     lags = F.transform("w", lambda x: x["kwh"])
-    grid = last.select("site_id", "anchor_ts", lags.alias("lags"),
+    grid = last.select("site_id", "anchor_ts", "n", lags.alias("lags"),
                        F.explode(F.sequence(F.lit(1), F.lit(horizons))).alias("h"))
-    grid = grid.withColumn("__vec", fc.array_to_vector(F.concat("lags", F.array(F.col("h").cast("double")))))
-    out = model.transform(grid)
+    full = grid.filter(F.col("n") == LAGS)
+    full = full.withColumn("__vec", fc.array_to_vector(F.concat("lags", F.array(F.col("h").cast("double")))))
+    scored = model.transform(full).select("site_id", "anchor_ts", "h", "prediction")
+    # sites with less history than one window get the constant default forecast
+    short = grid.filter(F.col("n") < LAGS).select("site_id", "anchor_ts", "h", F.lit(None).cast("double").alias("prediction"))
+    out = fc.fallback_short_history(scored.unionByName(short), h, LAGS)
     return _rounded(out.select("site_id", "anchor_ts", F.col("h").cast("long").alias("h"), "prediction"))
 
 

@@ -116,3 +116,19 @@ def test_time_grid_periods_and_slice(spark):
     g = series.time_grid_periods(starts, 72, "1 hour")
     tomorrow = series.slice_rows(g, 24, 24).orderBy("ts").collect()
     assert len(tomorrow) == 24 and tomorrow[0].ts == D(2024, 1, 2, 0) and tomorrow[-1].ts == D(2024, 1, 2, 23)
+
+
+def test_series_summary_requires_range(spark):
+    df = spark.createDataFrame([(1, None, 1.0)], "site_id long, ts timestamp_ntz, v double")
+    assert metrics.series_summary(df, "v").collect()[0].ts_min is None
+    with pytest.raises(Exception):
+        metrics.series_summary(df, "v", require_range=True).collect()
+
+
+def test_short_history_gets_default_forecast(spark):
+    from plantframe.plans import forecast as fc
+    hist = spark.createDataFrame([(1, D(2024, 1, 1, h)) for h in range(10)] + [(2, D(2024, 1, 1, 0))],
+                                 "site_id long, ts timestamp_ntz")
+    fcst = spark.createDataFrame([(1, 1, 5.0), (2, 1, None)], "site_id long, h int, prediction double")
+    got = {r.site_id: r.prediction for r in fc.fallback_short_history(fcst, hist, 6).collect()}
+    assert got == {1: 5.0, 2: 250.0}
