@@ -101,6 +101,17 @@ def parse_params_json(df: DataFrame, json_col: str, out: str = "params") -> Data
     return with_defaults(parsed, out)
 
 
+def with_overrides(df: DataFrame, overrides: dict[str, float], col: str = "params") -> DataFrame:
+    """Per-run scalar overrides, e.g. ``{"chp.P_max": 250.0}`` (paths under ``system_parameters``).
+
+    Applied with ``withField`` on the nested struct: no re-parse, no join.
+    """
+    c = F.col(col)
+    for path, value in overrides.items():
+        c = c.withField(f"system_parameters.{path}", F.lit(value).cast("double"))
+    return df.withColumn(col, c)
+
+
 def read_params(spark: SparkSession, path: str | None = None) -> DataFrame:
     """S3: one-row parameter table from a (multi-line) JSON file, or the defaults."""
     if path is None:

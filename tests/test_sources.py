@@ -122,3 +122,9 @@ def test_model_store_round_trip(spark):
     p2 = [r.prediction for r in fc.score(m2, df).collect()]
     assert p1 == p2
     assert fc.score(None, df).filter(F.col("prediction").isNotNull()).count() == 0
+
+
+def test_params_overrides(spark):
+    p = params.with_overrides(params.default_params(spark), {"chp.P_max": 250.0, "battery_storage.initial_level": 70.0})
+    row = params.flat_system_params(p).collect()[0]
+    assert row["chp__P_max"] == 250.0 and row["battery_storage__initial_level"] == 70.0 and row["chp__Q_max"] == 300.0
