@@ -59,6 +59,15 @@ def scan_meter_csv(spark: SparkSession, paths: str | list[str], site_pattern: st
     return parse_meter_frame(raw, keep=("site_id",))
 
 
+def meter_reject_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Per file: data rows read and lines rejected (preamble, header, junk) — the counted reject output."""
+    raw = spark.read.schema(RAW_SCHEMA).option("sep", ";").option("mode", "PERMISSIVE").csv(paths)
+    raw = raw.withColumn("file", F.col("_metadata.file_path"))
+    ok = parse_stamp(F.col("c0")).isNotNull()
+    return raw.groupBy("file").agg(F.sum(F.when(ok, 1).otherwise(0)).cast("long").alias("rows"),
+                                   F.sum(F.when(ok, 0).otherwise(1)).cast("long").alias("rejected"))
+
+
 def scan_pv_csv(spark: SparkSession, paths: str | list[str], site_pattern: str | None = None) -> DataFrame:
     """PV export variant (3 preamble lines, same row format) -> (site_id, ts, pv_kw)."""
     return scan_meter_csv(spark, paths, site_pattern).withColumnRenamed("kwh", "pv_kw")

@@ -27,6 +27,8 @@ def test_scan_meter_csv_skips_preamble(spark):
     df = meter_csv.scan_meter_csv(spark, d, site_pattern=r"site_(\d+)\.csv")
     rows = sorted(df.collect())
     assert [(r.site_id, r.ts, r.kwh) for r in rows] == [("7", D(2024, 1, 1, 0, 15), 1.25), ("7", D(2024, 1, 1, 0, 30), 2.5)]
+    counts = meter_csv.meter_reject_counts(spark, d).collect()[0]
+    assert (counts.rows, counts.rejected) == (2, 4)
 
 
 def test_scan_forecast_csv_keeps_microseconds(spark):
