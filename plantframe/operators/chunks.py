@@ -83,11 +83,11 @@ def _order_code(df: DataFrame, order: list[str]):
     if len(order) == 1:
         return micros, lambda c: [to_ts(c)]
     if len(order) == 2 and types[1] in _INT_TYPES:
-        code = micros * F.lit(2) + F.col(order[1]).cast("long")
         def decode(c: Column) -> list[Column]:
             flag = F.pmod(c, F.lit(2))
             return [to_ts(((c - flag) / F.lit(2)).cast("long")), flag.cast(types[1])]
-        return code, decode
+
+        return micros * F.lit(2) + F.col(order[1]).cast("long"), decode
     return None
 
 
