@@ -143,7 +143,8 @@ def plan_summary(plan: DataFrame, p: Params = DEFAULT, by: Sequence[str] = ("sit
 # ---------------------------------------------------------------------- A8
 def plan_objective(plan: DataFrame, p: Params = DEFAULT, by: Sequence[str] = ("site_id",),
                    price: str = "electricity_price") -> DataFrame:
-    """Objective = revenue − cost − maintenance of running units (A7 + maintenance)."""
+    """Objective = revenue − cost − maintenance of running units (A7 + maintenance), plus the
+    simple plant model's profit formula over the same plan."""
     fuel = p("economics.fuel_price")
     step = (F.col("chp_power") * F.col(price) + F.col("grid_export") * p("economics.electricity_price_sell")
             - (F.col("chp_power") + F.col("chp_heat")) / (p("chp.eta_el") + p("chp.eta_th")) * fuel
@@ -154,7 +155,11 @@ def plan_objective(plan: DataFrame, p: Params = DEFAULT, by: Sequence[str] = ("s
     maint = (F.col("chp_on") * p("economics.maintenance_cost_chp")
              + F.col("boiler_on") * p("economics.maintenance_cost_boiler")
              + F.col("heat_pump_on") * p("economics.maintenance_cost_heat_pump"))
-    return plan.groupBy(*by).agg(F.sum(step).alias("objective_value"), F.sum(maint).alias("maintenance_cost"))
+    # the simple plant model's profit: price·P − fuel·(P + Q)/0.85 − fuel·boiler/0.9
+    simple = (F.col(price) * F.col("chp_power") - fuel * (F.col("chp_power") + F.col("chp_heat")) / F.lit(0.85)
+              - fuel * F.col("boiler_heat") / F.lit(0.9))
+    return plan.groupBy(*by).agg(F.sum(step).alias("objective_value"), F.sum(maint).alias("maintenance_cost"),
+                                 F.sum(simple).alias("simple_profit"))
 
 
 # ---------------------------------------------------------------------- A9

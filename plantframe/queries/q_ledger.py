@@ -279,7 +279,10 @@ def q_plan_summary(spark, d):
               "- boiler_heat / 0.90::DOUBLE * 0.03::DOUBLE - grid_import * electricity_price - chp_on * 0.005::DOUBLE "
               "- boiler_on * 0.002::DOUBLE - heat_pump_on * 0.003::DOUBLE)") + " AS objective_value, "
           + R4("sum(chp_on * 0.005::DOUBLE + boiler_on * 0.002::DOUBLE + heat_pump_on * 0.003::DOUBLE)")
-          + " AS maintenance_cost FROM o GROUP BY site_id")
+          + " AS maintenance_cost, "
+          + R4("sum(electricity_price * chp_power - 0.03::DOUBLE * (chp_power + chp_heat) / 0.85::DOUBLE "
+               "- 0.03::DOUBLE * boiler_heat / 0.9::DOUBLE)")
+          + " AS simple_profit FROM o GROUP BY site_id")
 def q_plan_objective(spark, d):
     r = _replay(spark, d).withColumns({
         "chp_on": (F.col("chp_power") > 0).cast("double"), "boiler_on": (F.col("boiler_heat") > 0).cast("double"),
