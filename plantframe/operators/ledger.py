@@ -265,3 +265,15 @@ def buffer_ledger_unmet(df: DataFrame, *, supply: str = "heat_supply", demand: s
     unmet = F.when(sup < dem, (dem - sup) - discharged).otherwise(F.lit(0.0))
     out = led.withColumns({"charged": charged, "discharged": discharged, "unmet": unmet})
     return out.withColumn("unmet_to_boiler", F.when(F.col("unmet") > tol, F.col("unmet")).otherwise(F.lit(0.0)))
+
+
+def buffer_totals(steps: DataFrame, reward: str = "reward", *, site: str = "site_id") -> DataFrame:
+    """R3 totals per site: total reward, unmet heat sent to the boiler, final store level.
+
+    A partial-aggregated ``groupBy`` (the final level is ``max_by`` over the
+    stamp), so a long site is summed map-side rather than in one task.
+    """
+    return steps.groupBy(site).agg(F.sum(reward).alias("total_reward"),
+                                   F.sum("unmet_to_boiler").alias("total_unmet_to_boiler"),
+                                   F.max_by("storage", "ts").alias("final_storage"),
+                                   F.count(F.lit(1)).alias("steps"))

@@ -132,3 +132,11 @@ def test_short_history_gets_default_forecast(spark):
     fcst = spark.createDataFrame([(1, 1, 5.0), (2, 1, None)], "site_id long, h int, prediction double")
     got = {r.site_id: r.prediction for r in fc.fallback_short_history(fcst, hist, 6).collect()}
     assert got == {1: 5.0, 2: 250.0}
+
+
+def test_buffer_totals(spark):
+    df = spark.createDataFrame([(1, D(2024, 1, 1, h), s, d) for h, (s, d) in enumerate([(0.0, 600.0), (0.0, 600.0), (900.0, 100.0)])],
+                               "site_id long, ts timestamp_ntz, heat_supply double, heat_demand double")
+    steps = ledger.buffer_ledger_unmet(df, storage_max=1000.0).withColumn("reward", F.lit(1.0))
+    t = ledger.buffer_totals(steps).collect()[0]
+    assert (t.total_reward, t.total_unmet_to_boiler, t.final_storage, t.steps) == (3.0, 700.0, 800.0, 3)
