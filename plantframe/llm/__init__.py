@@ -1 +1,8 @@
 """Training-data operators.  Nothing else in the library imports this folder."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run on executors travel whole, so that executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

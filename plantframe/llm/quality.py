@@ -37,6 +37,7 @@ RULES: list[tuple[str, str, float | None, float | None]] = [
     ("symbols", "n_symbols / n_words", None, 0.3),
     ("duplicate_lines", "n_dup_lines / n_lines", None, 0.5),
     ("ellipsis_lines", "n_ellipsis_lines / n_lines", None, 0.5),
+    ("echoes", "n_echo_words / n_words", None, 0.3),
     ("letters", "n_letters / word_chars", 0.5, None),
     ("capitals", "n_capitals / n_letters", None, 0.5),
     ("stop_words", "n_stop_words", 2, None),
@@ -89,6 +90,7 @@ def measures(docs: DataFrame, text: str = "text", lang: str = "lang", keep_colum
         (F.length("_text") - F.length(F.translate("_text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words(F.col("_words"), F.size("_words")).cast("long").alias("n_repeat_words"),
+        _let(F.col("_words"), lambda ws: F.size(F.filter(ws, lambda w, i: w == F.get(ws, i - 1)))).cast("long").alias("n_echo_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size(F.filter("_lines", lambda x: F.rtrim(x).endswith("..."))).cast("long").alias("n_ellipsis_lines"),
         count(r"\p{L}").cast("long").alias("n_letters"),
