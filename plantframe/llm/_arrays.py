@@ -131,30 +131,55 @@ def byte_codes(raw: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """Windows of ``size`` units (words or bytes) grouped by their least ``k``-gram.
-
-    Neighbouring windows of one document that share the least hash form a run.
-    Two documents that share a window share its least hash, so a window can
-    only recur among runs of the same ``key``.  ``lo``/``hi``: the first and
-    last window of the run (index of its first unit), ``doc``: its document,
-    ``content``: hash of all units that the run's windows cover.
+    """Windows of ``size`` units (words or bytes) grouped by the place of their least ``k``-gram (the anchor).
+
+    Neighbouring windows of one document with the same anchor form a run.  The
+    anchor depends on a window's units only, so two documents that share a
+    window have it in runs of the same ``key``.  ``lo``/``hi``: first and last
+    window of the run (index of its first unit), ``doc``: its document,
+    ``content``: hash of all units that its windows cover, ``side``: hashes of
+    4 bits of the ``(size - k) // 2`` units left and right of the anchor (0:
+    the run ends before).  Runs that share a window share a side that is not 0,
+    as a window has so many units on one side of its anchor.
     """
 
     def __init__(self, codes: np.ndarray, first: np.ndarray, size: int, k: int):
-        self.sums = prefix_sums(codes)
-        least = sliding(np.minimum, run_hash(self.sums, k), size - k + 1)
+        self.size, self.sums = size, prefix_sums(codes)
+        grams = run_hash(self.sums, k)
         n_windows = np.maximum(np.diff(first) - size + 1, 0)
-        self.doc_of = np.repeat(np.arange(n_windows.size), n_windows)
-        begin = np.repeat(first[:-1], n_windows)
-        ahead = np.concatenate([[0], np.cumsum(n_windows)])
-        window = begin + (np.arange(begin.size) - np.repeat(ahead[:-1], n_windows))
-        key = least[window] if window.size else np.zeros(0, np.uint64)
+        doc_of = np.repeat(np.arange(n_windows.size), n_windows)
+        ahead = np.cumsum(n_windows) - n_windows
+        window = np.arange(doc_of.size) + np.repeat(first[:-1] - ahead, n_windows)
+        if not window.size:
+            self.lo = self.hi = self.doc = np.zeros(0, np.int64)
+            self.key = self.content = np.zeros(0, np.uint64)
+            self.side = np.zeros(0, np.uint8)
+            return
+        place = U64((1 << int(codes.size).bit_length()) - 1)
+        ranked = (grams & ~place) | np.arange(grams.size, dtype=np.uint64)
+        least = sliding(np.minimum, ranked, size - k + 1)[window]
         new = np.ones(window.size, bool)
-        if window.size:
-            new[1:] = (key[1:] != key[:-1]) | (self.doc_of[1:] != self.doc_of[:-1])
+        new[1:] = (least[1:] != least[:-1]) | (doc_of[1:] != doc_of[:-1])
         at = np.flatnonzero(new)
-        last = np.append(at[1:], window.size) - 1 if at.size else at
-        self.lo, self.hi = window[at], window[last] if at.size else at
-        self.doc, self.key = self.doc_of[at], key[at]
+        self.lo, self.hi, self.doc = window[at], window[np.append(at[1:], window.size) - 1], doc_of[at]
+        anchor = (least[at] & place).astype(np.int64)
+        self.key = grams[anchor]
         self.content = range_hash(self.sums, self.lo, self.hi + size)
-        self.size = size
+        half = (size - k) // 2
+        end = self.hi + size
+        left = range_hash(self.sums, np.maximum(anchor - half, 0), anchor) % U64(15) + U64(1)
+        right = range_hash(self.sums, np.minimum(anchor + k, end), np.minimum(anchor + k + half, end)) % U64(15) + U64(1)
+        left[anchor - half < self.lo] = 0
+        right[anchor + k + half > end] = 0
+        self.side = (left | (right << U64(4))).astype(np.uint8)
+
+
+def planes(x: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of 64-bit values, byte by byte, so that equal high bytes lie together and compress."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def from_planes(raw: bytes, n: int, width: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, n * width).reshape(width, n).T
+    return out.reshape(-1).view("<u8")

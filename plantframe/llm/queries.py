@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantframe.llm import decontaminate, licenses, line_dedup, mixing, quality, url_filter
+from plantframe.llm import decontaminate, licenses, line_dedup, mixing, quality, rlz_dedup, suffix_dedup, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), "source", counts=True).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op7_relative_lempel_ziv_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "mix_domain", "mix_tokens", "mix_copies")
 
@@ -42,5 +50,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_benchmark_decontamination, op2_quality_rules, op3_license_scan, op6_line_dedup, op9_source_mixing, op10_url_filter)}
+    op1_benchmark_decontamination, op2_quality_rules, op3_license_scan, op6_line_dedup,
+    op7_relative_lempel_ziv_dedup, op8_suffix_array_dedup, op9_source_mixing, op10_url_filter)}
 ORACLES: dict[str, str] = {}
