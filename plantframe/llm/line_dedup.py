@@ -58,8 +58,12 @@ def _host_key(host: str) -> Column:
 
 
 def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     counts: bool = False) -> DataFrame:
-    """``pages`` without boilerplate lines; with ``counts`` also n_lines and n_dropped (replacing columns of that name)."""
+                     counts: bool = False, length: str | None = None) -> DataFrame:
+    """``pages`` without boilerplate lines.
+
+    With ``counts`` also n_lines and n_dropped (replacing columns of that name);
+    a column named by ``length`` gets the new length of a text that lost lines.
+    """
     found = written(boilerplate(pages, f"`{host}`", f"`{text}`", ratio, min_pages), "boilerplate")
     size = found.agg(F.count(F.lit(1)).alias("hosts"), F.coalesce(F.sum(F.size("lines")), F.lit(0)).alias("lines")).first()
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), _host_key(f"`{host}`").alias("host_key"), F.col(f"`{text}`").alias("t"))
@@ -76,4 +80,7 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: flo
         n_lines = F.when(F.col("t").isNull(), 0).otherwise(F.size(F.split("t", "\n", -1)))
         added = {"n_lines": n_lines.cast("long"), "n_dropped": F.when(F.col("kept").isNull(), F.lit(0)).otherwise(n_lines - F.size("kept")).cast("long")}
     keep = [c for c in pages.columns if c.lower() not in added]
-    return out.select(*[new_text.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in keep], *[v.alias(k) for k, v in added.items()])
+    own = {c: F.col(f"row.`{c}`") for c in keep} | {text: new_text}
+    if length in keep:
+        own[length] = F.when(F.col("kept").isNull(), own[length]).otherwise(F.length(new_text)).cast(pages.schema[length].dataType)
+    return out.select(*[v.alias(c) for c, v in own.items()], *[v.alias(k) for k, v in added.items()])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantframe.llm import decontaminate, licenses, line_dedup, mixing, quality, rlz_dedup, suffix_dedup, url_filter
+from plantframe.llm import decontaminate, licenses, line_dedup, mixing, near_dedup, quality, rlz_dedup, suffix_dedup, toxicity, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents")).withColumns({"unit_no": F.col("unit_no").cast("long"), "dice": F.round("dice", 6)})
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, *toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op5_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), "source", counts=True).select("doc_id", "n_lines", "n_dropped", "text")
 
@@ -50,6 +59,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_benchmark_decontamination, op2_quality_rules, op3_license_scan, op6_line_dedup,
+    op1_benchmark_decontamination, op2_quality_rules, op3_license_scan, op4_toxicity, op5_probminhash_near_dedup, op6_line_dedup,
     op7_relative_lempel_ziv_dedup, op8_suffix_array_dedup, op9_source_mixing, op10_url_filter)}
 ORACLES: dict[str, str] = {}
