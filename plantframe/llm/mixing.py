@@ -72,7 +72,7 @@ def _share(nodes: DataFrame, parent: list[str], budget: str, supply: str, weight
     step = nodes.withColumn("_s", F.coalesce(F.sum(supply).over(before), F.lit(0.0))) \
         .withColumn("_w", F.sum(weight).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))) \
         .withColumn("_level", F.when(F.col(supply) > level * F.col(weight), level)) \
-        .withColumn("_final", F.min_by("_level", "_s").over(everyone))
+        .withColumn("_final", F.min_by("_level", F.when(F.col("_level").isNotNull(), F.col("_s"))).over(everyone))
     return step.withColumn(out, F.when(F.col("_level").isNull(), F.col(supply)).otherwise(F.least(F.col(supply), F.col("_final") * F.col(weight)))) \
         .drop("_s", "_w", "_level", "_final")
 

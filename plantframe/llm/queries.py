@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantframe.llm.oracles import ORACLES  # noqa: F401 - read by the registry
 from plantframe.llm import decontaminate, licenses, line_dedup, mixing, near_dedup, quality, rlz_dedup, suffix_dedup, toxicity, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -61,4 +62,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_quality_rules, op3_license_scan, op4_toxicity, op5_probminhash_near_dedup, op6_line_dedup,
     op7_relative_lempel_ziv_dedup, op8_suffix_array_dedup, op9_source_mixing, op10_url_filter)}
-ORACLES: dict[str, str] = {}
+
