@@ -176,7 +176,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     named = F.coalesce(F.col(f"`{key}`").cast("long"), F.shiftrightunsigned(F.xxhash64(F.col(f"`{text}`")), 2) + F.lit(-(1 << 63)))
     body = docs.select(named.alias("did"), F.col(f"`{text}`").alias("text"))
     base = written(body.mapInArrow(signatures(bands, rows), "did long, h1 long, h2 long, bands array<long>"), "near-base")
-    nodes = written(base.groupBy("h1", "h2").agg(F.min("did").alias("node"), F.first("bands").alias("bands")), "near-nodes")
+    nodes = written(base.groupBy("h1", "h2").agg(F.min("did").alias("node"), F.min(F.when(F.col("did") >= LEAST_ID, F.col("did"))).alias("name"), F.first("bands").alias("bands")), "near-nodes")
 
     buckets = nodes.select("node", F.explode("bands").alias("bucket")).distinct()
     leaders = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
@@ -195,8 +195,8 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
         linked = linked.union(_verify(open_pairs, body).where(F.col("similarity") >= similarity))
 
     roots = components(linked.select("a", "b"))
-    placed = nodes.select("h1", "h2", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    names = placed.groupBy("root").agg(F.min(F.when(F.col("node") >= LEAST_ID, F.col("node"))).alias("class_id"))
+    placed = nodes.select("h1", "h2", "node", "name").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    names = placed.groupBy("root").agg(F.min("name").alias("class_id"))
     classes = placed.join(names, "root").select("h1", "h2", "class_id")
     found = base.select("did", "h1", "h2").join(classes, ["h1", "h2"]).groupBy("did").agg(F.min("class_id").alias("class_id"))
     out = body.select("did").join(found, "did", "left")
