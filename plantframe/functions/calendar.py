@@ -72,11 +72,10 @@ def holiday_flag(df: DataFrame, holidays: DataFrame, ts: str = "ts", date_col: s
                  out: str = "holiday") -> DataFrame:
     """1 if the row's date is in the holiday set.
 
-    The holiday set is a handful of dates per year — tiny by construction —
-    so it is broadcast and the join is a semi-membership test.
+    The join strategy is left to Spark, which knows the caller's table's size.
     """
     h = holidays.select(F.col(date_col).alias("__hday")).distinct().withColumn("__hflag", F.lit(1))
-    return (df.join(F.broadcast(h), F.to_date(F.col(ts)) == F.col("__hday"), "left")
+    return (df.join(h, F.to_date(F.col(ts)) == F.col("__hday"), "left")
             .withColumn(out, F.coalesce(F.col("__hflag"), F.lit(0))).drop("__hday", "__hflag"))
 
 

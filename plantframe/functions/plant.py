@@ -105,7 +105,7 @@ def component_conversion(df: DataFrame, p: Params = DEFAULT, temperature: str =
 def grid_exchange(df: DataFrame, convention: str = "reference") -> DataFrame:
     """import/export from consumption and generation.
 
-    ``reference`` follows the replay: use = chp + hp + heater + charge,
+    ``reference``: use = chp + hp + heater + charge,
     gen = pv + discharge.  ``physical`` puts CHP on the supply side.
     """
     chp = F.col("chp_power")

@@ -20,13 +20,33 @@ from plantframe.operators import chunks
 GRID_LIMIT = 1000.0
 
 
+def _worst(*violations: Column) -> Column:
+    """Largest violation, at least 0; NULL if one is unknown (``greatest`` would skip it)."""
+    known = violations[0].isNotNull()
+    for v in violations[1:]:
+        known = known & v.isNotNull()
+    return F.when(known, F.greatest(F.lit(0.0), *violations))
+
+
 def _upper(x: Column, hi: Column) -> Column:
     """Violation of 0 <= x <= hi."""
-    return F.greatest(F.lit(0.0), x - hi, -x)
+    return _worst(x - hi, -x)
 
 
 def _range(x: Column, lo: Column, hi: Column) -> Column:
-    return F.greatest(F.lit(0.0), x - hi, lo - x)
+    return _worst(x - hi, lo - x)
+
+
+def _judged(long: DataFrame, tol: float) -> DataFrame:
+    """``ok`` per residual; a residual with an unknown operand is NULL, not ok, and marked ``unknown``."""
+    return long.withColumns({"ok": F.coalesce(F.col("residual") <= F.lit(tol), F.lit(False)), "unknown": F.col("residual").isNull()})
+
+
+def audit_totals(audit: DataFrame, *, site: str = "site_id") -> DataFrame:
+    """Per (site, rule): steps, violations, steps that could not be judged, largest residual."""
+    return audit.groupBy(site, "rule").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok") & ~F.col("unknown")).alias("n_violations"),
+        F.count_if("unknown").alias("n_unknown"), F.max("residual").alias("max_residual"))
 
 
 def plan_audit(plan: DataFrame, p: Params = DEFAULT, *, site: str = "site_id", ts: str = "ts",
@@ -47,7 +67,7 @@ def plan_audit(plan: DataFrame, p: Params = DEFAULT, *, site: str = "site_id", t
     sd = p("battery_storage.self_discharge_rate")
     prev_batt = F.when(c("_prev").isNull(), p("battery_storage.initial_level")) \
         .otherwise(c("_prev.battery_level") * (F.lit(1.0) - sd))
-    prev_therm = F.coalesce(c("_prev.thermal_level"), p("thermal_storage.initial_level"))
+    prev_therm = F.when(c("_prev").isNull(), p("thermal_storage.initial_level")).otherwise(c("_prev.thermal_level"))
     cop = heatpump_cop(F.coalesce(c("temperature"), F.lit(10.0)), p)
     supply = c("chp_power") + c("heat_pump_power") + c("electric_heater_power") + c("battery_charge") + c("grid_import")
     demand_el = c("pv_generation") + c("battery_discharge") + c("grid_export")
@@ -67,14 +87,14 @@ def plan_audit(plan: DataFrame, p: Params = DEFAULT, *, site: str = "site_id", t
         "bound_battery_discharge": _upper(c("battery_discharge"), p("battery_storage.max_discharge_rate")),
         "bound_battery_level": _range(c("battery_level"), p("battery_storage.min_level"), p("battery_storage.max_level")),
         "bound_thermal_level": _range(c("thermal_level"), p("thermal_storage.min_level"), p("thermal_storage.max_level")),
-        "bound_nonneg": F.greatest(F.lit(0.0), -c("thermal_charge"), -c("thermal_discharge"),
+        "bound_nonneg": _worst(-c("thermal_charge"), -c("thermal_discharge"),
                                    -c("grid_import"), -c("grid_export")),
         "chp_coupling": F.abs(c("chp_heat") - c("chp_power") * (p("chp.eta_th") / p("chp.eta_el"))),
-        "chp_on_power": F.greatest(F.lit(0.0), c("chp_power") - c("chp_on") * p("chp.P_max")),
-        "chp_on_heat": F.greatest(F.lit(0.0), c("chp_heat") - c("chp_on") * p("chp.Q_max")),
+        "chp_on_power": _worst(c("chp_power") - c("chp_on") * p("chp.P_max")),
+        "chp_on_heat": _worst(c("chp_heat") - c("chp_on") * p("chp.Q_max")),
         "cop_link": F.abs(c("heat_pump_power") - c("heat_pump_heat") / cop),
-        "heat_pump_on_heat": F.greatest(F.lit(0.0), c("heat_pump_heat") - c("heat_pump_on") * p("heat_pump.Q_max")),
-        "heat_pump_on_power": F.greatest(F.lit(0.0), c("heat_pump_power") - c("heat_pump_on") * p("heat_pump.P_max")),
+        "heat_pump_on_heat": _worst(c("heat_pump_heat") - c("heat_pump_on") * p("heat_pump.Q_max")),
+        "heat_pump_on_power": _worst(c("heat_pump_power") - c("heat_pump_on") * p("heat_pump.P_max")),
         "heater_link": F.abs(c("electric_heater_power") - c("electric_heater_heat") / p("electric_heaters.eta")),
         "heat_balance": F.abs(c("chp_heat") + c("boiler_heat") + c("heat_pump_heat") + c("electric_heater_heat")
                               + c("thermal_discharge") - c("thermal_charge") - c("heat_demand")),
@@ -83,15 +103,15 @@ def plan_audit(plan: DataFrame, p: Params = DEFAULT, *, site: str = "site_id", t
         "thermal_balance": F.abs(c("thermal_level") - (prev_therm + c("thermal_charge") * p("thermal_storage.charge_efficiency")
                                                        - c("thermal_discharge") / p("thermal_storage.discharge_efficiency"))),
         "electricity_balance": F.abs(supply - demand_el),
-        "grid_limit": F.greatest(F.lit(0.0), c("grid_import") - F.lit(grid_limit), c("grid_export") - F.lit(grid_limit)),
+        "grid_limit": _worst(c("grid_import") - F.lit(grid_limit), c("grid_export") - F.lit(grid_limit)),
         # literal rule of the model: on[t] >= on[t-1] - on[t+1] for interior steps
-        "no_double_off": F.when(on_prev.isNotNull() & on_next.isNotNull(),
-                                F.greatest(F.lit(0.0), on_prev - on_next - c("chp_on"))).otherwise(F.lit(0.0)),
+        "no_double_off": F.when(c("_prev").isNotNull() & c("_next").isNotNull(),
+                                _worst(on_prev - on_next - c("chp_on"))).otherwise(F.lit(0.0)),
     }
     wide = base.select(site, ts, F.array(*[F.struct(F.lit(k).alias("rule"), v.cast("double").alias("residual"))
                                            for k, v in rules.items()]).alias("__r"))
     long = wide.select(site, ts, F.inline("__r"))
-    return long.withColumn("ok", F.col("residual") <= F.lit(tol))
+    return _judged(long, tol)
 
 
 def simple_plan_audit(plan: DataFrame, *, site: str = "site_id", ts: str = "ts", alpha: float = 1.5,
@@ -114,4 +134,4 @@ def simple_plan_audit(plan: DataFrame, *, site: str = "site_id", ts: str = "ts",
     }
     wide = base.select(site, ts, F.array(*[F.struct(F.lit(k).alias("rule"), v.cast("double").alias("residual"))
                                            for k, v in rules.items()]).alias("__r"))
-    return wide.select(site, ts, F.inline("__r")).withColumn("ok", F.col("residual") <= F.lit(tol))
+    return _judged(wide.select(site, ts, F.inline("__r")), tol)

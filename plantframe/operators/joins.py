@@ -1,6 +1,6 @@
 """Joins (J1–J7).
 
-* J1 ``join_plan_inputs`` lives in ``plans.replay`` (4-way equi-join on (site, ts)).
+* J1 ``join_plan_inputs``: 4-way equi-join on (site, ts).
 * J5 ``asof_nearest`` is ``series.align_nearest``.
 * J7 ``params_cross`` is in ``sources.params``.
 
@@ -15,11 +15,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantframe.functions import profiles
 from plantframe.operators.series import align_nearest, with_position
 
 asof_nearest = align_nearest  # J5
 
 
+# ---------------------------------------------------------------------- J1
+def join_plan_inputs(demand: DataFrame, price: DataFrame, weather: DataFrame | None, control: DataFrame | None, *,
+                     site: str = "site_id", ts: str = "ts") -> DataFrame:
+    """Inner equi-join of demand, price, weather and control on (site, ts).
+
+    A missing weather or control table is replaced by the default profile on
+    the demand stamps (S2 fallback) instead of being joined.
+    """
+    keys = [site, ts]
+    out = demand.join(price, keys)
+    out = out.join(weather, keys) if weather is not None else profiles.with_default_weather(out, ts)
+    return out.join(control, keys) if control is not None else profiles.with_default_control(out, ts)
+
+
 # ---------------------------------------------------------------------- J2
 def join_weather_inner(series: DataFrame, weather: DataFrame, *, left_ts: str = "date_time",
                        right_ts: str = "time", site: str = "site_id") -> DataFrame:
@@ -40,8 +55,8 @@ def join_weather_left(series: DataFrame, weather: DataFrame | None, *, site: str
 # ---------------------------------------------------------------------- J4
 def holiday_membership(df: DataFrame, holidays: DataFrame, *, ts: str = "ts", date_col: str = "date",
                        keep: bool = True) -> DataFrame:
-    """Rows whose date is (``keep``) or is not a holiday: broadcast semi / anti join."""
-    h = F.broadcast(holidays.select(F.col(date_col).alias("__hday")).distinct())
+    """Rows whose date is (``keep``) or is not a holiday: semi / anti join, strategy left to Spark."""
+    h = holidays.select(F.col(date_col).alias("__hday")).distinct()
     how = "left_semi" if keep else "left_anti"
     return df.join(h, F.to_date(F.col(ts)) == F.col("__hday"), how)
 

@@ -1,10 +1,10 @@
-"""Clamped running balances (R1–R3) as a distributed ordered scan.
+"""Clamped running balances (R1, R2) as a distributed ordered scan.
 
 Every storage step is a monotone map ``L -> clamp(a·L + b, lo, hi)`` with
 ``a >= 0``.  Such maps compose into a map of the same form, and composition
 is associative, so the level sequence is a *prefix scan* over maps:
 
-1. per ``(site, day)``: prefix compositions of the step maps with a window
+1. (shown for two levels) per ``(site, day)``: prefix compositions of the step maps with a window
    (``collect_list`` over the day's rows so far, folded by ``aggregate``);
    the last prefix is the day's map;
 2. per ``(site, month)``: prefix compositions of the day maps;
@@ -12,11 +12,12 @@ is associative, so the level sequence is a *prefix scan* over maps:
 4. entry levels flow back down: month entry = months-before(L0), day entry
    = days-before(month entry), step level = steps-so-far(day entry).
 
-No task ever holds more than one day of one site's steps, one month of day
-maps, or one site's month maps, whatever the skew across sites.  The day
-summaries are joined back on ``(site, day)``, the keys the step table is
-already partitioned on.  The bucket levels are a parameter (e.g. hour →
-day → month for sub-minute data, where a day-long fold would be quadratic).
+No task ever holds more than one finest bucket of one site's steps, one
+bucket of maps of the level below, or one site's month maps, whatever the skew
+across sites.  The bucket summaries are joined back on the keys the step table
+is already partitioned on.  The levels are a parameter (default hour → day →
+month; minute → hour → day → month for data of a second), as the fold inside a
+bucket is quadratic in its steps.  A NULL amount is no movement.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from plantframe.functions.plant import DEFAULT, Params
 
 BIG = 1e300  # stands in for ±inf: keeps 0·bound finite
+#: Nested buckets, finest first: a fold inside one bucket is quadratic in its steps, so buckets stay small.
+LEVELS = ("hour", "day", "month")
 _MAP_T = "struct<a:double,b:double,l:double,h:double>"
 
 
@@ -66,11 +69,14 @@ def _field(name: str):
 
 def _prefix(df: DataFrame, part: list[str], order: str, maps: dict[str, str]) -> DataFrame:
     """Inclusive prefix compositions, one column per ledger, all in one window pass."""
-    w = Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # ties of the stamp go by the maps, as in the sorted arrays of the upward pass
+    w = Window.partitionBy(*part).orderBy(order, *maps).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumns({out: _fold(F.collect_list(F.col(m)).over(w)) for m, out in maps.items()})
 
 
 def _level_key(ts: str, unit: str) -> Column:
+    if unit == "minute":
+        return F.window(F.col(ts), "1 minute").start
     if unit == "hour":
         return F.window(F.col(ts), "1 hour").start
     if unit == "day":
@@ -83,7 +89,7 @@ def _level_key(ts: str, unit: str) -> Column:
 
 
 def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]], *, site: str = "site_id",
-                ts: str = "ts", levels: tuple[str, ...] = ("day", "month")) -> DataFrame:
+                ts: str = "ts", levels: tuple[str, ...] = LEVELS) -> DataFrame:
     """Run several independent ledgers in one hierarchical scan.
 
     ``ledgers``: name -> (step map, initial level).  Adds ``{name}_in`` and
@@ -94,7 +100,9 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
     (site, levels[0]), those maps per (site, levels[1]), …, and the
     coarsest maps per site.  Each window holds at most one bucket of the
     level below, so the work per task is bounded whatever one site's size.
-    Use ``("hour", "day", "month")`` for sub-minute meter data.
+    Use ``("minute", "hour", "day", "month")`` for meter data of a second.
+    Stamps are unique per site; rows that share one are taken in the order of
+    their step maps, in both passes.
     """
     names = list(ledgers)
     cols = {f"__m_{n}": m for n, (m, _) in ledgers.items()}
@@ -151,7 +159,7 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
     entry = entry.select(site, keys[0], *[f"__e_{n}" for n in names])
     out = steps.join(entry, [site, keys[0]])
     out = out.withColumns({f"{n}_out": apply_map(F.col(f"__p0_{n}"), F.col(f"__e_{n}")) for n in names})
-    ws = Window.partitionBy(site, keys[0]).orderBy(ts)
+    ws = Window.partitionBy(site, keys[0]).orderBy(ts, *[f"__m_{n}" for n in names])
     out = out.withColumns({f"{n}_in": F.coalesce(F.lag(f"{n}_out").over(ws), F.col(f"__e_{n}")) for n in names})
     drop = keys + [f"__{k}_{n}" for n in names for k in ("m", "p0", "e")]
     return out.drop(*drop)
@@ -159,7 +167,7 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
 
 def run_ledger(df: DataFrame, step_map: Column, initial: Column | float, *, site: str = "site_id",
                ts: str = "ts", level_in: str = "level_in", level_out: str = "level_out",
-               levels: tuple[str, ...] = ("day", "month")) -> DataFrame:
+               levels: tuple[str, ...] = LEVELS) -> DataFrame:
     """Single-ledger form of ``run_ledgers``."""
     out = run_ledgers(df, {"__led": (step_map, initial)}, site=site, ts=ts, levels=levels)
     return out.withColumnsRenamed({"__led_in": level_in, "__led_out": level_out})
@@ -173,6 +181,7 @@ def battery_map(p: Params = DEFAULT, charge: str = "battery_charge", discharge:
     lo, hi = p("battery_storage.min_level"), p("battery_storage.max_level")
     kc = F.least(c, p("battery_storage.max_charge_rate")) * eta_c
     kd = F.least(d, p("battery_storage.max_discharge_rate")) / eta_d
+    # a NULL amount is no movement: Spark's least and greatest skip NULLs and would turn it into a bound
     m_c = F.when(c > 0, clamp_map(1.0, kc, None, hi)).otherwise(identity())
     m_d = F.when(d > 0, clamp_map(1.0, -kd, lo, None)).otherwise(identity())
     m_s = clamp_map(F.lit(1.0) - p("battery_storage.self_discharge_rate"), 0.0)
@@ -193,7 +202,7 @@ def battery_details(level_in: Column, p: Params = DEFAULT, charge: str = "batter
 
 def battery_ledger(df: DataFrame, p: Params = DEFAULT, *, charge: str = "battery_charge",
                    discharge: str = "battery_discharge", site: str = "site_id", ts: str = "ts",
-                   initial: Column | float | None = None) -> DataFrame:
+                   initial: Column | float | None = None, levels: tuple[str, ...] = LEVELS) -> DataFrame:
     """Requested charge/discharge -> actual charge, discharge and battery level.
 
     Output columns ``battery_charge_actual``, ``battery_discharge_actual``,
@@ -201,7 +210,7 @@ def battery_ledger(df: DataFrame, p: Params = DEFAULT, *, charge: str = "battery
     """
     init = initial if initial is not None else p.scalar("battery_storage.initial_level")
     led = run_ledger(df, battery_map(p, charge, discharge), init, site=site, ts=ts,
-                     level_in="battery_level_in", level_out="battery_level")
+                     level_in="battery_level_in", level_out="battery_level", levels=levels)
     return led.withColumns(battery_details(F.col("battery_level_in"), p, charge, discharge))
 
 
@@ -210,7 +219,8 @@ def thermal_map(p: Params = DEFAULT, supply: str = "heat_supply", demand: str =
     b = F.col(supply) - F.col(demand)
     eta_c, eta_d = p("thermal_storage.charge_efficiency"), p("thermal_storage.discharge_efficiency")
     lo, hi = p("thermal_storage.min_level"), p("thermal_storage.max_level")
-    return F.when(b > 0, clamp_map(1.0, b * eta_c, None, hi)).otherwise(clamp_map(1.0, b / eta_d, lo, None))
+    moved = F.when(b > 0, clamp_map(1.0, b * eta_c, None, hi)).otherwise(clamp_map(1.0, b / eta_d, lo, None))
+    return F.when(b.isNull(), identity()).otherwise(moved)
 
 
 def thermal_details(level_in: Column, p: Params = DEFAULT, supply: str = "heat_supply",
@@ -224,7 +234,7 @@ def thermal_details(level_in: Column, p: Params = DEFAULT, supply: str = "heat_s
 
 def thermal_ledger(df: DataFrame, p: Params = DEFAULT, *, supply: str = "heat_supply",
                    demand: str = "heat_demand", site: str = "site_id", ts: str = "ts",
-                   initial: Column | float | None = None) -> DataFrame:
+                   initial: Column | float | None = None, levels: tuple[str, ...] = LEVELS) -> DataFrame:
     """Heat surplus charges the store, deficit discharges it (with efficiencies and bounds).
 
     Output ``thermal_storage_charge``, ``thermal_storage_discharge``,
@@ -232,7 +242,7 @@ def thermal_ledger(df: DataFrame, p: Params = DEFAULT, *, supply: str = "heat_su
     """
     init = initial if initial is not None else p.scalar("thermal_storage.initial_level")
     led = run_ledger(df, thermal_map(p, supply, demand), init, site=site, ts=ts,
-                     level_in="thermal_storage_level_in", level_out="thermal_storage_level")
+                     level_in="thermal_storage_level_in", level_out="thermal_storage_level", levels=levels)
     return led.withColumns(thermal_details(F.col("thermal_storage_level_in"), p, supply, demand))
 
 
@@ -244,36 +254,3 @@ def plant_ledgers(df: DataFrame, p: Params = DEFAULT, *, site: str = "site_id",
                                   "thermal_in": "thermal_storage_level_in", "thermal_out": "thermal_storage_level"})
     led = led.withColumns(battery_details(F.col("battery_level_in"), p))
     return led.withColumns(thermal_details(F.col("thermal_storage_level_in"), p))
-
-
-# ---------------------------------------------------------------------- R3
-def buffer_ledger_unmet(df: DataFrame, *, supply: str = "heat_supply", demand: str = "heat_demand",
-                        storage_max: float = 2000.0, initial: float | None = None,
-                        site: str = "site_id", ts: str = "ts", tol: float = 1e-6) -> DataFrame:
-    """Lossless store in [0, Smax]: surplus charges, deficit drains, the rest is unmet.
-
-    Output ``storage_in``, ``storage``, ``charged``, ``discharged``, ``unmet``
-    and ``unmet_to_boiler`` (unmet when it exceeds ``tol``, else 0).
-    """
-    sup, dem = F.col(supply), F.col(demand)
-    init = storage_max / 2.0 if initial is None else initial
-    step = clamp_map(1.0, sup - dem, 0.0, storage_max)
-    led = run_ledger(df, step, init, site=site, ts=ts, level_in="storage_in", level_out="storage")
-    s0 = F.col("storage_in")
-    charged = F.when(sup >= dem, F.least(sup - dem, F.lit(storage_max) - s0)).otherwise(F.lit(0.0))
-    discharged = F.when(sup < dem, F.least(dem - sup, s0)).otherwise(F.lit(0.0))
-    unmet = F.when(sup < dem, (dem - sup) - discharged).otherwise(F.lit(0.0))
-    out = led.withColumns({"charged": charged, "discharged": discharged, "unmet": unmet})
-    return out.withColumn("unmet_to_boiler", F.when(F.col("unmet") > tol, F.col("unmet")).otherwise(F.lit(0.0)))
-
-
-def buffer_totals(steps: DataFrame, reward: str = "reward", *, site: str = "site_id") -> DataFrame:
-    """R3 totals per site: total reward, unmet heat sent to the boiler, final store level.
-
-    A partial-aggregated ``groupBy`` (the final level is ``max_by`` over the
-    stamp), so a long site is summed map-side rather than in one task.
-    """
-    return steps.groupBy(site).agg(F.sum(reward).alias("total_reward"),
-                                   F.sum("unmet_to_boiler").alias("total_unmet_to_boiler"),
-                                   F.max_by("storage", "ts").alias("final_storage"),
-                                   F.count(F.lit(1)).alias("steps"))

@@ -7,6 +7,9 @@ one window per site, rows get a 0-based position (skew-safe, see
 neighbouring rows it needs (``chunks.halo_partition``).  The window then
 runs per ``(site, chunk)`` and the copies are dropped.
 
+A NULL target keeps its place in a window; ``nulls="drop"`` leaves out the
+windows of targets that hold one, for models that cannot take it.
+
 Window samples multiply the data by ``w``; build them only in the plan that
 feeds a model and never persist them.  Scaler statistics are a per-site
 table joined back (AQE broadcasts it when small enough, measured at run
@@ -36,6 +39,18 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("_halo")).drop("_halo", "_pchunk")
 
 
+def _list(value: Column, frame) -> Column:
+    """Values of the frame in order.  ``collect_list`` leaves NULLs out, so each travels in a struct."""
+    return F.transform(F.collect_list(F.struct(value.alias("v"))).over(frame), lambda s: s["v"])
+
+
+def _full(column: str, nulls: str) -> Column:
+    """Whether a window may be used: ``nulls="keep"`` takes all, ``"drop"`` only those without a NULL."""
+    if nulls not in ("keep", "drop"):
+        raise ValueError(nulls)
+    return F.lit(True) if nulls == "keep" else ~F.exists(column, lambda v: v.isNull())
+
+
 def _struct(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(c) for c in cols])
 
@@ -43,15 +58,15 @@ def _struct(cols: Sequence[str]) -> Column:
 # ---------------------------------------------------------------------- W1
 def seq_to_seq_windows(df: DataFrame, features: Sequence[str], target: str, w: int, *,
                        site: str = "site_id", ts: str = "ts", rows_per_chunk: int = 4096,
-                       chunk: str = "day") -> DataFrame:
+                       chunk: str = "day", nulls: str = "keep") -> DataFrame:
     """Anchor i in [w, n − w]: x = features of rows i−w..i−1, y = target of rows i..i+w−1."""
     halo, win = _windowed(df, site, ts, w, w - 1, rows_per_chunk, chunk)
     out = halo.select(
         site, "_pchunk", "_halo", "__pos", F.col(ts).alias("anchor_ts"),
         F.collect_list(_struct(features)).over(win.rowsBetween(-w, -1)).alias("x"),
-        F.collect_list(F.col(target)).over(win.rowsBetween(0, w - 1)).alias("y"),
+        _list(F.col(target), win.rowsBetween(0, w - 1)).alias("y"),
         F.collect_list(F.col(ts)).over(win.rowsBetween(0, w - 1)).alias("y_ts"))
-    out = out.filter((F.size("x") == w) & (F.size("y") == w))
+    out = out.filter((F.size("x") == w) & (F.size("y") == w) & _full("y", nulls))
     return _finish(out).withColumnRenamed("__pos", "anchor_pos")
 
 
@@ -69,13 +84,13 @@ def feature_windows_next(df: DataFrame, features: Sequence[str], target: str, w:
 
 # ---------------------------------------------------------------------- W3
 def lag_windows_next(df: DataFrame, target: str, w: int, *, site: str = "site_id", ts: str = "ts",
-                     rows_per_chunk: int = 4096, chunk: str = "day", flat: bool = False) -> DataFrame:
+                     rows_per_chunk: int = 4096, chunk: str = "day", flat: bool = False, nulls: str = "keep") -> DataFrame:
     """x = the previous w targets (oldest first), y = target[i].  ``flat`` adds lag_1..lag_w columns."""
     halo, win = _windowed(df, site, ts, w, 0, rows_per_chunk, chunk)
     out = halo.select(site, "_pchunk", "_halo", "__pos", F.col(ts).alias("anchor_ts"),
-                      F.collect_list(F.col(target)).over(win.rowsBetween(-w, -1)).alias("x"),
+                      _list(F.col(target), win.rowsBetween(-w, -1)).alias("x"),
                       F.col(target).alias("y"))
-    out = _finish(out.filter(F.size("x") == w)).withColumnRenamed("__pos", "anchor_pos")
+    out = _finish(out.filter((F.size("x") == w) & _full("x", nulls))).withColumnRenamed("__pos", "anchor_pos")
     if flat:
         out = out.withColumns({f"lag_{k}": F.element_at("x", w - k + 1) for k in range(1, w + 1)})
     return out
@@ -84,13 +99,13 @@ def lag_windows_next(df: DataFrame, target: str, w: int, *, site: str = "site_id
 # ---------------------------------------------------------------------- W4
 def lag_plus_current_windows(df: DataFrame, features: Sequence[str], target: str, w: int, *,
                              site: str = "site_id", ts: str = "ts", rows_per_chunk: int = 4096,
-                             chunk: str = "day") -> DataFrame:
+                             chunk: str = "day", nulls: str = "keep") -> DataFrame:
     """x = w rows of (past target, current features), y = target[i]."""
     halo, win = _windowed(df, site, ts, w, 0, rows_per_chunk, chunk)
     out = halo.select(site, "_pchunk", "_halo", "__pos", F.col(ts).alias("anchor_ts"),
-                      F.collect_list(F.col(target)).over(win.rowsBetween(-w, -1)).alias("lags"),
+                      _list(F.col(target), win.rowsBetween(-w, -1)).alias("lags"),
                       *[F.col(f) for f in features], F.col(target).alias("y"))
-    out = _finish(out.filter(F.size("lags") == w)).withColumnRenamed("__pos", "anchor_pos")
+    out = _finish(out.filter((F.size("lags") == w) & _full("lags", nulls))).withColumnRenamed("__pos", "anchor_pos")
     x = F.transform("lags", lambda v: F.struct(v.alias(target), *[F.col(f).alias(f) for f in features]))
     return out.select(site, "anchor_ts", "anchor_pos", x.alias("x"), "y")
 
@@ -98,14 +113,14 @@ def lag_plus_current_windows(df: DataFrame, features: Sequence[str], target: str
 # ---------------------------------------------------------------------- W5
 def lag_concat_current(df: DataFrame, features: Sequence[str], target: str, w: int, *,
                        site: str = "site_id", ts: str = "ts", rows_per_chunk: int = 4096,
-                       chunk: str = "day") -> DataFrame:
+                       chunk: str = "day", nulls: str = "keep") -> DataFrame:
     """Flat x = w previous targets ++ current raw features (length w + len(features))."""
     halo, win = _windowed(df, site, ts, w, 0, rows_per_chunk, chunk)
     out = halo.select(site, "_pchunk", "_halo", "__pos", F.col(ts).alias("anchor_ts"),
-                      F.collect_list(F.col(target).cast("double")).over(win.rowsBetween(-w, -1)).alias("lags"),
+                      _list(F.col(target).cast("double"), win.rowsBetween(-w, -1)).alias("lags"),
                       F.array(*[F.col(f).cast("double") for f in features]).alias("cur"),
                       F.col(target).alias("y"))
-    out = _finish(out.filter(F.size("lags") == w)).withColumnRenamed("__pos", "anchor_pos")
+    out = _finish(out.filter((F.size("lags") == w) & _full("lags", nulls))).withColumnRenamed("__pos", "anchor_pos")
     return out.select(site, "anchor_ts", "anchor_pos", F.concat("lags", "cur").alias("x"), "y")
 
 

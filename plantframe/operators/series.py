@@ -51,13 +51,16 @@ def time_grid(bounds: DataFrame, every: str, *, site: str = "site_id", start: st
               end: str = "end", ts: str = "ts") -> DataFrame:
     """Regular stamps from ``start`` to ``end`` (inclusive) per site.
 
-    Expanded in two steps — days first, then the stamps within each day — so
-    a long range becomes many moderate rows spread over tasks rather than one
-    huge array built in a single task.
+    Expanded in two steps: the days, which are dealt to tasks by (site, day),
+    then the stamps within each day.
     """
     step_us = interval_micros(every)
     days = bounds.select(site, start, end, F.explode(F.sequence(
         F.to_date(start), F.to_date(end), F.expr("INTERVAL 1 DAY"))).alias("__day"))
+    # the exchange carries sites x days rows; its partition count is given, so AQE does not merge the few
+    # bytes of days into one task before the stamps of each day are made
+    n = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    days = days.repartition(n, site, "__day")
     gap = F.expr(f"timestampdiff(MICROSECOND, {start}, cast(__day as timestamp_ntz))")
     k = F.greatest(F.lit(0), F.ceil(gap / F.lit(float(step_us)))).cast("long")
     first = F.expr(f"timestampadd(MICROSECOND, __k * {step_us}, {start})")

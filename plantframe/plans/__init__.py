@@ -1 +1 @@
-"""Compositions: plan replay (R4), MLlib forecasts (M*, S10), the end-to-end batch pipeline."""
+"""Compositions: plan columns, MLlib forecasts (M*, S10), the end-to-end batch pipeline."""

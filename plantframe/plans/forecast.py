@@ -156,13 +156,18 @@ def load_model(path: str) -> PipelineModel:
 
 
 def load_or_train(path: str, train: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
-    """Load the stored pipeline if present, else fit on ``train`` and store it."""
-    try:
+    """Load the stored pipeline if there is one, else fit on ``train`` and store it.
+
+    Only absence trains: a model that is there but cannot be read is an error,
+    and is never overwritten.
+    """
+    spark = train.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return load_model(path)
-    except Exception:  # noqa: BLE001 - missing or unreadable model directory
-        model = fit_gbt(train, features, label, **kw)
-        save_model(model, path)
-        return model
+    model = fit_gbt(train, features, label, **kw)
+    save_model(model, path)
+    return model
 
 
 def feature_importances(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:

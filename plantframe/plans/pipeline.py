@@ -2,10 +2,10 @@
 
 meter readings -> T2 hourly grid -> P1–P6 features -> M1 model (fit once or
 loaded, S10) -> M7 forecast of the next ``horizon`` hours -> P20 dispatch ->
-J1 + R4 replay -> A5 / A7 KPIs -> S9 sinks.
+J1 + plan columns -> A5 / A7 KPIs -> S9 sinks.
 
 Everything between the model fit and the sinks is lazy; the forecast feeds
-the replay directly through joins on (site, ts), so nothing is collected
+the plan directly through joins on (site, ts), so nothing is collected
 and every step is partitioned by site (and chunked where it is ordered).
 """
 
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from plantframe.functions import calendar, dispatch, profiles
 from plantframe.functions.plant import DEFAULT, Params
 from plantframe.functions.tariff import ct_to_eur
-from plantframe.operators import metrics, series
+from plantframe.operators import joins, metrics, series
 from plantframe.plans import forecast as fc
-from plantframe.plans.replay import plan_replay
+from plantframe.plans.plan import plan_columns
 from plantframe.sources import sinks
 
 FEATURES = calendar.CONSUMPTION_FEATURES
@@ -32,7 +32,7 @@ FEATURES = calendar.CONSUMPTION_FEATURES
 class PipelineResult:
     model: PipelineModel
     forecast: DataFrame      # site_id, ts, heat_demand (forecast)
-    replay: DataFrame        # 27 replay columns per site and step
+    plan: DataFrame          # plan columns per site and step
     summary: DataFrame       # A7 per site
     kpis: DataFrame          # A5 per site and day
 
@@ -59,11 +59,11 @@ def _features(grid: DataFrame, holidays: DataFrame, temperature: DataFrame | Non
 def run(readings: DataFrame, holidays: DataFrame, *, horizon: int = 24, model: PipelineModel | None = None,
         rounds: int = fc.GBT_ROUNDS, p: Params = DEFAULT, price: DataFrame | None = None,
         sink_path: str | None = None) -> PipelineResult:
-    """Forecast each site's next ``horizon`` hours of heat demand, dispatch, replay and summarise.
+    """Forecast each site's next ``horizon`` hours of heat demand, dispatch and summarise.
 
     ``readings``: (site_id, ts, kwh) meter data.  ``price``: optional
     (site_id, ts, electricity_price in €/kWh); the default profile otherwise.
-    ``sink_path``: when given (shared storage), the forecast and replay are
+    ``sink_path``: when given (shared storage), the forecast and plan are
     written as CSV and the summary as JSON under it, partitioned by site.
     """
     train = calendar.feature_frame(hourly_features(readings, holidays), FEATURES, keep=("site_id", "ts"), target="kwh")
@@ -79,13 +79,13 @@ def run(readings: DataFrame, holidays: DataFrame, *, horizon: int = 24, model: P
     control = plan.select("site_id", "ts", "chp_power", "boiler_heat",
                           F.lit(0.0).alias("heat_pump_heat"), F.lit(0.0).alias("electric_heater_heat"),
                           F.lit(0.0).alias("battery_charge"), F.lit(0.0).alias("battery_discharge"))
-    replay = plan_replay(forecast, price, None, control, p)
-    result = PipelineResult(model=model, forecast=forecast, replay=replay,
-                            summary=metrics.plan_summary(replay, p),
-                            kpis=metrics.plant_kpis(replay.withColumn("date", F.to_date("ts")), by=("site_id", "date")))
+    steps = plan_columns(joins.join_plan_inputs(forecast, price, None, control), p)
+    result = PipelineResult(model=model, forecast=forecast, plan=steps,
+                            summary=metrics.plan_summary(steps, p),
+                            kpis=metrics.plant_kpis(steps.withColumn("date", F.to_date("ts")), by=("site_id", "date")))
     if sink_path:
         base = sink_path.rstrip("/")
         sinks.sink_series(result.forecast, f"{base}/forecast", "csv")
-        sinks.sink_series(result.replay, f"{base}/replay", "csv")
+        sinks.sink_series(result.plan, f"{base}/plan", "csv")
         sinks.sink_series(result.summary, f"{base}/summary", "json", cluster_by=None)
     return result

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from plantframe import catalog as cat
 from plantframe.functions import profiles
 from plantframe.operators import joins
-from plantframe.plans import replay
 from plantframe.queries.common import R4, register, round_doubles
 from plantframe.queries.q_sources import SQL_HOLIDAYS, holidays_from_data
 from plantframe.sources import params
@@ -17,11 +16,11 @@ W = cat.with_sql
 
 
 # ---------------------------------------------------------------------- J1
-# demand every hour; price missing at 03:00; weather only where the mean came from one reading
+# keys that do not match come from shifted stamps: prices of some sites by a day, weather of single readings by half an hour
 @register("join_plan_inputs", W(HR, "dem AS (SELECT site_id, ts, 100.0::DOUBLE + kwh AS heat_demand, n FROM hourly)",
                                 "pr AS (SELECT site_id, ts, 0.20::DOUBLE + (site_id % 10) / 100.0::DOUBLE AS electricity_price "
-                                "FROM hourly WHERE hour(ts) <> 3)",
-                                "we AS (SELECT site_id, ts, " + profiles.SQL_WEATHER.format(h="hour(ts)") + " FROM hourly WHERE n = 1)",
+                                "FROM (SELECT site_id, CASE WHEN hour(ts) = 3 THEN ts + INTERVAL 40 YEAR ELSE ts END AS ts FROM hourly))",
+                                "we AS (SELECT site_id, ts, " + profiles.SQL_WEATHER.format(h="hour(ts)") + " FROM (SELECT site_id, CASE WHEN n = 1 THEN ts ELSE ts + INTERVAL 30 MINUTE END AS ts FROM hourly))",
                                 "co AS (SELECT site_id, ts, " + profiles.SQL_CONTROL.format(h="hour(ts)") + " FROM hourly)")
           + "SELECT site_id, ts, " + R4("heat_demand") + " AS heat_demand, " + R4("electricity_price") + " AS electricity_price, "
           + ", ".join(f"{R4(c)} AS {c}" for c in ["temperature", "solar_irradiance", "humidity"] + profiles.CONTROL_COLUMNS)
@@ -29,22 +28,24 @@ W = cat.with_sql
 def q_join_plan_inputs(spark, d):
     h = cat.hourly(spark, d)
     dem = h.select("site_id", "ts", (F.lit(100.0) + F.col("kwh")).alias("heat_demand"))
-    pr = h.filter(F.hour("ts") != 3).select("site_id", "ts", (F.lit(0.20) + F.pmod("site_id", F.lit(10)) / 100.0)
+    early = F.when(F.hour("ts") == 3, F.expr("ts + INTERVAL 40 YEAR")).otherwise(F.col("ts")).alias("ts")
+    pr = h.select("site_id", early, (F.lit(0.20) + F.pmod("site_id", F.lit(10)) / 100.0)
                                             .alias("electricity_price"))
-    we = profiles.with_default_weather(h.filter(F.col("n") == 1).select("site_id", "ts"))
+    we = profiles.with_default_weather(h.select("site_id", F.when(F.col("n") == 1, F.col("ts")).otherwise(F.expr("ts + INTERVAL 30 MINUTE")).alias("ts")))
     co = profiles.with_default_control(h.select("site_id", "ts"))
-    return round_doubles(replay.join_plan_inputs(dem, pr, we, co))
+    return round_doubles(joins.join_plan_inputs(dem, pr, we, co))
 
 
 # ---------------------------------------------------------------------- J2
 @register("join_weather_inner", W(HR) + "SELECT r.site_id, r.event_id, r.date_time, "
           + R4("r.kwh") + " AS kwh, " + R4("h.kwh") + " AS hourly_kwh FROM "
-          "(SELECT site_id, event_id, time_bucket(INTERVAL '1 hour', ts) AS date_time, kwh FROM readings WHERE event_type = 'view') r "
-          "JOIN (SELECT site_id, ts AS time, kwh FROM hourly WHERE n >= 2) h ON r.site_id = h.site_id AND r.date_time = h.time")
+          "(SELECT site_id, event_id, time_bucket(INTERVAL '1 hour', ts) AS date_time, kwh FROM readings) r "
+          "JOIN (SELECT site_id, CASE WHEN n >= 2 OR hour(ts) % 2 = 0 THEN ts ELSE ts + INTERVAL 30 MINUTE END AS time, kwh FROM hourly) h ON r.site_id = h.site_id AND r.date_time = h.time")
 def q_join_inner(spark, d):
-    r = cat.readings(spark, d).filter(F.col("event_type") == "view").select(
+    r = cat.readings(spark, d).select(
         "site_id", "event_id", F.window("ts", "1 hour").start.alias("date_time"), "kwh")
-    h = cat.hourly(spark, d).filter(F.col("n") >= 2).select("site_id", F.col("ts").alias("time"),
+    moved = F.when((F.col("n") >= 2) | (F.hour("ts") % 2 == 0), F.col("ts")).otherwise(F.expr("ts + INTERVAL 30 MINUTE"))
+    h = cat.hourly(spark, d).select("site_id", moved.alias("time"),
                                                            F.col("kwh").alias("hourly_kwh"))
     return round_doubles(joins.join_weather_inner(r, h, left_ts="date_time", right_ts="time"))
 
@@ -52,11 +53,11 @@ def q_join_inner(spark, d):
 # ---------------------------------------------------------------------- J3
 @register("join_weather_left", W(RD) + "SELECT r.site_id, r.event_id, r.ts, " + R4("r.kwh") + " AS kwh, "
           + R4("w.temperature") + " AS temperature FROM readings r LEFT JOIN "
-          "(SELECT site_id, ts, kwh / 10.0::DOUBLE AS temperature FROM readings WHERE event_type = 'click') w "
+          "(SELECT site_id, CASE WHEN event_type = 'click' THEN ts ELSE ts + INTERVAL 40 YEAR END AS ts, kwh / 10.0::DOUBLE AS temperature FROM readings) w "
           "ON r.site_id = w.site_id AND r.ts = w.ts")
 def q_join_left(spark, d):
     r = cat.readings(spark, d)
-    w = r.filter(F.col("event_type") == "click").select("site_id", "ts", (F.col("kwh") / 10.0).alias("temperature"))
+    w = r.select("site_id", F.when(F.col("event_type") == "click", F.col("ts")).otherwise(F.expr("ts + INTERVAL 40 YEAR")).alias("ts"), (F.col("kwh") / 10.0).alias("temperature"))
     out = joins.join_weather_left(r.select("site_id", "event_id", "ts", "kwh"), w)
     return round_doubles(out)
 
@@ -72,12 +73,12 @@ def q_holiday_membership(spark, d):
 # ---------------------------------------------------------------------- J6
 @register("positional_zip", W(HR, "a AS (SELECT site_id, ts, kwh, row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos FROM hourly)",
                               "b AS (SELECT site_id, ts AS right_ts, kwh AS reading_kwh, row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos "
-                              "FROM readings WHERE event_type = 'purchase')")
+                              "FROM readings)")
           + "SELECT site_id, CAST(pos AS BIGINT) AS pos, ts, " + R4("kwh") + " AS kwh, right_ts, " + R4("reading_kwh")
           + " AS reading_kwh FROM a JOIN b USING (site_id, pos)")
 def q_positional_zip(spark, d):
     a = cat.hourly(spark, d).select("site_id", "ts", "kwh")
-    b = cat.readings(spark, d).filter(F.col("event_type") == "purchase").select(
+    b = cat.readings(spark, d).select(
         "site_id", "ts", F.col("kwh").alias("reading_kwh"))
     return round_doubles(joins.positional_zip(a, b))
 

@@ -1,8 +1,8 @@
 """W1–W11 over the test tables.
 
-Window samples are arrays; the checked output reduces each array to its
-length, element sums and edge elements (compared exactly by the oracle's
-ROWS-frame window functions), as the oracle rules ask.
+Window samples are arrays of a day of hours; the checked output has one row
+per window element, so the oracle sees every value in its place.  The readings
+have gaps (``_hourly``): a NULL target keeps its place in a window.
 """
 
 from __future__ import annotations
@@ -15,82 +15,74 @@ from plantframe.queries.common import R4, register, round_doubles
 
 RD, HR = cat.SQL_READINGS, cat.SQL_HOURLY
 W = cat.with_sql
-WIN = 6
+WIN = 24
 
 
 def _hourly(spark, d):
     return cat.hourly(spark, d).select("site_id", "ts", "kwh", F.col("n").cast("double").alias("n"))
 
 
-def _arr_sum(col, field=None):
-    x = (lambda e: e[field]) if field else (lambda e: e)
-    return F.aggregate(F.transform(col, x), F.lit(0.0), lambda a, v: a + v)
+def _gaps(spark, d):
+    """Hourly values with a NULL target at 07:00 on some sites."""
+    return _hourly(spark, d).withColumn("kwh", F.when((F.pmod("site_id", F.lit(5)) == 0) & (F.hour("ts") == 7), F.lit(None)).otherwise(F.col("kwh")))
 
 
-def _frame(lo: int, hi: int) -> str:
-    def b(k):
-        if k == 0:
-            return "CURRENT ROW"
-        return f"{-k} PRECEDING" if k < 0 else f"{k} FOLLOWING"
-    return f"(PARTITION BY site_id ORDER BY ts ROWS BETWEEN {b(lo)} AND {b(hi)})"
+def _elements(df, array, *rest):
+    """One row per window element: k from 0 (the oldest) on."""
+    return df.select("site_id", "anchor_ts", F.col("anchor_pos").cast("long").alias("anchor_pos"), F.posexplode(array).alias("k", "e"), *rest) \
+        .withColumn("k", F.col("k").cast("long"))
 
 
+_GW = HR + ", hw AS (SELECT site_id, ts, CASE WHEN site_id % 5 = 0 AND hour(ts) = 7 THEN NULL ELSE kwh END AS kwh, CAST(n AS DOUBLE) AS n, " \
+    "row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos, count(*) OVER (PARTITION BY site_id) AS cnt FROM hourly), " \
+    f"ks AS (SELECT unnest(range(0, {WIN})) AS k), anchors AS (SELECT site_id, ts AS anchor_ts, pos AS anchor_pos, cnt, kwh AS y, n AS n_now FROM hw WHERE pos >= {WIN}), " \
+    f"past AS (SELECT a.*, ks.k, p.kwh, p.n FROM anchors a CROSS JOIN ks JOIN hw p ON p.site_id = a.site_id AND p.pos = a.anchor_pos - {WIN} + ks.k)"
+_KEYS = "past.site_id, past.anchor_ts, CAST(past.anchor_pos AS BIGINT) AS anchor_pos, CAST(past.k AS BIGINT) AS k"
 _WBASE = HR + ", hw AS (SELECT site_id, ts, kwh, CAST(n AS DOUBLE) AS n, " \
     "row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos, count(*) OVER (PARTITION BY site_id) AS cnt FROM hourly)"
 
 
 # ---------------------------------------------------------------------- W1
-@register("seq_to_seq_windows", W(_WBASE, f"w1 AS (SELECT site_id, ts, pos, cnt, sum(kwh) OVER {_frame(-WIN, -1)} AS xk, "
-                                  f"sum(n) OVER {_frame(-WIN, -1)} AS xn, sum(kwh) OVER {_frame(0, WIN - 1)} AS ys, "
-                                  f"last_value(ts) OVER {_frame(0, WIN - 1)} AS y_last_ts FROM hw)")
-          + f"SELECT site_id, ts AS anchor_ts, CAST(pos AS BIGINT) AS anchor_pos, {R4('xk')} AS x_kwh_sum, {R4('xn')} AS x_n_sum, "
-          f"{R4('ys')} AS y_sum, y_last_ts FROM w1 WHERE pos >= {WIN} AND pos <= cnt - {WIN}")
+@register("seq_to_seq_windows", W(_GW) + f"SELECT {_KEYS}, {R4('past.kwh')} AS x_kwh, {R4('past.n')} AS x_n, {R4('f.kwh')} AS y, f.ts AS y_ts "
+          "FROM past JOIN hw f ON f.site_id = past.site_id AND f.pos = past.anchor_pos + past.k "
+          f"WHERE past.anchor_pos <= past.cnt - {WIN}")
 def q_seq2seq(spark, d):
-    out = samples.seq_to_seq_windows(_hourly(spark, d), ["kwh", "n"], "kwh", WIN, rows_per_chunk=64)
-    return round_doubles(out.select("site_id", "anchor_ts", "anchor_pos", _arr_sum("x", "kwh").alias("x_kwh_sum"),
-                                    _arr_sum("x", "n").alias("x_n_sum"), _arr_sum("y").alias("y_sum"),
-                                    F.element_at("y_ts", -1).alias("y_last_ts")))
+    out = samples.seq_to_seq_windows(_gaps(spark, d), ["kwh", "n"], "kwh", WIN)
+    rows = _elements(out, F.arrays_zip("x", "y", "y_ts"))
+    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e.x.kwh").alias("x_kwh"), F.col("e.x.n").alias("x_n"),
+                                     F.col("e.y").alias("y"), F.col("e.y_ts").alias("y_ts")))
 
 
 # ---------------------------------------------------------------------- W2
-@register("feature_windows_next", W(_WBASE, f"w2 AS (SELECT *, sum(kwh) OVER {_frame(-WIN, -1)} AS xk, "
-                                    f"sum(n) OVER {_frame(-WIN, -1)} AS xn, first_value(kwh) OVER {_frame(-WIN, -1)} AS x0 FROM hw)")
-          + f"SELECT site_id, ts AS anchor_ts, CAST(pos AS BIGINT) AS anchor_pos, {R4('xk')} AS x_kwh_sum, {R4('xn')} AS x_n_sum, "
-          f"{R4('x0')} AS x_first_kwh, {R4('kwh')} AS y FROM w2 WHERE pos >= {WIN}")
+@register("feature_windows_next", W(_GW) + f"SELECT {_KEYS}, {R4('past.kwh')} AS x_kwh, {R4('past.n')} AS x_n, {R4('past.y')} AS y FROM past")
 def q_feature_windows(spark, d):
-    out = samples.feature_windows_next(_hourly(spark, d), ["kwh", "n"], "kwh", WIN, rows_per_chunk=64)
-    return round_doubles(out.select("site_id", "anchor_ts", "anchor_pos", _arr_sum("x", "kwh").alias("x_kwh_sum"),
-                                    _arr_sum("x", "n").alias("x_n_sum"), F.col("x")[0]["kwh"].alias("x_first_kwh"), "y"))
+    rows = _elements(samples.feature_windows_next(_gaps(spark, d), ["kwh", "n"], "kwh", WIN), "x", "y")
+    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e.kwh").alias("x_kwh"), F.col("e.n").alias("x_n"), "y"))
 
 
 # ---------------------------------------------------------------------- W3
-@register("lag_windows_next", W(_WBASE) + "SELECT site_id, ts AS anchor_ts, CAST(pos AS BIGINT) AS anchor_pos, "
-          + ", ".join(f"{R4(f'lag(kwh, {k}) OVER (PARTITION BY site_id ORDER BY ts)')} AS lag_{k}" for k in range(1, WIN + 1))
-          + f", {R4('kwh')} AS y FROM hw QUALIFY pos >= {WIN}")
+@register("lag_windows_next", W(_GW) + "SELECT site_id, anchor_ts, CAST(anchor_pos AS BIGINT) AS anchor_pos, "
+          + ", ".join(f"{R4(f'max(CASE WHEN k = {WIN - k} THEN kwh END)')} AS lag_{k}" for k in range(1, WIN + 1))
+          + f", {R4('any_value(y)')} AS y FROM past GROUP BY site_id, anchor_ts, anchor_pos HAVING count(kwh) = {WIN}")
 def q_lag_windows(spark, d):
-    out = samples.lag_windows_next(_hourly(spark, d), "kwh", WIN, flat=True, rows_per_chunk=64)
-    return round_doubles(out.drop("x"))
+    return round_doubles(samples.lag_windows_next(_gaps(spark, d), "kwh", WIN, flat=True, nulls="drop").drop("x"))
 
 
 # ---------------------------------------------------------------------- W4
-@register("lag_plus_current_windows", W(_WBASE, f"w4 AS (SELECT *, sum(kwh) OVER {_frame(-WIN, -1)} AS xk FROM hw)")
-          + f"SELECT site_id, ts AS anchor_ts, CAST(pos AS BIGINT) AS anchor_pos, CAST({WIN} AS BIGINT) AS x_len, "
-          f"{R4('xk')} AS x_lag_sum, {R4(f'n * {WIN}')} AS x_n_sum, {R4('kwh')} AS y FROM w4 WHERE pos >= {WIN}")
+@register("lag_plus_current_windows", W(_GW) + f"SELECT {_KEYS}, {R4('past.kwh')} AS x_kwh, {R4('past.n_now')} AS x_n, {R4('past.y')} AS y FROM past")
 def q_lag_plus_current(spark, d):
-    out = samples.lag_plus_current_windows(_hourly(spark, d), ["n"], "kwh", WIN, rows_per_chunk=64)
-    return round_doubles(out.select("site_id", "anchor_ts", "anchor_pos", F.size("x").cast("long").alias("x_len"),
-                                    _arr_sum("x", "kwh").alias("x_lag_sum"), _arr_sum("x", "n").alias("x_n_sum"), "y"))
+    rows = _elements(samples.lag_plus_current_windows(_gaps(spark, d), ["n"], "kwh", WIN), "x", "y")
+    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e.kwh").alias("x_kwh"), F.col("e.n").alias("x_n"), "y"))
 
 
 # ---------------------------------------------------------------------- W5
-@register("lag_concat_current", W(_WBASE, f"w5 AS (SELECT *, sum(kwh) OVER {_frame(-WIN, -1)} AS xk FROM hw)")
-          + f"SELECT site_id, ts AS anchor_ts, CAST(pos AS BIGINT) AS anchor_pos, CAST({WIN + 2} AS BIGINT) AS x_len, "
-          f"{R4('xk + n + hour(ts)')} AS x_sum, {R4('kwh')} AS y FROM w5 WHERE pos >= {WIN}")
+@register("lag_concat_current", W(_GW, f"flat AS (SELECT site_id, anchor_ts, anchor_pos, k, kwh AS x, y FROM past UNION ALL SELECT site_id, anchor_ts, anchor_pos, {WIN}, n_now, y "
+                                  f"FROM anchors UNION ALL SELECT site_id, anchor_ts, anchor_pos, {WIN + 1}, hour(anchor_ts), y FROM anchors)")
+          + f"SELECT site_id, anchor_ts, CAST(anchor_pos AS BIGINT) AS anchor_pos, CAST(k AS BIGINT) AS k, {R4('x')} AS x, {R4('y')} AS y FROM flat")
 def q_lag_concat(spark, d):
-    h = _hourly(spark, d).withColumn("hour", F.hour("ts").cast("double"))
-    out = samples.lag_concat_current(h, ["n", "hour"], "kwh", WIN, rows_per_chunk=64)
-    return round_doubles(out.select("site_id", "anchor_ts", "anchor_pos", F.size("x").cast("long").alias("x_len"),
-                                    _arr_sum("x").alias("x_sum"), "y"))
+    h = _gaps(spark, d).withColumn("hour", F.hour("ts").cast("double"))
+    rows = _elements(samples.lag_concat_current(h, ["n", "hour"], "kwh", WIN), "x", "y")
+    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e").alias("x"), "y"))
 
 
 # ---------------------------------------------------------------------- W6

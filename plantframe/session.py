@@ -10,6 +10,7 @@ choosing a machine-local path.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,14 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; we read it
-    from the session.  Only when nothing is configured (tests, local runs) do we
-    fall back to a fresh scratch folder.
+    from the session.  Only a local master falls back to a fresh scratch folder;
+    on a cluster each executor would write to its own disk, so an unset folder
+    is an error there.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="plantframe-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)

@@ -32,14 +32,23 @@ def parse_decimal_comma(c: Column) -> Column:
 
 def parse_meter_frame(raw: DataFrame, c0: str = "c0", c1: str = "c1", keep: tuple[str, ...] = (),
                       ts: str = "ts", value: str = "kwh") -> DataFrame:
-    """Raw split lines -> (keep…, ts, kwh) for lines that parse."""
-    out = raw.select(*keep, parse_stamp(F.col(c0)).alias(ts), parse_decimal_comma(F.col(c1)).alias(value))
-    return out.filter(F.col(ts).isNotNull())
+    """Raw split lines -> (keep…, ts, kwh) for lines that parse.
+
+    An empty value beside a valid stamp is a gap and stays as NULL; a value
+    that is not a number makes the line a reject.
+    """
+    out = raw.select(*keep, parse_stamp(F.col(c0)).alias(ts), parse_decimal_comma(F.col(c1)).alias(value), bad_value(F.col(c1)).alias("__bad"))
+    return out.filter(F.col(ts).isNotNull() & ~F.col("__bad")).drop("__bad")
+
+
+def bad_value(c: Column) -> Column:
+    """True for text that is neither empty nor a number."""
+    return F.coalesce((F.trim(c) != "") & parse_decimal_comma(c).isNull(), F.lit(False))
 
 
-def meter_rejects(raw: DataFrame, c0: str = "c0") -> DataFrame:
-    """Lines that are not data rows (preamble, header, junk)."""
-    return raw.filter(parse_stamp(F.col(c0)).isNull())
+def meter_rejects(raw: DataFrame, c0: str = "c0", c1: str = "c1") -> DataFrame:
+    """Lines that are not data rows (preamble, header, junk), and data rows with a value that is not a number."""
+    return raw.filter(parse_stamp(F.col(c0)).isNull() | bad_value(F.col(c1)))
 
 
 def split_lines(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -60,12 +69,12 @@ def scan_meter_csv(spark: SparkSession, paths: str | list[str], site_pattern: st
 
 
 def meter_reject_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Per file: data rows read and lines rejected (preamble, header, junk) — the counted reject output."""
+    """Per file: data rows read, lines rejected, and how many of those had a stamp but no number."""
     raw = spark.read.schema(RAW_SCHEMA).option("sep", ";").option("mode", "PERMISSIVE").csv(paths)
     raw = raw.withColumn("file", F.col("_metadata.file_path"))
-    ok = parse_stamp(F.col("c0")).isNotNull()
-    return raw.groupBy("file").agg(F.sum(F.when(ok, 1).otherwise(0)).cast("long").alias("rows"),
-                                   F.sum(F.when(ok, 0).otherwise(1)).cast("long").alias("rejected"))
+    stamp, bad = parse_stamp(F.col("c0")).isNotNull(), bad_value(F.col("c1"))
+    return raw.groupBy("file").agg(F.count_if(stamp & ~bad).alias("rows"), F.count_if(~stamp | bad).alias("rejected"),
+                                   F.count_if(stamp & bad).alias("bad_values"))
 
 
 def scan_pv_csv(spark: SparkSession, paths: str | list[str], site_pattern: str | None = None) -> DataFrame:

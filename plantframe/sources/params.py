@@ -140,12 +140,16 @@ def flat_system_params(params: DataFrame, col: str = "params") -> DataFrame:
 def params_cross(df: DataFrame, params: DataFrame, site: str = "site_id") -> DataFrame:
     """Attach parameters to every row.
 
-    A one-row table is cross-joined by broadcast (its size is fixed at one
-    row).  A per-site table (has a ``site`` column) is equi-joined on the
+    A table without sites must have one row, which is checked in the plan; it
+    is cross-joined by broadcast.  A per-site table (has a ``site`` column) is equi-joined on the
     site and left to AQE, which broadcasts it only after measuring its real
     size at run time, and otherwise shuffle-joins it (splitting a hot site's
     partition with skew-join handling).
     """
     if site in params.columns:
         return df.join(params, site, "left")
-    return df.crossJoin(F.broadcast(params.limit(1)))
+    # folded to exactly one row in the plan; a table of any other length fails there instead of losing rows
+    one = params.agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*params.columns)).alias("__p"))
+    checked = one.select(F.when(F.col("__n") == 1, F.col("__p")).otherwise(
+        F.raise_error(F.concat(F.lit("params without a site column need exactly one row, not "), F.col("__n").cast("string")))).alias("__p"))
+    return df.crossJoin(F.broadcast(checked)).select(*df.columns, "__p.*")

@@ -1,7 +1,8 @@
 """Day-ahead price sources.
 
-S6 pulls the price column out of a market-results HTML table: every table
-row with at least 4 ``<td>`` cells contributes its last cell (decimal
+S6 pulls the price column out of the first HTML table of a market-results
+page (a fragment without a table tag counts as one): every row with at least 4
+``<td>`` cells (any case, any tags inside) contributes its last cell's text (decimal
 comma, €/MWh); non-numeric cells are skipped; the first 24 values become
 hours 0–23 of the delivery day; a page with fewer than 24 values yields
 nothing.  All of it is array functions on the page text — no HTML parser,
@@ -20,15 +21,18 @@ from pyspark.sql import functions as F
 from plantframe.functions import profiles
 from plantframe.functions.tariff import eur_mwh_to_ct_kwh
 
-TD_PATTERN = r"<td[^>]*>([^<]*)</td>"
+# a whole cell, up to its end tag or the next cell or row; tags inside are stripped afterwards
+TD_PATTERN = r"(?is)<td\b[^>]*>(.*?)(?=</td\s*>|<td\b|</tr\b|$)"
 
 
 # ---------------------------------------------------------------------- S6
 def extract_price_table(df: DataFrame, html_col: str = "html", delivery_date_col: str = "delivery_date", *,
                         keep: tuple[str, ...] = (), min_cells: int = 4, hours: int = 24) -> DataFrame:
     """HTML page -> (keep…, delivery_date, hour, ts, price_eur_mwh, price_ct_kwh)."""
-    rows = F.split(F.col(html_col), "<tr")
-    cells = F.transform(rows, lambda r: F.regexp_extract_all(r, F.lit(TD_PATTERN), F.lit(1)))
+    table = F.regexp_extract(F.col(html_col), r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|$)", 1)
+    rows = F.split(F.when(F.col(html_col).rlike(r"(?i)<table\b"), table).otherwise(F.col(html_col)), r"(?i)<tr\b")
+    strip = lambda c: F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", ""), r"&nbsp;|\u00a0", " ")
+    cells = F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(TD_PATTERN), F.lit(1)), strip))
     wide = F.filter(cells, lambda c: F.size(c) >= min_cells)
     vals = F.transform(wide, lambda c: F.regexp_replace(F.trim(F.element_at(c, -1)), ",", ".").try_cast("double"))
     prices = F.filter(vals, lambda v: v.isNotNull())

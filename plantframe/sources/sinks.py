@@ -1,4 +1,4 @@
-"""S9 ``sink_series``: write forecasts, schedules and replay results.
+"""S9 ``sink_series``: write forecasts, schedules and plans.
 
 Sinks write partitioned by site (and optionally date) so a later read of
 one site or one day prunes to its folder.  Paths must be on shared storage

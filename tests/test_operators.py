@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantframe.functions import dispatch, tariff
-from plantframe.operators import audit, joins, ledger, metrics, series
+from plantframe.operators import audit, joins, metrics, series
 
 D = dt.datetime
 
@@ -81,14 +81,6 @@ def test_rule_and_heuristic_dispatch(spark):
     assert (h.chp_power, h.chp_heat, h.boiler_heat) == pytest.approx((80.0, 120.0, 40.0))
 
 
-def test_buffer_ledger_unmet_goes_to_boiler(spark):
-    df = spark.createDataFrame([(1, D(2024, 1, 1, h), s, d) for h, (s, d) in enumerate([(0.0, 600.0), (0.0, 600.0), (900.0, 100.0)])],
-                               "site_id long, ts timestamp_ntz, heat_supply double, heat_demand double")
-    rows = ledger.buffer_ledger_unmet(df, storage_max=1000.0).orderBy("ts").collect()
-    assert [r.storage for r in rows] == [0.0, 0.0, 800.0]
-    assert [r.unmet_to_boiler for r in rows] == [100.0, 600.0, 0.0]
-
-
 def test_heat_source_ranking(spark):
     df = spark.createDataFrame([("r", 0.30)], "region string, allin_eur double")
     ranked = tariff.rank_heat_sources(tariff.heat_unit_cost(df).drop("allin_eur"), ["region"])
@@ -132,11 +124,3 @@ def test_short_history_gets_default_forecast(spark):
     fcst = spark.createDataFrame([(1, 1, 5.0), (2, 1, None)], "site_id long, h int, prediction double")
     got = {r.site_id: r.prediction for r in fc.fallback_short_history(fcst, hist, 6).collect()}
     assert got == {1: 5.0, 2: 250.0}
-
-
-def test_buffer_totals(spark):
-    df = spark.createDataFrame([(1, D(2024, 1, 1, h), s, d) for h, (s, d) in enumerate([(0.0, 600.0), (0.0, 600.0), (900.0, 100.0)])],
-                               "site_id long, ts timestamp_ntz, heat_supply double, heat_demand double")
-    steps = ledger.buffer_ledger_unmet(df, storage_max=1000.0).withColumn("reward", F.lit(1.0))
-    t = ledger.buffer_totals(steps).collect()[0]
-    assert (t.total_reward, t.total_unmet_to_boiler, t.final_storage, t.steps) == (3.0, 700.0, 800.0, 3)

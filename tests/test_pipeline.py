@@ -1,4 +1,4 @@
-"""End-to-end batch run: readings -> forecast -> dispatch -> replay -> KPIs, as one plan."""
+"""End-to-end batch run: readings -> forecast -> dispatch -> plan -> KPIs, as one plan."""
 
 import tempfile
 
@@ -15,11 +15,11 @@ def test_pipeline_end_to_end(spark, sf_small):
     res = pipeline.run(readings, holidays_from_data(spark, sf_small), horizon=24, rounds=3, sink_path=out)
     n_sites = readings.select("site_id").distinct().count()
     assert res.forecast.count() == 24 * n_sites
-    assert res.replay.count() == 24 * n_sites
+    assert res.plan.count() == 24 * n_sites
     s = res.summary.agg(F.count(F.lit(1)).alias("n"), F.min("total_heat_supplied").alias("h")).collect()[0]
     assert s.n == n_sites and s.h > 0
-    # every replayed step starts strictly after the site's last reading
+    # every planned step starts strictly after the site's last reading
     last = readings.groupBy("site_id").agg(F.max("ts").alias("last"))
-    assert res.replay.join(last, "site_id").filter(F.col("ts") <= F.col("last")).count() == 0
+    assert res.plan.join(last, "site_id").filter(F.col("ts") <= F.col("last")).count() == 0
     assert res.kpis.count() >= n_sites
     assert spark.read.json(out + "/summary").count() == n_sites

@@ -25,7 +25,7 @@ def test_range_filters_reach_the_scan(spark, key, pushed):
     assert "PushedFilters: [" in plan and pushed in plan
 
 
-@pytest.mark.parametrize("key", ["plan_replay", "interpolate_linear", "align_nearest", "seq_to_seq_windows",
+@pytest.mark.parametrize("key", ["battery_ledger", "interpolate_linear", "align_nearest", "seq_to_seq_windows",
                                  "extract_price_table", "sun_position", "plan_audit"])
 def test_no_python_evaluation(spark, key):
     plan = _final_plan(E.queries()[key](spark, SF))

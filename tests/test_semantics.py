@@ -1,4 +1,4 @@
-"""Small semantic vectors (FIXTURES §4) and the golden plan replay (FIXTURES §3)."""
+"""Small semantic vectors (FIXTURES §4) and the golden plan and levels (FIXTURES §3)."""
 
 import copy
 import datetime as dt
@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from plantframe.functions import calendar, plant
 from plantframe.functions.plant import Params
 from plantframe.operators import ledger, samples, series
-from plantframe.plans import replay
 from plantframe.sources.params import DEFAULT_PARAMETERS
 
 D = dt.datetime
@@ -95,37 +94,92 @@ def _golden_inputs(spark):
                                        "temperature double, solar_irradiance double, humidity double")
 
 
-def test_golden_replay(spark):
+def _golden_plan(spark):
+    from plantframe.operators import joins
+    from plantframe.plans import plan
     df = _golden_inputs(spark)
-    r = replay.plan_replay(df.select("site_id", "ts", "heat_demand"), df.select("site_id", "ts", "electricity_price"),
-                           df.select("site_id", "ts", "temperature", "solar_irradiance", "humidity"), None)
-    sums = r.agg(*[F.sum(c).alias(c) for c in ["chp_power", "chp_heat", "boiler_heat", "heat_pump_heat", "heat_pump_power",
-                                              "pv_generation", "grid_import", "grid_export", "total_cost", "total_revenue",
-                                              "profit"]],
-                 F.avg("battery_level").alias("mb"), F.avg("thermal_storage_level").alias("mt"),
-                 F.max_by("battery_level", "ts").alias("fb"), F.max_by("thermal_storage_level", "ts").alias("ft"),
-                 F.count(F.lit(1)).alias("n")).collect()[0]
+    return plan.plan_columns(joins.join_plan_inputs(
+        df.select("site_id", "ts", "heat_demand"), df.select("site_id", "ts", "electricity_price"),
+        df.select("site_id", "ts", "temperature", "solar_irradiance", "humidity"), None))
+
+
+def test_golden_plan_columns(spark):
+    sums = _golden_plan(spark).agg(*[F.sum(c).alias(c) for c in ["chp_power", "chp_heat", "boiler_heat", "heat_pump_heat", "heat_pump_power",
+                                                               "pv_generation", "grid_export"]], F.count(F.lit(1)).alias("n")).collect()[0]
     expected = {"chp_power": 1850.0, "chp_heat": 2642.857143, "boiler_heat": 350.0, "heat_pump_heat": 1700.0,
-                "heat_pump_power": 680.0, "pv_generation": 152.503181, "grid_import": 2428.703891, "grid_export": 0.0,
-                "fb": 83.257378, "ft": 809.806663, "mb": 35.441872, "mt": 1097.555373, "total_cost": 751.189004,
-                "total_revenue": 443.510615, "profit": -307.678389, "n": 24}
+                "heat_pump_power": 680.0, "pv_generation": 152.503181, "grid_export": 0.0, "n": 24}
     for k, v in expected.items():
         assert sums[k] == pytest.approx(v, abs=1e-6), k
 
 
-def test_replay_audit_thermal_balance_is_zero(spark):
+@pytest.mark.parametrize("levels", [("day", "month"), ("hour", "day", "month"), ("minute", "hour", "day", "month")])
+def test_golden_levels(spark, levels):
+    steps = _golden_plan(spark)
+    b = ledger.battery_ledger(steps, levels=levels).agg(F.avg("battery_level").alias("mean"), F.max_by("battery_level", "ts").alias("last")).collect()[0]
+    t = ledger.thermal_ledger(steps, levels=levels).agg(F.avg("thermal_storage_level").alias("mean"), F.max_by("thermal_storage_level", "ts").alias("last")).collect()[0]
+    assert (b["mean"], b["last"]) == (pytest.approx(35.441872, abs=1e-6), pytest.approx(83.257378, abs=1e-6))
+    assert (t["mean"], t["last"]) == (pytest.approx(1097.555373, abs=1e-6), pytest.approx(809.806663, abs=1e-6))
+
+
+def test_null_amounts_move_nothing(spark):
+    rows = [(1, D(2024, 1, 1, h), s, d) for h, (s, d) in enumerate([(200.0, 100.0), (50.0, None), (200.0, 100.0)])]
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, heat_supply double, heat_demand double")
+    got = [r.thermal_storage_level for r in ledger.thermal_ledger(df).orderBy("ts").collect()]
+    assert got == pytest.approx([1095.0, 1095.0, 1190.0])
+    df = spark.createDataFrame([(1, D(2024, 1, 1, h), c, 0.0) for h, c in enumerate([10.0, None, 10.0])],
+                               "site_id long, ts timestamp_ntz, battery_charge double, battery_discharge double")
+    got = [r.battery_level for r in ledger.battery_ledger(df).orderBy("ts").collect()]
+    assert got == pytest.approx([59.2 * 0.999, 59.2 * 0.999 ** 2, (59.2 * 0.999 ** 2 + 9.2) * 0.999])
+
+
+def test_ledger_ties_have_one_order(spark):
+    rows = [(1, D(2024, 1, 1, h // 2), float(c), 0.0) for h, c in enumerate([40, 5, 30, 20, 50, 10])]
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, battery_charge double, battery_discharge double")
+    one = sorted(r.battery_level for r in ledger.battery_ledger(df).collect())
+    two = sorted(r.battery_level for r in ledger.battery_ledger(df.orderBy(F.desc("battery_charge")).repartition(3)).collect())
+    assert one == two
+
+
+def test_unknown_plan_steps_are_not_ok(spark):
     from plantframe.operators import audit
-    df = _golden_inputs(spark)
-    r = replay.plan_replay(df.select("site_id", "ts", "heat_demand"), df.select("site_id", "ts", "electricity_price"),
-                           df.select("site_id", "ts", "temperature", "solar_irradiance", "humidity"), None)
-    plan = r.join(df.select("site_id", "ts", "temperature"), ["site_id", "ts"]).withColumns({
-        "thermal_charge": F.col("thermal_storage_charge"), "thermal_discharge": F.col("thermal_storage_discharge"),
-        "thermal_level": F.col("thermal_storage_level"), "chp_on": F.lit(1.0), "boiler_on": F.lit(1.0),
-        "heat_pump_on": F.lit(1.0)})
-    res = {r.rule: r.m for r in audit.plan_audit(plan).groupBy("rule").agg(F.max("residual").alias("m")).collect()}
-    assert res["thermal_balance"] < 1e-9
-    assert res["heat_balance"] < 1e-9       # store never hits a bound on this fixture
-    assert res["chp_coupling"] < 1e-9
+    plan = _golden_plan(spark).withColumns({c: F.lit(1.0) for c in ("thermal_charge", "thermal_discharge", "chp_on", "boiler_on", "heat_pump_on", "thermal_level")})
+    plan = plan.withColumn("battery_level", F.lit(None).cast("double")).withColumn("grid_import", F.lit(None).cast("double"))
+    got = {r.rule: r for r in audit.audit_totals(audit.plan_audit(plan)).collect()}
+    for rule in ("bound_battery_level", "battery_balance", "bound_nonneg", "grid_limit", "electricity_balance"):
+        assert got[rule].n_unknown == got[rule].n == 24 and got[rule].n_violations == 0
+    assert got["bound_chp_power"].n_unknown == 0
+
+
+@pytest.mark.parametrize("nulls,anchors", [("keep", [2, 3, 4, 5, 6, 7]), ("drop", [2, 3, 6, 7])])
+def test_windows_keep_null_targets(spark, nulls, anchors):
+    rows = [(1, D(2024, 1, 1, h), None if h == 3 else float(h)) for h in range(8)]
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, v double")
+    got = {r.anchor_pos: r.x for r in samples.lag_windows_next(df, "v", 2, nulls=nulls).collect()}
+    assert sorted(got) == anchors and got[2] == [0.0, 1.0]
+    if nulls == "keep":
+        assert got[4] == [2.0, None] and got[5] == [None, 4.0]
+
+
+def test_one_row_parameters_are_checked(spark):
+    from plantframe.sources import params
+    df = spark.range(3).withColumnRenamed("id", "x")
+    assert params.params_cross(df, spark.createDataFrame([(1.0,)], "p double")).collect()[0]["p"] == 1.0
+    with pytest.raises(Exception, match="exactly one row"):
+        params.params_cross(df, spark.createDataFrame([(1.0,), (2.0,)], "p double")).collect()
+
+
+def test_hot_site_grid_is_spread(spark):
+    """With Spark's own settings (partitions are merged where small): grid and interpolation run in many tasks."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        df = spark.createDataFrame([(1, D(2024, 1, 1) + dt.timedelta(hours=h), float(h)) for h in range(24 * 20)], "site_id long, ts timestamp_ntz, v double")
+        grid = series.time_grid(series.bounds(df), "1 minute")
+        assert grid.select(F.spark_partition_id().alias("p")).distinct().count() >= 8
+        out = series.upsample_linear(df, "1 second", "v").withColumn("p", F.spark_partition_id())
+        assert out.select("p").distinct().count() >= 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def test_cop_clamped(spark):

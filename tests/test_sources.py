@@ -130,3 +130,21 @@ def test_params_overrides(spark):
     p = params.with_overrides(params.default_params(spark), {"chp.P_max": 250.0, "battery_storage.initial_level": 70.0})
     row = params.flat_system_params(p).collect()[0]
     assert row["chp__P_max"] == 250.0 and row["battery_storage__initial_level"] == 70.0 and row["chp__Q_max"] == 300.0
+
+
+def test_price_table_whole_cells_of_the_first_table(spark):
+    cell = lambda v: f"<TD class='n'><span>{v}</span>&nbsp;</TD>"
+    row = lambda v: "<TR>" + cell("a") + cell("b") + cell("c") + cell(v) + "</TR>"
+    first = "".join(row(f"{h},50") for h in range(24))
+    page = f"<html><TABLE id=x>{first}</TABLE><table>{row('999,0')}</table></html>"
+    df = spark.createDataFrame([(page, dt.date(2024, 5, 1)), ("<table><tr><td>1</td></tr></table>" + page, dt.date(2024, 5, 2))], "html string, delivery_date date")
+    got = [(r.delivery_date.day, r.hour, r.price_eur_mwh) for r in prices.extract_price_table(df).orderBy("delivery_date", "hour").collect()]
+    assert got == [(1, h, h + 0.5) for h in range(24)]
+
+
+def test_meter_file_with_bad_values(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Kopf\nDatum;Einheit\n01.05.2024 00:00;1,5\n01.05.2024 01:00;n/a\n01.05.2024 02:00;\nrubbish;1,0\n")
+    got = [(r.ts.hour, r.kwh) for r in meter_csv.scan_meter_csv(spark, str(tmp_path)).orderBy("ts").collect()]
+    assert got == [(0, 1.5), (2, None)]
+    n = meter_csv.meter_reject_counts(spark, str(tmp_path)).collect()[0]
+    assert (n.rows, n.rejected, n.bad_values) == (2, 4, 1)
