@@ -1,7 +1,7 @@
 """Toxicity scores from a lexicon, with misspellings and context.
 
-The lexicon is learned: words of labelled documents whose log-odds of a toxic
-label are high and well supported.  Its trie is intersected with the
+The lexicon is learned: words, and stems of words, of labelled documents whose
+log-odds of a toxic label are high and well supported.  Its trie is intersected with the
 Levenshtein automaton of a word (a bit mask of the word's places for each
 number of errors, moved along the trie's edges) to catch terms with up to
 ``MAX_DISTANCE`` errors.  Each hit is judged by the words around it: inside
@@ -30,13 +30,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantframe.llm._arrays import Words, text_blocks, text_buffer
+from plantframe.llm._arrays import Words, byte_codes, prefix_sums, range_hash, text_blocks, text_buffer
 from plantframe.llm._scratch import written
 
 MAX_TRAIN = 24_000
 MAX_TERMS = 4_000
 MIN_SUPPORT = 5
 MIN_LOG_ODDS = 2.5
+#: Bytes of the stems that are learned beside whole words, for terms that come with many endings.
+STEMS = (4, 5, 6)
+MIN_STEM_SUPPORT = 8
 MAX_DISTANCE = 1
 #: Shorter terms are not searched with errors.
 MIN_FUZZY_LETTERS = 5
@@ -114,27 +117,31 @@ def _lowered(block: pa.RecordBatch) -> tuple[bytes, Words]:
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with and without the label for each word of a block."""
+    """Documents, and those with the label, for each word and stem of a block."""
     for block in text_blocks(batches):
         data, words = _lowered(block)
-        if not words.code.size:
-            continue
         toxic = block.column("toxic").to_numpy(zero_copy_only=False)
-        pair = np.rec.fromarrays([words.code, words.doc], names="c,d")
-        _, one = np.unique(pair, return_index=True)
-        code, first, which = np.unique(words.code[one], return_index=True, return_inverse=True)
-        hits = np.bincount(which, weights=toxic[words.doc[one]]).astype(np.int64)
-        at = one[first]
-        text = [data[a:b].decode("utf-8", "replace") for a, b in zip(words.start[at], words.end[at])]
-        yield pa.RecordBatch.from_arrays([pa.array(text), pa.array(hits), pa.array(np.bincount(which).astype(np.int64))], names=["word", "toxic", "docs"])
+        sums = prefix_sums(byte_codes(np.frombuffer(data, np.uint8)))
+        for length in (0, *STEMS):
+            of = np.flatnonzero(words.end - words.start > length)
+            end = words.start[of] + length if length else words.end[of]
+            if not of.size:
+                continue
+            _, one = np.unique(np.rec.fromarrays([range_hash(sums, words.start[of], end), words.doc[of]], names="c,d"), return_index=True)
+            of, end = of[one], end[one]
+            _, first, which = np.unique(range_hash(sums, words.start[of], end), return_index=True, return_inverse=True)
+            hits = np.bincount(which, weights=toxic[words.doc[of]]).astype(np.int64)
+            text = [data[a:b] + b"*" * (length > 0) for a, b in zip(words.start[of[first]], end[first])]
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.binary()), pa.array(hits), pa.array(np.bincount(which).astype(np.int64))], names=["word", "toxic", "docs"])
 
 
 class Scorer:
     """Features of documents against a lexicon; words seen before are remembered."""
 
     def __init__(self, lexicon: list[tuple[str, float, int]], max_distance: int):
-        self.exact = {w: s for w, s, _ in lexicon}
-        fuzzy = [w for w, _, n in lexicon if len(w) >= MIN_FUZZY_LETTERS and n >= MIN_FUZZY_SUPPORT]
+        self.exact = {w: s for w, s, _ in lexicon if w[-1] != "*"}
+        self.stems = {w[:-1].encode("utf-8", "surrogateescape"): s for w, s, _ in lexicon if w[-1] == "*"}
+        fuzzy = [w for w, _, n in lexicon if w[-1] != "*" and len(w) >= MIN_FUZZY_LETTERS and n >= MIN_FUZZY_SUPPORT]
         self.strength = [self.exact[w] for w in fuzzy]
         self.trie = TermTrie(fuzzy)
         self.errors = max_distance
@@ -143,6 +150,10 @@ class Scorer:
     def look_up(self, word: str) -> tuple[float, int] | None:
         if word in self.exact:
             return self.exact[word], 0
+        raw = word.encode()
+        for n in STEMS:
+            if len(raw) > n and raw[:n] in self.stems:
+                return self.stems[raw[:n]], 0
         if len(word) < MIN_FUZZY_LETTERS - self.errors or not self.trie.may_match(word, self.errors):
             return None
         found = self.trie.search(word, self.errors)
@@ -192,7 +203,7 @@ class Scorer:
         return inside or any(w in REPORTING for w in near[:at - lo]), any(w in ADDRESS for w in near)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 50) -> np.ndarray:
     """Logistic regression (intercept last) by Newton's method with a ridge."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -216,13 +227,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # at most about max_train rows of an id and a label
     rows = written(docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), "id"), "toxic-train")
     half = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(2))
-    words = rows.where(half == 0).select("text", "toxic").mapInArrow(count_words, "word string, toxic long, docs long").groupBy("word").agg(F.sum("toxic").alias("a"), F.sum("docs").alias("n"))
+    words = rows.where(half == 0).select("text", "toxic").mapInArrow(count_words, "word binary, toxic long, docs long").groupBy("word").agg(F.sum("toxic").alias("a"), F.sum("docs").alias("n"))
     a_all, n_all = rows.where(half == 0).agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     if not 0 < a_all < n_all:
         return [], None
     odds = F.log((F.col("a") + 0.5) / (F.lit(a_all) + 1.0)) - F.log((F.col("n") - F.col("a") + 0.5) / (F.lit(n_all - a_all) + 1.0))
-    top = words.where(F.col("a") >= MIN_SUPPORT).withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS).orderBy(F.desc(F.col("odds") * F.log("a")), "word").limit(MAX_TERMS).collect()
-    lexicon = [(r["word"], float(r["odds"]), int(r["a"])) for r in top]
+    top = words.where(F.col("a") >= F.when(F.substring("word", -1, 1) == F.lit(b"*"), MIN_STEM_SUPPORT).otherwise(MIN_SUPPORT)).withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS).orderBy(F.desc(F.col("odds") * F.log("a")), "word").limit(MAX_TERMS).collect()
+    lexicon = [(bytes(r["word"]).decode("utf-8", "surrogateescape"), float(r["odds"]), int(r["a"])) for r in top]
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon, MAX_DISTANCE)
