@@ -26,5 +26,7 @@ def pv_frame(spark: SparkSession, d: str) -> DataFrame:
     radiation = profiles.weather_irradiance(F.hour("ts")) * (F.lit(1.0) - cloud / F.lit(100.0))
     f = f.withColumns({"week": calendar.iso_week("ts"), "hour": F.hour("ts"), "cloud_cover": cloud,
                        "direct_radiation": radiation})
-    f = f.withColumn("pv_kw", plant.pv_physical(F.col("direct_radiation"), profiles.weather_temperature(F.col("hour"))))
+    # a measured output: the physical one times what the features don't hold (soiling, inverter; 0.8 to 1.2 by a hash of the step)
+    other = F.lit(0.8) + F.pmod(F.xxhash64("site_id", "ts"), F.lit(1000)) / F.lit(2500.0)
+    f = f.withColumn("pv_kw", plant.pv_physical(F.col("direct_radiation"), profiles.weather_temperature(F.col("hour"))) * other)
     return calendar.feature_frame(f, calendar.PV_FEATURES, keep=("site_id", "ts"), target="pv_kw")

@@ -17,6 +17,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,7 +58,17 @@ def score(model: PipelineModel | None, df: DataFrame, prediction: str = "predict
 
 # ---------------------------------------------------------------- M1 / M2
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
-    return gbt_pipeline(features, label, **kw).fit(df)
+    keep = [*dict.fromkeys([*features, label, *([kw["validation_col"]] if kw.get("validation_col") else [])])]
+    return fit_once(gbt_pipeline(features, label, **kw), df.select(*keep))
+
+
+def fit_once(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit on a persisted frame: every level of every tree reads the training rows again."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(held)
+    finally:
+        held.unpersist()
 
 
 def holdout_mse(model: PipelineModel, test: DataFrame, label: str) -> float:
@@ -69,7 +80,7 @@ def holdout_mse(model: PipelineModel, test: DataFrame, label: str) -> float:
 def lag_vector_frame(df: DataFrame, features: Sequence[str], target: str, w: int, *, site: str = "site_id",
                      ts: str = "ts", rows_per_chunk: int = 4096) -> DataFrame:
     """W5 windows as an MLlib vector column ``__vec`` (w lags ++ current features)."""
-    win = samples.lag_concat_current(df, features, target, w, site=site, ts=ts, rows_per_chunk=rows_per_chunk)
+    win = samples.lag_concat_current(df, features, target, w, site=site, ts=ts, rows_per_chunk=rows_per_chunk, nulls="drop").where(F.col("y").isNotNull())
     return win.withColumn("__vec", array_to_vector("x"))
 
 
@@ -77,7 +88,7 @@ def fit_gbt_vector(df: DataFrame, label: str = "y", **kw) -> PipelineModel:
     gbt = GBTRegressor(featuresCol="__vec", labelCol=label, maxIter=kw.get("rounds", GBT_ROUNDS),
                        maxDepth=kw.get("depth", GBT_DEPTH), stepSize=kw.get("step", GBT_STEP),
                        seed=kw.get("seed", GBT_SEED))
-    return Pipeline(stages=[gbt]).fit(df)
+    return fit_once(Pipeline(stages=[gbt]), df.select("__vec", label))
 
 
 # ---------------------------------------------------------------------- M4
@@ -93,10 +104,11 @@ def multi_horizon_frame(df: DataFrame, target: str, w: int, horizons: int, *, si
     win = Window.partitionBy(site, "_pchunk").orderBy("__pos")
     out = halo.select(site, "_halo", F.col(ts).alias("anchor_ts"), "__pos",
                       F.collect_list(F.col(target).cast("double")).over(win.rowsBetween(-w + 1, 0)).alias("lags"),
-                      F.collect_list(F.col(target).cast("double")).over(win.rowsBetween(1, horizons)).alias("ahead"))
+                      F.collect_list(F.struct(F.col(target).cast("double").alias("y"))).over(win.rowsBetween(1, horizons)).alias("ahead"))
+    # collect_list leaves NULLs out: only anchors whose lags are all known are samples, and NULL targets drop out one by one
     out = out.filter(~F.col("_halo") & (F.size("lags") == w)).drop("_halo")
-    ex = out.select(site, "anchor_ts", "__pos", "lags", F.posexplode("ahead").alias("h0", "y"))
-    ex = ex.withColumn("h", (F.col("h0") + 1).cast("double"))
+    ex = out.select(site, "anchor_ts", "__pos", "lags", F.posexplode("ahead").alias("h0", "a")).select(site, "anchor_ts", "__pos", "lags", "h0", F.col("a.y").alias("y"))
+    ex = ex.where(F.col("y").isNotNull()).withColumn("h", (F.col("h0") + 1).cast("double"))
     return ex.withColumn("__vec", array_to_vector(F.concat("lags", F.array("h")))).drop("h0")
 
 

@@ -101,13 +101,17 @@ def q_local_to_utc(spark, d):
 
 
 # --------------------------------------------------------------------- P10
+def site_temperature(site: str, ts: str):
+    """Weather of a site at a stamp: the daily profile on the site's own level.  Never built from the load, and the same for past and future."""
+    return profiles.weather_temperature(F.hour(ts)) - F.lit(12.0) + F.pmod(F.col(site), F.lit(10)) * F.lit(1.5)
+
+
 def consumption_features(spark, d):
     """Hourly consumption with the reference's seven model features (P1–P6 + weather profile)."""
     h = cat.hourly(spark, d).select("site_id", "ts", "kwh")
     h = calendar.calendar_features(h)
     h = calendar.holiday_flag(h, holidays_from_data(spark, d), out="Holiday")
-    # a site-varying temperature: the daily profile shifted by the load level
-    temp = profiles.weather_temperature(F.hour("ts")) - F.lit(12.0) + F.col("kwh") / F.lit(50.0)
+    temp = site_temperature("site_id", "ts")
     return h.withColumns({
         "day": calendar.iso_day_number("ts"),
         "day_time": calendar.day_part(F.col("hour")),
@@ -119,7 +123,7 @@ SQL_CONSUMPTION = HR + ", " + SQL_HOLIDAYS + ", cf AS (SELECT site_id, ts, kwh,
     "hour(ts) // 4 AS day_time, month(ts) AS month, " \
     "CASE WHEN EXISTS (SELECT 1 FROM holidays x WHERE x.date = CAST(ts AS DATE)) THEN 1 ELSE 0 END AS Holiday, " \
     "CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS is_weekend, " \
-    "15.0::DOUBLE + 10.0::DOUBLE * sin(2 * pi() * (hour(ts) - 6) / 24.0::DOUBLE) - 12.0::DOUBLE + kwh / 50.0::DOUBLE AS temperature " \
+    "15.0::DOUBLE + 10.0::DOUBLE * sin(2 * pi() * (hour(ts) - 6) / 24.0::DOUBLE) - 12.0::DOUBLE + (site_id % 10) * 1.5::DOUBLE AS temperature " \
     "FROM hourly), cf2 AS (SELECT *, CASE WHEN temperature < 0 THEN 0 WHEN temperature < 10 THEN 1 " \
     "WHEN temperature < 20 THEN 2 ELSE 3 END AS temp_category_int FROM cf)"
 

@@ -61,7 +61,10 @@ def site_region(site_col="site_id"):
 
 def holidays_from_data(spark, d, region: str = "DE-SH"):
     """S5 + A10: holiday dates for every year present in the readings."""
-    years = cat.readings(spark, d).select(F.year("ts").alias("year")).distinct()
+    return holidays_of_years(cat.readings(spark, d).select(F.year("ts").alias("year")).distinct(), region)
+
+
+def holidays_of_years(years, region: str = "DE-SH"):
     pay = years.select("year", _holiday_payload(F.col("year")).alias("payload"))
     return payloads.holiday_dates(pay, region)
 
@@ -263,15 +266,19 @@ def q_flatten_price(spark, d):
 
 # ---------------------------------------------------------------------- S9
 @register("sink_series", W(cat.SQL_PLAN_INPUTS, "ru AS (SELECT site_id, ts, least(200.0::DOUBLE, greatest(0.0::DOUBLE, "
-                                                "0.7::DOUBLE * heat_demand)) AS chp_power FROM plan_inputs)")
-          + f"SELECT site_id, CAST(count(*) AS BIGINT) AS n, {R4('sum(chp_power)')} AS chp_power_sum, min(ts) AS ts_min, "
+                                                "0.7::DOUBLE * heat_demand)) AS chp_power, heat_demand FROM plan_inputs)")
+          + f"SELECT site_id, CAST(count(*) AS BIGINT) AS n, {R4('sum(chp_power)')} AS chp_power_sum, "
+          f"{R4('sum(greatest(0.0::DOUBLE, heat_demand - least(300.0::DOUBLE, 0.5::DOUBLE * chp_power)))')} AS boiler_heat_sum, CAST(count(*) AS BIGINT) AS n_json, min(ts) AS ts_min, "
           "max(ts) AS ts_max FROM ru GROUP BY site_id")
 def q_sink(spark, d):
     from plantframe.functions import dispatch
     plan = dispatch.rule_dispatch(cat.plan_inputs(spark, d)).select("site_id", "ts", "chp_power", "boiler_heat")
     path = scratch_path(spark, f"sink-{uuid.uuid4().hex}")
     sinks.sink_series(plan, path, "csv")
-    back = sinks.read_sink(spark, path, "csv", "ts timestamp_ntz, chp_power double, boiler_heat double, site_id long")
+    back = sinks.read_sink(spark, path, "csv", "site_id long, ts timestamp_ntz, chp_power double, boiler_heat double")
+    sinks.sink_series(plan, f"{path}-json", "json")
+    json_back = sinks.read_sink(spark, f"{path}-json", "json", "site_id long, ts timestamp_ntz, chp_power double, boiler_heat double")
     out = back.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.sum("chp_power").alias("chp_power_sum"),
                                       F.min("ts").alias("ts_min"), F.max("ts").alias("ts_max"))
-    return round_doubles(out)
+    again = json_back.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_json"), F.sum("boiler_heat").alias("boiler_heat_sum"))
+    return round_doubles(out.join(again, "site_id"))

@@ -1,7 +1,8 @@
 """S9 ``sink_series``: write forecasts, schedules and plans.
 
-Sinks write partitioned by site (and optionally date) so a later read of
-one site or one day prunes to its folder.  Paths must be on shared storage
+Sinks write one folder per day by default, so a later read of some days prunes
+to their folders; a folder per site would be millions of tiny files at scale and
+stays an option (``partition_by``).  Paths must be on shared storage
 on a cluster — use ``session.scratch_path`` (under ``spark.checkpoint.dir``)
 for intermediates, never a machine-local folder.
 """
@@ -9,14 +10,15 @@ for intermediates, never a machine-local folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _FORMATS = {"csv", "json", "parquet"}
 
 
-def sink_series(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ("site_id",),
+def sink_series(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] | None = None,
                 mode: str = "overwrite", cluster_by: tuple[str, ...] | None = ("site_id", "ts"),
                 num_partitions: int | None = None) -> None:
-    """Write ``df`` under ``path``, one folder per ``partition_by`` value.
+    """Write ``df`` under ``path``, one folder per ``partition_by`` value (None: per ``date`` of ``ts``, if there is one).
 
     Rows are first range-partitioned on ``cluster_by`` (site, then time):
     each write task gets a contiguous slice, so a site lands in one or a few
@@ -29,6 +31,9 @@ def sink_series(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
         # an explicit count keeps the write parallel (AQE would coalesce small ranges into few writers)
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartitionByRange(n, *cluster_by)
+    if partition_by is None:
+        partition_by = ("date",) if "ts" in df.columns else ()
+        df = df.withColumn("date", F.to_date("ts")) if partition_by else df
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

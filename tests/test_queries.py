@@ -12,6 +12,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 import __spark_entry__ as E  # noqa: E402
+from plantframe.plans import forecast as fc  # noqa: E402
 
 spec = importlib.util.spec_from_file_location("check_oracle", os.path.join(ROOT, "tools", "check_oracle.py"))
 check = importlib.util.module_from_spec(spec)
@@ -45,7 +46,12 @@ def test_query_matches_oracle(spark, duck, key):
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))
-def test_model_query_runs(spark, key):
+def test_model_query_runs(spark, key, monkeypatch):
+    # runs the plans; the fits' results are checked in test_models
+    for fit in (fc.gbt_pipeline, fc.fit_gbt_vector):
+        if fit.__kwdefaults__:
+            monkeypatch.setitem(fit.__kwdefaults__, "rounds", 5)
+    monkeypatch.setattr(fc, "GBT_ROUNDS", 5)
     df = QUERIES[key](spark, SF)
     assert df.count() > 0
 
