@@ -104,8 +104,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     pairs = written(pairs.select("doc", "item", F.size(F.array_distinct("all_at")).alias("n_windows"), "coverage", "raw", (-F.col("best.back")).alias("diagonal"),
                                  F.filter(F.col("best.covered"), lambda p: slot(F.get("raw", p))).alias("slots")), "leak-pairs")
     plain = pairs.where(F.size("slots") == 0).withColumns({"n_slots": F.lit(0), "n_changed": F.lit(0)})
+    # texts are read again for pairs with slots only; a table of their own, so that its size decides how it is joined
+    with_slots = written(pairs.where(F.size("slots") > 0), "leak-slots")
     texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
-    slotted = pairs.where(F.size("slots") > 0).join(texts, "doc").withColumn("own", _tokens(_marked(F.col("t")))) \
+    slotted = with_slots.join(texts, "doc").withColumn("own", _tokens(_marked(F.col("t")))) \
         .withColumn("values", F.transform("slots", lambda p: F.struct(F.lower(F.get("raw", p)).alias("b"), F.lower(F.get("own", p + F.col("diagonal"))).alias("d"))))
     consistent = F.size(F.array_distinct(F.transform("values", lambda v: v["b"]))) == F.size(F.array_distinct("values"))
     slotted = slotted.where(consistent).withColumns({"n_slots": F.size("slots"), "n_changed": F.size(F.filter("values", lambda v: v["b"] != v["d"]))})
