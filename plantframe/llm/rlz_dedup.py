@@ -37,7 +37,7 @@ def factors(size: int):
         """Windows of each context that factors copied from blocks of earlier documents cover."""
         raw, bounds = text_buffer(table.column("text"))
         words = Words(raw, bounds)
-        did, content = (table.column(c).to_numpy() for c in ("did", "content"))
+        did = table.column("did").to_numpy()
         n_windows = np.maximum(words.count - size + 1, 0)
         context = np.repeat(np.arange(did.size), n_windows)
         offset = np.arange(context.size) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
@@ -53,7 +53,7 @@ def factors(size: int):
         block = np.searchsorted(words.first, source, "right") - 1
         # a window continues the factor before it if its source follows in the same block; else a factor starts and is looked up
         copied = did[block] < did[context]
-        return packed_bits(context[copied], offset[copied], n_windows, did, content)
+        return packed_bits(context[copied], offset[copied], n_windows)
 
     return parse
 

@@ -174,7 +174,7 @@ def repeated_windows(size: int):
     def resolve(table: pa.Table) -> pa.Table:
         """Windows of each context that also start in the context of an earlier document."""
         raw, bounds = text_buffer(table.column("text"))
-        did, content = (table.column(c).to_numpy() for c in ("did", "content"))
+        did = table.column("did").to_numpy()
         # contexts parted by zeros; bytes are codes from 1 on
         n = np.diff(bounds)
         start = bounds[:-1] + np.arange(n.size)
@@ -193,12 +193,12 @@ def repeated_windows(size: int):
         joined[at] = _common((flat & 0xFF).astype(np.uint8), at, before[at], size)
         windows = sa[whole[sa]]
         if not windows.size:
-            return packed_bits(np.zeros(0, np.int64), np.zeros(0, np.int64), n, did, content)
+            return packed_bits(np.zeros(0, np.int64), np.zeros(0, np.int64), n)
         first = np.flatnonzero(~joined[windows])
         owner = did[context[windows]]
         least = np.repeat(np.minimum.reduceat(owner, first), np.diff(np.append(first, windows.size)))
         hit = windows[owner > least]
-        return packed_bits(context[hit], offset[hit], np.maximum(n - size + 1, 0), did, content)
+        return packed_bits(context[hit], offset[hit], np.maximum(n - size + 1, 0))
 
     return resolve
 

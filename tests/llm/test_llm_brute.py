@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plantframe.llm import _arrays, decontaminate, licenses, line_dedup, mixing, near_dedup, quality, rlz_dedup, suffix_dedup, toxicity, url_filter
+from plantframe.llm import _arrays, _shared_windows, decontaminate, licenses, line_dedup, mixing, near_dedup, quality, rlz_dedup, suffix_dedup, toxicity, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
@@ -32,8 +32,11 @@ def corpus(seed, n=60, alphabet=("a", "b", "cd", "é"), most=60):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_word_and_byte_repeats(spark, seed):
+@pytest.mark.parametrize("seed,least", [(1, None), (2, None), (1, 1), (2, 8)])
+def test_word_and_byte_repeats(spark, monkeypatch, seed, least):
+    """Also with all anchors hot, and with some."""
+    if least:
+        monkeypatch.setattr(_shared_windows, "HOT_LEAST", least)
     docs = corpus(seed)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     got7 = {r["doc_id"]: r for r in rlz_dedup.remove_repeats(df, size=10).collect()}
