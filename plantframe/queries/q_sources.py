@@ -76,20 +76,22 @@ SQL_HOLIDAYS = ("holidays AS (SELECT DISTINCT make_date(y.y, t.m, t.d) AS date F
 
 # ---------------------------------------------------------------------- S1
 @register("scan_meter_csv", W(RD) + "SELECT site_id, strptime(strftime(ts, '%d.%m.%Y %H:%M'), '%d.%m.%Y %H:%M') AS ts, "
-          f"{R4('kwh')} AS kwh FROM readings")
+          f"{R4('kwh')} AS kwh FROM readings WHERE event_id % 97 <> 0")
 def q_scan_meter(spark, d):
+    """Meter files are landed in the shared folder and read with the file reader; some values are not numbers."""
     r = cat.readings(spark, d)
-    data = r.select("site_id", F.concat_ws(";", F.date_format("ts", "dd.MM.yyyy HH:mm"),
-                                           F.regexp_replace(F.col("kwh").cast("string"), r"\.", ","),
-                                           F.lit("kWh")).alias("line"))
+    value = F.when(F.pmod("event_id", F.lit(97)) == 0, F.lit("n/a")).otherwise(F.regexp_replace(F.col("kwh").cast("string"), r"\.", ","))
+    data = r.select("site_id", F.concat_ws(";", F.date_format("ts", "dd.MM.yyyy HH:mm"), value, F.lit("kWh")).alias("line"))
     sites = r.select("site_id").distinct()
     pre = sites.select("site_id", F.explode(F.array(
         F.concat(F.lit("Zählpunkt;DE0000000000"), F.col("site_id").cast("string")),
         F.lit("Zeitraum;01.01.2024 - 31.01.2024;"),
         F.lit("Datum;Wert;Einheit"))).alias("line"))
     lines = pre.unionByName(data)
-    raw = meter_csv.split_lines(lines, keep=("site_id",))
-    return round_doubles(meter_csv.parse_meter_frame(raw, keep=("site_id",)))
+    path = scratch_path(spark, f"meter-{uuid.uuid4().hex}")
+    lines.repartition("site_id").write.partitionBy("site_id").text(path)
+    out = meter_csv.scan_meter_csv(spark, path, r"site_id=(\d+)")
+    return round_doubles(out.withColumn("site_id", F.col("site_id").cast("long")))
 
 
 # ---------------------------------------------------------------------- S2
@@ -100,9 +102,14 @@ def q_scan_meter(spark, d):
 def q_scan_forecast(spark, d):
     h = cat.hourly(spark, d)
     base = h.select("site_id", "ts")
-    observed = h.filter(F.pmod(F.hour("ts"), F.lit(3)) == 0).select(
-        "site_id", "ts", (F.col("kwh") / 10.0).alias("temperature"), F.col("kwh").alias("solar_irradiance"),
+    # landed as a forecast file; two of three stamps lie half an hour off and match nothing
+    stamp = F.when(F.pmod(F.hour("ts"), F.lit(3)) == 0, F.col("ts")).otherwise(F.expr("ts + INTERVAL 30 MINUTE"))
+    landed = h.select(
+        F.date_format(stamp, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"), "site_id", (F.col("kwh") / 10.0).alias("temperature"), F.col("kwh").alias("solar_irradiance"),
         F.lit(60.0).alias("humidity"))
+    path = scratch_path(spark, f"forecast-{uuid.uuid4().hex}")
+    landed.write.option("header", True).csv(path)
+    observed = meter_csv.scan_forecast_csv(spark, path, "site_id long, temperature double, solar_irradiance double, humidity double")
     return round_doubles(meter_csv.with_profile_fallback(base, observed, "weather"))
 
 
