@@ -75,10 +75,10 @@ def _prefix(df: DataFrame, part: list[str], order: str, maps: dict[str, str]) ->
 
 
 def _level_key(ts: str, unit: str) -> Column:
-    if unit == "minute":
-        return F.window(F.col(ts), "1 minute").start
-    if unit == "hour":
-        return F.window(F.col(ts), "1 hour").start
+    if unit in ("minute", "hour"):   # start of the bucket in microseconds; window() can be used once per plan only
+        step = {"minute": 60_000_000, "hour": 3_600_000_000}[unit]
+        us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+        return us - F.pmod(us, F.lit(step))
     if unit == "day":
         return F.to_date(ts)
     if unit == "month":
