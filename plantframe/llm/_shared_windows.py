@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantframe.llm._scratch import written
-from plantframe.llm._arrays import Runs, Words, byte_codes, from_planes, mix, planes, range_hash, text_blocks, text_buffer
+from plantframe.llm._arrays import Runs, Words, byte_codes, from_planes, give_back, mix, planes, range_hash, text_blocks, text_buffer
 
 U64 = np.uint64
 #: A null doc_id counts as larger than all others.
@@ -53,17 +53,17 @@ NO_ID = (1 << 63) - 1
 KEY_BYTES, CONTENT_BYTES = 5, 6
 KEY_MASK, CONTENT_MASK = (1 << 8 * KEY_BYTES) - 1, (1 << 8 * CONTENT_BYTES) - 1
 #: Runs that a task holds before it sends them.
-FLUSH_RUNS = 3_000_000
+FLUSH_RUNS = 500_000
 #: Runs a bucket should get; their number follows the input.
-BUCKET_RUNS = 400_000
+BUCKET_RUNS = 300_000
 #: Asked contexts a shard should get.
-SHARD_CONTEXTS = 16_000
+SHARD_CONTEXTS = 4_000
 #: Documents that are looked at for hot anchors, the share and the number of them that makes an anchor hot.
 HOT_SAMPLE, HOT_SHARE, HOT_LEAST = 10_000, 0.02, 150
 #: In place of an anchor's key: the context is sent window by window.
 BY_WINDOW = -1
 #: Windows that a task holds before it sends them.
-FLUSH_WINDOWS = 400_000
+FLUSH_WINDOWS = 200_000
 
 
 def units_of(batch: pa.RecordBatch, unit: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words | None]:
@@ -139,6 +139,8 @@ def send_runs(unit: str, size: int, k: int, buckets: int, hot: np.ndarray) -> Ca
                 held, n = [], 0
         if n:
             yield from flush(held)
+        held.clear()
+        give_back()
 
     def flush(held):
         key, content, doc, side = (np.concatenate(x) for x in zip(*held))
@@ -170,6 +172,7 @@ def send_runs(unit: str, size: int, k: int, buckets: int, hot: np.ndarray) -> Ca
 
 def find_owners(table: pa.Table) -> pa.Table:
     """Of one bucket: kind 1 (did copies content) and kind 2 (did owns content, whose units are asked for)."""
+    give_back()
     bucket = table.column("bucket")[0].as_py()
     seen = np.frombuffer(b"".join(c.as_py() for c in table.column("copies") if c.is_valid), np.int64).reshape(-1, 2)
     nothing = [_unpack(struct.pack("<qqq", 0, 0, 1))]
@@ -287,6 +290,7 @@ def send_contexts(unit: str, size: int, k: int, shards: int) -> Callable:
 def with_known(resolve: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
     """Adds windows that were known as repeats before, and puts single windows in their contexts' masks."""
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         known = pc.is_null(table.column("text"))
         asked, told = table.filter(pc.invert(known)), table.filter(known)
         window = asked.column("window").to_numpy()
