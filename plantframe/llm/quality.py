@@ -126,4 +126,6 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", rules=RUL
     """The rows of ``docs`` that pass, with their columns unchanged."""
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                       F.col(f"`{text}`").alias("_t"), (F.col(f"`{lang}`") if lang in docs.columns else F.lit(None).cast("string")).alias("_l"))
-    return quality_rules(row, "_t", "_l", ("_row",), rules).where("kept").select("_row.*")
+    judged = quality_rules(row, "_t", "_l", ("_row",), rules)
+    # a filter on kept would be pushed below the measures, which are then worked out once for every rule that uses them
+    return judged.select(F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_good")).where("_good is not null").select("_good.*")
