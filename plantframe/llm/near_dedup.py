@@ -14,9 +14,10 @@ equal bands only its least node (the leader) is compared with the others, by
 exact Jaccard similarity of the shingle sets.  Jaccard distance is a metric, so
 the leader's distances decide most of the other pairs: two nodes linked to the
 leader are in one class already, and two whose distances to it differ by more
-than 1 - SIMILARITY cannot be linked.  Only what this leaves open (a pair with
-a node that is not linked to the leader) is compared too.  No bucket is capped
-and no pair within a group of copies is written out.
+than 1 - SIMILARITY cannot be linked.  Only what this leaves open is compared
+too: pairs that the links of all leaders have not put in one component yet, so
+that one of the two is outside the leader's.  No bucket is capped and no pair
+within a group of copies is written out.
 
 Classes are the connected components of the links, found by rounds of large
 and small stars over the link table.
@@ -155,7 +156,6 @@ def _verify(pairs: DataFrame, body: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node and root (least node of its component) for every node of the links (a, b)."""
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
-    before = None
     while True:
         # large star: a node's larger neighbours move to its least neighbour
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
@@ -165,10 +165,10 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         edges = written(small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "links")
-        state = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == before:
-            return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-        before = state
+        # done when every node hangs on one root: no node has two parents or is a child and a parent
+        ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(edges.select("b", F.lit(0), F.lit(1)))
+        if ends.groupBy("x").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).where((F.col("child") > 1) | (F.col("child") * F.col("parent") > 0)).isEmpty():
+            return edges.toDF("node", "root")
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -184,17 +184,25 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     stars = _verify(members.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), body)
     linked = stars.where(F.col("similarity") >= similarity)
 
-    # pairs that the leader's distances leave open
+    # pairs that the leaders' links and distances leave open: in two components, so one of them is not in the leader's
+    roots = components(linked.select("a", "b"))
     span = 1 - similarity + 1e-9
-    placed = members.join(stars, (F.col("leader") == F.col("a")) & (F.col("node") == F.col("b"))).select("bucket", "node", "similarity")
-    loose = placed.where(F.col("similarity") < similarity).select("bucket", F.col("node").alias("a"), F.col("similarity").alias("s"))
-    open_pairs = loose.join(placed, "bucket").where((F.abs(F.col("s") - F.col("similarity")) <= span) & (F.col("a") != F.col("node"))) \
-        .where((F.col("similarity") >= similarity) | (F.col("a") < F.col("node"))).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    placed = members.join(stars, (F.col("leader") == F.col("a")) & (F.col("node") == F.col("b"))).select("bucket", "leader", "node", "similarity") \
+        .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")) \
+        .join(roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root")), "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
+    placed = written(placed.select("bucket", "node", "similarity", "root", (F.col("root") != F.col("leader_root")).alias("outside")), "near-placed")
+    outside = placed.where("outside").select("bucket", F.col("node").alias("a"), F.col("similarity").alias("s"), F.col("root").alias("a_root"))
+    open_pairs = outside.join(placed, "bucket").where((F.col("root") != F.col("a_root")) & (F.abs(F.col("s") - F.col("similarity")) <= span)) \
+        .where(~F.col("outside") | (F.col("a") < F.col("node"))).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
     open_pairs = written(open_pairs.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "near-open")
     if not open_pairs.isEmpty():
-        linked = linked.union(_verify(open_pairs, body).where(F.col("similarity") >= similarity))
-
-    roots = components(linked.select("a", "b"))
+        extra = _verify(open_pairs, body).where(F.col("similarity") >= similarity)
+        if not extra.isEmpty():  # links between components: join their roots
+            one, two = (roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("a", "b"))
+            between = extra.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+            upper = components(between).toDF("root", "top")
+            roots = roots.join(upper, "root", "left").select("node", F.coalesce("top", "root").alias("root")) \
+                .union(upper.join(roots.select(F.col("node").alias("root")), "root", "left_anti"))
     placed = nodes.select("h1", "h2", "node", "name").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = placed.groupBy("root").agg(F.min("name").alias("class_id"))
     classes = placed.join(names, "root").select("h1", "h2", "class_id")
