@@ -3,7 +3,11 @@
 Texts become tokens in which numbers, units after a number and names
 (capitalised words inside a sentence) are typed placeholders.  Windows of
 ``WINDOW`` canonical tokens of the documents are hash-joined with those of the
-benchmark items.  The windows of a (document, item) pair that lie on one
+benchmark items, and beside them windows of the plain lower-cased tokens, with
+numbers and names as they are, so that a verbatim copy is found whatever the
+placeholders make of it (other case, other text before it, few plain words).  A
+name at the head of a window is also taken as a plain word, as an item's first
+word is none.  The windows of a (document, item) pair that lie on one
 diagonal (same offset between the two) must cover ``MIN_COVERAGE`` of the
 item's tokens in all; on the best diagonal the slots must be consistent: a
 value of the item always stands for the same value in the document.  So a
@@ -13,7 +17,8 @@ that merely has the same form is not.
 Defined cases: null and tokenless texts match nothing; items shorter than a
 window are one window of their own length, items of fewer than ``MIN_TOKENS``
 tokens are not looked for; windows with fewer than ``MIN_LITERALS`` plain words
-are left out on both sides; repeated documents and items are reported one by
+count only where the plain tokens are equal; white space of any kind and length
+is one blank; repeated documents and items are reported one by
 one, by key; an empty input gives no rows.  Other columns are not read.
 
 The document side is one scan: its windows are built, joined and dropped in
@@ -33,7 +38,7 @@ MIN_TOKENS = 3
 MIN_LITERALS = 3
 MIN_COVERAGE = 0.5
 MAX_BROADCAST_WINDOWS = 1_000_000
-WINDOWS = "array<struct<pos:int,hash:bigint,slots:int>>"
+WINDOWS = "array<struct<pos:int,hash:bigint>>"
 
 NUM, NAME, UNIT = "\ue000", "\ue001", "\ue002"  # private-use characters, blanked in the input first
 # Units of measure and money after a number.
@@ -45,51 +50,79 @@ UNITS = ["km", "m", "cm", "mm", "kg", "g", "mg", "l", "ml", "s", "ms", "h", "min
 def _marked(text: Column) -> Column:
     """Text in which each slot is one token led by its type's mark."""
     t = F.translate(F.coalesce(text, F.lit("")), NUM + NAME + UNIT, "   ")
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;:]\x20)(\p{Lu}\p{Ll}+)(?!\p{L})", NAME + "$1")
+    t = F.regexp_replace(t, r"(?<=[\p{L}\p{N},;:])([\s\p{Z}]++)(\p{Lu}\p{Ll}+)(?!\p{L})", "$1" + NAME + "$2")
     t = F.regexp_replace(t, r"(?<!\p{N})\p{N}+(?:[.,:/]\p{N}+)*", " " + NUM + "$0 ")
-    return F.regexp_replace(t, rf"({NUM}[^ ]+ +)((?i:{'|'.join(UNITS)}))(?!\p{{L}})", "$1" + UNIT + "$2")
+    return F.regexp_replace(t, rf"({NUM}[^ ]+[\s\p{{Z}}]+)((?i:{'|'.join(UNITS)}))(?!\p{{L}})", "$1" + UNIT + "$2")
 
 
 def _tokens(marked: Column) -> Column:
-    return F.regexp_extract_all(marked, F.lit(rf"{NUM}[^ ]+|[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(marked), F.lit(rf"{NUM}[^ ]+|[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+"), F.lit(0))
 
 
-def _canonical(text: Column) -> Column:
-    """Canonical tokens, as many as ``_tokens(_marked(text))``."""
-    bare = F.regexp_replace(F.regexp_replace(_marked(text), rf"{NUM}[^ ]+", NUM), rf"([{NAME}{UNIT}])\p{{L}}+", "$1")
-    return F.regexp_extract_all(F.lower(bare), F.lit(rf"[{NUM}{NAME}{UNIT}]|[\p{{L}}\p{{M}}]+"), F.lit(0))
+def _slot(token: Column) -> Column:
+    return F.substring(token, 1, 1).isin(NUM, NAME, UNIT)
 
 
-def _windows(tokens: Column, size: int) -> Column:
-    """Structs of pos and hash for each window with enough plain words (marks hash to 0)."""
-    def build(codes: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(0), F.size(codes) - size), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(codes, i + 1, size)).alias("hash"), (
-            F.aggregate(F.slice(codes, i + 1, size), F.lit(0), lambda a, c: a + F.when(c == 0, 1).otherwise(0))).alias("slots")))
-        plain = F.transform(F.sequence(F.lit(0), F.size(codes) - size), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(codes, i + 1, size)).alias("hash"), F.lit(0).alias("slots")))
-        return F.when(F.array_contains(codes, F.lit(0).cast("long")), F.filter(each, lambda w: w["slots"] <= max(size - MIN_LITERALS, 0))).otherwise(plain)
+def _plain(token: Column) -> Column:
+    """A token without its mark."""
+    return F.when(_slot(token), F.substr(token, F.lit(2))).otherwise(token)
 
-    codes = F.transform(tokens, lambda t: F.when(t.isin(NUM, NAME, UNIT), F.lit(0).cast("long")).otherwise(F.xxhash64(t)))
-    return F.when(F.size(tokens) >= size, F.transform(F.array(codes), build)[0]).otherwise(F.array().cast(WINDOWS))
+
+def _windows(raw: Column, sizes: list[int]) -> Column:
+    """Structs of pos and hash for each window: of plain tokens, and of canonical tokens (marks hash to 0) with enough plain words."""
+    def every(size: int, codes: Column, made: Column) -> Column:
+        return F.when(F.size(codes) >= size, made).otherwise(F.array().cast(WINDOWS))
+
+    def plain(codes: Column, size: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(codes) - size), lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(codes, i + 1, size)).alias("hash")))
+
+    def slotted(literal: Column, canon: Column, names: Column, size: int) -> Column:
+        few = max(size - MIN_LITERALS, 0)
+
+        def variants(counted: Column) -> Column:
+            template = F.transform(F.filter(counted, lambda w: (w["slots"] > 0) & (w["slots"] <= few)), lambda w: F.struct(
+                w["pos"].alias("pos"), F.xxhash64(F.slice(canon, w["pos"] + 1, size)).alias("hash")))
+            # a name at the head as a plain word, where other slots make this differ from the plain window
+            headed = F.transform(F.filter(counted, lambda w: (w["slots"] > 1) & (w["slots"] <= few + 1) & F.get(names, w["pos"])), lambda w: F.struct(
+                w["pos"].alias("pos"), F.xxhash64(F.concat(F.slice(literal, w["pos"] + 1, 1), F.slice(canon, w["pos"] + 2, size - 1))).alias("hash")))
+            return F.concat(plain(literal, size), template, headed)
+
+        counted = F.transform(F.sequence(F.lit(0), F.size(canon) - size), lambda i: F.struct(i.alias("pos"), F.aggregate(
+            F.slice(canon, i + 1, size), F.lit(0), lambda a, c: a + F.when(c == 0, 1).otherwise(0)).alias("slots")))
+        return F.transform(F.array(counted), variants)[0]
+
+    def coded(r: Column) -> Column:
+        literal, names = F.transform(r, lambda t: F.xxhash64(_plain(t))), F.transform(r, lambda t: t.startswith(NAME))
+
+        def build(canon: Column) -> Column:
+            both = F.transform(F.array(F.struct(literal.alias("literal"), names.alias("names"))), lambda s: F.concat(*[every(n, canon, slotted(s["literal"], canon, s["names"], n)) for n in sizes]))[0]
+            # without slots the canonical tokens are the plain ones
+            return F.when(F.array_contains(canon, F.lit(0).cast("long")), both).otherwise(F.concat(*[every(n, canon, plain(canon, n)) for n in sizes]))
+
+        return F.transform(F.array(F.transform(r, lambda t: F.when(_slot(t), F.lit(0).cast("long")).otherwise(F.xxhash64(t)))), build)[0]
+
+    # each lambda over an array of one holds a value that is used more than once
+    return F.transform(F.array(raw), coded)[0]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
                window: int = WINDOW, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """One row per contaminated (document, item): keys, n_windows, coverage of the item, n_slots, n_changed slots."""
     items = benchmark.select(F.col(f"`{item_key}`").alias("item"), F.monotonically_increasing_id().alias("item_row"), F.col(f"`{item_text}`").alias("t")) \
-        .select("item", "item_row", _canonical(F.col("t")).alias("canon"), _tokens(_marked(F.col("t"))).alias("raw")) \
-        .withColumn("n_tokens", F.size("canon")).where(F.col("n_tokens") >= MIN_TOKENS)
+        .select("item", "item_row", _tokens(_marked(F.col("t"))).alias("raw")) \
+        .withColumn("n_tokens", F.size("raw")).where(F.col("n_tokens") >= MIN_TOKENS)
     items = written(items, "leak-items")
     sizes = sorted(r[0] for r in items.select(F.least("n_tokens", F.lit(window)).alias("n")).distinct().collect())  # at most `window` numbers
     known, found = None, None
     for size in sizes:
-        own = items.where(F.least("n_tokens", F.lit(window)) == size).select("item_row", F.explode_outer(_windows(F.col("canon"), size)).alias("w")).where("w is not null").select("item_row", F.col("w.pos").alias("bpos"), F.col("w.hash").alias("hash"), F.lit(size).alias("size"))
+        own = items.where(F.least("n_tokens", F.lit(window)) == size).select("item_row", F.explode_outer(F.array_distinct(_windows(F.col("raw"), [size]))).alias("w")).where("w is not null").select("item_row", F.col("w.pos").alias("bpos"), F.col("w.hash").alias("hash"), F.lit(size).alias("size"))
         known = own if known is None else known.unionByName(own)
     if known is None:
         return docs.sparkSession.createDataFrame([], f"`{key}` {dict(docs.dtypes)[key]}, `{item_key}` {dict(benchmark.dtypes)[item_key]}, n_windows long, coverage double, n_slots long, n_changed long")
     known = written(known, "leak-windows")
     small = known.count() <= MAX_BROADCAST_WINDOWS
-    # one lambda holds the tokens, so they are made once; explode_outer, as explode would add a filter that makes the windows twice
-    made = F.transform(F.array(_canonical(F.col(f"`{text}`"))), lambda canon: F.concat(*[_windows(canon, n) for n in sizes]))[0]
+    # explode_outer, as explode would add a filter that makes the windows twice
+    made = _windows(_tokens(_marked(F.col(f"`{text}`"))), sizes)
     windows = docs.select(F.col(f"`{key}`").alias("doc"), F.explode_outer(made).alias("w")).select("doc", F.col("w.pos").alias("dpos"), F.col("w.hash").alias("hash"))
     hits = windows.join(F.broadcast(known) if small else known, "hash").select("doc", "item_row", "bpos", "size", (F.col("dpos") - F.col("bpos")).alias("diagonal"))
     lines = hits.groupBy("doc", "item_row", "diagonal").agg(F.collect_set(F.struct("bpos", "size")).alias("at"))
@@ -100,15 +133,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         F.max(F.struct(F.size("covered").alias("n"), (-F.col("diagonal")).alias("back"), F.col("covered"))).alias("best"))
     item_side = F.broadcast(items) if small else items
     pairs = pairs.join(item_side, "item_row").withColumn("coverage", F.size(F.array_distinct("all_covered")) / F.col("n_tokens")).where(F.col("coverage") >= F.lit(min_coverage))
-    slot = lambda t: F.substring(t, 1, 1).isin(NUM, NAME, UNIT)
     pairs = written(pairs.select("doc", "item", F.size(F.array_distinct("all_at")).alias("n_windows"), "coverage", "raw", (-F.col("best.back")).alias("diagonal"),
-                                 F.filter(F.col("best.covered"), lambda p: slot(F.get("raw", p))).alias("slots")), "leak-pairs")
+                                 F.filter(F.col("best.covered"), lambda p: _slot(F.get("raw", p))).alias("slots")), "leak-pairs")
     plain = pairs.where(F.size("slots") == 0).withColumns({"n_slots": F.lit(0), "n_changed": F.lit(0)})
     # texts are read again for pairs with slots only; a table of their own, so that its size decides how it is joined
     with_slots = written(pairs.where(F.size("slots") > 0), "leak-slots")
     texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
     slotted = with_slots.join(texts, "doc").withColumn("own", _tokens(_marked(F.col("t")))) \
-        .withColumn("values", F.transform("slots", lambda p: F.struct(F.lower(F.get("raw", p)).alias("b"), F.lower(F.get("own", p + F.col("diagonal"))).alias("d"))))
+        .withColumn("values", F.transform("slots", lambda p: F.struct(_plain(F.get("raw", p)).alias("b"), _plain(F.get("own", p + F.col("diagonal"))).alias("d"))))
     consistent = F.size(F.array_distinct(F.transform("values", lambda v: v["b"]))) == F.size(F.array_distinct("values"))
     slotted = slotted.where(consistent).withColumns({"n_slots": F.size("slots"), "n_changed": F.size(F.filter("values", lambda v: v["b"] != v["d"]))})
     out = ["doc", "item", "n_windows", "coverage", "n_slots", "n_changed"]

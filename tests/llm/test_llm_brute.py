@@ -147,6 +147,18 @@ def test_decontamination_catches_new_parameters(spark):
     assert found.pop((1, 1)) == 0 and found.pop((2, 1)) >= 4
     assert (3, 1) not in found and (4, 1) not in found and (6, 2) in found
 
+def leaked(spark, docs, items):
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {(r["doc_id"], r["item_id"]): r["n_changed"] for r in got}
+
+
+def test_decontamination_finds_copies_whatever_stands_before_or_between(spark):
+    items = [(1, "What is the capital of France?"), (2, "Near the old mill Tom Smith met Ann and Bob Jones, then they went to Paris with Sue for 3 days"), (3, "What is 12 + 30 + 7?")]
+    docs = [(1, "Question: What is the capital of France? Answer"), (2, "as they say What is the capital of France"), (3, "x " + items[1][1].replace(" ", "\n")), (4, "x " + items[1][1].replace(" ", "  ")),
+            (5, items[1][1].lower()), (6, "y. " + items[1][1].upper()), (7, "so what is 12 + 30 + 7"), (8, "Question: What is the capital of Spain?"), (9, "Question: Where is the harbour of France?"), (10, "what is 12 + 31 + 7")]
+    found = leaked(spark, docs, items)
+    assert found == {(1, 1): 0, (2, 1): 0, (3, 2): 0, (4, 2): 0, (5, 2): 0, (6, 2): 0, (7, 3): 0, (8, 1): 1}
+
 
 def test_decontamination_finds_every_whole_item(spark, sf_small):
     docs, items = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark"))
