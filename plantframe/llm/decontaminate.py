@@ -8,9 +8,11 @@ numbers and names as they are, so that a verbatim copy is found whatever the
 placeholders make of it (other case, other text before it, few plain words).  A
 name at the head of a window is also taken as a plain word, as an item's first
 word is none.  The windows of a (document, item) pair that lie on one
-diagonal (same offset between the two) must cover ``MIN_COVERAGE`` of the
-item's tokens in all; on the best diagonal the slots must be consistent: a
-value of the item always stands for the same value in the document.  So a
+diagonal (same offset between the two) are taken together.  All of a pair's
+windows must cover ``MIN_COVERAGE`` of the item's tokens, and on a diagonal that
+covers as much by itself (if none does, on one that covers the most) the slots
+must be consistent: a value of the item always stands for the same value in the
+document.  Each such diagonal is checked; one that is consistent is enough.  So a
 question asked again with other numbers, names or units is caught, and a text
 that merely has the same form is not.
 
@@ -128,23 +130,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     lines = hits.groupBy("doc", "item_row", "diagonal").agg(F.collect_set(F.struct("bpos", "size")).alias("at"))
     # item tokens that a diagonal's windows cover
     lines = lines.withColumn("covered", F.array_distinct(F.flatten(F.transform("at", lambda w: F.sequence(w["bpos"], w["bpos"] + w["size"] - 1)))))
-    pairs = lines.groupBy("doc", "item_row").agg(
-        F.flatten(F.collect_list("at")).alias("all_at"), F.flatten(F.collect_list("covered")).alias("all_covered"),
-        F.max(F.struct(F.size("covered").alias("n"), (-F.col("diagonal")).alias("back"), F.col("covered"))).alias("best"))
+    pairs = lines.groupBy("doc", "item_row").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_windows"), F.collect_list(F.struct(F.size("covered").alias("n"), "diagonal", "covered")).alias("each"))
     item_side = F.broadcast(items) if small else items
-    pairs = pairs.join(item_side, "item_row").withColumn("coverage", F.size(F.array_distinct("all_covered")) / F.col("n_tokens")).where(F.col("coverage") >= F.lit(min_coverage))
-    pairs = written(pairs.select("doc", "item", F.size(F.array_distinct("all_at")).alias("n_windows"), "coverage", "raw", (-F.col("best.back")).alias("diagonal"),
-                                 F.filter(F.col("best.covered"), lambda p: _slot(F.get("raw", p))).alias("slots")), "leak-pairs")
-    plain = pairs.where(F.size("slots") == 0).withColumns({"n_slots": F.lit(0), "n_changed": F.lit(0)})
-    # texts are read again for pairs with slots only; a table of their own, so that its size decides how it is joined
-    with_slots = written(pairs.where(F.size("slots") > 0), "leak-slots")
+    pairs = pairs.join(item_side, "item_row").withColumn("coverage", F.size(F.array_distinct(F.flatten("each.covered"))) / F.col("n_tokens")).where(F.col("coverage") >= F.lit(min_coverage))
+    # one row per document, item and diagonal that can speak for the pair
+    least = F.least(F.lit(min_coverage), F.array_max("each.n") / F.col("n_tokens"))
+    pairs = pairs.withColumn("least", least).select("doc", "item", "item_row", "n_windows", "coverage", "raw", F.explode(F.filter("each", lambda x: x["n"] / F.col("n_tokens") >= F.col("least"))).alias("x"))
+    slots = F.transform(F.filter("x.covered", lambda p: _slot(F.get("raw", p))), lambda p: F.struct((p + F.col("x.diagonal")).alias("at"), _plain(F.get("raw", p)).alias("b")))
+    pairs = written(pairs.select("doc", F.struct("item", "item_row", "n_windows", "coverage", "x.n", "x.diagonal").alias("line"), slots.alias("slots")), "leak-pairs")
+    plain = pairs.where(F.size("slots") == 0).select("doc", "line", F.lit(0).alias("n_slots"), F.lit(0).alias("n_changed"))
+    # texts are read again for pairs with slots only, once for all of a document's; a table of their own, so that its size decides how it is joined
+    with_slots = written(pairs.where(F.size("slots") > 0).groupBy("doc").agg(F.collect_list(F.struct("line", "slots")).alias("asked")), "leak-slots")
     texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
-    slotted = with_slots.join(texts, "doc").withColumn("own", _tokens(_marked(F.col("t")))) \
-        .withColumn("values", F.transform("slots", lambda p: F.struct(_plain(F.get("raw", p)).alias("b"), _plain(F.get("own", p + F.col("diagonal"))).alias("d"))))
+
+    def answered(own: Column) -> Column:
+        return F.transform("asked", lambda x: F.struct(x["line"].alias("line"), F.transform(x["slots"], lambda s: F.struct(s["b"].alias("b"), _plain(F.get(own, s["at"])).alias("d"))).alias("values")))
+
+    slotted = with_slots.join(texts, "doc").select("doc", F.explode(F.transform(F.array(_tokens(_marked(F.col("t")))), answered)[0]).alias("x")).select("doc", "x.*")
     consistent = F.size(F.array_distinct(F.transform("values", lambda v: v["b"]))) == F.size(F.array_distinct("values"))
-    slotted = slotted.where(consistent).withColumns({"n_slots": F.size("slots"), "n_changed": F.size(F.filter("values", lambda v: v["b"] != v["d"]))})
-    out = ["doc", "item", "n_windows", "coverage", "n_slots", "n_changed"]
-    both = plain.select(*out).unionByName(slotted.select(*out)).dropDuplicates(["doc", "item"])
+    slotted = slotted.where(consistent).select("doc", "line", F.size("values").alias("n_slots"), F.size(F.filter("values", lambda v: v["b"] != v["d"])).alias("n_changed"))
+    # of several consistent diagonals the one that covers most is reported, the first of those
+    first = F.max(F.struct("line.coverage", "line.n", (-F.col("line.diagonal")).alias("back"), (-F.col("n_changed")).alias("same"), "line.n_windows", "n_slots", "n_changed")).alias("best")
+    both = plain.unionByName(slotted).groupBy("doc", F.col("line.item").alias("item")).agg(first).select("doc", "item", "best.*")
     return both.select(F.col("doc").alias(key), F.col("item").alias(item_key), F.col("n_windows").cast("long").alias("n_windows"), "coverage", F.col("n_slots").cast("long").alias("n_slots"), F.col("n_changed").cast("long").alias("n_changed"))
 
 

@@ -159,6 +159,15 @@ def test_decontamination_finds_copies_whatever_stands_before_or_between(spark):
     found = leaked(spark, docs, items)
     assert found == {(1, 1): 0, (2, 1): 0, (3, 2): 0, (4, 2): 0, (5, 2): 0, (6, 2): 0, (7, 3): 0, (8, 1): 1}
 
+def test_decontamination_checks_every_diagonal(spark):
+    """A torn question first, then the item as it is or with other values."""
+    item = "A farmer in the valley named Tom has 12 sheep and sells 5 sheep to Ann for 40 dollars each, how much does Tom get"
+    torn, other = item.replace("named Tom", "named Bob"), item.replace("Tom", "Max").replace("12", "31")
+    docs = [(1, f"x {torn}. And now {item}"), (2, f"x {torn}. Then {torn}. Last {other}"), (3, f"x {torn}. Again {torn}"), (4, f"x {other}")]
+    assert leaked(spark, docs, [(1, item)]) == {(1, 1): 0, (2, 1): 3, (4, 1): 3}
+    halves = item.replace("sells 5 sheep", "sells over there 5 sheep").replace("farmer in the", "farmer in all the")  # no diagonal of half the item
+    assert (5, 1) in leaked(spark, [(5, f"x {halves}")], [(1, item)])
+
 
 def test_decontamination_finds_every_whole_item(spark, sf_small):
     docs, items = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "benchmark"))
