@@ -1,12 +1,13 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A document is its five-word shingles, weighted 1 + ln(count).  Every shingle
+A document is the set of its five-word shingles, each of weight 1 however often
+it recurs, as links are judged by the plain Jaccard similarity of the sets.  Every shingle
 starts a Poisson process of arrivals with its weight as the rate, seeded by the
 shingle; each arrival falls on a random register, and a register keeps its
 earliest arrival.  A shingle's process ends as soon as its next arrival is
 later than the latest register of its document, so most shingles draw once or
 twice.  The chance that two documents agree in a register is their probability
-Jaccard similarity (for equal weights the plain one).  Registers are grouped in
+Jaccard similarity, which for equal weights is the plain one.  Registers are grouped in
 bands; documents that agree in a band are candidates.
 
 Documents with the same words are one node from the start.  In a bucket of
@@ -95,8 +96,8 @@ def signatures(bands: int, rows: int):
         for block in text_blocks(batches):
             raw, bounds = text_buffer(block.column("text"))
             words = Words(raw, bounds)
-            doc, code, count = shingles(words)
-            picked = prob_min_hash(doc, code, 1 + np.log(count), block.num_rows, bands * rows).reshape(-1, bands, rows)
+            doc, code, _ = shingles(words)
+            picked = prob_min_hash(doc, code, np.ones(code.size), block.num_rows, bands * rows).reshape(-1, bands, rows)
             key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), picked.shape[:2])
             for r in range(rows):
                 key = mix(key * U64(0x9E3779B97F4A7C15) + picked[:, :, r])

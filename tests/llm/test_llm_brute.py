@@ -126,6 +126,20 @@ def test_near_duplicates(spark):
     assert sorted(r["doc_id"] for r in kept) == sorted(set(brute_classes(docs).values()))
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    """Pairs just over the similarity, one text with a passage many times over or with the same shingles in other numbers."""
+    docs = []
+    for pair in range(20):
+        base = [f"p{pair}w{i}" for i in range(104)]  # 100 shingles
+        foot = [f"p{pair}f{i}" for i in range(17)]
+        docs += [(10 * pair, " ".join(base)), (10 * pair + 1, " ".join(base + foot * 200))]  # 21 shingles more, 17 of them 199 to 200 times
+        docs += [(10 * pair + 2, " ".join(foot * 3)), (10 * pair + 3, " ".join(foot * 200))]  # the same set
+    expected = brute_classes(docs)
+    assert all(expected[10 * p + 1] == 10 * p and expected[10 * p + 3] == 10 * p + 2 for p in range(20))
+    got = near_dedup.near_duplicate_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == expected
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     code = _arrays.mix(np.arange(60, dtype=np.uint64))
