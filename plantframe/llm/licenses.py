@@ -7,6 +7,12 @@ bounds the sizes: t/(2-t)·|B| <= |A| <= (2-t)/t·|B|.  So a table maps each
 possible size to the templates it could match; units of other sizes are pruned
 before any bigram is built, the rest meet only those templates.
 
+A notice that is only a part of its line or paragraph is found by word windows:
+every run of at most (2-t)/t·|B| bigrams that starts at one of B's bigrams, in
+documents that hold the t/(2-t)·|B| of B's bigrams that a match needs.  A
+document has one "window" row at most for a template, its best window (the
+first of equal ones, unit_no is its first word), and none if a unit matches.
+
 Defined cases: null and wordless texts match nothing; texts of one word have
 no bigram and match nothing; of several templates with the same score the
 first name wins; repeated rows are judged one by one; an empty input gives no
@@ -21,6 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_DICE = 0.8
+#: Words of any text: taken last where words that tell of a template are chosen (speed only).
+COMMON = {"a", "all", "and", "any", "as", "at", "be", "by", "can", "for", "following", "general", "in", "included", "including", "is", "may", "not", "of", "on", "one", "or",
+          "otherwise", "particular", "provided", "public", "shall", "source", "subject", "that", "the", "this", "to", "under", "version", "was", "with", "work", "you"}
 
 # Public licence notices and short licence texts, with their class.
 TEMPLATES: dict[str, tuple[str, str]] = {
@@ -56,14 +65,58 @@ def _templates(spark, templates: dict[str, tuple[str, str]], min_dice: float) ->
     return one.withColumn("size", F.explode(F.sequence(F.ceil(n * F.lit(min_dice / (2 - min_dice)) - 1e-9).cast("int"), F.floor(n * F.lit((2 - min_dice) / min_dice) + 1e-9).cast("int"))))
 
 
+def _telling_words(templates: dict[str, tuple[str, str]], min_dice: float) -> list[str]:
+    """Words of which a text with a window of any template has at least one: those of a template touch more bigrams than a match can miss."""
+    out: set[str] = set()
+    for _, t in templates.values():
+        w = re.findall(r"[^\W_]+", t.lower())
+        grams = {*zip(w, w[1:])}
+        touched: set = set()
+        for x in sorted({*w}, key=lambda x: (x in COMMON, x not in out, -len(x), x)):
+            if len(touched) > len(grams) * (1 - min_dice / (2 - min_dice)) + 1e-9:
+                break
+            touched |= {g for g in grams if x in g}
+            out.add(x)
+    return sorted(out)
+
+
+def _windows(body: DataFrame, units: Column, templates: dict[str, tuple[str, str]], min_dice: float) -> DataFrame:
+    """The best window of each (document, template) of which no unit matches."""
+    some = body.where(F.lower("t").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_telling_words(templates, min_dice))})(?![\p{{L}}\p{{N}}])"))
+    whole = _templates(body.sparkSession, templates, min_dice).select("license", "license_class", "grams").distinct()
+    in_order = lambda w: F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i))))
+    n = F.size("grams")
+    met = some.select("key", "t", F.transform(F.array(_words(F.col("t"))), in_order)[0].alias("all")).crossJoin(F.broadcast(whole)) \
+        .where(F.size(F.array_intersect("all", "grams")) >= n * F.lit(min_dice / (2 - min_dice)) - 1e-9)
+    most = F.floor(n * F.lit((2 - min_dice) / min_dice) + 1e-9).cast("int")
+
+    def grown(run: Column) -> Column:
+        """Greatest Dice of the windows that start with the run."""
+        seen = F.transform(run, lambda g, j: F.struct((F.array_position(run, g) == j + 1).cast("int").alias("new"), F.array_contains("grams", g).cast("int").alias("hit")))
+
+        def step(s: Column, f: Column) -> Column:
+            own, common = s["own"] + f["new"], s["common"] + f["new"] * f["hit"]
+            return F.struct(own.alias("own"), common.alias("common"), F.greatest(s["dice"], F.lit(2.0) * common / (own + n)).alias("dice"))
+
+        return F.aggregate(seen, F.struct(F.lit(0).alias("own"), F.lit(0).alias("common"), F.lit(0.0).alias("dice")), step, lambda s: s["dice"])
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.array_contains("grams", F.get("all", i)))
+    best = F.array_max(F.transform(starts, lambda i: F.struct(F.transform(F.array(F.slice("all", i + 1, most)), grown)[0].alias("dice"), (-i).alias("back"))))
+    met = met.withColumn("best", best).where(F.col("best.dice") >= F.lit(min_dice))
+    dice = lambda w: F.transform(F.array(_bigrams(w)), lambda own: F.lit(2.0) * F.size(F.array_intersect(own, F.col("grams"))) / (F.size(own) + n))[0]
+    matches = F.exists(units, lambda u: F.transform(F.array(_words(u["t"])), lambda w: (F.size(w) > 1) & (F.when(F.size(w) > 1, dice(w)).otherwise(0.0) >= F.lit(min_dice)))[0])
+    return met.where(~matches).select("key", F.lit("window").alias("unit"), (-F.col("best.back")).alias("unit_no"), "license", "license_class", F.col("best.dice").alias("dice"))
+
+
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", min_dice: float = MIN_DICE, templates: dict[str, tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """One row per matching (unit, template): key, unit (line, paragraph or document), unit_no, license, license_class, dice."""
+    """One row per matching (unit, template): key, unit (line, paragraph, document or window), unit_no, license, license_class, dice."""
     body = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     lines = F.transform(F.split("t", "\n", -1), lambda x, i: F.struct(F.lit("line").alias("unit"), i.alias("unit_no"), x.alias("t")))
     blocks = F.filter(F.transform(F.split("t", "\n[\\x20\\t\\r]*\n", -1), lambda x, i: F.struct(F.lit("paragraph").alias("unit"), i.alias("unit_no"), x.alias("t"))), lambda x: F.contains(x["t"], F.lit("\n")))
     whole = F.when(F.contains("t", F.lit("\n\n")) | F.col("t").rlike("\n[\\x20\\t\\r]*\n"), F.array(F.struct(F.lit("document").alias("unit"), F.lit(0).alias("unit_no"), F.col("t").alias("t"))))
     # explode_outer, as explode would add a filter that makes the units twice
-    units = body.select("key", F.explode_outer(F.concat(lines, blocks, F.coalesce(whole, F.array().cast("array<struct<unit:string,unit_no:int,t:string>>")))).alias("u")).select("key", "u.*")
+    every = F.concat(lines, blocks, F.coalesce(whole, F.array().cast("array<struct<unit:string,unit_no:int,t:string>>")))
+    units = body.select("key", F.explode_outer(every).alias("u")).select("key", "u.*")
     table = _templates(docs.sparkSession, templates, min_dice)
     # before any bigram is built: n distinct bigrams need n + 1 words and at most n + 1 distinct ones
     sizes = [len({*zip(w, w[1:])}) for _, t in templates.values() if (w := re.findall(r"[^\W_]+", t.lower()))]
@@ -74,4 +127,5 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     # the template table is fixed by the parameter: its rows number 14 texts times their possible sizes
     met = counted.join(F.broadcast(table), "size")
     dice = F.lit(2.0) * F.size(F.array_intersect("own", "grams")) / (F.col("size") + F.size("grams"))
-    return met.withColumn("dice", dice).where(F.col("dice") >= F.lit(min_dice)).select("key", "unit", "unit_no", "license", "license_class", "dice").withColumnRenamed("key", key)
+    found = met.withColumn("dice", dice).where(F.col("dice") >= F.lit(min_dice)).select("key", "unit", "unit_no", "license", "license_class", "dice")
+    return found.unionByName(_windows(body, every, templates, min_dice)).withColumnRenamed("key", key)

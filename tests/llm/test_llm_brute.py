@@ -202,6 +202,19 @@ def test_license_dice(spark):
     assert [(r["unit"], r["unit_no"]) for r in licenses.scan_licenses(para).collect() if r["license"] == "mit-text" and r["unit"] == "paragraph"] == [("paragraph", 1)]
 
 
+def test_license_inside_lines_and_paragraphs(spark):
+    text = {n: t for n, (_, t) in licenses.TEMPLATES.items()}
+    junk = " ".join(f"w{i}" for i in range(90)) + " "
+    docs = [(1, "Copyright 2020 X Inc. Released under the MIT License. See LICENSE for details."), (2, junk + text["mit-text"].replace("free of charge", "at no charge") + " " + junk),
+            (3, junk + "\nthis is released under\nthe MIT License and\n" + junk), (4, junk + " under the mit " + junk + " license released"), (5, "a b\n" + text["mit-notice"] + "\nc d " + text["mit-notice"]),
+            (None, junk + text["gpl-header"] + junk), (6, "We hold that all rights reserved here stay.")]
+    got = {(r["doc_id"], r["unit"], r["license"]): (r["unit_no"], r["dice"]) for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[(1, "window", "mit-notice")] == (4, 1.0) and got[(3, "window", "mit-notice")] == (92, 1.0)
+    assert got[(2, "window", "mit-text")][0] == 90 and 0.95 < got[(2, "window", "mit-text")][1] < 1
+    assert got[(None, "window", "gpl-header")] == (90, 1.0) and got[(6, "window", "all-rights-reserved")] == (3, 1.0)
+    assert {k for k in got if k[0] in (4, 5)} == {(5, "line", "mit-notice")}
+
+
 def test_quality_repeat_words(spark):
     rng = random.Random(2)
     docs = [(i, " ".join(rng.choice(["a", "b"]) for _ in range(rng.randrange(40)))) for i in range(60)]
