@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plantframe.llm import licenses, line_dedup, mixing, quality, url_filter
+from plantframe.llm import hard_negatives, licenses, line_dedup, mixing, quality, url_filter, vector_codes
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -163,6 +163,38 @@ p as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijkl
 select page_id, host, path, {rule} "rule", coalesce({site}, {glob}) verdict from p"""
 
 
+def _vector_codes() -> str:
+    p, e = vector_codes.PARTS, vector_codes.ENTRIES
+    steps = []
+    for r in range(vector_codes.ROUNDS + 1):  # nearest entry, ties to the lower one, then new entries
+        steps.append(f"""near{r} as (select r, part, min(d * {e} + entry) % {e} entry, min(d * {e} + entry) // {e} d from (
+  select r, part, entry, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - b[i]) * (x[i] - b[i]))) d from parts join book{r} using (part)) group by r, part)""")
+        steps.append(f"""sums{r} as (select part, entry, i, sum(x[i]) s, count(*) n from (select part, entry, x, unnest(range(1, len(x) + 1)) i from near{r} join parts using (r, part)) group by all),
+book{r + 1} as (select part, entry, coalesce(m, b) b from book{r} left join (select part, entry, list(((s - ((s % n) + n) % n) // n)::bigint order by i) m from sums{r} group by part, entry) using (part, entry))""")
+    last = vector_codes.ROUNDS
+    return f"""
+with kept as (select row_number() over () r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as (select r, part, v[part * len(v) // {p} + 1:(part + 1) * len(v) // {p}] x from (select r, v, unnest(range({p})) part from kept)),
+book0 as (select part, entry, x b from (select r, row_number() over (order by vec_id) - 1 entry from kept qualify entry < {e}) join parts using (r)),
+{", ".join(steps)},
+coded as (select r, string_agg(printf('%02x', entry::int), '' order by part) code, sum(d)::bigint error from near{last} group by r),
+books as (select sha256(string_agg(array_to_string(b, ','), ',' order by part, entry)) h from book{last})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, h codebooks_sha256 from coded join kept using (r), books"""
+
+
+def _hard_negatives() -> str:
+    h = hard_negatives
+    return f"""
+with rows_ as (select vec_id id, case when vec_id % {h.NOISY_STEP} = 0 then (label + 1) % {h.LABELS} else label end label, list_transform(embedding, lambda x: floor(256 * x::double)) v
+  from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+met as (select a.id a, b.id b, a.label = b.label same, list_inner_product(a.v, b.v)::bigint s from rows_ a join rows_ b on a.id % {h.ANCHOR_STEP} = 0 and a.id <> b.id),
+pos as (select a, b p, s ps from met where same qualify row_number() over (partition by a order by s desc, b) <= {h.POSITIVES})
+select a anchor_id, p positive_id, (row_number() over (partition by a, p order by s desc, b))::int "rank", b negative_id, ps positive_score, s negative_score
+from pos join met using (a) where not same and {h.LEAST_SHARE} * ps <= 100 * s and 100 * s <= {h.MOST_SHARE} * ps
+qualify row_number() over (partition by a, p order by s desc, b) <= {h.NEGATIVES}"""
+
+
 ORACLES: dict[str, str] = {
     "op2_quality_rules": _quality(),
     "op3_license_scan": _licenses(),
@@ -172,4 +204,6 @@ ORACLES: dict[str, str] = {
     "op8_suffix_array_dedup": _byte_repeats(),
     "op9_source_mixing": _mix(),
     "op10_url_filter": _urls(),
+    "op11_vector_dictionary_codes": _vector_codes(),
+    "op13_hilbert_hard_negatives": _hard_negatives(),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantframe.llm.oracles import ORACLES  # noqa: F401 - read by the registry
-from plantframe.llm import decontaminate, licenses, line_dedup, mixing, near_dedup, quality, rlz_dedup, suffix_dedup, toxicity, url_filter
+from plantframe.llm import decontaminate, hard_negatives, licenses, line_dedup, mixing, near_dedup, quality, rlz_dedup, suffix_dedup, token_counts, toxicity, url_filter, vector_codes
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -59,7 +59,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages")).drop("globs")
 
 
+def op11_vector_dictionary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_hilbert_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_quality_rules, op3_license_scan, op4_toxicity, op5_probminhash_near_dedup, op6_line_dedup,
-    op7_relative_lempel_ziv_dedup, op8_suffix_array_dedup, op9_source_mixing, op10_url_filter)}
+    op7_relative_lempel_ziv_dedup, op8_suffix_array_dedup, op9_source_mixing, op10_url_filter, op11_vector_dictionary_codes,
+    op12_heap_token_counts, op13_hilbert_hard_negatives)}
 
