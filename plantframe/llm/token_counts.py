@@ -10,8 +10,8 @@ passed over when they come up.  The count is the number of symbols at the start
 minus the number of merges; no token id is ever looked up.  A character that
 no piece has stands for its UTF-8 bytes, a symbol each that never merges.
 
-Segments recur, so a task remembers the counts of short ones; the memory is
-emptied when it is full, which changes no result.  There is no shuffle.
+Segments and their parts recur, so a task remembers the counts of short ones; the
+memory is emptied when it is full, which changes no result.  There is no shuffle.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; repeated rows are
 counted one by one; a null key stays null; an empty input gives no rows; other
@@ -21,10 +21,12 @@ costs n log n steps.
 
 from __future__ import annotations
 
-import heapq
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
+from heapq import heapify, heappop, heappush
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +39,7 @@ from plantframe.llm._arrays import text_blocks
 TOKEN_LIMIT = 4096
 #: sentencepiece's sign for a blank.
 BLANK = "▁"
-#: Segments that a task remembers, and the longest of them.
+#: Segments and parts that a task remembers, and the longest of them.
 REMEMBERED, REMEMBERED_LENGTH = 400_000, 48
 
 
@@ -48,67 +50,73 @@ class Merges:
     """
 
     def __init__(self, cost: dict[str, float], prefix: bool):
-        self.cost, self.prefix = cost, prefix
+        places = {c: i for i, c in enumerate(sorted(set(cost.values())))}
+        self.rank, self.prefix = {piece: places[c] for piece, c in cost.items()}, prefix
         self.inside = {a + b for piece in cost for a, b in zip(piece, piece[1:])}
         #: no piece has a blank behind another character, so blanks start segments
-        self.by_blank = not any(pair[1] == BLANK != pair[0] for pair in self.inside)
-        self.known: dict[str, int] = {}
+        by_blank = not any(pair[1] == BLANK != pair[0] for pair in self.inside)
+        self.segments = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+" if by_blank else "(?s).+")
+        self.known, self.known_parts = Memory(self.segment), Memory(self.merged)
 
     def count(self, text: str) -> int:
         """Symbols left of a whole text."""
         if not text:
             return 0
-        text = (BLANK if self.prefix else "") + text.replace(" ", BLANK)
-        known, total = self.known, 0
-        for segment in re.findall(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+", text) if self.by_blank else [text]:
-            n = known.get(segment)
-            if n is None:
-                n = sum(map(self.merged, self.parts(segment)))
-                if len(segment) <= REMEMBERED_LENGTH:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[segment] = n
-            total += n
-        return total
-
-    def parts(self, segment: str) -> Iterator[str]:
-        """The segment cut between characters that no piece has side by side."""
-        start = 0
-        for i in range(1, len(segment)):
-            if segment[i - 1:i + 1] not in self.inside:
-                yield segment[start:i]
+        return sum(map(self.known.__getitem__, self.segments.findall((BLANK if self.prefix else "") + text.replace(" ", BLANK))))
+
+    def segment(self, segment: str) -> int:
+        """The same of a segment, cut between characters that no piece has side by side."""
+        total, start, inside = 0, 0, self.inside
+        for i, pair in enumerate(map(add, segment, segment[1:]), 1):
+            if pair not in inside:
+                total += self.known_parts[segment[start:i]]
                 start = i
-        yield segment[start:]
+        return total + self.known_parts[segment[start:]]
 
     def merged(self, part: str) -> int:
         """Symbols at the start minus merges."""
-        n = len(part)
+        n, rank = len(part), self.rank
         if n == 1:
-            return 1 if part in self.cost else len(part.encode())
-        cost = self.cost
+            return 1 if part in rank else len(part.encode())
         symbol: list[str | None] = list(part)
-        before, after = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
-        heap = [(cost[pair], i, pair) for i, pair in enumerate(map("".join, zip(part, part[1:]))) if pair in cost]
-        heapq.heapify(heap)
+        links = list if n <= REMEMBERED_LENGTH else partial(array, "q")
+        before, after = links(range(-1, n - 1)), links(range(1, n + 1))
+        # a pair is its rank and its left symbol's place, in one number
+        heap = [rank[pair] * n + i for i, pair in enumerate(map(add, part, part[1:])) if pair in rank]
+        heapify(heap)
         merges = 0
         while heap:
-            _, left, pair = heapq.heappop(heap)
-            right = after[left]
-            if right >= n or symbol[left] is None or symbol[left] + symbol[right] != pair:
+            best, left = divmod(heappop(heap), n)
+            right, first = after[left], symbol[left]
+            if right >= n or first is None or rank.get(first + symbol[right]) != best:
                 continue  # one of the two has merged with another neighbour
-            symbol[left], symbol[right] = pair, None
-            after[left] = after[right]
-            if after[left] < n:
-                before[after[left]] = left
             merges += 1
-            for i in (before[left], left):
-                j = after[i] if i >= 0 else n
-                if j < n:
-                    longer = symbol[i] + symbol[j]
-                    if longer in cost:
-                        heapq.heappush(heap, (cost[longer], i, longer))
-        alone = sum(len(c.encode()) - 1 for c in part if c not in cost)
-        return n + alone - merges
+            first += symbol[right]
+            symbol[left], symbol[right] = first, None
+            after[left] = right = after[right]
+            if right < n:
+                before[right] = left
+                if (longer := rank.get(first + symbol[right])) is not None:
+                    heappush(heap, longer * n + left)
+            if (left := before[left]) >= 0 and (longer := rank.get(symbol[left] + first)) is not None:
+                heappush(heap, longer * n + left)
+        return n + sum(len(c.encode()) - 1 for c in part if c not in rank) - merges
+
+
+class Memory(dict):
+    """Results of a function for short strings, emptied when full."""
+
+    def __init__(self, of: Callable[[str], int]):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, key: str) -> int:
+        value = self.of(key)
+        if len(key) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = value
+        return value
 
 
 def read_pieces(path: str) -> tuple[dict[str, float], bool]:
