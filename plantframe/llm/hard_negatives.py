@@ -314,7 +314,7 @@ def _mined(fine: DataFrame, dims: int, positives: int, negatives: int) -> DataFr
     ordered = fine.mapInArrow(placed(dims, axes, low, step), "place long, id long, label long, vector binary").repartitionByRange(parts, "place", "id").sortWithinPartitions("place", "id")
     table = written(ordered.withColumn("part", F.spark_partition_id()).mapInArrow(blocks(dims, deals), BLOCK), "negative-blocks")
     homes = table.mapInArrow(own_block(dims, positives), ANCHOR)
-    anchors = written(homes.repartitionByRange(groups, "block", "id").withColumn("grp", F.spark_partition_id().cast("long")), "negative-anchors")
+    anchors = written(homes.repartitionByRange(groups, "block", "id").withColumn("grp", F.spark_partition_id().cast("long") % groups), "negative-anchors")
 
     friends = _search(anchors, table, dims, deals, groups, False, positives).groupBy("id").agg(F.sort_array(F.collect_list(F.struct(F.col("other").alias("positive"), "score"))).alias("positives"))
     return _search(anchors.join(friends, "id"), table, dims, deals, groups, True, negatives)

@@ -122,6 +122,15 @@ def test_hard_negatives(spark, monkeypatch, seed, n, block, deal, group):
     assert got
 
 
+def test_more_partitions_than_asked_for(spark, monkeypatch):
+    """A cluster that raises partition counts spreads the anchors over more of them than there are groups."""
+    kind = type(spark.range(1))
+    plain = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, n, *cols: plain(self, 29, *cols))
+    rows = vectors(5, 900, 4, 0.3)
+    assert sorted(map(tuple, hard_negatives.mine(frame(spark, rows)).collect())) == brute_negatives(rows)
+
+
 def test_hard_negatives_odd_rows(spark):
     odd = [r for r in ODD if r[0] not in (6, 11)] + [(101, [1e300, -3.0, 5.0, 0.0], 1), (102, [2e4, 0.0, 0.0, 1.0], 2), (200, [0.5, 0.5, 0.5, 0.5], 9), (203, [0.4, 0.5, 0.5, 0.5], 8)]
     got = sorted(map(tuple, hard_negatives.mine(frame(spark, odd)).collect()))
