@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plantframe.llm import hard_negatives, licenses, line_dedup, mixing, quality, url_filter, vector_codes
+from plantframe.llm import hard_negatives, licenses, line_dedup, mixing, near_dedup, quality, url_filter, vector_codes
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -63,10 +63,14 @@ from met join n_own using (u) join n_tg using (license) join texts using (u) whe
 def _near() -> str:
     return f"""
 with recursive w as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') ws from documents),
-s as (select distinct doc_id, array_to_string(ws[i:i + 4], ' ') g from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) i from w where len(ws) > 0)),
-n as (select doc_id, count(*) n from s group by doc_id),
-common as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
-links as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where c::double / (x.n + y.n - c) >= 0.8::double),
+s as (select doc_id, array_to_string(ws[i:i + 4], ' ') g, count(*)::double x from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) i from w where len(ws) > 0) group by all),
+n as (select doc_id, sum(x) n from s group by doc_id),
+common as (select a.doc_id a, b.doc_id b, sum(a.x) ca, sum(b.x) cb from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+pairs as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 1 / (x.n / ca + y.n / cb - 1) >= {near_dedup.SIMILARITY}::double - 1e-9::double),
+kinds as (select a, b, x, y, count(*)::double k from (
+  select a, b, g, max(case when doc_id = a then x else 0 end) x, max(case when doc_id = b then x else 0 end) y from pairs join s on doc_id in (a, b) group by a, b, g) group by all),
+links as (select a, b from (select i.a, i.b, i.k / sum(j.k * greatest(j.x / i.x, j.y / i.y)) part from kinds i join kinds j on i.a = j.a and i.b = j.b where i.x > 0 and i.y > 0 group by i.a, i.b, i.x, i.y, i.k)
+  group by a, b having sum(part) >= {near_dedup.SIMILARITY}::double),
 both_ways as (select a, b from links union all select b, a from links),
 reach(node, root) as (select a, a from both_ways union select b, root from reach join both_ways on node = a where b > root),
 least as (select node, min(root) root from reach group by node)

@@ -101,8 +101,13 @@ def near_corpus():
     return out + [(2000, "x y"), (2001, "x  y"), (2002, "x")]
 
 
+def similarity(x, y):
+    """Probability Jaccard similarity of two Counters, by its definition."""
+    return sum(1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in x.keys() | y.keys()) for i in x.keys() & y.keys())
+
+
 def brute_classes(docs):
-    sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for i, t in docs if (w := WORD.findall(t))}
+    bags = {i: Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) for i, t in docs if (w := WORD.findall(t))}
     root = {i: i for i, _ in docs}
 
     def find(x):
@@ -110,9 +115,15 @@ def brute_classes(docs):
             x = root[x]
         return x
 
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+    def linked(a, b):
+        n = len(bags[a].keys() & bags[b].keys())
+        if set(bags[a].values()) == {1} == set(bags[b].values()):
+            return n / len(bags[a].keys() | bags[b].keys()) >= 0.8
+        return n and similarity(bags[a], bags[b]) >= 0.8
+
+    for a in bags:
+        for b in bags:
+            if a < b and find(a) != find(b) and linked(a, b):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {i: find(i) for i, _ in docs}
@@ -127,19 +138,107 @@ def test_near_duplicates(spark):
 
 
 def test_near_duplicates_with_repeated_passages(spark):
-    """Pairs just over the similarity, one text with a passage many times over or with the same shingles in other numbers."""
+    """Texts that repeat passages: the counts decide, not the sets."""
     docs = []
     for pair in range(20):
         base = [f"p{pair}w{i}" for i in range(104)]  # 100 shingles
         foot = [f"p{pair}f{i}" for i in range(17)]
-        docs += [(10 * pair, " ".join(base)), (10 * pair + 1, " ".join(base + foot * 200))]  # 21 shingles more, 17 of them 199 to 200 times
-        docs += [(10 * pair + 2, " ".join(foot * 3)), (10 * pair + 3, " ".join(foot * 200))]  # the same set
+        docs += [(10 * pair, " ".join(base)), (10 * pair + 1, " ".join(base + foot * 200))]  # the foot outweighs the rest
+        docs += [(10 * pair + 2, " ".join(foot * 30)), (10 * pair + 3, " ".join(foot * 200))]  # nearly the same shares
+        docs += [(10 * pair + 4, " ".join(base * 2 + foot)), (10 * pair + 5, " ".join(base * 3 + foot))]
     expected = brute_classes(docs)
-    assert all(expected[10 * p + 1] == 10 * p and expected[10 * p + 3] == 10 * p + 2 for p in range(20))
+    assert all(expected[10 * p + 1] == expected[10 * p + 2] == expected[10 * p + 3] == 10 * p + 1 and expected[10 * p + 4] == expected[10 * p + 5] == 10 * p for p in range(20))
     got = near_dedup.near_duplicate_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
     assert {r["doc_id"]: r["class_id"] for r in got} == expected
 
 
+def edited_copies(n, edits, length=300, seed=9):
+    """Copies of one text, each with words of its own at random places."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(length)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(length), edits):
+            words[k] = f"x{i}_{k}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_weighted_similarity_and_its_bound():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        size = int(rng.integers(1, 12))
+        codes = [np.sort(rng.choice(40, int(rng.integers(1, 20)), replace=False)).astype(np.uint64) for _ in range(size)]
+        weights = [rng.integers(1, rng.choice([2, 4, 30]), c.size) for c in codes]
+        shared = near_dedup.common_weights(codes, weights)
+        for a in range(size):
+            for b in range(size):
+                x, y = (Counter(dict(zip(codes[i].tolist(), weights[i].tolist()))) for i in (a, b))
+                exact = similarity(x, y)
+                assert abs(near_dedup.prob_jaccard(codes[a], weights[a], codes[b], weights[b]) - exact) < 1e-9
+                if a != b:
+                    assert shared[a, b] == sum(x[i] for i in x.keys() & y.keys())
+                    bound = 1 / (sum(x.values()) / float(shared[a, b]) + sum(y.values()) / float(shared[b, a]) - 1) if shared[a, b] else 0.0
+                    assert exact <= bound + 1e-9
+
+
+@pytest.mark.parametrize("dense", [2, 16])
+def test_common_weights_of_frequent_shingles(monkeypatch, dense):
+    monkeypatch.setattr(near_dedup, "DENSE_FROM", dense)
+    monkeypatch.setattr(near_dedup, "DENSE_COLUMNS", 3)
+    rng = np.random.default_rng(2)
+    codes = [np.sort(rng.choice(25, 12, replace=False)).astype(np.uint64) for _ in range(60)]
+    weights = [rng.integers(1, 5, 12) for _ in codes]
+    shared = near_dedup.common_weights(codes, weights)
+    for a, b in ((0, 1), (5, 40), (59, 3)):
+        assert shared[a, b] == weights[a][np.isin(codes[a], codes[b])].sum()
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_large_groups_near_the_similarity(spark, monkeypatch, block):
+    """Copies of which some pairs reach the similarity and most don't, in one block and in many."""
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", block)
+    docs = edited_copies(120, 6) + [(1000 + i, t) for i, t in edited_copies(60, 2, seed=3)] + [(2000, edited_copies(1, 6)[0][1])]
+    expected = brute_classes(docs)
+    assert 1 < len(set(expected.values())) < 121
+    got = near_dedup.near_duplicate_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == expected
+
+
+def test_rows_grow_with_the_copies_not_their_pairs(spark, monkeypatch):
+    """Copies just below the similarity, so that no link takes any of them out: no table has a row per pair."""
+    rows = {}
+    for n in (400, 800, 1600):
+        written, most = near_dedup.written, [0]
+
+        def counted(df, name):
+            out = written(df, name)
+            most.append(out.count())
+            return out
+
+        monkeypatch.setattr(near_dedup, "written", counted)
+        docs = spark.createDataFrame(edited_copies(n, 5, 200), "doc_id long, text string")
+        got = near_dedup.near_duplicate_classes(docs).collect()
+        monkeypatch.setattr(near_dedup, "written", written)
+        rows[n] = max(most)
+        assert len(got) == n
+        if n == 400:
+            expected = brute_classes(edited_copies(n, 5, 200))
+            assert {r["doc_id"]: r["class_id"] for r in got} == expected and len(set(expected.values())) > 300
+    assert rows[1600] < 5 * rows[400]
+
+
+def test_one_row_of_each_class_whatever_the_ids(spark):
+    """Rows without an id and rows with one id for different texts are documents of their own."""
+    text = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, text), (None, text), (7, other), (7, other + " tail"), (3, text), (None, other), (9, text + " more"), (9, "short"), (9, None), (None, ""), (None, "alone here")]
+    kept = sorted(map(tuple, near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()), key=str)
+    assert [(i, t) for i, t in kept if t != other and t != other + " tail"] == sorted([(3, text), (9, "short"), (9, None), (None, ""), (None, "alone here")], key=str)
+    assert len(kept) == 6
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     code = _arrays.mix(np.arange(60, dtype=np.uint64))
