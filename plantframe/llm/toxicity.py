@@ -9,9 +9,13 @@ quotation marks or after a verb of reporting it is a quotation, else abuse, more
 so beside an address ("you").  Sums of these feed a logistic regression.
 
 Training reads a bounded sample (``MAX_TRAIN`` documents, drawn by a hash of the
-id); one half learns the lexicon, the other the regression, so that words that
-are rare by chance don't look better than they are.  The lexicon has at most
-``MAX_TERMS`` terms.  Scoring is one scan of all documents.
+id), one row of each id.  The regression sees each half of it through a lexicon learned
+from the other half, so that words that are rare by chance don't look better than they
+are; the lexicon that scores is learned from both.  Misspellings and quotations
+are rare in labelled rows, so the regression sees every toxic document also
+with its hits misspelled (toxic as well) and with its hits quoted (not toxic).
+A term must occur in several toxic documents of the sample, which bounds the lexicon.
+Scoring is one scan of all documents.
 
 Defined cases: a null or wordless text has no hits and gets the regression's
 base score; a null doc_id or label is never trained on; a document with several
@@ -34,11 +38,10 @@ from plantframe.llm._arrays import Words, byte_codes, prefix_sums, range_hash, t
 from plantframe.llm._scratch import written
 
 MAX_TRAIN = 24_000
-MAX_TERMS = 4_000
 MIN_SUPPORT = 5
 MIN_LOG_ODDS = 2.5
 #: Bytes of the stems that are learned beside whole words, for terms that come with many endings.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 MIN_STEM_SUPPORT = 8
 MAX_DISTANCE = 1
 #: Shorter terms are not searched with errors.
@@ -160,6 +163,10 @@ class Scorer:
         return None if found is None or not found[1] else (self.strength[found[0]], found[1])
 
     def features(self, block: pa.RecordBatch) -> np.ndarray:
+        return np.log1p(np.maximum(self.sums(block), 0))
+
+    def sums(self, block: pa.RecordBatch) -> np.ndarray:
+        """The features before the logarithm."""
         data, words = _lowered(block)
         out = np.zeros((block.num_rows, len(FEATURES)))
         code, first, which = np.unique(words.code, return_index=True, return_inverse=True)
@@ -191,7 +198,7 @@ class Scorer:
                 row[0] += strength
                 row[1] += 1
         out[:, 2] = 100 * out[:, 2] / np.maximum(words.count, 20)
-        return np.log1p(np.maximum(out, 0))
+        return out
 
     @staticmethod
     def _context(data: bytes, words: Words, at: int, doc: int) -> tuple[bool, bool]:
@@ -217,6 +224,15 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 50) ->
     return w
 
 
+def with_variants(sums: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents, and toxic ones again with all hits misspelled (toxic) and with all hits quoted (not toxic)."""
+    hits = sums[toxic & (sums[:, 1] + sums[:, 3] > 0)]
+    n = hits[:, 1] + hits[:, 3]
+    misspelled, quoted = hits.copy(), np.zeros_like(hits)
+    misspelled[:, [0, 1]], misspelled[:, 3], quoted[:, 4] = 0, n, n
+    return np.concatenate([sums, misspelled, quoted]), np.concatenate([toxic, np.ones(len(hits), bool), np.zeros(len(hits), bool)])
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN) -> tuple[list[tuple[str, float, int]], np.ndarray | None]:
     """Lexicon (term, log-odds, support) and weights, from a bounded sample of the rows that are not held out."""
     own = labels.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic")).where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id"))) \
@@ -224,30 +240,46 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     n = own.count()
     share = min(1.0, max_train / max(n, 1))
     sample = own.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    # at most about max_train rows of an id and a label
-    rows = written(docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), "id"), "toxic-train")
-    half = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(2))
-    words = rows.where(half == 0).select("text", "toxic").mapInArrow(count_words, "word binary, toxic long, docs long").groupBy("word").agg(F.sum("toxic").alias("a"), F.sum("docs").alias("n"))
-    a_all, n_all = rows.where(half == 0).agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
+    # at most about max_train rows: of a repeated id the least text
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(sample), "id")
+    rows = written(rows.groupBy("id", "toxic").agg(F.min("text").alias("text")), "toxic-train")
+    rows = rows.withColumn("half", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(2)).cast("int"))
+    totals = {r["half"]: (r["a"], r["n"]) for r in rows.groupBy("half").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).collect()}
+    a_all, n_all = (sum(t[i] for t in totals.values()) for i in (0, 1))
     if not 0 < a_all < n_all:
         return [], None
-    odds = F.log((F.col("a") + 0.5) / (F.lit(a_all) + 1.0)) - F.log((F.col("n") - F.col("a") + 0.5) / (F.lit(n_all - a_all) + 1.0))
-    top = words.where(F.col("a") >= F.when(F.substring("word", -1, 1) == F.lit(b"*"), MIN_STEM_SUPPORT).otherwise(MIN_SUPPORT)).withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS).orderBy(F.desc(F.col("odds") * F.log("a")), "word").limit(MAX_TERMS).collect()
-    lexicon = [(bytes(r["word"]).decode("utf-8", "surrogateescape"), float(r["odds"]), int(r["a"])) for r in top]
-
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(lexicon, MAX_DISTANCE)
-        for block in text_blocks(batches):
-            x = scorer.features(block)
-            yield pa.RecordBatch.from_arrays([block.column("toxic"), *[pa.array(x[:, i]) for i in range(len(FEATURES))]], names=["toxic", *FEATURES])
-
-    seen = rows.where(half == 1).select("text", "toxic").mapInArrow(learn, "toxic int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas()
+    counted = "word binary, toxic long, docs long"
+    words = [rows.where(F.col("half") == h).select("text", "toxic").mapInArrow(count_words, counted).groupBy("word").agg(F.sum("toxic").alias("a"), F.sum("docs").alias("n")) for h in (0, 1)]
+    lexicons = [_lexicon(words[h], *totals.get(h, (0, 0))) for h in (0, 1)]
+    lexicon = _lexicon(words[0].unionByName(words[1]).groupBy("word").agg(F.sum("a").alias("a"), F.sum("n").alias("n")), a_all, n_all)
+
+    def learner(terms: list[tuple[str, float, int]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scorer = Scorer(terms, MAX_DISTANCE)
+            for block in text_blocks(batches):
+                x, toxic = with_variants(scorer.sums(block), block.column("toxic").to_numpy(zero_copy_only=False) > 0)
+                x = np.log1p(np.maximum(x, 0))
+                yield pa.RecordBatch.from_arrays([pa.array(toxic.astype(np.int32)), *[pa.array(x[:, i]) for i in range(len(FEATURES))]], names=["toxic", *FEATURES])
+
+        return run
+
+    features = "toxic int, " + ", ".join(f"{f} double" for f in FEATURES)
+    # each half is seen through the other half's lexicon
+    seen = rows.where("half = 0").select("text", "toxic").mapInArrow(learner(lexicons[1]), features).union(rows.where("half = 1").select("text", "toxic").mapInArrow(learner(lexicons[0]), features)).toPandas()
     y = (seen["toxic"] > 0).to_numpy(float)
     if not 0 < y.sum() < len(y):
         return lexicon, None
     return lexicon, _fit(seen[FEATURES].to_numpy(), y)
 
 
+def _lexicon(words: DataFrame, toxic: int, total: int) -> list[tuple[str, float, int]]:
+    """Terms of enough toxic documents and log-odds, from counts of documents (a: toxic, n: all)."""
+    odds = F.log((F.col("a") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("n") - F.col("a") + 0.5) / F.lit(total - toxic + 1.0))
+    least = F.when(F.substring("word", -1, 1) == F.lit(b"*"), MIN_STEM_SUPPORT).otherwise(MIN_SUPPORT)
+    top = words.where(F.col("a") >= least).withColumn("odds", odds).where(F.col("odds") >= MIN_LOG_ODDS).orderBy(F.desc(F.col("odds") * F.log("a")), "word").collect()
+    return [(bytes(r["word"]).decode("utf-8", "surrogateescape"), float(r["odds"]), int(r["a"])) for r in top]
+
+
 def score(docs: DataFrame, lexicon: list[tuple[str, float, int]], weights: np.ndarray | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, held_out, score and predicted of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
