@@ -2,15 +2,16 @@
 
 Pages are grouped by host.  For each (host, line) the pages that contain the
 line are counted and divided by the host's page total; lines above the
-boilerplate ratio are dropped from every page of that host.
+boilerplate ratio are dropped from every page of that host, if at least
+``LEAST_PAGES`` pages have them.
 
 Defined cases: a null text has no lines and stays null; lines without a word
 are never counted or dropped; lines compare after trimming white space; a line
 that a page repeats counts once for that page, and all its repeats are
-dropped; null hosts are one host; hosts with fewer than ``min_pages`` pages
-keep all their lines, as a share of a few pages says nothing.  Repeated rows
-(same key) are pages of their own.  Columns other than the text pass through.
-A page that is boilerplate only stays, with an empty text.
+dropped; null hosts are one host; the rule is the same for hosts of every size.
+Repeated rows (same key) are pages of their own.  A line of any length is one line.
+Columns other than the text pass through.  A page that is boilerplate only
+stays, with an empty text.
 
 Each page sends a distinct 64-bit line hash once, summed on the map side, so
 neither a hot host nor a line on a third of all pages meets in one task.  A
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from plantframe.llm._scratch import written
 
 RATIO = 0.05
-MIN_PAGES = 20
+#: A line on fewer pages of its host is never boilerplate.
+LEAST_PAGES = 3
 SPACES = " \t\n\x0b\x0c\r"
 #: The table of boilerplate has a row a host; up to so many rows and lines it is broadcast, beyond that joined by salted shuffle.
 MAX_BROADCAST_HOSTS = 10_000
@@ -43,12 +45,12 @@ def _has_word(line: Column) -> Column:
     return F.btrim(line, F.lit(SPACES)) != ""
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, host: str, text: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """One row per host with boilerplate: host_key and the hashes of its lines, at most lines-a-page / ratio of them."""
     rows = pages.select(_host_key(host).alias("host_key"), F.col(text).alias("t"))
-    totals = rows.groupBy("host_key").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
+    totals = rows.groupBy("host_key").agg(F.count(F.lit(1)).alias("pages"))
     lines = rows.select("host_key", F.explode(F.array_distinct(F.transform(F.filter(F.split("t", "\n", -1), _has_word), _code))).alias("line"))
-    counts = lines.groupBy("host_key", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_pages * ratio)
+    counts = lines.groupBy("host_key", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
     return counts.join(totals, "host_key").where(F.col("n") > F.col("pages") * F.lit(ratio)) \
         .groupBy("host_key").agg(F.collect_list("line").alias("lines"))
 
@@ -57,14 +59,14 @@ def _host_key(host: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit("~"))
 
 
-def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES,
                      counts: bool = False, length: str | None = None) -> DataFrame:
     """``pages`` without boilerplate lines.
 
     With ``counts`` also n_lines and n_dropped (replacing columns of that name);
     a column named by ``length`` gets the new length of a text that lost lines.
     """
-    found = written(boilerplate(pages, f"`{host}`", f"`{text}`", ratio, min_pages), "boilerplate")
+    found = written(boilerplate(pages, f"`{host}`", f"`{text}`", ratio, least_pages), "boilerplate")
     size = found.agg(F.count(F.lit(1)).alias("hosts"), F.coalesce(F.sum(F.size("lines")), F.lit(0)).alias("lines")).first()
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"), _host_key(f"`{host}`").alias("host_key"), F.col(f"`{text}`").alias("t"))
     if size["hosts"] <= MAX_BROADCAST_HOSTS and size["lines"] <= MAX_BROADCAST_LINES:

@@ -81,9 +81,9 @@ def _lines() -> str:
     blank = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return f"""
 with d as (select row_number() over () r, doc_id, coalesce('=' || source, '~') h, text, string_split(text, chr(10)) ls from documents),
-totals as (select h, count(*) pages from d group by h having count(*) >= {line_dedup.MIN_PAGES}),
+totals as (select h, count(*) pages from d group by h),
 u as (select distinct r, h, trim(l, {blank}) l from (select r, h, unnest(ls) l from d) where trim(l, {blank}) <> ''),
-boiler as (select h, l from (select h, l, count(*) n from u group by h, l) join totals using (h) where n > pages * {line_dedup.RATIO}::double),
+boiler as (select h, l from (select h, l, count(*) n from u group by h, l) join totals using (h) where n > pages * {line_dedup.RATIO}::double and n >= {line_dedup.LEAST_PAGES}),
 sets as (select h, list(l) bs from boiler group by h),
 k as (select doc_id, text, ls, case when bs is null then ls else list_filter(ls, lambda x: not list_contains(bs, trim(x, {blank}))) end ks from d left join sets using (h))
 select doc_id, coalesce(len(ls), 0)::bigint n_lines, coalesce(len(ls) - len(ks), 0)::bigint n_dropped, array_to_string(ks, chr(10)) text from k"""
