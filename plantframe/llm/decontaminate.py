@@ -20,8 +20,9 @@ Defined cases: null and tokenless texts match nothing; items shorter than a
 window are one window of their own length, items of fewer than ``MIN_TOKENS``
 tokens are not looked for; windows with fewer than ``MIN_LITERALS`` plain words
 count only where the plain tokens are equal; white space of any kind and length
-is one blank; repeated documents and items are reported one by
-one, by key; an empty input gives no rows.  Other columns are not read.
+is one blank; rows with the same key and text are one document, so rows without a
+key are told apart by their texts (each is reported, and dropped, for itself);
+an empty input gives no rows.  Other columns are not read.
 
 The document side is one scan: its windows are built, joined and dropped in
 the same stage if the benchmark's windows are few enough to be broadcast
@@ -107,9 +108,17 @@ def _windows(raw: Column, sizes: list[int]) -> Column:
     return F.transform(F.array(raw), coded)[0]
 
 
+def _document(key: str, text: str) -> list[Column]:
+    """A document's key and its text's hash."""
+    return [F.col(f"`{key}`").alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("own")]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
-               window: int = WINDOW, min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """One row per contaminated (document, item): keys, n_windows, coverage of the item, n_slots, n_changed slots."""
+               window: int = WINDOW, min_coverage: float = MIN_COVERAGE, mark: str | None = None) -> DataFrame:
+    """One row per contaminated (document, item): keys, n_windows, coverage of the item, n_slots, n_changed slots.
+
+    A column named by ``mark`` gets the hash that tells documents of one key apart.
+    """
     items = benchmark.select(F.col(f"`{item_key}`").alias("item"), F.monotonically_increasing_id().alias("item_row"), F.col(f"`{item_text}`").alias("t")) \
         .select("item", "item_row", _tokens(_marked(F.col("t"))).alias("raw")) \
         .withColumn("n_tokens", F.size("raw")).where(F.col("n_tokens") >= MIN_TOKENS)
@@ -120,42 +129,42 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
         own = items.where(F.least("n_tokens", F.lit(window)) == size).select("item_row", F.explode_outer(F.array_distinct(_windows(F.col("raw"), [size]))).alias("w")).where("w is not null").select("item_row", F.col("w.pos").alias("bpos"), F.col("w.hash").alias("hash"), F.lit(size).alias("size"))
         known = own if known is None else known.unionByName(own)
     if known is None:
-        return docs.sparkSession.createDataFrame([], f"`{key}` {dict(docs.dtypes)[key]}, `{item_key}` {dict(benchmark.dtypes)[item_key]}, n_windows long, coverage double, n_slots long, n_changed long")
+        return docs.sparkSession.createDataFrame([], f"`{key}` {dict(docs.dtypes)[key]}, {f'`{mark}` long, ' if mark else ''}`{item_key}` {dict(benchmark.dtypes)[item_key]}, n_windows long, coverage double, n_slots long, n_changed long")
     known = written(known, "leak-windows")
     small = known.count() <= MAX_BROADCAST_WINDOWS
     # explode_outer, as explode would add a filter that makes the windows twice
     made = _windows(_tokens(_marked(F.col(f"`{text}`"))), sizes)
-    windows = docs.select(F.col(f"`{key}`").alias("doc"), F.explode_outer(made).alias("w")).select("doc", F.col("w.pos").alias("dpos"), F.col("w.hash").alias("hash"))
-    hits = windows.join(F.broadcast(known) if small else known, "hash").select("doc", "item_row", "bpos", "size", (F.col("dpos") - F.col("bpos")).alias("diagonal"))
-    lines = hits.groupBy("doc", "item_row", "diagonal").agg(F.collect_set(F.struct("bpos", "size")).alias("at"))
+    windows = docs.select(*_document(key, text), F.explode_outer(made).alias("w")).select("doc", "own", F.col("w.pos").alias("dpos"), F.col("w.hash").alias("hash"))
+    hits = windows.join(F.broadcast(known) if small else known, "hash").select("doc", "own", "item_row", "bpos", "size", (F.col("dpos") - F.col("bpos")).alias("diagonal"))
+    lines = hits.groupBy("doc", "own", "item_row", "diagonal").agg(F.collect_set(F.struct("bpos", "size")).alias("at"))
     # item tokens that a diagonal's windows cover
     lines = lines.withColumn("covered", F.array_distinct(F.flatten(F.transform("at", lambda w: F.sequence(w["bpos"], w["bpos"] + w["size"] - 1)))))
-    pairs = lines.groupBy("doc", "item_row").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_windows"), F.collect_list(F.struct(F.size("covered").alias("n"), "diagonal", "covered")).alias("each"))
+    pairs = lines.groupBy("doc", "own", "item_row").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_windows"), F.collect_list(F.struct(F.size("covered").alias("n"), "diagonal", "covered")).alias("each"))
     item_side = F.broadcast(items) if small else items
     pairs = pairs.join(item_side, "item_row").withColumn("coverage", F.size(F.array_distinct(F.flatten("each.covered"))) / F.col("n_tokens")).where(F.col("coverage") >= F.lit(min_coverage))
     # one row per document, item and diagonal that can speak for the pair
     least = F.least(F.lit(min_coverage), F.array_max("each.n") / F.col("n_tokens"))
-    pairs = pairs.withColumn("least", least).select("doc", "item", "item_row", "n_windows", "coverage", "raw", F.explode(F.filter("each", lambda x: x["n"] / F.col("n_tokens") >= F.col("least"))).alias("x"))
+    pairs = pairs.withColumn("least", least).select("doc", "own", "item", "item_row", "n_windows", "coverage", "raw", F.explode(F.filter("each", lambda x: x["n"] / F.col("n_tokens") >= F.col("least"))).alias("x"))
     slots = F.transform(F.filter("x.covered", lambda p: _slot(F.get("raw", p))), lambda p: F.struct((p + F.col("x.diagonal")).alias("at"), _plain(F.get("raw", p)).alias("b")))
-    pairs = written(pairs.select("doc", F.struct("item", "item_row", "n_windows", "coverage", "x.n", "x.diagonal").alias("line"), slots.alias("slots")), "leak-pairs")
-    plain = pairs.where(F.size("slots") == 0).select("doc", "line", F.lit(0).alias("n_slots"), F.lit(0).alias("n_changed"))
+    pairs = written(pairs.select("doc", "own", F.struct("item", "item_row", "n_windows", "coverage", "x.n", "x.diagonal").alias("line"), slots.alias("slots")), "leak-pairs")
+    plain = pairs.where(F.size("slots") == 0).select("doc", "own", "line", F.lit(0).alias("n_slots"), F.lit(0).alias("n_changed"))
     # texts are read again for pairs with slots only, once for all of a document's; a table of their own, so that its size decides how it is joined
-    with_slots = written(pairs.where(F.size("slots") > 0).groupBy("doc").agg(F.collect_list(F.struct("line", "slots")).alias("asked")), "leak-slots")
-    texts = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
+    with_slots = written(pairs.where(F.size("slots") > 0).groupBy("doc", "own").agg(F.collect_list(F.struct("line", "slots")).alias("asked")), "leak-slots")
+    texts = docs.select(*_document(key, text), F.col(f"`{text}`").alias("t")).withColumnsRenamed({"doc": "doc_", "own": "own_"})
 
     def answered(own: Column) -> Column:
         return F.transform("asked", lambda x: F.struct(x["line"].alias("line"), F.transform(x["slots"], lambda s: F.struct(s["b"].alias("b"), _plain(F.get(own, s["at"])).alias("d"))).alias("values")))
 
-    slotted = with_slots.join(texts, "doc").select("doc", F.explode(F.transform(F.array(_tokens(_marked(F.col("t")))), answered)[0]).alias("x")).select("doc", "x.*")
+    slotted = with_slots.join(texts, (F.col("own") == F.col("own_")) & F.col("doc").eqNullSafe(F.col("doc_"))).select("doc", "own", F.explode(F.transform(F.array(_tokens(_marked(F.col("t")))), answered)[0]).alias("x")).select("doc", "own", "x.*")
     consistent = F.size(F.array_distinct(F.transform("values", lambda v: v["b"]))) == F.size(F.array_distinct("values"))
-    slotted = slotted.where(consistent).select("doc", "line", F.size("values").alias("n_slots"), F.size(F.filter("values", lambda v: v["b"] != v["d"])).alias("n_changed"))
+    slotted = slotted.where(consistent).select("doc", "own", "line", F.size("values").alias("n_slots"), F.size(F.filter("values", lambda v: v["b"] != v["d"])).alias("n_changed"))
     # of several consistent diagonals the one that covers most is reported, the first of those
     first = F.max(F.struct("line.coverage", "line.n", (-F.col("line.diagonal")).alias("back"), (-F.col("n_changed")).alias("same"), "line.n_windows", "n_slots", "n_changed")).alias("best")
-    both = plain.unionByName(slotted).groupBy("doc", F.col("line.item").alias("item")).agg(first).select("doc", "item", "best.*")
-    return both.select(F.col("doc").alias(key), F.col("item").alias(item_key), F.col("n_windows").cast("long").alias("n_windows"), "coverage", F.col("n_slots").cast("long").alias("n_slots"), F.col("n_changed").cast("long").alias("n_changed"))
+    both = plain.unionByName(slotted).groupBy("doc", "own", F.col("line.item").alias("item")).agg(first).select("doc", "own", "item", "best.*")
+    return both.select(F.col("doc").alias(key), *([F.col("own").alias(mark)] if mark else []), F.col("item").alias(item_key), F.col("n_windows").cast("long").alias("n_windows"), "coverage", F.col("n_slots").cast("long").alias("n_slots"), F.col("n_changed").cast("long").alias("n_changed"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without contaminated documents."""
-    leaks = written(find_leaks(docs, benchmark, key, text, **options).select(F.col(key).alias("_leak")).distinct(), "leaks")
-    return docs.join(leaks, docs[key] == leaks["_leak"], "left_anti")
+    leaks = written(find_leaks(docs, benchmark, key, text, mark="_own", **options).select(F.col(f"`{key}`").alias("_leak"), "_own").distinct(), "leaks")
+    return docs.join(leaks, docs[key].eqNullSafe(leaks["_leak"]) & (F.xxhash64(docs[text]) == leaks["_own"]), "left_anti")

@@ -358,7 +358,15 @@ def test_line_dedup_by_site(spark):
     rows = [(i, "a" if i < 40 else "b", f"own line {i}\n  menu  \nmenu" + ("\nrare" if i in (1, 2) else "")) for i in range(45)]
     got = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, host string, text string"), "host").collect()}
     assert got[0] == "own line 0" and got[1] == "own line 1\nrare"  # 2 of 40 pages is not above the ratio
-    assert got[44] == rows[44][2]  # a host of five pages
+    assert got[44] == "own line 44"  # the rule is the same for a host of five pages
+
+
+@pytest.mark.parametrize("pages", [2, 3, 19, 20, 60, 61])
+def test_line_dedup_is_the_same_at_every_size(spark, pages):
+    """Lines on all pages, on three, on two and on one."""
+    rows = [(i, "h", "\n".join(["all", f"own {i}", *(["three"] if i < 3 else []), *(["two"] if i < 2 else [])])) for i in range(pages)]
+    got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, host string, text string"), "host").collect()}
+    assert ("all" in got[0]) == (pages < 3) and ("three" in got[0]) == (pages == 2 or pages >= 60) and "two" in got[0] and all(f"own {i}" in got[i] for i in got)
 
 
 def test_line_dedup_salted_join_is_the_same(spark, sf_small, monkeypatch):
@@ -431,11 +439,37 @@ def test_levenshtein_trie():
 def test_toxicity_held_out(spark, sf_small):
     base = sf_small.replace("0.001", "0.1")
     docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
-    got = toxicity.score(docs, *toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").select("predicted", "toxic").collect()
+    lexicon, weights = toxicity.train(docs, labels)
+    assert weights[toxicity.FEATURES.index("fuzzy")] > 0 > weights[toxicity.FEATURES.index("quoted")]
+    text = "many plain words stand here and there before the end of the long line in this place, {} and so on"
+    cases = [text.format(x) for x in ("you idiot and worthless man", "you idoit and worthles man", "you idlot and wortless man", 'the note says "idiot and worthless man"', "you kind and gentle man")]
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"), lexicon, weights).collect()}
+    assert scores[0] > 0.7 and scores[2] > 0.7 and scores[3] < 0.1 and scores[4] < 0.1, scores
+    got = toxicity.score(docs, lexicon, weights).join(labels, "doc_id").where("held_out").select("predicted", "toxic").collect()
     hit = sum(r["predicted"] and r["toxic"] for r in got)
     assert hit / sum(r["predicted"] for r in got) > 0.97 and hit / sum(r["toxic"] for r in got) > 0.9
 
 
+def test_decontamination_of_rows_without_a_key(spark):
+    item = "A farmer in the valley named Tom has 12 sheep and sells 5 sheep to Ann for 40 dollars each, how much does Tom get"
+    again = item.replace("Tom", "Bob").replace("12", "31").replace("40", "55")
+    rows = [(None, "see: " + item), (None, again), (None, again), (None, "quite another text of no harm"), (None, None), (5, item), (5, "clean text under the same key")]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    leaks = sorted((str(r["doc_id"]), r["n_changed"]) for r in decontaminate.find_leaks(docs, items).collect())
+    assert leaks == [("5", 0), ("None", 0), ("None", 4)]
+    kept = sorted((str(r["doc_id"]), str(r["text"])) for r in decontaminate.drop_leaks(docs, items).collect())
+    assert kept == [("5", "clean text under the same key"), ("None", "None"), ("None", "quite another text of no harm")]
+
+
+def test_toxicity_trains_on_one_row_of_an_id(spark):
+    rows = [(i, f"word{i} idiot" if i % 2 else f"word{i} fine") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    once = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    again = toxicity.train(spark.createDataFrame(rows + rows * 3 + [(1, "zzz idiot")] * 50, "doc_id long, text string"), labels)
+    assert once[0] == again[0] and once[0]
+    assert (once[1] is None) == (again[1] is None) and (once[1] is None or np.allclose(once[1], again[1]))
+
+
 def test_toxicity_context():
     scorer = toxicity.Scorer([("stupid", 5.0, 100)], 1)
     texts = ["you are a stupid man", "he said that the word \"stupid\" is rude", "you are a stupld man", "nothing here"]
