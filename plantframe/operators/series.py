@@ -72,11 +72,11 @@ def time_grid(bounds: DataFrame, every: str, *, site: str = "site_id", start: st
 
 
 def time_grid_periods(starts: DataFrame, periods: int, every: str, *, site: str = "site_id",
-                      start: str = "start", ts: str = "ts") -> DataFrame:
-    """T3 variant: ``periods`` stamps from ``start`` (date_range(start, periods, freq))."""
+                      start: str = "start", ts: str = "ts", keep: Sequence[str] = ()) -> DataFrame:
+    """T3 variant: ``periods`` stamps from ``start`` (date_range(start, periods, freq)); ``keep``: further columns of a site."""
     step_us = interval_micros(every)
-    return starts.select(site, start, F.explode(F.sequence(F.lit(0), F.lit(periods - 1))).alias("step")) \
-        .select(site, F.col("step").cast("long").alias("step"),
+    return starts.select(site, start, *keep, F.explode(F.sequence(F.lit(0), F.lit(periods - 1))).alias("step")) \
+        .select(site, *keep, F.col("step").cast("long").alias("step"),
                 F.expr(f"timestampadd(MICROSECOND, step * {step_us}, {start})").alias(ts))
 
 

@@ -12,14 +12,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark import StorageLevel
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantframe.operators import chunks, samples
 from plantframe.operators.series import time_grid_periods, with_position
@@ -30,7 +31,6 @@ GBT_ROUNDS, GBT_DEPTH, GBT_STEP, GBT_SEED = 100, 6, 0.1, 42
 
 def gbt_pipeline(features: Sequence[str], label: str, *, rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH,
                  step: float = GBT_STEP, seed: int = GBT_SEED, scale: bool = True,
-                 validation_col: str | None = None, validation_tol: float = 0.01,
                  prediction: str = "prediction") -> Pipeline:
     """VectorAssembler (skip rows with NULLs) [-> MinMaxScaler] -> GBTRegressor."""
     stages = [VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="skip")]
@@ -38,9 +38,8 @@ def gbt_pipeline(features: Sequence[str], label: str, *, rounds: int = GBT_ROUND
     if scale:
         stages.append(MinMaxScaler(inputCol="__raw", outputCol="__scaled"))
         feats = "__scaled"
-    extra = {"validationIndicatorCol": validation_col, "validationTol": validation_tol} if validation_col else {}
     gbt = GBTRegressor(featuresCol=feats, labelCol=label, predictionCol=prediction, maxIter=rounds,
-                       maxDepth=depth, stepSize=step, seed=seed, **extra)
+                       maxDepth=depth, stepSize=step, seed=seed)
     stages.append(gbt)
     return Pipeline(stages=stages)
 
@@ -58,8 +57,7 @@ def score(model: PipelineModel | None, df: DataFrame, prediction: str = "predict
 
 # ---------------------------------------------------------------- M1 / M2
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
-    keep = [*dict.fromkeys([*features, label, *([kw["validation_col"]] if kw.get("validation_col") else [])])]
-    return fit_once(gbt_pipeline(features, label, **kw), df.select(*keep))
+    return fit_once(gbt_pipeline(features, label, **kw), df.select(*dict.fromkeys([*features, label])))
 
 
 def fit_once(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
@@ -127,35 +125,186 @@ def fallback_short_history(forecast: DataFrame, history: DataFrame, window: int,
     return out.withColumn(col, F.when(short, F.lit(float(value))).otherwise(F.col(col))).drop("__hist_n")
 
 
+# ---------------------------------------------------------------------- M6
+#: Rounds without a lower validation loss after which boosting stops (a fixed value of the reference).
+PATIENCE = 10
+#: Rounds of the first attempt; each further one has twice as many.
+FIRST_ROUNDS = 25
+
+
+def best_round(losses: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """Number of rounds with the least loss before the patience ran out, and whether it did (ties: the earlier round)."""
+    best, least = 0, math.inf
+    for i, loss in enumerate(losses):
+        if loss < least:
+            best, least = i + 1, loss
+        elif i + 1 - best >= patience:
+            return best, True
+    return best, False
+
+
+def cut_ensemble(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` trees."""
+    trees = model.trees
+    if n >= len(trees):
+        return model
+    jvm, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    regression = gateway.jvm.org.apache.spark.ml.regression
+    some = gateway.new_array(regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        some[i], weights[i] = trees[i]._java_obj, float(model.treeWeights[i])
+    cut = regression.GBTRegressionModel(f"{model.uid}_{n}", some, weights)
+    for name in ("featuresCol", "predictionCol", "labelCol"):
+        cut.set(name, jvm.get(jvm.getParam(name)).get())
+    return GBTRegressionModel(cut)
+
+
+def fit_validated(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, *, rounds: int = GBT_ROUNDS, patience: int = PATIENCE,
+                  depth: int = GBT_DEPTH, step: float = GBT_STEP, seed: int = GBT_SEED, scale: bool = True, prediction: str = "prediction") -> tuple[PipelineModel, list[float]]:
+    """Boosting that stops after ``patience`` rounds without a lower validation loss, cut to its best round; and the loss of each round.
+
+    MLlib can't be resumed, so attempts have 25, 50, ... rounds until one holds
+    the stop; their trees are the same as far as they go, as seed and rows are.  The scaler
+    sees training rows only.  Without validation rows all rounds are kept.
+    """
+    prepare = [VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="skip")]
+    column = "__raw"
+    if scale:
+        prepare.append(MinMaxScaler(inputCol="__raw", outputCol="__scaled"))
+        column = "__scaled"
+    keep = [*dict.fromkeys([*features, label])]
+    train, val = (x.select(*keep).where(F.col(label).isNotNull()) for x in (train, val))
+    prepared = Pipeline(stages=prepare).fit(train)
+    held = [prepared.transform(x).select(column, F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK) for x in (train, val)]
+    try:
+        checked = not held[1].isEmpty()
+        n, losses = min(FIRST_ROUNDS, rounds) if checked else rounds, []
+        while True:
+            model = GBTRegressor(featuresCol=column, labelCol=label, predictionCol=prediction, maxIter=n, maxDepth=depth, stepSize=step, seed=seed).fit(held[0])
+            if not checked:
+                break
+            losses = model.evaluateEachIteration(held[1], "squared")
+            best, stopped = best_round(losses, patience)
+            if stopped or n >= rounds:
+                model = cut_ensemble(model, best)
+                break
+            n = min(2 * n, rounds)
+    finally:
+        for x in held:
+            x.unpersist()
+    return PipelineModel(stages=[*prepared.stages, model]), losses
+
+
 # ---------------------------------------------------------------------- M5
-def seasonal_features(ts: str = "ts", origin: str = "2000-01-01 00:00:00") -> dict[str, Column]:
-    """Trend + Fourier terms: daily (3 pairs), weekly (3), yearly (2)."""
-    days = F.timestamp_diff("MICROSECOND", F.lit(origin).cast("timestamp_ntz"), F.col(ts)) / F.lit(86_400_000_000.0)
-    cols: dict[str, Column] = {"trend": days}
-    for name, period, k_max in (("d", 1.0, 3), ("w", 7.0, 3), ("y", 365.25, 2)):
+#: Places of the trend's bends, as shares of the table's span.
+BENDS = (0.2, 0.4, 0.6, 0.8)
+#: Pairs of sine and cosine per period (days).
+SEASONS = (("d", 1.0, 3), ("w", 7.0, 3), ("y", 365.25, 2))
+RIDGE = 1e-4
+_EPOCH = "2000-01-01 00:00:00"
+
+
+def _days(ts: str) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(ts)) / F.lit(86_400_000_000.0)
+
+
+def seasonal_features(ts: str = "ts", span: tuple[float | Column, float | Column] = (0.0, 1.0)) -> dict[str, Column]:
+    """The terms of the seasonal model: 1, a trend that may bend, and daily, weekly and yearly waves.
+
+    ``span``: first and last day (since 2000) of the training table; the trend runs from 0 to 1 over it.
+    """
+    lo, hi = F.lit(span[0]), F.lit(span[1])
+    days = _days(ts)
+    share = (days - lo) / F.greatest(hi - lo, F.lit(1e-9))
+    cols: dict[str, Column] = {"one": F.lit(1.0), "trend": share}
+    for i, bend in enumerate(BENDS):
+        cols[f"bend{i}"] = F.greatest(share - F.lit(bend), F.lit(0.0))
+    for name, period, k_max in SEASONS:
         for k in range(1, k_max + 1):
-            ang = F.lit(2.0 * math.pi * k / period) * days
-            cols[f"s_{name}{k}"] = F.sin(ang)
-            cols[f"c_{name}{k}"] = F.cos(ang)
+            angle = F.lit(2.0 * math.pi * k / period) * days
+            cols[f"s_{name}{k}"] = F.sin(angle)
+            cols[f"c_{name}{k}"] = F.cos(angle)
     return cols
 
 
-def fit_seasonal(df: DataFrame, target: str, ts: str = "ts", reg: float = 1e-3) -> PipelineModel:
-    """Multiplicative seasonality: linear model on log1p(target)."""
-    feats = seasonal_features(ts)
-    data = df.withColumns(feats).withColumn("__logy", F.log1p(F.greatest(F.col(target), F.lit(0.0))))
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feats), outputCol="__raw", handleInvalid="skip"),
-                            LinearRegression(featuresCol="__raw", labelCol="__logy", predictionCol="__logp",
-                                             regParam=reg)])
-    return pipe.fit(data)
+def time_span(df: DataFrame, ts: str = "ts") -> tuple[float, float]:
+    """First and last day (since 2000) of a table: two numbers."""
+    r = df.agg(F.min(_days(ts)), F.max(_days(ts))).first()
+    return (0.0, 1.0) if r[0] is None else (float(r[0]), float(r[1]))
+
+
+def seasonal_statistics(df: DataFrame, target: str, span: tuple[float, float], *, site: str = "site_id", ts: str = "ts") -> DataFrame:
+    """What a least-squares fit needs of each site: n, the terms' products ``gram`` (upper triangle, row by row) and ``moment``.
+
+    All sums are partial on the map side, so a site with a third of all rows
+    sends one row per task.  Rows without a target don't count; the target is log1p,
+    which makes seasons and trend multiplicative.
+    """
+    terms = seasonal_features(ts, span)
+    y = F.log1p(F.greatest(F.col(target), F.lit(0.0)))
+    rows = df.where(F.col(target).isNotNull() & F.col(ts).isNotNull()).select(site, y.alias("y"), *[c.alias(k) for k, c in terms.items()])
+    names = list(terms)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    sums = rows.groupBy(site).agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(a) * F.col(b)).alias(f"g{i}") for i, (a, b) in enumerate(pairs)],
+                                  *[F.sum(F.col(a) * F.col("y")).alias(f"m{i}") for i, a in enumerate(names)])
+    return sums.select(site, "n", F.array(*[f"g{i}" for i in range(len(pairs))]).alias("gram"), F.array(*[f"m{i}" for i in range(len(names))]).alias("moment"))
+
+
+def _solve(ridge: float):
+    """Coefficients of each row's normal equations, a batch at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            moment = np.array(batch.column("moment").to_pylist())
+            p = moment.shape[1]
+            gram, upper = np.zeros((len(moment), p, p)), np.triu_indices(p)
+            gram[:, upper[0], upper[1]] = np.array(batch.column("gram").to_pylist())
+            gram[:, upper[1], upper[0]] = gram[:, upper[0], upper[1]]
+            n = batch.column("n").to_numpy().astype(float)
+            # the level is free, all other terms are drawn to 0 by the same share of the rows
+            penalty = np.diag([0.0] + [1.0] * (p - 1))
+            coef = np.linalg.solve(gram + (ridge * n)[:, None, None] * penalty, moment[:, :, None])[:, :, 0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column("n"), pa.array(coef.tolist(), pa.list_(pa.float64()))], names=[batch.schema.names[0], "n", "coef"])
+
+    return run
+
+
+def fit_seasonal(df: DataFrame, target: str, *, site: str = "site_id", ts: str = "ts", ridge: float = RIDGE,
+                 span: tuple[float, float] | None = None) -> DataFrame:
+    """A seasonal model for each site: site, n, coef (one per term) and the span (lo, hi) that the terms refer to.
+
+    One aggregate over the table gives every site's normal equations; solving them
+    is a small matter per site, done where the row lies.  A site without a known
+    target has no row.
+    """
+    span = span or time_span(df, ts)
+    stats = seasonal_statistics(df, target, span, site=site, ts=ts)
+    schema = T.StructType([stats.schema[site], T.StructField("n", T.LongType()), T.StructField("coef", T.ArrayType(T.DoubleType()))])
+    return stats.mapInArrow(_solve(ridge), schema).withColumns({"lo": F.lit(span[0]), "hi": F.lit(span[1])})
+
+
+def apply_seasonal(df: DataFrame, *, ts: str = "ts", out: str = "forecast") -> DataFrame:
+    """Adds the forecast of rows that carry their site's model (coef, lo, hi); without one it is NULL."""
+    terms = seasonal_features(ts, (F.col("lo"), F.col("hi"))).values()
+    log = sum((F.get("coef", F.lit(i)) * term for i, term in enumerate(terms)), F.lit(0.0))
+    # without greatest, which would turn a missing forecast into 0
+    return df.withColumn(out, F.when(log < 0, F.lit(0.0)).otherwise(F.expm1(log)))
 
 
-def forecast_seasonal(model: PipelineModel, starts: DataFrame, periods: int, every: str, *,
+def forecast_seasonal(model: DataFrame, starts: DataFrame, periods: int, every: str, *,
                       site: str = "site_id", start: str = "start", ts: str = "ts") -> DataFrame:
-    """Score the ``periods`` stamps after each site's ``start`` (T3 future grid)."""
-    grid = time_grid_periods(starts, periods + 1, every, site=site, start=start, ts=ts).filter(F.col("step") > 0)
-    out = model.transform(grid.withColumns(seasonal_features(ts)))
-    return out.select(site, "step", ts, F.expm1("__logp").alias("forecast"))
+    """The ``periods`` stamps after each site's ``start`` with the forecast of the site's own model.
+
+    Sites meet their models before the stamps are made, one row each.  A site without a model gets NULL.
+    """
+    named = starts.join(model.select(site, "coef", "lo", "hi"), site, "left")
+    grid = time_grid_periods(named, periods + 1, every, site=site, start=start, ts=ts, keep=("coef", "lo", "hi")).filter(F.col("step") > 0)
+    return apply_seasonal(grid, ts=ts).select(site, "step", ts, "forecast")
 
 
 # ---------------------------------------------------------------------- S10
@@ -187,6 +336,6 @@ def feature_importances(model: PipelineModel, features: Sequence[str]) -> list[t
     return sorted(zip(features, imp.toArray().tolist()), key=lambda t: -t[1])
 
 
-__all__ = ["gbt_pipeline", "score", "fit_gbt", "holdout_mse", "lag_vector_frame", "fit_gbt_vector",
-           "multi_horizon_frame", "fallback_short_history", "seasonal_features", "fit_seasonal", "forecast_seasonal", "save_model",
+__all__ = ["gbt_pipeline", "score", "fit_gbt", "fit_validated", "best_round", "cut_ensemble", "holdout_mse", "lag_vector_frame", "fit_gbt_vector",
+           "multi_horizon_frame", "fallback_short_history", "seasonal_features", "seasonal_statistics", "time_span", "fit_seasonal", "apply_seasonal", "forecast_seasonal", "save_model",
            "load_model", "load_or_train", "feature_importances", "vector_to_array"]

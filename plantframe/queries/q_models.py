@@ -7,6 +7,7 @@ and ``lag_concat_current``.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from plantframe.functions import calendar, profiles, solar
 from plantframe.ml_features import consumption_frame, pv_frame
 from plantframe.operators import samples, series
 from plantframe.plans import forecast as fc
-from plantframe.queries.common import register, round_doubles
+from plantframe.queries.common import R4, register, round_doubles
 from plantframe.session import scratch_path
 
 #: A day of hours, as the windows of the sample builders.
@@ -106,15 +107,45 @@ def q_seasonal(spark, d):
     return _rounded(fc.forecast_seasonal(model, starts, 24, "1 hour"))
 
 
+def _sql_seasonal_terms() -> list[str]:
+    share = "(days - lo) / greatest(hi - lo, 1e-9::DOUBLE)"
+    out = ["1.0::DOUBLE", share] + [f"greatest({share} - {bend}::DOUBLE, 0.0::DOUBLE)" for bend in fc.BENDS]
+    for _, period, k_max in fc.SEASONS:
+        for k in range(1, k_max + 1):
+            out += [f"{f}({2.0 * math.pi * k / period!r}::DOUBLE * days)" for f in ("sin", "cos")]
+    return out
+
+
+def _sql_seasonal_statistics() -> str:
+    terms = _sql_seasonal_terms()
+    n = len(terms)
+    return cat.with_sql(cat.SQL_HOURLY, (
+        "d AS (SELECT site_id, kwh, (epoch_us(ts) - epoch_us(TIMESTAMP '2000-01-01')) / 86400000000.0::DOUBLE AS days FROM hourly), "
+        "f AS (SELECT site_id, ln(1.0::DOUBLE + greatest(kwh, 0.0::DOUBLE)) AS y, min(days) OVER () AS lo, max(days) OVER () AS hi, days FROM d), "
+        f"t AS (SELECT site_id, y, [{', '.join(terms)}] AS x FROM f), "
+        f"s AS (SELECT site_id, count(*) AS n, [{', '.join(f'sum(x[{i}] * x[{j}])' for i in range(1, n + 1) for j in range(i, n + 1))}] AS gram, "
+        f"[{', '.join(f'sum(x[{i}] * y)' for i in range(1, n + 1))}] AS moment FROM t GROUP BY site_id)"))
+
+
+@register("seasonal_statistics", _sql_seasonal_statistics()
+          + f"SELECT site_id, n, 'gram' AS part, place, {R4('v')} AS v FROM (SELECT site_id, n, unnest(range(len(gram))) AS place, unnest(gram) AS v FROM s) UNION ALL "
+          f"SELECT site_id, n, 'moment', place, {R4('v')} FROM (SELECT site_id, n, unnest(range(len(moment))) AS place, unnest(moment) AS v FROM s)")
+def q_seasonal_statistics(spark, d):
+    h = cat.hourly(spark, d).select("site_id", "ts", "kwh")
+    stats = fc.seasonal_statistics(h, "kwh", fc.time_span(h))
+    each = F.explode(F.array(F.struct(F.lit("gram").alias("part"), F.col("gram").alias("v")), F.struct(F.lit("moment").alias("part"), F.col("moment").alias("v"))))
+    rows = stats.select("site_id", "n", each.alias("e")).select("site_id", "n", "e.part", F.posexplode("e.v").alias("place", "v"))
+    return _rounded(rows)
+
+
 # ---------------------------------------------------------------------- M6
 @register("validated_boosting")
 def q_validated(spark, d):
     data = samples.chrono_split(consumption_frame(spark, d))
-    fit_rows = data.filter(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    model = fc.fit_gbt(fit_rows, calendar.CONSUMPTION_FEATURES, "kwh", validation_col="is_val")
-    test = data.filter(F.col("split") == "test")
-    out = fc.score(model, test).withColumn("trees", F.lit(model.stages[-1].getNumTrees))
-    return _rounded(out.select("site_id", "ts", "kwh", "prediction", F.col("trees").cast("long").alias("trees")))
+    train, val, test = (data.filter(F.col("split") == x) for x in ("train", "val", "test"))
+    model, losses = fc.fit_validated(train, val, calendar.CONSUMPTION_FEATURES, "kwh")
+    out = fc.score(model, test)
+    return _rounded(out.select("site_id", "ts", "kwh", "prediction", F.lit(model.stages[-1].getNumTrees).cast("long").alias("trees"), F.lit(len(losses)).cast("long").alias("rounds")))
 
 
 # ---------------------------------------------------------------------- M7

@@ -44,12 +44,85 @@ def test_gbt_beats_mean(spark, seasonal):
 def test_seasonal_regression_beats_mean(spark, seasonal):
     split = samples.chrono_split(seasonal)
     train, test = split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
-    model = fc.fit_seasonal(train, "kwh")
-    scored = model.transform(test.withColumns(fc.seasonal_features())).withColumn("prediction", F.expm1("__logp"))
+    scored = fc.apply_seasonal(test.join(fc.fit_seasonal(train, "kwh").drop("n"), "site_id"), out="prediction")
     rmse = metrics.forecast_errors(scored, "kwh", "prediction").first().rmse
     assert rmse < 0.5 * _baseline_rmse(train, test)
 
 
+def test_seasonal_regression_is_per_site(spark):
+    """Sites of different levels, waves and trends; one without readings, one with a single reading, one with gaps."""
+    rows = []
+    for h in range(24 * 40):
+        ts = D(2024, 1, 1) + dt.timedelta(hours=h)
+        wave = math.sin(2 * math.pi * ts.hour / 24)
+        rows += [(1, ts, 10.0 + wave), (2, ts, 1000.0 - 100 * wave), (3, ts, 50.0 + 0.1 * max(h - 480, 0)), (4, ts, None if h % 3 else 7.0)]
+    rows += [(5, D(2024, 1, 9), 33.0), (6, D(2024, 1, 9), None)]
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, kwh double")
+    model = fc.fit_seasonal(df, "kwh")
+    starts = df.groupBy("site_id").agg(F.max("ts").alias("start"))
+    got = {}
+    for r in fc.forecast_seasonal(model, starts, 24, "1 hour").collect():
+        got.setdefault(r.site_id, []).append((r.ts, r.forecast))
+    for ts, v in got[1]:
+        assert v == pytest.approx(10.0 + math.sin(2 * math.pi * ts.hour / 24), abs=0.5)
+    for ts, v in got[2]:
+        assert v == pytest.approx(1000.0 - 100 * math.sin(2 * math.pi * ts.hour / 24), rel=0.05)
+    last = 50.0 + 0.1 * (24 * 40 - 480)
+    assert all(v == pytest.approx(last, rel=0.1) for _, v in got[3])  # the trend after its bend, not the mean of 66
+    assert all(v == pytest.approx(7.0, abs=0.2) for _, v in got[4])
+    assert all(v == pytest.approx(33.0, rel=0.2) for _, v in got[5])
+    assert all(v is None for _, v in got[6]) and len(got[6]) == 24
+
+
+def test_seasonal_statistics_are_sums(spark, seasonal):
+    """Two halves of a table add up to the whole, so partial sums of any split do."""
+    span = fc.time_span(seasonal)
+    whole = {r.site_id: r for r in fc.seasonal_statistics(seasonal, "kwh", span).collect()}
+    early, late = (fc.seasonal_statistics(seasonal.where(c), "kwh", span).collect() for c in ("ts < '2024-01-20'", "ts >= '2024-01-20'"))
+    terms = len(fc.seasonal_features())
+    for a, b in zip(sorted(early, key=lambda r: r.site_id), sorted(late, key=lambda r: r.site_id)):
+        w = whole[a.site_id]
+        assert a.n + b.n == w.n and len(w.gram) == terms * (terms + 1) // 2 and len(w.moment) == terms
+        assert [x + y for x, y in zip(a.gram, b.gram)] == pytest.approx(list(w.gram)) and [x + y for x, y in zip(a.moment, b.moment)] == pytest.approx(list(w.moment))
+
+
+def test_best_round_and_patience():
+    assert fc.best_round([5, 4, 3, 3, 4, 5], patience=3) == (3, True)
+    assert fc.best_round([5, 4, 3, 3, 4], patience=3) == (3, False)
+    assert fc.best_round([5, 6, 7, 1], patience=2) == (1, True)  # what comes after the stop is not seen
+    assert fc.best_round([3, 2, 1], patience=1) == (3, False) and fc.best_round([], patience=1) == (0, False)
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Noise that boosting learns by heart: the validation loss rises after a few rounds."""
+    import random
+    rnd = random.Random(5)
+    rows = [(float(rnd.randrange(40)), float(rnd.randrange(40)), i % 4 == 0) for i in range(400)]
+    rows = [(a, b, 3.0 * (a > 20) + rnd.gauss(0, 1.0), v) for a, b, v in rows]
+    return spark.createDataFrame(rows, "a double, b double, y double, val boolean").coalesce(2)
+
+
+def test_validated_boosting_keeps_the_best_rounds(spark, noisy, tmp_path, monkeypatch):
+    monkeypatch.setattr(fc, "FIRST_ROUNDS", 8)
+    train, val = noisy.where("not val"), noisy.where("val")
+    model, losses = fc.fit_validated(train, val, ["a", "b"], "y", rounds=64, patience=5, depth=4, step=0.3)
+    kept = model.stages[-1].getNumTrees
+    assert kept == 1 + min(range(len(losses)), key=losses.__getitem__) or min(losses[kept:kept + 5]) >= losses[kept - 1]
+    assert 1 <= kept < len(losses) and len(losses) in (8, 16, 32)
+    # the cut model is the first rounds of the whole one, and scores as its loss says
+    mse = fc.score(model, val).select(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0]
+    assert mse == pytest.approx(losses[kept - 1])
+    fc.save_model(model, str(tmp_path / "m"))
+    again = fc.load_model(str(tmp_path / "m"))
+    assert [r.prediction for r in fc.score(again, val).collect()] == [r.prediction for r in fc.score(model, val).collect()]
+
+
+def test_validated_boosting_without_validation_rows(spark, noisy):
+    model, losses = fc.fit_validated(noisy, noisy.where("false"), ["a", "b"], "y", rounds=4, depth=2)
+    assert model.stages[-1].getNumTrees == 4 and losses == []
+
+
 def test_multi_horizon_beats_mean(spark, seasonal):
     frame = fc.multi_horizon_frame(seasonal, "kwh", 24, 3, rows_per_chunk=256)
     split = samples.random_split(frame.withColumn("k", F.concat_ws("|", "site_id", "anchor_ts", "h")), ["k"])
