@@ -75,25 +75,51 @@ SQL_HOLIDAYS = ("holidays AS (SELECT DISTINCT make_date(y.y, t.m, t.d) AS date F
 
 
 # ---------------------------------------------------------------------- S1
-@register("scan_meter_csv", W(RD) + "SELECT site_id, strptime(strftime(ts, '%d.%m.%Y %H:%M'), '%d.%m.%Y %H:%M') AS ts, "
-          f"{R4('kwh')} AS kwh FROM readings WHERE event_id % 97 <> 0")
-def q_scan_meter(spark, d):
-    """Meter files are landed in the shared folder and read with the file reader; some values are not numbers."""
+#: Export files that a query lands; readings are dealt to them, so no file belongs to one site.
+METER_FILES = 16
+#: Lines above the data: one looks like a reading, as exports may state the period's total.
+METER_HEAD = ["Zählpunkt;DE00000000000000", "01.01.2023 00:00;99999,0;kWh;1", "Datum;Wert;Einheit;Anlage"]
+PV_HEAD = ["PV-Anlage;Dach", "01.01.2023 00:00;88888,0;kW;1", "Datum;Leistung"]
+
+
+def _land_meter_files(spark, d, name, head):
+    """Meter files in the shared folder; some values are not numbers, and a file ends with its total."""
     r = cat.readings(spark, d)
     value = F.when(F.pmod("event_id", F.lit(97)) == 0, F.lit("n/a")).otherwise(F.regexp_replace(F.col("kwh").cast("string"), r"\.", ","))
-    data = r.select("site_id", F.concat_ws(";", F.date_format("ts", "dd.MM.yyyy HH:mm"), value, F.lit("kWh")).alias("line"))
-    sites = r.select("site_id").distinct()
-    pre = sites.select("site_id", F.explode(F.array(
-        F.concat(F.lit("Zählpunkt;DE0000000000"), F.col("site_id").cast("string")),
-        F.lit("Zeitraum;01.01.2024 - 31.01.2024;"),
-        F.lit("Datum;Wert;Einheit"))).alias("line"))
-    lines = pre.unionByName(data)
-    path = scratch_path(spark, f"meter-{uuid.uuid4().hex}")
-    lines.repartition("site_id").write.partitionBy("site_id").text(path)
-    out = meter_csv.scan_meter_csv(spark, path, r"site_id=(\d+)")
+    data = r.select(F.pmod("event_id", F.lit(METER_FILES)).alias("export"), F.lit(1).alias("o"), F.lit(0).alias("i"),
+                    F.concat_ws(";", F.date_format("ts", "dd.MM.yyyy HH:mm"), value, F.lit("kWh"), F.col("site_id").cast("string")).alias("line"))
+    exports = data.select("export").distinct()
+    above = exports.select("export", F.lit(0).alias("o"), F.posexplode(F.array(*map(F.lit, head))).alias("i", "line"))
+    below = exports.select("export", F.lit(2).alias("o"), F.lit(0).alias("i"), F.lit("Summe;1,0;kWh;0").alias("line"))
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    lines = above.unionByName(data).unionByName(below)
+    lines.repartition(METER_FILES, "export").sortWithinPartitions("export", "o", "i").select("export", "line").write.partitionBy("export").text(path)
+    return path
+
+
+_SQL_METER = "SELECT site_id, strptime(strftime(ts, '%d.%m.%Y %H:%M'), '%d.%m.%Y %H:%M') AS ts, {v} FROM readings WHERE event_id % 97 <> 0"
+
+
+@register("scan_meter_csv", W(RD) + _SQL_METER.format(v=f"{R4('kwh')} AS kwh"))
+def q_scan_meter(spark, d):
+    out = meter_csv.scan_meter_csv(spark, _land_meter_files(spark, d, "meter", METER_HEAD), site_field=3)
+    return round_doubles(out.withColumn("site_id", F.col("site_id").cast("long")))
+
+
+@register("scan_pv_csv", W(RD) + _SQL_METER.format(v=f"{R4('kwh')} AS pv_kw"))
+def q_scan_pv(spark, d):
+    out = meter_csv.scan_pv_csv(spark, _land_meter_files(spark, d, "pv", PV_HEAD), site_field=3)
     return round_doubles(out.withColumn("site_id", F.col("site_id").cast("long")))
 
 
+@register("meter_reject_counts", W(RD) + f"SELECT event_id % {METER_FILES} AS export, count_if(event_id % 97 <> 0)::BIGINT AS n_rows, "
+          f"(count_if(event_id % 97 = 0) + 1)::BIGINT AS n_rejected, count_if(event_id % 97 = 0)::BIGINT AS n_bad_values, {len(METER_HEAD)}::BIGINT AS n_preamble FROM readings GROUP BY 1")
+def q_meter_reject_counts(spark, d):
+    counts = meter_csv.meter_reject_counts(spark, _land_meter_files(spark, d, "rejects", METER_HEAD))
+    return counts.select(F.regexp_extract("file", r"export=(\d+)", 1).cast("long").alias("export"), F.col("rows").alias("n_rows"),
+                         F.col("rejected").alias("n_rejected"), F.col("bad_values").alias("n_bad_values"), F.col("preamble").alias("n_preamble"))
+
+
 # ---------------------------------------------------------------------- S2
 @register("scan_forecast_csv", W(HR) + "SELECT site_id, ts, "
           f"{R4('CASE WHEN hour(ts) % 3 = 0 THEN kwh / 10.0::DOUBLE ELSE 15.0::DOUBLE + 10.0::DOUBLE * sin(2 * pi() * (hour(ts) - 6) / 24.0::DOUBLE) END')} AS temperature, "

@@ -2,7 +2,7 @@
 
 Meter exports land in a folder over time.  The batch path (``scan_meter_csv``
 → ``resample_mean``) re-reads everything; this path reads each new file
-once: ``readStream`` (fixed schema, so files stay splittable) → the same
+once: ``readStream`` of text (files stay splittable) → the same header rule and
 line parser → a watermark on the stamp → the same left-closed tumbling mean
 per site → an append-mode sink.  The streaming state is one running mean
 per open (site, bin); the watermark bounds how many bins stay open.  The
@@ -17,18 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plantframe.session import scratch_path
-from plantframe.sources.meter_csv import RAW_SCHEMA, parse_meter_frame
+from plantframe.sources.meter_csv import stream_meter_lines
 
 
 def meter_stream(spark: SparkSession, path: str, site_pattern: str | None = None,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming (site_id, ts, kwh) from meter files arriving under ``path``."""
-    r = spark.readStream.schema(RAW_SCHEMA).option("sep", ";").option("mode", "PERMISSIVE")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.csv(path).withColumn("__path", F.col("_metadata.file_path"))
-    site = F.regexp_extract("__path", site_pattern, 1) if site_pattern else F.col("__path")
-    return parse_meter_frame(raw.withColumn("site_id", site), keep=("site_id",))
+    options = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else {}
+    return stream_meter_lines(spark, path, site_pattern, **options)
 
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"

@@ -28,7 +28,7 @@ def test_scan_meter_csv_skips_preamble(spark):
     rows = sorted(df.collect())
     assert [(r.site_id, r.ts, r.kwh) for r in rows] == [("7", D(2024, 1, 1, 0, 15), 1.25), ("7", D(2024, 1, 1, 0, 30), 2.5)]
     counts = meter_csv.meter_reject_counts(spark, d).collect()[0]
-    assert (counts.rows, counts.rejected) == (2, 4)
+    assert (counts.rows, counts.rejected, counts.preamble) == (2, 1, 3)
 
 
 def test_scan_forecast_csv_keeps_microseconds(spark):
@@ -147,4 +147,42 @@ def test_meter_file_with_bad_values(spark, tmp_path):
     got = [(r.ts.hour, r.kwh) for r in meter_csv.scan_meter_csv(spark, str(tmp_path)).orderBy("ts").collect()]
     assert got == [(0, 1.5), (2, None)]
     n = meter_csv.meter_reject_counts(spark, str(tmp_path)).collect()[0]
-    assert (n.rows, n.rejected, n.bad_values) == (2, 4, 1)
+    assert (n.rows, n.rejected, n.bad_values, n.preamble) == (2, 2, 1, 2)
+
+
+def test_readings_begin_after_the_header(spark, tmp_path):
+    """A line like a reading above the header is none; a second header and a file without one change nothing."""
+    (tmp_path / "site_1.csv").write_bytes("\ufeffKopf\r\n01.01.2023 00:00;99999\r\n\r\nDatum;Wert;Einheit\r\n01.05.2024 00:00;\"1,5\";kWh\r\n".encode())
+    (tmp_path / "site_2.csv").write_text("01.01.2023 00:00;1\nDatum;Einheit\n01.05.2024 00:00;2\nDatum;Einheit\n01.05.2024 01:00;3\n")
+    (tmp_path / "site_3.csv").write_text("01.01.2023 00:00;1\n01.01.2023 01:00;1\n")
+    (tmp_path / "site_4.csv").write_text("")
+    got = sorted((r.site_id, r.ts.hour, r.kwh) for r in meter_csv.scan_meter_csv(spark, str(tmp_path), r"site_(\d)").collect())
+    assert got == [("1", 0, 1.5), ("2", 0, 2.0), ("2", 1, 3.0)]
+    counts = {r.file[-5]: (r.rows, r.rejected, r.preamble) for r in meter_csv.meter_reject_counts(spark, str(tmp_path)).collect()}
+    assert counts == {"1": (1, 0, 3), "2": (2, 1, 2), "3": (0, 0, 2)}
+    assert [(r.line, r.bad_value) for r in meter_csv.meter_rejects(spark, str(tmp_path)).collect()] == [("Datum;Einheit", False)]
+
+
+@pytest.mark.parametrize("split", [64, 200, 1 << 20])
+def test_files_are_read_in_splits(spark, tmp_path, split):
+    """The header may lie in any split; each split knows from which of its lines the data begins."""
+    row = lambda d, h: f"{d:02d}.05.2024 {h:02d}:00;{d},{h}"
+    for site, above in ((1, 1), (2, 30)):
+        head = [row(1 + i % 28, 0) for i in range(above)] + ["Datum;Einheit"]
+        (tmp_path / f"site_{site}.csv").write_text("\n".join(head + [row(d, h) for d in range(1, 29) for h in range(24)]) + "\n")
+    (tmp_path / "pv_3.csv").write_text("\n".join([row(1, 0)] * 3 + [row(d, 5) for d in range(1, 29)]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = meter_csv.scan_meter_csv(spark, [str(tmp_path / f"site_{s}.csv") for s in (1, 2)], r"site_(\d)")
+        if split == 200:
+            assert meter_csv.read_lines(spark, str(tmp_path / "site_2.csv")).select("block").distinct().count() > 10
+        per_site = {r.site_id: (r.n, r.lo, r.total) for r in read.groupBy("site_id").agg(F.count("kwh").alias("n"), F.min("ts").alias("lo"), F.round(F.sum("kwh"), 4).alias("total")).collect()}
+        # a filter on the site must not change how the files are split
+        assert read.where("site_id = '2'").count() == 28 * 24
+        pv = meter_csv.scan_pv_csv(spark, str(tmp_path / "pv_3.csv"), r"pv_(\d)").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert per_site["1"] == per_site["2"] and per_site["1"][:2] == (28 * 24, D(2024, 5, 1))
+    assert len(pv) == 28 and {r.ts.hour for r in pv} == {5}
