@@ -186,3 +186,48 @@ def test_files_are_read_in_splits(spark, tmp_path, split):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert per_site["1"] == per_site["2"] and per_site["1"][:2] == (28 * 24, D(2024, 5, 1))
     assert len(pv) == 28 and {r.ts.hour for r in pv} == {5}
+
+
+def _prices(spark, *pages):
+    df = spark.createDataFrame([(i, p, dt.date(2024, 5, 1)) for i, p in enumerate(pages)], "page long, html string, delivery_date date")
+    out = {}
+    for r in prices.extract_price_table(df, keep=("page",)).orderBy("page", "hour").collect():
+        out.setdefault(r.page, []).append(r.price_eur_mwh)
+    return out
+
+
+def test_price_table_with_tables_inside(spark):
+    """Inner tables belong to the first table: in a cell of a narrow row, in a wide row, two levels deep."""
+    row = lambda v: f"<tr><td>a</td><td>b</td><td>c</td><td>{v}</td></tr>"
+    inner = "<table>" + "".join(row(h) for h in range(1, 12)) + "</table>"
+    tail = "".join(row(h) for h in range(12, 30))
+    one_cell = f"<table><tr><td>x {inner}</td></tr>{tail}</table><table>{row(999)}</table>"
+    wide = f"<table><tr><td>1</td><td>2</td><td>{inner}</td><td>0,5</td></tr>{tail}</table>"
+    deep = f"<table><tr><td><table><tr><td>{inner}</td></tr></table></td></tr>{tail}</table>"
+    got = _prices(spark, one_cell, wide, deep)
+    # a row around an inner table has its cells too: its last cell is the inner table's last, or its own behind it
+    assert got[0] == [11.0, *map(float, range(1, 24))]
+    assert got[1] == [0.5, *map(float, range(1, 24))]
+    assert got[2] == [11.0, 11.0, *map(float, range(1, 23))]
+
+
+def test_price_table_without_end_tags_and_with_entities(spark):
+    cells = lambda v: f"<td>a<td>b<td><b>c</b><td> <i>{v}</i>&nbsp;"
+    loose = "<TABLE>" + "".join(f"<TR>{cells(f'{h}&#44;5')}" for h in range(25)) + "</TABLE>"
+    hidden = "<script>var t = '<table><tr><td>1</td></tr></table>'</script><!-- <table></table> -->" + loose
+    odd = "<table>" + "".join(f"<tr><td>a</td><td>b</td><td>c</td><td>{v}</td></tr>" for v in ["&#45;3&#46;5", "+4", "1.234,5", "12d", "NaN", "1e2", "", "&#x37;", ".5", "5."]) \
+        + "".join(f"<tr><td>a</td><td>b</td><td>c</td><td>{h}</td></tr>" for h in range(30)) + "</table>"
+    got = _prices(spark, loose, hidden, odd, None, "", "no table at all", "<table><table></table>")
+    assert got[0] == got[1] == [h + 0.5 for h in range(24)]
+    assert got[2][:7] == [-3.5, 4.0, 100.0, 7.0, 0.5, 5.0, 0.0] and set(got) == {0, 1, 2}
+
+
+def test_price_source_fallback_cases(spark):
+    day = lambda d: dt.date(2024, 1, d)
+    src = [(1, day(1), "a", 2, h, 1.0) for h in range(24)] + [(1, day(1), "b", 1, h, 2.0) for h in range(24)]  # the better of two complete ones
+    src += [(1, day(2), "a", 1, h, 1.0) for h in range(25)] + [(1, day(2), "b", 2, h, 2.0) for h in range(24)]  # too many rows are not complete
+    src += [(1, day(3), "a", 1, h, 1.0) for h in range(3)] + [(1, day(4), "a", 1, h, 1.0) for h in range(24)]  # day 4 was not asked for, but has prices
+    df = spark.createDataFrame(src, "site_id long, day date, source string, priority int, hour long, price_ct double")
+    days = spark.createDataFrame([(1, day(d)) for d in (1, 2, 3, 3)] + [(2, day(1))], "site_id long, day date")
+    got = prices.price_source_fallback(df, days).groupBy("site_id", "day", "source").agg(F.count("*").alias("n"), F.countDistinct("hour").alias("hours")).collect()
+    assert {(r.site_id, r.day.day, r.source, r.n, r.hours) for r in got} == {(1, 1, "b", 24, 24), (1, 2, "b", 24, 24), (1, 3, "default", 24, 24), (1, 4, "a", 24, 24), (2, 1, "default", 24, 24)}
