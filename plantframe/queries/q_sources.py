@@ -163,6 +163,8 @@ def _field(name):
     return lambda x: x[name]
 
 
+#: Which payloads are cut off, as SQL over the rows that they are made of.
+_CUT = {"series": "(site_id + day(ts)) % 11 = 0", "holidays": "site_id % 17 = 0", "prices": "(site_id + page) % 13 = 0"}
 _S4_VARS = {"temperature_2m": "temperature", "relative_humidity_2m": "humidity",
             "wind_speed_10m": "wind_speed", "precipitation": "precipitation"}
 
@@ -170,8 +172,18 @@ _S4_VARS = {"temperature_2m": "temperature", "relative_humidity_2m": "humidity",
 @register("flatten_series_payload", W(HR) + "SELECT site_id, date_trunc('minute', ts) AS ts, "
           f"{R4('kwh / 10.0::DOUBLE - 5.0::DOUBLE')} AS temperature, {R4('50.0::DOUBLE + n')} AS humidity, "
           f"{R4('kwh / 20.0::DOUBLE')} AS wind_speed, CASE WHEN n > 1 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS precipitation "
-          "FROM hourly")
+          f"FROM hourly WHERE NOT {_CUT['series']}")
 def q_flatten_series(spark, d):
+    return round_doubles(payloads.flatten_series_payload(series_payloads(spark, d), _S4_VARS, keep=("site_id",)))
+
+
+def _cut(payload, condition):
+    """Some answers broke off on their way."""
+    return F.when(condition, F.substr(payload, F.lit(1), F.length(payload) - 2)).otherwise(payload)
+
+
+def series_payloads(spark, d):
+    """A weather answer for each site and day, some of them cut off."""
     h = cat.hourly(spark, d)
     row = F.struct(F.col("ts").alias("ts"), (F.col("kwh") / 10.0 - 5.0).alias("temperature_2m"),
                    (F.lit(50.0) + F.col("n")).alias("relative_humidity_2m"), (F.col("kwh") / 20.0).alias("wind_speed_10m"),
@@ -179,19 +191,23 @@ def q_flatten_series(spark, d):
     per_day = h.groupBy("site_id", F.to_date("ts").alias("day")).agg(F.array_sort(F.collect_list(row)).alias("a"))
     hourly_obj = F.struct(F.transform("a", lambda x: F.date_format(x["ts"], "yyyy-MM-dd'T'HH:mm")).alias("time"),
                           *[F.transform("a", _field(v)).alias(v) for v in _S4_VARS])
-    pay = per_day.select("site_id", F.to_json(F.struct(hourly_obj.alias("hourly"))).alias("payload"))
-    return round_doubles(payloads.flatten_series_payload(pay, _S4_VARS, keep=("site_id",)))
+    payload = F.to_json(F.struct(hourly_obj.alias("hourly")))
+    return per_day.select("site_id", "day", _cut(payload, F.pmod(F.col("site_id") + F.dayofmonth("day"), F.lit(11)) == 0).alias("payload"))
 
 
 # ---------------------------------------------------------------------- S5
 @register("holiday_dates", W(RD) + "SELECT DISTINCT r.site_id, CAST(make_date(r.y, t.m, t.d) AS VARCHAR) AS date FROM "
           "(SELECT DISTINCT site_id, year(ts) AS y FROM readings) r CROSS JOIN " + _sql_holiday_values()
-          + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), "
-          "CASE WHEN r.site_id % 2 = 0 THEN 'DE-SH' ELSE 'DE-BY' END)")
+          + " WHERE (t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), "
+          f"CASE WHEN r.site_id % 2 = 0 THEN 'DE-SH' ELSE 'DE-BY' END)) AND NOT r.{_CUT['holidays']}")
 def q_holiday_dates(spark, d):
+    return round_doubles(payloads.holiday_dates(holiday_payloads(spark, d), site_region(), keep=("site_id",)))
+
+
+def holiday_payloads(spark, d):
+    """A holiday list for each site and year, some of them cut off."""
     sy = cat.readings(spark, d).select("site_id", F.year("ts").alias("year")).distinct()
-    pay = sy.select("site_id", _holiday_payload(F.col("year")).alias("payload"))
-    return round_doubles(payloads.holiday_dates(pay, site_region(), keep=("site_id",)))
+    return sy.select("site_id", "year", _cut(_holiday_payload(F.col("year")), F.pmod("site_id", F.lit(17)) == 0).alias("payload"))
 
 
 # ------------------------------------------------------------------- S6/S8
@@ -294,13 +310,14 @@ def price_payloads(spark, d):
     items = F.transform("a", lambda x: x["item"])
     payload = F.when(F.pmod("page", F.lit(2)) == 0, F.to_json(items)) \
         .otherwise(F.to_json(F.struct(items.alias("data"))))
-    return pages.select("site_id", "page", payload.alias("payload"))
+    return pages.select("site_id", "page", _cut(payload, F.pmod(F.col("site_id") + F.col("page"), F.lit(13)) == 0).alias("payload"))
 
 
 @register("flatten_price_json", W(RD, "rp AS (SELECT *, (row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1) // 32 AS page "
                                   "FROM readings)")
           + f"SELECT site_id, CAST(page AS BIGINT) AS page, date_trunc('minute', ts) AS timestamp, {R4('kwh')} AS price, "
           "'DE-LU' AS region, 'PT60M' AS resolution FROM rp WHERE event_type IN ('view', 'click', 'signup') "
+          f"AND NOT {_CUT['prices']} "
           "AND date_trunc('minute', ts) >= TIMESTAMP '2024-01-05 00:00:00' AND date_trunc('minute', ts) < TIMESTAMP '2024-01-25 00:00:00'")
 def q_flatten_price(spark, d):
     out = payloads.flatten_price_json(price_payloads(spark, d), keep=("site_id", "page"), region="DE-LU",
@@ -308,21 +325,40 @@ def q_flatten_price(spark, d):
     return round_doubles(out)
 
 
+# --------------------------------------------------------- S4, S5, S7: rejects
+@register("payload_rejects", W(RD, "rp AS (SELECT *, (row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1) // 32 AS page FROM readings)",
+                               f"r AS (SELECT DISTINCT 'series' AS kind, site_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS part FROM readings WHERE {_CUT['series']} "
+                               f"UNION ALL SELECT DISTINCT 'holidays', site_id, CAST(year(ts) AS VARCHAR) FROM readings WHERE {_CUT['holidays']} "
+                               f"UNION ALL SELECT DISTINCT 'prices', site_id, CAST(page AS VARCHAR) FROM rp WHERE {_CUT['prices']})")
+          + "SELECT kind, site_id, part, 'not json' AS reason FROM r")
+def q_payload_rejects(spark, d):
+    out = None
+    for kind, df, part in (("series", series_payloads(spark, d), "day"), ("holidays", holiday_payloads(spark, d), "year"), ("prices", price_payloads(spark, d), "page")):
+        bad = payloads.payload_rejects(df, kind, keep=("site_id", part), variables=_S4_VARS).select(F.lit(kind).alias("kind"), "site_id", F.col(part).cast("string").alias("part"), "reason")
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
 # ---------------------------------------------------------------------- S9
+#: The day that a second run writes again.
+AGAIN = "2024-01-10"
+
+
 @register("sink_series", W(cat.SQL_PLAN_INPUTS, "ru AS (SELECT site_id, ts, least(200.0::DOUBLE, greatest(0.0::DOUBLE, "
-                                                "0.7::DOUBLE * heat_demand)) AS chp_power, heat_demand FROM plan_inputs)")
-          + f"SELECT site_id, CAST(count(*) AS BIGINT) AS n, {R4('sum(chp_power)')} AS chp_power_sum, "
-          f"{R4('sum(greatest(0.0::DOUBLE, heat_demand - least(300.0::DOUBLE, 0.5::DOUBLE * chp_power)))')} AS boiler_heat_sum, CAST(count(*) AS BIGINT) AS n_json, min(ts) AS ts_min, "
-          "max(ts) AS ts_max FROM ru GROUP BY site_id")
+                                                "0.7::DOUBLE * heat_demand)) AS chp, heat_demand FROM plan_inputs)",
+                           "bo AS (SELECT *, greatest(0.0::DOUBLE, heat_demand - least(300.0::DOUBLE, 0.5::DOUBLE * chp)) AS boiler_heat, "
+                           f"CASE WHEN CAST(ts AS DATE) = DATE '{AGAIN}' THEN chp + 1.0::DOUBLE ELSE chp END AS chp_power FROM ru)")
+          + f"SELECT site_id, ts, {R4('chp_power')} AS chp_power, {R4('boiler_heat')} AS boiler_heat, {R4('chp_power')} AS chp_power_json, {R4('boiler_heat')} AS boiler_heat_json FROM bo")
 def q_sink(spark, d):
+    """A plan written as CSV and as JSON, then one day of it again: every row is read back."""
     from plantframe.functions import dispatch
     plan = dispatch.rule_dispatch(cat.plan_inputs(spark, d)).select("site_id", "ts", "chp_power", "boiler_heat")
+    again = plan.where(F.to_date("ts") == F.lit(AGAIN).cast("date")).withColumn("chp_power", F.col("chp_power") + 1.0)
     path = scratch_path(spark, f"sink-{uuid.uuid4().hex}")
-    sinks.sink_series(plan, path, "csv")
-    back = sinks.read_sink(spark, path, "csv", "site_id long, ts timestamp_ntz, chp_power double, boiler_heat double")
-    sinks.sink_series(plan, f"{path}-json", "json")
-    json_back = sinks.read_sink(spark, f"{path}-json", "json", "site_id long, ts timestamp_ntz, chp_power double, boiler_heat double")
-    out = back.groupBy("site_id").agg(F.count(F.lit(1)).alias("n"), F.sum("chp_power").alias("chp_power_sum"),
-                                      F.min("ts").alias("ts_min"), F.max("ts").alias("ts_max"))
-    again = json_back.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_json"), F.sum("boiler_heat").alias("boiler_heat_sum"))
-    return round_doubles(out.join(again, "site_id"))
+    back = {}
+    for fmt in ("csv", "json"):
+        sinks.sink_series(plan, f"{path}-{fmt}", fmt)
+        sinks.sink_series(again, f"{path}-{fmt}", fmt)
+        back[fmt] = sinks.read_sink(spark, f"{path}-{fmt}", fmt, "site_id long, ts timestamp_ntz, chp_power double, boiler_heat double", committed=True)
+    from_json = back["json"].select("site_id", "ts", F.col("chp_power").alias("chp_power_json"), F.col("boiler_heat").alias("boiler_heat_json"))
+    return round_doubles(back["csv"].select("site_id", "ts", "chp_power", "boiler_heat").join(from_json, ["site_id", "ts"]))

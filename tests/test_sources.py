@@ -7,6 +7,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from plantframe.plans import forecast as fc
@@ -231,3 +232,60 @@ def test_price_source_fallback_cases(spark):
     days = spark.createDataFrame([(1, day(d)) for d in (1, 2, 3, 3)] + [(2, day(1))], "site_id long, day date")
     got = prices.price_source_fallback(df, days).groupBy("site_id", "day", "source").agg(F.count("*").alias("n"), F.countDistinct("hour").alias("hours")).collect()
     assert {(r.site_id, r.day.day, r.source, r.n, r.hours) for r in got} == {(1, 1, "b", 24, 24), (1, 2, "b", 24, 24), (1, 3, "default", 24, 24), (1, 4, "a", 24, 24), (2, 1, "default", 24, 24)}
+
+
+def test_sink_replaces_the_days_it_has(spark, tmp_path):
+    frame = lambda rows: spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, v double")
+    path, read = str(tmp_path / "sink"), lambda: sorted((r.ts.day, r.v) for r in sinks.read_sink(spark, path, committed=True).collect())
+    with pytest.raises(FileNotFoundError):
+        sinks.read_sink(spark, path, committed=True)
+    sinks.sink_series(frame([(1, D(2024, 1, 1), 1.0), (1, D(2024, 1, 1, 5), 1.5)]), path)
+    first = sinks.commit_id(spark, path)
+    sinks.sink_series(frame([(1, D(2024, 1, 2), 2.0)]), path)
+    assert read() == [(1, 1.0), (1, 1.5), (2, 2.0)] and sinks.commit_id(spark, path) != first
+    kept = sorted(os.listdir(tmp_path / "sink" / "date=2024-01-01"))
+    sinks.sink_series(frame([(1, D(2024, 1, 2), 9.0)]), path)  # the same day again
+    assert read() == [(1, 1.0), (1, 1.5), (2, 9.0)] and sorted(os.listdir(tmp_path / "sink" / "date=2024-01-01")) == kept
+    # a write that fails leaves the old rows, in a partitioned sink and in one without partitions
+    bad = frame([(1, D(2024, 1, 2), 3.0), (1, D(2024, 1, 3), 0.0)]).withColumn("v", F.when(F.col("v") == 0, F.raise_error(F.lit("broken"))).otherwise(F.col("v")))
+    before = sinks.commit_id(spark, path)
+    with pytest.raises(Exception, match="broken"):
+        sinks.sink_series(bad, path)
+    assert read() == [(1, 1.0), (1, 1.5), (2, 9.0)] and sinks.commit_id(spark, path) == before
+    plain = str(tmp_path / "plain")
+    sinks.sink_series(frame([(1, D(2024, 1, 2), 9.0)]).drop("ts"), plain, "json")
+    with pytest.raises(Exception, match="broken"):
+        sinks.sink_series(bad.drop("ts"), plain, "json")
+    sinks.sink_series(frame([(2, D(2024, 1, 2), 7.0)]).drop("ts"), f"{plain}/", "json")
+    assert [tuple(r) for r in sinks.read_sink(spark, plain, "json", "site_id long, v double").collect()] == [(2, 7.0)]
+
+
+CUT = '{"hourly": {"time": ["2024-01-01T00:00", "2024-0'
+
+
+def test_bad_payloads_are_counted(spark):
+    good = json.dumps({"hourly": {"time": ["2024-01-01T00:00", "not a time"], "temperature_2m": [1.5, 2.0]}})
+    texts = [good, CUT, None, "[]", "", json.dumps({"error": True}), json.dumps({"hourly": {"time": [], "temperature_2m": []}}),
+             json.dumps({"hourly": {"time": ["2024-01-01T02:00"]}}), json.dumps({"hourly": {"time": ["2024-01-01T03:00"], "temperature_2m": ["x"]}})]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, payload string")
+    seen = Observation()
+    rows = payloads.flatten_series_payload(df, ["temperature_2m"], keep=("id",), counts=seen).collect()
+    assert sorted((r.id, r.ts.hour, r.temperature) for r in rows) == [(0, 0, 1.5), (7, 2, None)]
+    assert seen.get == {"payloads": 9, "rejects": 6}
+    rejects = payloads.payload_rejects(df, "series", keep=("id",), variables=["temperature_2m"]).collect()
+    assert sorted((r.id, r.reason) for r in rejects) == [(1, "not json"), (2, "missing"), (3, "other shape"), (4, "not json"), (5, "other shape"), (8, "other shape")]
+
+
+def test_bad_holiday_and_price_payloads(spark):
+    day = {"date": "2024-01-01", "global": True, "counties": None}
+    texts = [json.dumps([day]), json.dumps([day])[:-3], json.dumps({"date": 1}), json.dumps([]), json.dumps([{**day, "date": "soon"}, {"date": "2024-05-01"}])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, payload string")
+    assert [(r.id, r.date) for r in payloads.holiday_dates(df, keep=("id",)).collect()] == [(0, dt.date(2024, 1, 1))]
+    assert sorted((r.id, r.reason) for r in payloads.payload_rejects(df, "holidays", keep=("id",)).collect()) == [(1, "not json"), (2, "other shape")]
+    item = {"date": "2024-01-01T00:00", "value": 80.0, "region": "AT", "resolution": "PT60M"}
+    texts = [json.dumps([item]), json.dumps({"data": [item]}), json.dumps({"data": [item]})[:-4], json.dumps({"prices": []}), json.dumps({"data": []}), "null", json.dumps([{**item, "date": None}])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, payload string")
+    seen = Observation()
+    assert sorted((r.id, r.price) for r in payloads.flatten_price_json(df, keep=("id",), counts=seen).collect()) == [(0, 80.0), (1, 80.0)]
+    assert seen.get["rejects"] == 3
+    assert sorted((r.id, r.reason) for r in payloads.payload_rejects(df, "prices", keep=("id",)).collect()) == [(2, "not json"), (3, "other shape"), (5, "other shape")]
