@@ -4,20 +4,23 @@ Every storage step is a monotone map ``L -> clamp(a·L + b, lo, hi)`` with
 ``a >= 0``.  Such maps compose into a map of the same form, and composition
 is associative, so the level sequence is a *prefix scan* over maps:
 
-1. (shown for two levels) per ``(site, day)``: prefix compositions of the step maps with a window
-   (``collect_list`` over the day's rows so far, folded by ``aggregate``);
-   the last prefix is the day's map;
+1. (shown for two levels) per ``(site, day)``: the steps in runs of ``RUN``; inside a
+   run the prefixes come by doubling (each map is composed with the prefix 1, 2, 4, …
+   rows before it, all over one sort), and one ordered fold per day gives the
+   maps of its runs, what lies before each run and the day's map;
 2. per ``(site, month)``: prefix compositions of the day maps;
 3. per ``site``: prefix compositions of the month maps;
 4. entry levels flow back down: month entry = months-before(L0), day entry
-   = days-before(month entry), step level = steps-so-far(day entry).
+   = days-before(month entry), run entry = runs-before(day entry), step level
+   = steps-so-far(run entry).
+
+So a bucket of n steps costs n · log2(``RUN``) compositions beside its sort.
 
 No task ever holds more than one finest bucket of one site's steps, one
 bucket of maps of the level below, or one site's month maps, whatever the skew
 across sites.  The bucket summaries are joined back on the keys the step table
 is already partitioned on.  The levels are a parameter (default hour → day →
-month; minute → hour → day → month for data of a second), as the fold inside a
-bucket is quadratic in its steps.  A NULL amount is no movement.
+month).  A NULL amount is no movement.
 """
 
 from __future__ import annotations
@@ -28,8 +31,10 @@ from pyspark.sql import functions as F
 from plantframe.functions.plant import DEFAULT, Params
 
 BIG = 1e300  # stands in for ±inf: keeps 0·bound finite
-#: Nested buckets, finest first: a fold inside one bucket is quadratic in its steps, so buckets stay small.
+#: Nested buckets, finest first: a task holds one bucket of one site's steps.
 LEVELS = ("hour", "day", "month")
+#: Steps of a run, a power of two.
+RUN = 32
 _MAP_T = "struct<a:double,b:double,l:double,h:double>"
 
 
@@ -74,6 +79,29 @@ def _prefix(df: DataFrame, part: list[str], order: str, maps: dict[str, str]) ->
     return df.withColumns({out: _fold(F.collect_list(F.col(m)).over(w)) for m, out in maps.items()})
 
 
+def _run_prefixes(df: DataFrame, part: list[str], order: list[str], maps: dict[str, str]) -> DataFrame:
+    """Inclusive prefix compositions inside runs of ``RUN`` rows, and ``__run``, the row's run within its bucket.
+
+    All windows have one sort.  A row looks back only as far as its run begins.
+    """
+    w = Window.partitionBy(*part).orderBy(*order)
+    df = df.withColumn("__row", F.row_number().over(w) - 1).withColumns({out: F.col(m) for m, out in maps.items()})
+    back = 1
+    while back < RUN:
+        far = F.pmod("__row", F.lit(RUN)) >= back
+        df = df.withColumns({f"__lag{out}": F.lag(out, back).over(w) for out in maps.values()})
+        df = df.withColumns({out: F.when(far, compose(F.col(f"__lag{out}"), F.col(out))).otherwise(F.col(out)) for out in maps.values()}).drop(*[f"__lag{out}" for out in maps.values()])
+        back *= 2
+    return df.withColumn("__run", F.floor(F.col("__row") / RUN).cast("int")).drop("__row")
+
+
+def _runs_before(steps: Column) -> Column:
+    """From a bucket's ordered maps: ``m``, the bucket's map, and ``before``, what lies before each of its runs."""
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN).cast("int")), lambda i: _fold(F.slice(steps, i * RUN + 1, RUN)))
+    first = F.struct(identity().alias("m"), F.array().cast(f"array<{_MAP_T}>").alias("before"))
+    return F.aggregate(runs, first, lambda acc, m: F.struct(compose(acc["m"], m).alias("m"), F.concat(acc["before"], F.array(acc["m"])).alias("before")))
+
+
 def _level_key(ts: str, unit: str) -> Column:
     if unit in ("minute", "hour"):   # start of the bucket in microseconds; window() can be used once per plan only
         step = {"minute": 60_000_000, "hour": 3_600_000_000}[unit]
@@ -100,7 +128,6 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
     (site, levels[0]), those maps per (site, levels[1]), …, and the
     coarsest maps per site.  Each window holds at most one bucket of the
     level below, so the work per task is bounded whatever one site's size.
-    Use ``("minute", "hour", "day", "month")`` for meter data of a second.
     Stamps are unique per site; rows that share one are taken in the order of
     their step maps, in both passes.
     """
@@ -120,13 +147,16 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
         not_null = not_null & F.col(k).isNotNull()
     base = base.filter(not_null)
 
-    # upward pass.  Level 0: inclusive prefixes of the steps inside each finest bucket.
-    steps = _prefix(base, [site, keys[0]], ts, {f"__m_{n}": f"__p0_{n}" for n in names})
-    # Level 1: each finest bucket's map, folded straight from the input (one ordered fold per
-    # bucket, map-side partial collection) rather than from the prefix window above.
+    # upward pass.  Level 0: inclusive prefixes of the steps inside the runs of each finest bucket.
+    # ties of the stamp go by the maps, as in the sorted arrays below
+    steps = _run_prefixes(base, [site, keys[0]], [ts, *cols], {f"__m_{n}": f"__p0_{n}" for n in names})
+    # Level 1: each finest bucket's map and run entries, folded straight from the input (one ordered fold per
+    # bucket, map-side partial collection) rather than from the prefixes above.
     seq = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("o"), *[F.col(f"__m_{n}").alias(n) for n in names])))
     level1 = base.groupBy(site, *keys).agg(seq.alias("__seq"))
-    level1 = level1.select(site, *keys, *[_fold(F.transform("__seq", _field(n))).alias(f"__b1_{n}") for n in names])
+    level1 = level1.select(site, *keys, *[_runs_before(F.transform("__seq", _field(n))).alias(f"__f_{n}") for n in names])
+    level1 = level1.select(site, *keys, *[F.col(f"__f_{n}.m").alias(f"__b1_{n}") for n in names], *[F.col(f"__f_{n}.before").alias(f"__q_{n}") for n in names])
+    runs = [f"__q_{n}" for n in names]
     tables = [steps]   # tables[i]: rows of level i (level 0 = steps) with their prefix maps __p{i}_*
     for i in range(1, len(levels) + 1):
         parent = [site] + keys[i:i + 1]            # (site, next bucket) or just site at the top
@@ -145,7 +175,7 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
         top = top.join(inits, site)
     l0 = {n: init_lit[n] if n in init_lit else F.col(f"__l0_{n}") for n in names}
     wt = Window.partitionBy(site).orderBy(keys[-1])
-    entry = top.select(site, keys[-1], *[
+    entry = top.select(site, keys[-1], *(runs if len(levels) == 1 else []), *[
         apply_map(F.coalesce(F.lag(f"__p{len(levels)}_{n}").over(wt), identity()), l0[n])
         .alias(f"__e_{n}") for n in names])
     for i in range(len(levels) - 1, 0, -1):
@@ -153,15 +183,15 @@ def run_ledgers(df: DataFrame, ledgers: dict[str, tuple[Column, Column | float]]
         w = Window.partitionBy(site, *keys[i:]).orderBy(keys[i - 1])
         t = t.withColumns({f"__x_{n}": F.coalesce(F.lag(f"__p{i}_{n}").over(w), identity()) for n in names})
         entry = t.join(entry, [site, *keys[i:]]).select(
-            site, *keys[i - 1:], *[apply_map(F.col(f"__x_{n}"), F.col(f"__e_{n}")).alias(f"__e_{n}") for n in names])
+            site, *keys[i - 1:], *(runs if i == 1 else []), *[apply_map(F.col(f"__x_{n}"), F.col(f"__e_{n}")).alias(f"__e_{n}") for n in names])
     # join on exactly the keys the step table is partitioned on (coarser buckets are
     # implied by the finest), so a shuffle join never re-shuffles the steps
-    entry = entry.select(site, keys[0], *[f"__e_{n}" for n in names])
+    entry = entry.select(site, keys[0], *runs, *[f"__e_{n}" for n in names])
     out = steps.join(entry, [site, keys[0]])
-    out = out.withColumns({f"{n}_out": apply_map(F.col(f"__p0_{n}"), F.col(f"__e_{n}")) for n in names})
+    out = out.withColumns({f"{n}_out": apply_map(F.col(f"__p0_{n}"), apply_map(F.get(F.col(f"__q_{n}"), F.col("__run")), F.col(f"__e_{n}"))) for n in names})
     ws = Window.partitionBy(site, keys[0]).orderBy(ts, *[f"__m_{n}" for n in names])
     out = out.withColumns({f"{n}_in": F.coalesce(F.lag(f"{n}_out").over(ws), F.col(f"__e_{n}")) for n in names})
-    drop = keys + [f"__{k}_{n}" for n in names for k in ("m", "p0", "e")]
+    drop = [*keys, "__run"] + [f"__{k}_{n}" for n in names for k in ("m", "p0", "e", "q")]
     return out.drop(*drop)
 
 

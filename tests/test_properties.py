@@ -112,6 +112,29 @@ def test_chunked_ledger_equals_sequential_over_months(spark, levels):
             assert DEFAULT.value("battery_storage.min_level") * 0.99 - 1e-9 <= got[(s, r[1])] <= 95 + 1e-9
 
 
+@pytest.mark.parametrize("run", [1, 4, 32])
+def test_ledger_of_dense_buckets(spark, monkeypatch, run):
+    """Hours of a step a second, an hour of one step, repeated stamps and NULL amounts, against the loop."""
+    monkeypatch.setattr(ledger, "RUN", run)
+    rnd = random.Random(4)
+    rows = []
+    for s, n in ((0, 3600 if run == 32 else 700), (1, 1), (2, 33)):
+        t = D(2024, 1, 1, 0, 59, 59)
+        for i in range(n):
+            t += dt.timedelta(seconds=1)
+            rows.append((s, t, rnd.choice([0.0, None, rnd.uniform(0, 30)]), rnd.choice([0.0, rnd.uniform(0, 30)])))
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, battery_charge double, battery_discharge double").repartition(3)
+    got = {(r.site_id, r.ts): (r.battery_level_in, r.battery_level) for r in ledger.battery_ledger(df).collect()}
+    assert len(got) == len(rows)
+    for s in range(3):
+        srows = [r for r in rows if r[0] == s]
+        exp = _sequential_battery([r[2] or 0.0 for r in srows], [r[3] for r in srows])
+        before = DEFAULT.value("battery_storage.initial_level")
+        for r, e in zip(srows, exp):
+            assert got[(s, r[1])] == (pytest.approx(before, abs=1e-7), pytest.approx(e, abs=1e-7))
+            before = e
+
+
 def test_halo_windows_independent_of_chunk_size(spark):
     df, _ = _random_series(spark, seed=9, null_frac=0.0)
     a = samples.seq_to_seq_windows(df, ["v"], "v", 5, rows_per_chunk=16)
