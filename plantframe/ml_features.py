@@ -30,3 +30,13 @@ def pv_frame(spark: SparkSession, d: str) -> DataFrame:
     other = F.lit(0.8) + F.pmod(F.xxhash64("site_id", "ts"), F.lit(1000)) / F.lit(2500.0)
     f = f.withColumn("pv_kw", plant.pv_physical(F.col("direct_radiation"), profiles.weather_temperature(F.col("hour"))) * other)
     return calendar.feature_frame(f, calendar.PV_FEATURES, keep=("site_id", "ts"), target="pv_kw")
+
+
+def heat_frame(spark: SparkSession, d: str) -> DataFrame:
+    """P10 heat features (weather, hour, day of week) + heat demand target."""
+    from plantframe.queries.q_projections import site_temperature
+    h = cat.hourly(spark, d).select("site_id", "ts", (F.lit(100.0) + F.col("kwh")).alias("heat_demand"))
+    f = calendar.calendar_features(h).withColumns({
+        "temperature": site_temperature("site_id", "ts"), "humidity": F.lit(50.0) + F.hour("ts"),
+        "wind_speed": F.lit(3.0) + F.pmod("site_id", F.lit(5)) + F.hour("ts") / 10.0})
+    return calendar.feature_frame(f, calendar.HEAT_FEATURES, keep=("site_id", "ts"), target="heat_demand")

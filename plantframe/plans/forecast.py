@@ -10,6 +10,7 @@ turned into vectors with ``array_to_vector`` inside the same plan.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark import SparkContext, StorageLevel
@@ -18,7 +19,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -308,23 +309,52 @@ def forecast_seasonal(model: DataFrame, starts: DataFrame, periods: int, every:
 
 
 # ---------------------------------------------------------------------- S10
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+_VERSION, _MANIFEST = "version-", "manifest-"
+
+
+def _names(path: str, spark) -> tuple[object, list[str]]:
+    """A folder's file system and the names in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def model_versions(path: str) -> list[str]:
+    """Finished versions of a stored model, oldest first."""
+    _, names = _names(path, SparkSession.active())
+    return [n[len(_MANIFEST):].split("-", 1)[1] for n in names if n.startswith(_MANIFEST)]
+
+
+def save_model(model: PipelineModel, path: str) -> str:
+    """Store a model as a new version; it counts once its manifest stands, which is made last.
+
+    A version has a folder of its own, so runs that train at the same time don't
+    write over each other, and one that breaks off leaves what was there.
+    """
+    spark = SparkSession.active()
+    version = uuid.uuid4().hex
+    model.write().save(f"{path}/{_VERSION}{version}")
+    fs, names = _names(path, spark)
+    last = max((int(n[len(_MANIFEST):].split("-", 1)[0]) for n in names if n.startswith(_MANIFEST)), default=0)
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_MANIFEST}{last + 1:09d}-{version}"), False).close()
+    return version
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    """The last finished version; without one it is an error."""
+    versions = model_versions(path)
+    if not versions:
+        raise FileNotFoundError(f"{path}: no finished model")
+    return PipelineModel.load(f"{path}/{_VERSION}{versions[-1]}")
 
 
 def load_or_train(path: str, train: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
     """Load the stored pipeline if there is one, else fit on ``train`` and store it.
 
-    Only absence trains: a model that is there but cannot be read is an error,
+    Only absence of a finished version trains: one that is there but cannot be read is an error,
     and is never overwritten.
     """
-    spark = train.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if model_versions(path):
         return load_model(path)
     model = fit_gbt(train, features, label, **kw)
     save_model(model, path)
@@ -338,4 +368,4 @@ def feature_importances(model: PipelineModel, features: Sequence[str]) -> list[t
 
 __all__ = ["gbt_pipeline", "score", "fit_gbt", "fit_validated", "best_round", "cut_ensemble", "holdout_mse", "lag_vector_frame", "fit_gbt_vector",
            "multi_horizon_frame", "fallback_short_history", "seasonal_features", "seasonal_statistics", "time_span", "fit_seasonal", "apply_seasonal", "forecast_seasonal", "save_model",
-           "load_model", "load_or_train", "feature_importances", "vector_to_array"]
+           "load_model", "load_or_train", "model_versions", "feature_importances", "vector_to_array"]

@@ -8,7 +8,7 @@ from plantframe import catalog as cat
 from plantframe.functions import calendar, dispatch
 from plantframe.operators import metrics, series
 from plantframe.queries.common import R4, register, round_doubles
-from plantframe.queries.q_sources import _holiday_payload, _sql_holiday_values
+from plantframe.queries.q_sources import _holiday_payload, sql_holiday_values
 from plantframe.sources import payloads
 
 RD, HR, PI = cat.SQL_READINGS, cat.SQL_HOURLY, cat.SQL_PLAN_INPUTS
@@ -94,7 +94,7 @@ def q_plant_kpis(spark, d):
 # --------------------------------------------------------------------- A10
 @register("holiday_year_union", W(RD) + "SELECT DISTINCT CAST(make_date(y.y, t.m, t.d) AS VARCHAR) AS date FROM "
           "(SELECT DISTINCT year(ts) AS y FROM readings UNION SELECT DISTINCT year(ts) + 1 FROM readings) y CROSS JOIN "
-          + _sql_holiday_values() + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), 'DE-SH')")
+          + sql_holiday_values() + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), 'DE-SH')")
 def q_holiday_union(spark, d):
     years = cat.readings(spark, d).select(F.year("ts").alias("year")).distinct()
     this_year = payloads.holiday_dates(years.select(_holiday_payload(F.col("year")).alias("payload")))

@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from plantframe import catalog as cat
 from plantframe.functions import calendar, profiles, solar
-from plantframe.ml_features import consumption_frame, pv_frame
+from plantframe.ml_features import consumption_frame, heat_frame, pv_frame
 from plantframe.operators import samples, series
 from plantframe.plans import forecast as fc
+from plantframe.plans import scoring
 from plantframe.queries.common import R4, register, round_doubles
+from plantframe.queries.q_sources import holidays_of_years, sql_holiday_values
 from plantframe.session import scratch_path
+from plantframe.sources import payloads
 
 #: A day of hours, as the windows of the sample builders.
 LAGS = HORIZONS = 24
@@ -148,48 +151,144 @@ def q_validated(spark, d):
     return _rounded(out.select("site_id", "ts", "kwh", "prediction", F.lit(model.stages[-1].getNumTrees).cast("long").alias("trees"), F.lit(len(losses)).cast("long").alias("rounds")))
 
 
+# ------------------------------------------------------ weather of the days to come
+#: Hours of a forecast answer: a week and the midnight after it.
+ANSWER_HOURS = 169
+
+
+def weather_answers(spark, d):
+    """A forecast answer (S4 payload) for each site: hourly from the midnight before its last reading; some temperatures are missing."""
+    starts = cat.readings(spark, d).groupBy("site_id").agg(F.to_date(F.max("ts")).cast("timestamp_ntz").alias("start"))
+    h = F.transform(F.sequence(F.lit(0), F.lit(ANSWER_HOURS - 1)), lambda i: F.struct(
+        F.timestamp_add("HOUR", i, "start").alias("ts"), F.pmod(i, F.lit(24)).cast("double").alias("hour"), i.alias("i")))
+    site = F.col("site_id")
+    values = {
+        "temperature_2m": lambda x: F.when((x["i"] > 0) & (F.pmod(x["hour"] + site, F.lit(9)) == 5), F.lit(None)).otherwise(
+            profiles.weather_temperature(x["hour"]) - 12.0 + F.pmod(site, F.lit(10)) * 1.5 + x["i"] / 100.0),
+        "relative_humidity_2m": lambda x: F.lit(50.0) + x["hour"],
+        "wind_speed_10m": lambda x: F.lit(3.0) + F.pmod(site, F.lit(5)) + x["hour"] / 10.0,
+        "direct_radiation": lambda x: profiles.weather_irradiance(x["hour"]) * (F.lit(0.5) + F.pmod(site, F.lit(5)) / 10.0),
+        "cloud_cover": lambda x: F.pmod(x["i"] * 3 + site, F.lit(100)).cast("double"),
+    }
+    arrays = F.struct(F.transform("h", lambda x: F.date_format(x["ts"], "yyyy-MM-dd'T'HH:mm")).alias("time"), *[F.transform("h", f).alias(n) for n, f in values.items()])
+    return starts.withColumn("h", h).select("site_id", F.to_json(F.struct(arrays.alias("hourly")), {"ignoreNullFields": "false"}).alias("payload"))
+
+
+def future_weather(spark, d, *variables):
+    return payloads.flatten_series_payload(weather_answers(spark, d), list(variables), keep=("site_id",))
+
+
+_SIN = "sin(2 * pi() * (i % 24 - 6) / 24.0::DOUBLE)"
+_SQL_FUTURE = (
+    "starts AS (SELECT site_id, max(ts) AS now, CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) AS day0 FROM readings GROUP BY site_id), "
+    f"wx AS (SELECT site_id, day0 + i * INTERVAL 1 HOUR AS ts, i, CASE WHEN i > 0 AND (i % 24 + site_id) % 9 = 5 THEN NULL ELSE 15.0::DOUBLE + 10.0::DOUBLE * {_SIN} - 12.0::DOUBLE "
+    "+ (site_id % 10) * 1.5::DOUBLE + i / 100.0::DOUBLE END AS t0, 50.0::DOUBLE + i % 24 AS humidity, 3.0::DOUBLE + site_id % 5 + (i % 24) / 10.0::DOUBLE AS wind_speed, "
+    f"greatest(0.0::DOUBLE, 800.0::DOUBLE * {_SIN}) * (0.5::DOUBLE + (site_id % 5) / 10.0::DOUBLE) AS direct_radiation, ((i * 3 + site_id) % 100)::DOUBLE AS cloud_cover "
+    f"FROM (SELECT site_id, day0, unnest(range({ANSWER_HOURS})) AS i FROM starts)), "
+    # missing hours stand alone: the mean of their neighbours, at the end the last value
+    "wt AS (SELECT *, coalesce(t0, (lag(t0) OVER w + lead(t0) OVER w) / 2.0::DOUBLE, lag(t0) OVER w) AS temperature FROM wx WINDOW w AS (PARTITION BY site_id ORDER BY i))")
+
+
 # ---------------------------------------------------------------------- M7
-def future_consumption_features(spark, d, periods: int = 168):
-    """T3 future grid after each site's last stamp -> weather profile -> P1–P6 features."""
-    h = cat.hourly(spark, d)
-    starts = h.groupBy("site_id").agg(F.max("ts").alias("start"))
-    grid = series.time_grid_periods(starts, periods + 1, "1 hour").filter(F.col("step") > 0)
-    from plantframe.queries.q_projections import site_temperature
-    from plantframe.queries.q_sources import holidays_of_years
-    f = calendar.calendar_features(grid)
+def future_consumption_features(spark, d):
+    starts = cat.readings(spark, d).groupBy("site_id").agg(F.max("ts").alias("start"))
     # holidays of the years that are scored, not of those that were read
-    f = calendar.holiday_flag(f, holidays_of_years(grid.select(F.year("ts").alias("year")).distinct()), out="Holiday")
-    return f.withColumns({
-        "day": calendar.iso_day_number("ts"), "day_time": calendar.day_part(F.col("hour")),
-        "temperature": site_temperature("site_id", "ts"),
-    }).withColumn("temp_category_int", calendar.temp_category_code("temperature"))
+    years = starts.select(F.explode(F.array(F.year("start"), F.year(F.timestamp_add("DAY", F.lit(7), "start")))).alias("year")).distinct()
+    return scoring.consumption_features(future_weather(spark, d, "temperature_2m"), starts, holidays_of_years(years))
 
 
-@register("score_next_7_days")
-def q_next_7_days(spark, d):
+def _next_7_days(spark, d):
     # trained and stored by one run, loaded and applied by the next
     path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
     fc.load_or_train(path, consumption_frame(spark, d), calendar.CONSUMPTION_FEATURES, "kwh")
-    out = fc.score(fc.load_model(path), future_consumption_features(spark, d))
-    return _rounded(out.select("site_id", "ts", F.col("prediction").alias("electricity_consumption_forecast")))
+    return scoring.scored(fc.load_model(path), future_consumption_features(spark, d), "electricity_consumption_forecast")
+
+
+@register("score_next_7_days")
+def q_next_7_days(spark, d):
+    return _rounded(_next_7_days(spark, d).forecast)
+
+
+_SQL_NEXT_7_DAYS = cat.with_sql(cat.SQL_READINGS, _SQL_FUTURE, (
+    f"g AS (SELECT site_id, now + k * INTERVAL 1 HOUR AS ts, least({ANSWER_HOURS - 1}, (epoch_us(now + k * INTERVAL 1 HOUR) - epoch_us(day0) + 1800000000) // 3600000000) AS i "
+    f"FROM (SELECT *, unnest(range({scoring.WEEK_HOURS})) AS k FROM starts)), "
+    "hol AS (SELECT DISTINCT make_date(y, t.m, t.d) AS date FROM (SELECT DISTINCT year(ts) AS y FROM g) CROSS JOIN " + sql_holiday_values()
+    + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), 'DE-SH')), "
+    "ff AS (SELECT g.site_id, g.ts, isodow(g.ts) AS day, CASE WHEN temperature < 0 THEN 0 WHEN temperature < 10 THEN 1 WHEN temperature < 20 THEN 2 ELSE 3 END AS temp_category_int, "
+    "hour(g.ts) // 4 AS day_time, month(g.ts) AS month, CASE WHEN EXISTS (SELECT 1 FROM hol WHERE hol.date = CAST(g.ts AS DATE)) THEN 1 ELSE 0 END AS Holiday, temperature, "
+    "CASE WHEN isodow(g.ts) >= 6 THEN 1 ELSE 0 END AS is_weekend FROM g JOIN wt ON wt.site_id = g.site_id AND wt.i = g.i)"))
+
+
+@register("next_7_days_features", _SQL_NEXT_7_DAYS + "SELECT site_id, ts, day, temp_category_int::BIGINT AS temp_category_int, day_time, month, Holiday::BIGINT AS Holiday, "
+          f"{R4('temperature')} AS temperature, is_weekend::BIGINT AS is_weekend, NULL::DOUBLE AS electricity_consumption_forecast FROM ff")
+def q_next_7_days_features(spark, d):
+    """Both results without a model: the features, and a forecast that is NULL."""
+    both = scoring.scored(None, future_consumption_features(spark, d), "electricity_consumption_forecast")
+    return _rounded(both.features.join(both.forecast, ["site_id", "ts"]))
 
 
 # ---------------------------------------------------------------------- M8
+def _place():
+    return F.lit(47.0) + F.pmod("site_id", F.lit(8)), F.lit(6.0) + F.pmod("site_id", F.lit(9))
+
+
+def future_pv_features(spark, d):
+    return scoring.pv_features(future_weather(spark, d, "direct_radiation", "cloud_cover"), *_place())
+
+
 @register("score_next_day_pv")
 def q_next_day_pv(spark, d):
     model = fc.fit_gbt(pv_frame(spark, d), calendar.PV_FEATURES, "pv_kw", scale=False)
-    h = cat.hourly(spark, d)
-    starts = h.groupBy("site_id").agg(F.to_date(F.max("ts")).cast("timestamp_ntz").alias("start"))
-    grid = series.time_grid_periods(starts, 72, "1 hour")          # three-day hourly weather forecast
-    tomorrow = series.slice_rows(grid, 24, 24)                      # rows 24..47 = tomorrow
-    lat = F.lit(47.0) + F.pmod("site_id", F.lit(8))
-    lon = F.lit(6.0) + F.pmod("site_id", F.lit(9))
-    f = solar.sun_position(tomorrow, lat, lon)
-    f = f.withColumns({"week": calendar.iso_week("ts"), "hour": F.hour("ts"),
-                       "cloud_cover": F.lit(40.0),
-                       "direct_radiation": profiles.weather_irradiance(F.hour("ts")) * F.lit(0.6)})
-    out = fc.score(model, f)
-    return _rounded(out.select("site_id", "ts", F.col("prediction").alias("pv_forecast")))
+    return _rounded(scoring.scored(model, future_pv_features(spark, d), "pv_forecast").forecast)
+
+
+_AZ, _ALT = solar.sql_sun_position("ts", "(47.0::DOUBLE + (site_id % 8))", "(6.0::DOUBLE + (site_id % 9))")
+
+
+@register("next_day_pv_features", cat.with_sql(cat.SQL_READINGS, _SQL_FUTURE) + f"SELECT site_id, ts, {R4(_AZ)} AS azimuth, {R4(_ALT)} AS altitude, week(ts) AS week, hour(ts) AS hour, "
+          f"{R4('direct_radiation')} AS direct_radiation, cloud_cover FROM wt WHERE i >= 24 AND i < 48")
+def q_next_day_pv_features(spark, d):
+    return _rounded(future_pv_features(spark, d))
+
+
+# ------------------------------------------------- heat, quarter hours of the next 7 days
+def future_heat_features(spark, d):
+    return scoring.heat_features(future_weather(spark, d, "temperature_2m", "relative_humidity_2m", "wind_speed_10m"))
+
+
+def _between(c: str) -> str:
+    return f"(a.{c} + (b.{c} - a.{c}) * (q / 4.0::DOUBLE))"
+
+
+@register("next_7_days_heat_features", cat.with_sql(cat.SQL_READINGS, _SQL_FUTURE, (
+    # quarters lie between an hour and the next known one; after a missing hour the line goes on from the mean, which lies on it
+    "qt AS (SELECT a.site_id, a.ts + q * INTERVAL 15 MINUTE AS ts, " + ", ".join(f"{_between(c)} AS {c}" for c in ("temperature", "humidity", "wind_speed"))
+    + f" FROM wt a JOIN wt b ON a.site_id = b.site_id AND b.i = a.i + 1, unnest(range(4)) u(q) WHERE a.i < {ANSWER_HOURS - 1})"))
+    + f"SELECT site_id, ts, {R4('temperature')} AS temperature, {R4('humidity')} AS humidity, {R4('wind_speed')} AS wind_speed, hour(ts) AS hour, isodow(ts) - 1 AS day_of_week, "
+    "CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END::BIGINT AS is_weekend FROM qt")
+def q_next_7_days_heat_features(spark, d):
+    return _rounded(future_heat_features(spark, d))
+
+
+@register("score_next_7_days_heat")
+def q_next_7_days_heat(spark, d):
+    model = fc.fit_gbt(heat_frame(spark, d), calendar.HEAT_FEATURES, "heat_demand")
+    return _rounded(scoring.scored(model, future_heat_features(spark, d), "heat_demand_forecast").forecast)
+
+
+# ---------------------------------------------------------------------- P10
+@register("heat_feature_frame", cat.with_sql(cat.SQL_HOURLY) + f"SELECT site_id, ts, {R4('15.0::DOUBLE + 10.0::DOUBLE * sin(2 * pi() * (hour(ts) - 6) / 24.0::DOUBLE) - 12.0::DOUBLE + (site_id % 10) * 1.5::DOUBLE')} AS temperature, "
+          f"50.0::DOUBLE + hour(ts) AS humidity, {R4('3.0::DOUBLE + site_id % 5 + hour(ts) / 10.0::DOUBLE')} AS wind_speed, hour(ts) AS hour, isodow(ts) - 1 AS day_of_week, "
+          f"CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END::BIGINT AS is_weekend, {R4('100.0::DOUBLE + kwh')} AS heat_demand FROM hourly")
+def q_heat_frame(spark, d):
+    return _rounded(heat_frame(spark, d))
+
+
+@register("pv_feature_frame", cat.with_sql(cat.SQL_HOURLY) + f"SELECT site_id, ts, {R4(_AZ)} AS azimuth, {R4(_ALT)} AS altitude, week(ts) AS week, hour(ts) AS hour, "
+          f"{R4('greatest(0.0::DOUBLE, 800.0::DOUBLE * sin(2 * pi() * (hour(ts) - 6) / 24.0::DOUBLE)) * (1.0::DOUBLE - ((kwh % 100.0::DOUBLE) + 100.0::DOUBLE) % 100.0::DOUBLE / 100.0::DOUBLE)')} AS direct_radiation, "
+          f"{R4('((kwh % 100.0::DOUBLE) + 100.0::DOUBLE) % 100.0::DOUBLE')} AS cloud_cover FROM hourly")
+def q_pv_frame(spark, d):
+    return _rounded(pv_frame(spark, d).drop("pv_kw"))
 
 
 # ---------------------------------------------------------------------- S10

@@ -46,7 +46,7 @@ def _holiday_payload(year_col):
     return F.to_json(F.array(*items))
 
 
-def _sql_holiday_values() -> str:
+def sql_holiday_values() -> str:
     rows = []
     for md, glob, counties in HOLIDAY_TEMPLATE:
         m, d = md.split("-")
@@ -70,7 +70,7 @@ def holidays_of_years(years, region: str = "DE-SH"):
 
 
 SQL_HOLIDAYS = ("holidays AS (SELECT DISTINCT make_date(y.y, t.m, t.d) AS date FROM "
-                "(SELECT DISTINCT year(ts) AS y FROM readings) y CROSS JOIN " + _sql_holiday_values()
+                "(SELECT DISTINCT year(ts) AS y FROM readings) y CROSS JOIN " + sql_holiday_values()
                 + " WHERE t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), 'DE-SH'))")
 
 
@@ -197,7 +197,7 @@ def series_payloads(spark, d):
 
 # ---------------------------------------------------------------------- S5
 @register("holiday_dates", W(RD) + "SELECT DISTINCT r.site_id, CAST(make_date(r.y, t.m, t.d) AS VARCHAR) AS date FROM "
-          "(SELECT DISTINCT site_id, year(ts) AS y FROM readings) r CROSS JOIN " + _sql_holiday_values()
+          "(SELECT DISTINCT site_id, year(ts) AS y FROM readings) r CROSS JOIN " + sql_holiday_values()
           + " WHERE (t.g OR list_contains(coalesce(t.counties, []::VARCHAR[]), "
           f"CASE WHEN r.site_id % 2 = 0 THEN 'DE-SH' ELSE 'DE-BY' END)) AND NOT r.{_CUT['holidays']}")
 def q_holiday_dates(spark, d):

@@ -127,6 +127,48 @@ def test_model_store_round_trip(spark):
     assert fc.score(None, df).filter(F.col("prediction").isNotNull()).count() == 0
 
 
+def test_model_store_counts_finished_versions_only(spark, tmp_path):
+    df = spark.createDataFrame([(float(i), float(2 * i)) for i in range(60)], "a double, y double")
+    path = str(tmp_path / "store")
+    assert fc.model_versions(path) == []
+    with pytest.raises(FileNotFoundError):
+        fc.load_model(path)
+    first = fc.load_or_train(path, df, ["a"], "y", rounds=2)
+    want = [r.prediction for r in fc.score(first, df).collect()]
+    # a run that broke off: half a folder, no manifest
+    os.makedirs(os.path.join(path, "version-broken", "metadata"))
+    assert len(fc.model_versions(path)) == 1
+    assert [r.prediction for r in fc.score(fc.load_or_train(path, df, ["a"], "y", rounds=9), df).collect()] == want
+    # two runs that store at the same time have a version each; the later one is loaded
+    second = fc.fit_gbt(df, ["a"], "y", rounds=3)
+    version = fc.save_model(second, path)
+    assert fc.model_versions(path)[-1] == version and len(fc.model_versions(path)) == 2
+    assert fc.load_model(path).stages[-1].getNumTrees == 3
+    # a finished version that can't be read is an error, not a reason to train
+    import shutil
+    shutil.rmtree(os.path.join(path, f"version-{version}"))
+    with pytest.raises(Exception):
+        fc.load_or_train(path, df, ["a"], "y", rounds=2)
+    assert len(fc.model_versions(path)) == 2
+
+
+def test_scored_without_a_model(spark):
+    from plantframe.plans import scoring
+    weather = spark.createDataFrame([(1, D(2024, 6, 1) + dt.timedelta(hours=h), float(h), 50.0, None if h == 2 else 1.0) for h in range(169)],
+                                    "site_id long, ts timestamp_ntz, temperature double, humidity double, wind_speed double")
+    f = scoring.heat_features(weather)
+    both = scoring.scored(None, f, "heat_demand_forecast")
+    rows = both.features.orderBy("ts").collect()
+    assert len(rows) == 672 and [r.temperature for r in rows[:5]] == [0.0, 0.25, 0.5, 0.75, 1.0] and rows[8].wind_speed == 1.0
+    assert both.forecast.columns == ["site_id", "ts", "heat_demand_forecast"] and both.forecast.where("heat_demand_forecast is null").count() == 672
+    starts = spark.createDataFrame([(1, D(2024, 6, 1, 5, 40))], "site_id long, start timestamp_ntz")
+    holidays = spark.createDataFrame([(dt.date(2024, 6, 3),)], "date date")
+    hours = scoring.consumption_features(weather, starts, holidays).orderBy("ts").collect()
+    assert len(hours) == 168 and hours[0].ts == D(2024, 6, 1, 5, 40) and hours[0].temperature == 6.0 and hours[-1].temperature == 168.0
+    assert {r.Holiday for r in hours if r.ts.day == 3} == {1} and {r.Holiday for r in hours if r.ts.day != 3} == {0}
+    assert scoring.heat_features(weather.where("false")).collect() == []
+
+
 def test_params_overrides(spark):
     p = params.with_overrides(params.default_params(spark), {"chp.P_max": 250.0, "battery_storage.initial_level": 70.0})
     row = params.flat_system_params(p).collect()[0]
