@@ -17,6 +17,7 @@ series and are dropped.
 * ``fill_scan``         last / next non-NULL value (with its order key)
 * ``positional_index``  0-based row position per site
 * ``neighbor_rows``     immediate previous / next row across chunk edges
+* ``spread_join``       rows with a table of one row per site
 * ``halo_partition``    positional chunks plus copied edge rows, for
                         bounded frames (``rowsBetween(-w, k)``)
 """
@@ -54,6 +55,24 @@ def chunk_expr(ts: str, unit: str = "day") -> Column:
     raise ValueError(f"unknown chunk unit {unit!r}")
 
 
+#: Keys that each site's rows are dealt to where they meet a row of their site.
+DEALS = 32
+
+
+def spread_join(df: DataFrame, per_key: DataFrame, by: Sequence[str], *, how: str = "left", deals: int = DEALS) -> DataFrame:
+    """Join rows with a table of one row per key, without bringing a key's rows together.
+
+    The small side stands once per deal and the rows are dealt by a hash of what
+    else they hold, so a site with a third of all rows is ``deals`` keys of the shuffle.
+    A small side that Spark measures to be small is broadcast as before.
+    """
+    by = list(by)
+    rest = [f.name for f in df.schema.fields if f.name not in by and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    deal = F.pmod(F.xxhash64(*rest), F.lit(deals)) if rest else F.lit(0).cast("long")
+    many = per_key.withColumn("__deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))))
+    return df.withColumn("__deal", deal).join(many, [*by, "__deal"], how).drop("__deal")
+
+
 def with_chunk(df: DataFrame, ts: str, unit: str = "day", name: str = CHUNK) -> DataFrame:
     return df.withColumn(name, chunk_expr(ts, unit))
 

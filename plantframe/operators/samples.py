@@ -165,7 +165,7 @@ def minmax_fit(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id
 
 def minmax_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",)) -> DataFrame:
     """(x − min)/(max − min); a constant column maps to 0."""
-    j = df.join(stats, list(by), "left")
+    j = chunks.spread_join(df, stats, by)
     out = {c: F.coalesce(F.try_divide(F.col(c) - F.col(f"{c}__min"),
                                       F.when(F.col(f"{c}__max") != F.col(f"{c}__min"),
                                              F.col(f"{c}__max") - F.col(f"{c}__min"))),
@@ -187,7 +187,7 @@ def standard_fit(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_
 
 def standard_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str], by: Sequence[str] = ("site_id",),
                    keep_stats: bool = False) -> DataFrame:
-    j = df.join(stats, list(by), "left")
+    j = chunks.spread_join(df, stats, by)
     out = j.withColumns({c: (F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__std") for c in cols})
     if keep_stats:
         return out
@@ -206,6 +206,6 @@ def inverse_scale_target(df: DataFrame, stats: DataFrame, col: str, by: Sequence
                          out: str | None = None) -> DataFrame:
     """z·std + mean for one column."""
     s = stats.select(*by, f"{col}__mean", f"{col}__std")
-    j = df.join(s, list(by), "left")
+    j = chunks.spread_join(df, s, by)
     return j.withColumn(out or col, F.col(col) * F.col(f"{col}__std") + F.col(f"{col}__mean")) \
         .drop(f"{col}__mean", f"{col}__std")

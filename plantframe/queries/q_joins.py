@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from plantframe import catalog as cat
@@ -9,7 +11,8 @@ from plantframe.functions import profiles
 from plantframe.operators import joins
 from plantframe.queries.common import R4, register, round_doubles
 from plantframe.queries.q_sources import SQL_HOLIDAYS, holidays_from_data
-from plantframe.sources import params
+from plantframe.session import scratch_path
+from plantframe.sources import params, sinks
 
 RD, HR, PI = cat.SQL_READINGS, cat.SQL_HOURLY, cat.SQL_PLAN_INPUTS
 W = cat.with_sql
@@ -17,7 +20,7 @@ W = cat.with_sql
 
 # ---------------------------------------------------------------------- J1
 # keys that do not match come from shifted stamps: prices of some sites by a day, weather of single readings by half an hour
-@register("join_plan_inputs", W(HR, "dem AS (SELECT site_id, ts, 100.0::DOUBLE + kwh AS heat_demand, n FROM hourly)",
+_SQL_PLAN_JOIN = (W(HR, "dem AS (SELECT site_id, ts, 100.0::DOUBLE + kwh AS heat_demand, n FROM hourly)",
                                 "pr AS (SELECT site_id, ts, 0.20::DOUBLE + (site_id % 10) / 100.0::DOUBLE AS electricity_price "
                                 "FROM (SELECT site_id, CASE WHEN hour(ts) = 3 THEN ts + INTERVAL 40 YEAR ELSE ts END AS ts FROM hourly))",
                                 "we AS (SELECT site_id, ts, " + profiles.SQL_WEATHER.format(h="hour(ts)") + " FROM (SELECT site_id, CASE WHEN n = 1 THEN ts ELSE ts + INTERVAL 30 MINUTE END AS ts FROM hourly))",
@@ -25,7 +28,22 @@ W = cat.with_sql
           + "SELECT site_id, ts, " + R4("heat_demand") + " AS heat_demand, " + R4("electricity_price") + " AS electricity_price, "
           + ", ".join(f"{R4(c)} AS {c}" for c in ["temperature", "solar_irradiance", "humidity"] + profiles.CONTROL_COLUMNS)
           + " FROM dem JOIN pr USING (site_id, ts) JOIN we USING (site_id, ts) JOIN co USING (site_id, ts)")
+
+
+@register("join_plan_inputs", _SQL_PLAN_JOIN)
 def q_join_plan_inputs(spark, d):
+    return round_doubles(joins.join_plan_inputs(*plan_sides(spark, d)))
+
+
+@register("join_plan_inputs_bucketed", _SQL_PLAN_JOIN)
+def q_join_plan_inputs_bucketed(spark, d):
+    """The same from stored tables in buckets of (site, ts): four inputs, no shuffle."""
+    run = uuid.uuid4().hex
+    stored = [sinks.sink_bucketed(side, f"plan_{name}_{run}", scratch_path(spark, f"plan-{name}-{run}")) for name, side in zip(("demand", "price", "weather", "control"), plan_sides(spark, d))]
+    return round_doubles(joins.join_plan_inputs(*stored))
+
+
+def plan_sides(spark, d):
     h = cat.hourly(spark, d)
     dem = h.select("site_id", "ts", (F.lit(100.0) + F.col("kwh")).alias("heat_demand"))
     early = F.when(F.hour("ts") == 3, F.expr("ts + INTERVAL 40 YEAR")).otherwise(F.col("ts")).alias("ts")
@@ -33,7 +51,7 @@ def q_join_plan_inputs(spark, d):
                                             .alias("electricity_price"))
     we = profiles.with_default_weather(h.select("site_id", F.when(F.col("n") == 1, F.col("ts")).otherwise(F.expr("ts + INTERVAL 30 MINUTE")).alias("ts")))
     co = profiles.with_default_control(h.select("site_id", "ts"))
-    return round_doubles(joins.join_plan_inputs(dem, pr, we, co))
+    return dem, pr, we, co
 
 
 # ---------------------------------------------------------------------- J2

@@ -27,6 +27,12 @@ def _gaps(spark, d):
     return _hourly(spark, d).withColumn("kwh", F.when((F.pmod("site_id", F.lit(5)) == 0) & (F.hour("ts") == 7), F.lit(None)).otherwise(F.col("kwh")))
 
 
+def _scaled(spark, d):
+    """The same with both features also scaled to 0..1 per site."""
+    h = _gaps(spark, d).withColumns({"kwh_s": F.col("kwh"), "n_s": F.col("n")})
+    return samples.minmax_scale(h, ["kwh_s", "n_s"])
+
+
 def _elements(df, array, *rest):
     """One row per window element: k from 0 (the oldest) on."""
     return df.select("site_id", "anchor_ts", F.col("anchor_pos").cast("long").alias("anchor_pos"), F.posexplode(array).alias("k", "e"), *rest) \
@@ -37,6 +43,8 @@ _GW = HR + ", hw AS (SELECT site_id, ts, CASE WHEN site_id % 5 = 0 AND hour(ts)
     "row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos, count(*) OVER (PARTITION BY site_id) AS cnt FROM hourly), " \
     f"ks AS (SELECT unnest(range(0, {WIN})) AS k), anchors AS (SELECT site_id, ts AS anchor_ts, pos AS anchor_pos, cnt, kwh AS y, n AS n_now FROM hw WHERE pos >= {WIN}), " \
     f"past AS (SELECT a.*, ks.k, p.kwh, p.n FROM anchors a CROSS JOIN ks JOIN hw p ON p.site_id = a.site_id AND p.pos = a.anchor_pos - {WIN} + ks.k)"
+_SCALE = "CASE WHEN max({c}) OVER s <> min({c}) OVER s THEN ({c} - min({c}) OVER s) / (max({c}) OVER s - min({c}) OVER s) WHEN {c} IS NOT NULL THEN 0.0::DOUBLE END AS {c}_s"
+_GW_SCALED = _GW.replace("ks AS (", f"sw AS (SELECT site_id, pos, {_SCALE.format(c='kwh')}, {_SCALE.format(c='n')} FROM hw WINDOW s AS (PARTITION BY site_id)), ks AS (")
 _KEYS = "past.site_id, past.anchor_ts, CAST(past.anchor_pos AS BIGINT) AS anchor_pos, CAST(past.k AS BIGINT) AS k"
 _WBASE = HR + ", hw AS (SELECT site_id, ts, kwh, CAST(n AS DOUBLE) AS n, " \
     "row_number() OVER (PARTITION BY site_id ORDER BY ts) - 1 AS pos, count(*) OVER (PARTITION BY site_id) AS cnt FROM hourly)"
@@ -54,10 +62,11 @@ def q_seq2seq(spark, d):
 
 
 # ---------------------------------------------------------------------- W2
-@register("feature_windows_next", W(_GW) + f"SELECT {_KEYS}, {R4('past.kwh')} AS x_kwh, {R4('past.n')} AS x_n, {R4('past.y')} AS y FROM past")
+@register("feature_windows_next", W(_GW_SCALED) + f"SELECT {_KEYS}, {R4('sw.kwh_s')} AS x_kwh, {R4('sw.n_s')} AS x_n, {R4('past.y')} AS y FROM past "
+          f"JOIN sw ON sw.site_id = past.site_id AND sw.pos = past.anchor_pos - {WIN} + past.k")
 def q_feature_windows(spark, d):
-    rows = _elements(samples.feature_windows_next(_gaps(spark, d), ["kwh", "n"], "kwh", WIN), "x", "y")
-    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e.kwh").alias("x_kwh"), F.col("e.n").alias("x_n"), "y"))
+    rows = _elements(samples.feature_windows_next(_scaled(spark, d), ["kwh_s", "n_s"], "kwh", WIN), "x", "y")
+    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e.kwh_s").alias("x_kwh"), F.col("e.n_s").alias("x_n"), "y"))
 
 
 # ---------------------------------------------------------------------- W3
@@ -69,10 +78,11 @@ def q_lag_windows(spark, d):
 
 
 # ---------------------------------------------------------------------- W4
-@register("lag_plus_current_windows", W(_GW) + f"SELECT {_KEYS}, {R4('past.kwh')} AS x_kwh, {R4('past.n_now')} AS x_n, {R4('past.y')} AS y FROM past")
+@register("lag_plus_current_windows", W(_GW_SCALED) + f"SELECT {_KEYS}, {R4('past.kwh')} AS x_kwh, {R4('sw.n_s')} AS x_n, {R4('past.y')} AS y FROM past "
+          "JOIN sw ON sw.site_id = past.site_id AND sw.pos = past.anchor_pos")
 def q_lag_plus_current(spark, d):
-    rows = _elements(samples.lag_plus_current_windows(_gaps(spark, d), ["n"], "kwh", WIN), "x", "y")
-    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e.kwh").alias("x_kwh"), F.col("e.n").alias("x_n"), "y"))
+    rows = _elements(samples.lag_plus_current_windows(_scaled(spark, d), ["n_s"], "kwh", WIN), "x", "y")
+    return round_doubles(rows.select("site_id", "anchor_ts", "anchor_pos", "k", F.col("e.kwh").alias("x_kwh"), F.col("e.n_s").alias("x_n"), "y"))
 
 
 # ---------------------------------------------------------------------- W5

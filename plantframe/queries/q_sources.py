@@ -158,6 +158,23 @@ def q_params(spark, d):
     return round_doubles(out)
 
 
+@register("params_file", W(RD, "f AS (SELECT 100.0::DOUBLE + count(DISTINCT site_id) % 50 AS p_max, avg(kwh) AS mean FROM readings)")
+          + "SELECT DISTINCT site_id, p_max AS chp__P_max, 0.35::DOUBLE AS chp__eta_el, 70.0::DOUBLE AS battery_storage__initial_level, "
+          f"{R4('1000.0::DOUBLE + mean')} AS thermal_storage__max_level FROM readings, f")
+def q_params_file(spark, d):
+    """A parameter file of the fleet: landed as JSON, read with the defaults behind it, one value overridden for the run, attached to every site."""
+    r = cat.readings(spark, d)
+    system = r.agg(F.struct(
+        F.struct((F.lit(100.0) + F.pmod(F.count_distinct("site_id"), F.lit(50))).alias("P_max")).alias("chp"),
+        F.struct(F.lit(55.0).alias("initial_level")).alias("battery_storage"),
+        F.struct((F.lit(1000.0) + F.avg("kwh")).alias("max_level")).alias("thermal_storage")).alias("system_parameters"))
+    path = scratch_path(spark, f"params-{uuid.uuid4().hex}")
+    system.write.json(path)
+    p = params.with_overrides(params.read_params(spark, path), {"battery_storage.initial_level": 70.0})
+    flat = params.flat_system_params(p).select("chp__P_max", "chp__eta_el", "battery_storage__initial_level", "thermal_storage__max_level")
+    return round_doubles(params.params_cross(r.select("site_id").distinct(), flat))
+
+
 # ---------------------------------------------------------------------- S4
 def _field(name):
     return lambda x: x[name]

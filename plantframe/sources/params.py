@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plantframe.operators.chunks import spread_join
+
 # Default plant parameters, equal to the reference's shipped
 # parameter file (system_parameters, forecasting, optimization sections).
 DEFAULT_PARAMETERS = {
@@ -142,12 +144,10 @@ def params_cross(df: DataFrame, params: DataFrame, site: str = "site_id") -> Dat
 
     A table without sites must have one row, which is checked in the plan; it
     is cross-joined by broadcast.  A per-site table (has a ``site`` column) is equi-joined on the
-    site and left to AQE, which broadcasts it only after measuring its real
-    size at run time, and otherwise shuffle-joins it (splitting a hot site's
-    partition with skew-join handling).
+    site; a site's rows are dealt to several keys, so a hot site is no task of its own.
     """
     if site in params.columns:
-        return df.join(params, site, "left")
+        return spread_join(df, params, [site])
     # folded to exactly one row in the plan; a table of any other length fails there instead of losing rows
     one = params.agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*params.columns)).alias("__p"))
     checked = one.select(F.when(F.col("__n") == 1, F.col("__p")).otherwise(

@@ -40,3 +40,16 @@ def test_ledger_bucket_tables_are_reused(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "ReusedExchange" in plan
+
+
+def test_bucketed_plan_inputs_join_without_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _final_plan(E.queries()["join_plan_inputs_bucketed"](spark, SF))
+        other = _final_plan(E.queries()["join_plan_inputs"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 3 and "Exchange" not in plan and plan.count("Bucketed: true") == 4
+    assert "Exchange" in other

@@ -57,3 +57,29 @@ def test_hot_site_ledger_spreads(skewed):
     df = skewed.withColumn("battery_charge", F.coalesce("v", F.lit(0.0)) / 2).withColumn("battery_discharge", F.lit(5.0))
     led = ledger.battery_ledger(df).withColumn("pid", F.spark_partition_id())
     assert led.filter(F.col("site_id") == 0).select("pid").distinct().count() >= 8
+
+
+@pytest.mark.parametrize("name", ["minmax", "standard", "inverse", "params"])
+def test_hot_site_joins_spread(skewed, name):
+    """Rows meet their site's statistics or parameters in many tasks, and no row is lost or doubled."""
+    from plantframe.operators import samples
+    from plantframe.sources import params
+
+    stats = samples.standard_fit(skewed, ["v"])
+    own = skewed.select("site_id").distinct().withColumn("p", F.col("site_id") * 2)
+    out = {"minmax": lambda: samples.minmax_scale(skewed, ["v"]), "standard": lambda: samples.standard_apply(skewed, stats, ["v"]),
+           "inverse": lambda: samples.inverse_scale_target(skewed, stats, "v"), "params": lambda: params.params_cross(skewed, own)}[name]().withColumn("pid", F.spark_partition_id())
+    assert out.filter(F.col("site_id") == 0).select("pid").distinct().count() >= 8
+    assert out.count() == skewed.count()
+    if name == "params":
+        assert out.where("p is null or p <> site_id * 2").count() == 0
+    if name == "minmax":
+        assert tuple(out.where("site_id = 0").agg(F.min("v"), F.max("v")).first()) == (0.0, 1.0)
+
+
+def test_spread_join_keeps_rows_without_a_match(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 1.0), (2, 2.0), (None, 3.0)], "site_id long, v double")
+    per = spark.createDataFrame([(1, "a"), (None, "n")], "site_id long, w string")
+    got = sorted(map(str, chunks.spread_join(df, per, ["site_id"]).collect()))
+    assert len(got) == 4 and sum("w='a'" in r for r in got) == 2 and sum("w=None" in r for r in got) == 2
+    assert chunks.spread_join(df.select("site_id"), per, ["site_id"], how="inner").count() == 2
