@@ -63,11 +63,20 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, **kw) -> Pipelin
 
 def fit_once(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
     """Fit on a persisted frame: every level of every tree reads the training rows again."""
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = packed(df.persist(StorageLevel.MEMORY_AND_DISK))
     try:
         return pipeline.fit(held)
     finally:
-        held.unpersist()
+        df.unpersist()
+
+
+#: Rows of a training partition at least, where there are more partitions than that needs.
+TRAIN_ROWS = 50_000
+
+
+def packed(held: DataFrame) -> DataFrame:
+    """A persisted frame in no more partitions than its rows are worth: a fit runs hundreds of jobs over them."""
+    return held.coalesce(max(1, -(-held.count() // TRAIN_ROWS)))
 
 
 def holdout_mse(model: PipelineModel, test: DataFrame, label: str) -> float:
@@ -177,8 +186,9 @@ def fit_validated(train: DataFrame, val: DataFrame, features: Sequence[str], lab
     keep = [*dict.fromkeys([*features, label])]
     train, val = (x.select(*keep).where(F.col(label).isNotNull()) for x in (train, val))
     prepared = Pipeline(stages=prepare).fit(train)
-    held = [prepared.transform(x).select(column, F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK) for x in (train, val)]
+    kept = [prepared.transform(x).select(column, F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK) for x in (train, val)]
     try:
+        held = [packed(x) for x in kept]
         checked = not held[1].isEmpty()
         n, losses = min(FIRST_ROUNDS, rounds) if checked else rounds, []
         while True:
@@ -192,7 +202,7 @@ def fit_validated(train: DataFrame, val: DataFrame, features: Sequence[str], lab
                 break
             n = min(2 * n, rounds)
     finally:
-        for x in held:
+        for x in kept:
             x.unpersist()
     return PipelineModel(stages=[*prepared.stages, model]), losses
 
