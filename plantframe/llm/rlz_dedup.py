@@ -32,6 +32,36 @@ ANCHOR_WORDS = 12
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,n_words:long>>"
 
 
+def matching(code: np.ndarray, at: int, source: int, most: int) -> int:
+    """Number of words from ``at`` on that equal those from ``source`` on, at most ``most``."""
+    done, step = 0, 64
+    while done < most:
+        step = min(step, most - done)
+        differs = code[at + done:at + done + step] != code[source + done:source + done + step]
+        if differs.any():
+            return done + int(differs.argmax())
+        done, step = done + step, step * 2
+    return most
+
+
+def greedy(found: np.ndarray, start: np.ndarray, source: np.ndarray, end: np.ndarray, source_end: np.ndarray, code: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """Greedy factors of the contexts: (window, place of its source, words).
+
+    ``found``: windows (their numbers, ascending) whose first ``size`` words the index holds; ``start``, ``source``: first
+    word of each window and of its occurrence in a block; ``end``, ``source_end``: where context and block end.  A factor runs as far as
+    its block goes on like the context.  The search starts again at the boundary, with the
+    windows that lie across it.
+    """
+    out, at = [], 0
+    while at < found.size:
+        w = int(found[at])
+        p, s = int(start[w]), int(source[w])
+        length = matching(code, p, s, min(int(end[w]) - p, int(source_end[w]) - s))
+        out.append((w, s, length))
+        at = int(np.searchsorted(found, w + length - size + 1))
+    return out
+
+
 def factors(size: int):
     def parse(table: pa.Table) -> pa.Table:
         """Windows of each context that factors copied from blocks of earlier documents cover."""
@@ -51,8 +81,12 @@ def factors(size: int):
         source = np.empty(order.size, np.int64)
         source[order] = np.repeat(start[order[new]], np.diff(np.append(np.flatnonzero(new), order.size)))
         block = np.searchsorted(words.first, source, "right") - 1
-        # a window continues the factor before it if its source follows in the same block; else a factor starts and is looked up
-        copied = did[block] < did[context]
+        found = np.flatnonzero(did[block] < did[context])
+        covered = np.zeros(context.size + 1, np.int64)
+        for w, _, length in greedy(found, start, source, words.first[context + 1], words.first[block + 1], words.code, size):
+            covered[w] += 1
+            covered[w + length - size + 1] -= 1
+        copied = np.cumsum(covered[:-1]) > 0
         return packed_bits(context[copied], offset[copied], n_windows)
 
     return parse

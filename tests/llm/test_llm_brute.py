@@ -60,6 +60,29 @@ def test_word_and_byte_repeats(spark, monkeypatch, seed, least):
             assert spans == [p for p, c in enumerate(covered) if c]
 
 
+def test_greedy_factors():
+    """Factors with their lengths: the first as long as its block goes on, then a new search from the windows across its end."""
+    block, other = list(range(100, 130)), list(range(118, 140))
+    document = [1, 2, *range(105, 128), *range(128, 136), 3, 4, *range(100, 112)]
+    code = np.array(block + other + document, np.uint64)
+    size, at = 6, len(block) + len(other)
+    bounds = [(0, len(block)), (len(block), at)]
+    index = {}
+    for a, b in bounds:
+        for p in range(a, b - size + 1):
+            index.setdefault(tuple(code[p:p + size]), (p, b))
+    windows = range(at, code.size - size + 1)
+    hits = [index.get(tuple(code[p:p + size])) for p in windows]
+    found = np.array([i for i, h in enumerate(hits) if h])
+    source, source_end = (np.array([h[k] if h else 0 for h in hits]) for k in (0, 1))
+    got = rlz_dedup.greedy(found, np.array(windows), source, np.full(len(hits), code.size), source_end, code, size)
+    # 25 words up to the first block's end; across its end the second block takes over; then the first one's head again
+    assert [(w, s, n) for w, s, n in got] == [(2, 5, 25), (22, len(block) + 7, 11), (35, 0, 12)]
+    covered = {w + k for w, _, n in got for k in range(n - size + 1)}
+    assert covered == set(found.tolist())
+    assert rlz_dedup.matching(np.arange(300) % 150, 0, 150, 150) == 150 and rlz_dedup.matching(np.array([1, 2, 1, 3]), 0, 2, 2) == 1
+
+
 def test_suffix_array():
     rng = np.random.default_rng(5)
     for _ in range(300):
