@@ -9,14 +9,15 @@ before any bigram is built, the rest meet only those templates.
 
 A notice that is only a part of its line or paragraph is found by word windows:
 every run of at most (2-t)/t·|B| bigrams that starts at one of B's bigrams, in
-documents that hold the t/(2-t)·|B| of B's bigrams that a match needs.  A
-document has one "window" row at most for a template, its best window (the
-first of equal ones, unit_no is its first word), and none if a unit matches.
+documents that hold the t/(2-t)·|B| of B's bigrams that a match needs.  Units that
+match the template are left out of its windows.  Every notice of a document
+is a "window" row of its own: of windows that share words the best one counts (the
+first, and the shortest, of equal ones); unit_no is its first word.
 
 Defined cases: null and wordless texts match nothing; texts of one word have
-no bigram and match nothing; of several templates with the same score the
-first name wins; repeated rows are judged one by one; an empty input gives no
-rows.  The output has the key and the operator's own columns only.
+no bigram and match nothing; each template that a unit or window matches gives
+a row, also where their scores or texts are the same; repeated rows are judged
+one by one; an empty input gives no rows.  The output has the key and the operator's own columns only.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_DICE = 0.8
+#: Stands for words that a matching unit has taken; no template has it.
+TAKEN = "xxtakenxx"
 #: Words of any text: taken last where words that tell of a template are chosen (speed only).
 COMMON = {"a", "all", "and", "any", "as", "at", "be", "by", "can", "for", "following", "general", "in", "included", "including", "is", "may", "not", "of", "on", "one", "or",
           "otherwise", "particular", "provided", "public", "shall", "source", "subject", "that", "the", "this", "to", "under", "version", "was", "with", "work", "you"}
@@ -80,32 +83,45 @@ def _telling_words(templates: dict[str, tuple[str, str]], min_dice: float) -> li
     return sorted(out)
 
 
-def _windows(body: DataFrame, units: Column, templates: dict[str, tuple[str, str]], min_dice: float) -> DataFrame:
-    """The best window of each (document, template) of which no unit matches."""
+def _windows(body: DataFrame, templates: dict[str, tuple[str, str]], min_dice: float) -> DataFrame:
+    """The windows of each (document, template) outside the units that match, none across another with a better score."""
     some = body.where(F.lower("t").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_telling_words(templates, min_dice))})(?![\p{{L}}\p{{N}}])"))
     whole = _templates(body.sparkSession, templates, min_dice).select("license", "license_class", "grams").distinct()
     in_order = lambda w: F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i))))
     n = F.size("grams")
-    met = some.select("key", "t", F.transform(F.array(_words(F.col("t"))), in_order)[0].alias("all")).crossJoin(F.broadcast(whole)) \
-        .where(F.size(F.array_intersect("all", "grams")) >= n * F.lit(min_dice / (2 - min_dice)) - 1e-9)
+    enough = lambda grams: F.size(F.array_intersect(grams, F.col("grams"))) >= n * F.lit(min_dice / (2 - min_dice)) - 1e-9
+    met = some.select("key", "t", F.transform(F.array(_words(F.col("t"))), in_order)[0].alias("all")).crossJoin(F.broadcast(whole)).where(enough(F.col("all")))
+    # words of units that match become another word, so that all places stay what they are
+    dice = lambda w: F.transform(F.array(_bigrams(w)), lambda own: F.lit(2.0) * F.size(F.array_intersect(own, F.col("grams"))) / (F.size(own) + n))[0]
+    matches = lambda t: F.transform(F.array(_words(t)), lambda w: F.when(F.size(w) > 1, dice(w)).otherwise(0.0) >= F.lit(min_dice))[0]
+    out_of = lambda t, found: F.when(found, F.regexp_replace(t, r"[\p{L}\p{N}]+", TAKEN)).otherwise(t)
+    lines = lambda t: F.array_join(F.transform(F.split(t, "\n", -1), lambda x: out_of(x, matches(x))), "\n")
+    blocks = F.array_join(F.transform(F.split("t", "(?=\n[\\x20\\t\\r]*\n)", -1), lambda x: out_of(x, F.contains(F.btrim(x, F.lit("\n \t\r")), F.lit("\n")) & matches(x))), "")
+    rest = out_of(blocks, F.col("t").rlike("\n[\\x20\\t\\r]*\n") & matches(F.col("t")))
+    met = met.select("key", "license", "license_class", "grams", F.transform(F.array(_words(lines(rest))), in_order)[0].alias("all")).where(enough(F.col("all")))
     most = F.floor(n * F.lit((2 - min_dice) / min_dice) + 1e-9).cast("int")
 
     def grown(run: Column) -> Column:
-        """Greatest Dice of the windows that start with the run."""
+        """Greatest Dice of the windows that start with the run, and the bigrams of the shortest one that has it."""
         seen = F.transform(run, lambda g, j: F.struct((F.array_position(run, g) == j + 1).cast("int").alias("new"), F.array_contains("grams", g).cast("int").alias("hit")))
 
         def step(s: Column, f: Column) -> Column:
-            own, common = s["own"] + f["new"], s["common"] + f["new"] * f["hit"]
-            return F.struct(own.alias("own"), common.alias("common"), F.greatest(s["dice"], F.lit(2.0) * common / (own + n)).alias("dice"))
+            own, common, size = s["own"] + f["new"], s["common"] + f["new"] * f["hit"], s["size"] + 1
+            d = F.lit(2.0) * common / (own + n)
+            better = d > s["best"]["dice"]
+            best = F.when(better, F.struct(d.alias("dice"), size.alias("size"))).otherwise(s["best"])
+            return F.struct(own.alias("own"), common.alias("common"), size.alias("size"), best.alias("best"))
 
-        return F.aggregate(seen, F.struct(F.lit(0).alias("own"), F.lit(0).alias("common"), F.lit(0.0).alias("dice")), step, lambda s: s["dice"])
+        first = F.struct(F.lit(0).alias("own"), F.lit(0).alias("common"), F.lit(0).alias("size"), F.struct(F.lit(0.0).alias("dice"), F.lit(0).alias("size")).alias("best"))
+        return F.aggregate(seen, first, step, lambda s: s["best"])
 
     starts = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.array_contains("grams", F.get("all", i)))
-    best = F.array_max(F.transform(starts, lambda i: F.struct(F.transform(F.array(F.slice("all", i + 1, most)), grown)[0].alias("dice"), (-i).alias("back"))))
-    met = met.withColumn("best", best).where(F.col("best.dice") >= F.lit(min_dice))
-    dice = lambda w: F.transform(F.array(_bigrams(w)), lambda own: F.lit(2.0) * F.size(F.array_intersect(own, F.col("grams"))) / (F.size(own) + n))[0]
-    matches = F.exists(units, lambda u: F.transform(F.array(_words(u["t"])), lambda w: (F.size(w) > 1) & (F.when(F.size(w) > 1, dice(w)).otherwise(0.0) >= F.lit(min_dice)))[0])
-    return met.where(~matches).select("key", F.lit("window").alias("unit"), (-F.col("best.back")).alias("unit_no"), "license", "license_class", F.col("best.dice").alias("dice"))
+    scored = F.transform(starts, lambda i: F.transform(F.array(F.transform(F.array(F.slice("all", i + 1, most)), grown)[0]), lambda g: F.struct((-g["dice"]).alias("less"), i.alias("at"), g["size"].alias("size")))[0])
+    met = met.withColumn("scored", F.array_sort(F.filter(scored, lambda w: w["less"] <= -F.lit(min_dice)))).where(F.size("scored") > 0)
+    # best first, at equal scores the first; a window of k bigrams has k + 1 words
+    apart = lambda w, taken: ~F.exists(taken, lambda x: (w["at"] <= x["at"] + x["size"]) & (x["at"] <= w["at"] + w["size"]))
+    kept = F.aggregate("scored", F.slice("scored", 1, 0), lambda taken, w: F.when(apart(w, taken), F.concat(taken, F.array(w))).otherwise(taken))
+    return met.select("key", "license", "license_class", F.explode(kept).alias("w")).select("key", F.lit("window").alias("unit"), F.col("w.at").alias("unit_no"), "license", "license_class", (-F.col("w.less")).alias("dice"))
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", min_dice: float = MIN_DICE, templates: dict[str, tuple[str, str]] = TEMPLATES) -> DataFrame:
@@ -128,4 +144,4 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     met = counted.join(F.broadcast(table), "size")
     dice = F.lit(2.0) * F.size(F.array_intersect("own", "grams")) / (F.col("size") + F.size("grams"))
     found = met.withColumn("dice", dice).where(F.col("dice") >= F.lit(min_dice)).select("key", "unit", "unit_no", "license", "license_class", "dice")
-    return found.unionByName(_windows(body, every, templates, min_dice)).withColumnRenamed("key", key)
+    return found.unionByName(_windows(body, templates, min_dice)).withColumnRenamed("key", key)

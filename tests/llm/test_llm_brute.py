@@ -337,6 +337,52 @@ def test_license_inside_lines_and_paragraphs(spark):
     assert {k for k in got if k[0] in (4, 5)} == {(5, "line", "mit-notice")}
 
 
+def test_license_every_notice_and_every_template(spark):
+    """Several notices in one text are a row each; templates of one text are a row each; a notice of a matching unit is none twice."""
+    mit, rights = licenses.TEMPLATES["mit-notice"][1], licenses.TEMPLATES["all-rights-reserved"][1]
+    docs = [(1, f"we say {mit} and later once more {mit} at the end. {rights} so be it"), (2, f"{mit}\n{mit}\nx y z {mit} u v w\n{rights}"),
+            (3, f"head\n\n{mit}\nreleased\n\ntail {mit}"), (4, " ".join([f"word{i} {mit}" for i in range(40)]))]
+    scan = lambda rows, **kw: sorted((r["doc_id"], r["license"], r["unit"], r["unit_no"], r["dice"]) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), **kw).collect())
+    got = scan(docs)
+    assert [r[:4] for r in got if r[0] == 1] == [(1, "all-rights-reserved", "window", 19), (1, "mit-notice", "window", 2), (1, "mit-notice", "window", 11)]
+    assert [r[:4] for r in got if r[0] == 2] == [(2, "all-rights-reserved", "line", 3), (2, "mit-notice", "line", 0), (2, "mit-notice", "line", 1), (2, "mit-notice", "window", 13)]
+    assert {r[2:4] for r in got if r[0] == 3 and r[2] != "document"} == {("line", 2), ("paragraph", 1), ("window", 8)}
+    assert [r[3] for r in got if r[0] == 4] == [1 + 6 * i for i in range(40)] and all(r[4] == 1.0 for r in got if r[0] == 4)
+    same = {"b": ("x", mit), "a": ("x", mit)}
+    assert [r[1:3] for r in scan(docs[:1], templates=same)] == [("a", "window"), ("a", "window"), ("b", "window"), ("b", "window")]
+
+
+def test_license_windows_against_brute_force(spark):
+    """All windows of all lengths, the best first, none across another."""
+    rng = random.Random(11)
+    templates = {"t1": ("x", "red green blue black white grey pink"), "t2": ("y", "one two three four")}
+    vocabulary = "red green blue black white grey pink one two three four other".split()
+    docs = [(i, " ".join(rng.choice(["red green blue black white", "one two three four", "one two", "grey pink", *vocabulary]) for _ in range(rng.randrange(1, 14)))) for i in range(150)]
+    expected = []
+    for key, text in docs:
+        w = text.split()
+        for name, (_, t) in templates.items():
+            tw = t.split()
+            grams = {*zip(tw, tw[1:])}
+            dice = lambda a, b: 2 * len({*zip(w[a:b], w[a + 1:b])} & grams) / (len({*zip(w[a:b], w[a + 1:b])}) + len(grams))
+            if len(w) > 1 and dice(0, len(w)) >= 0.8:
+                continue  # the whole line matches
+            most = int(len(grams) * 1.2 / 0.8 + 1e-9)
+            found = []
+            for a in range(len(w) - 1):
+                if (w[a], w[a + 1]) in grams:
+                    best = max(((dice(a, b), -b) for b in range(a + 2, min(len(w), a + 1 + most) + 1)), default=(0, 0))
+                    if best[0] >= 0.8:
+                        found.append((-best[0], a, -best[1]))
+            taken = []
+            for d, a, b in sorted(found):
+                if all(b <= x or y <= a for x, y in taken):
+                    taken.append((a, b))
+                    expected.append((key, name, a, -d))
+    got = [(r["doc_id"], r["license"], r["unit_no"], r["dice"]) for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), templates=templates).collect() if r["unit"] == "window"]
+    assert len(expected) > 30 and sorted((k, n, a, round(d, 9)) for k, n, a, d in got) == sorted((k, n, a, round(d, 9)) for k, n, a, d in expected)
+
+
 def test_quality_repeat_words(spark):
     rng = random.Random(2)
     docs = [(i, " ".join(rng.choice(["a", "b"]) for _ in range(rng.randrange(40)))) for i in range(60)]
