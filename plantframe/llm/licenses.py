@@ -27,6 +27,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantframe.llm._scratch import written
+
 MIN_DICE = 0.8
 #: Stands for words that a matching unit has taken; no template has it.
 TAKEN = "xxtakenxx"
@@ -98,7 +100,8 @@ def _windows(body: DataFrame, templates: dict[str, tuple[str, str]], min_dice: f
     lines = lambda t: F.array_join(F.transform(F.split(t, "\n", -1), lambda x: out_of(x, matches(x))), "\n")
     blocks = F.array_join(F.transform(F.split("t", "(?=\n[\\x20\\t\\r]*\n)", -1), lambda x: out_of(x, F.contains(F.btrim(x, F.lit("\n \t\r")), F.lit("\n")) & matches(x))), "")
     rest = out_of(blocks, F.col("t").rlike("\n[\\x20\\t\\r]*\n") & matches(F.col("t")))
-    met = met.select("key", "license", "license_class", "grams", F.transform(F.array(_words(lines(rest))), in_order)[0].alias("all")).where(enough(F.col("all")))
+    # written, as a filter on what follows would be pushed below and make it all twice; few documents come so far
+    met = written(met.select("key", "license", "license_class", "grams", F.transform(F.array(_words(lines(rest))), in_order)[0].alias("all")), "license-words").where(enough(F.col("all")))
     most = F.floor(n * F.lit((2 - min_dice) / min_dice) + 1e-9).cast("int")
 
     def grown(run: Column) -> Column:
@@ -117,11 +120,12 @@ def _windows(body: DataFrame, templates: dict[str, tuple[str, str]], min_dice: f
 
     starts = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: F.array_contains("grams", F.get("all", i)))
     scored = F.transform(starts, lambda i: F.transform(F.array(F.transform(F.array(F.slice("all", i + 1, most)), grown)[0]), lambda g: F.struct((-g["dice"]).alias("less"), i.alias("at"), g["size"].alias("size")))[0])
-    met = met.withColumn("scored", F.array_sort(F.filter(scored, lambda w: w["less"] <= -F.lit(min_dice)))).where(F.size("scored") > 0)
+    good = F.array_sort(F.filter(scored, lambda w: w["less"] <= -F.lit(min_dice)))
     # best first, at equal scores the first; a window of k bigrams has k + 1 words
     apart = lambda w, taken: ~F.exists(taken, lambda x: (w["at"] <= x["at"] + x["size"]) & (x["at"] <= w["at"] + w["size"]))
-    kept = F.aggregate("scored", F.slice("scored", 1, 0), lambda taken, w: F.when(apart(w, taken), F.concat(taken, F.array(w))).otherwise(taken))
-    return met.select("key", "license", "license_class", F.explode(kept).alias("w")).select("key", F.lit("window").alias("unit"), F.col("w.at").alias("unit_no"), "license", "license_class", (-F.col("w.less")).alias("dice"))
+    choose = lambda s: F.aggregate(s, F.slice(s, 1, 0), lambda taken, w: F.when(apart(w, taken), F.concat(taken, F.array(w))).otherwise(taken))
+    kept = F.transform(F.array(good), choose)[0]
+    return met.select("key", "license", "license_class", F.explode_outer(kept).alias("w")).where("w is not null").select("key", F.lit("window").alias("unit"), F.col("w.at").alias("unit_no"), "license", "license_class", (-F.col("w.less")).alias("dice"))
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", min_dice: float = MIN_DICE, templates: dict[str, tuple[str, str]] = TEMPLATES) -> DataFrame:
