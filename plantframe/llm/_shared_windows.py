@@ -53,17 +53,17 @@ NO_ID = (1 << 63) - 1
 KEY_BYTES, CONTENT_BYTES = 5, 6
 KEY_MASK, CONTENT_MASK = (1 << 8 * KEY_BYTES) - 1, (1 << 8 * CONTENT_BYTES) - 1
 #: Runs that a task holds before it sends them.
-FLUSH_RUNS = 500_000
+FLUSH_RUNS = 250_000
 #: Runs a bucket should get; their number follows the input.
-BUCKET_RUNS = 300_000
+BUCKET_RUNS = 150_000
 #: Asked contexts a shard should get.
-SHARD_CONTEXTS = 4_000
+SHARD_CONTEXTS = 2_000
 #: Documents that are looked at for hot anchors, the share and the number of them that makes an anchor hot.
 HOT_SAMPLE, HOT_SHARE, HOT_LEAST = 10_000, 0.02, 150
 #: In place of an anchor's key: the context is sent window by window.
 BY_WINDOW = -1
 #: Windows that a task holds before it sends them.
-FLUSH_WINDOWS = 200_000
+FLUSH_WINDOWS = 100_000
 
 
 def units_of(batch: pa.RecordBatch, unit: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words | None]:
