@@ -71,12 +71,13 @@ def _parsed(kind: str, payload: str, variables: dict[str, str] | None = None) ->
 
 
 def _good(df: DataFrame, kind: str, payload: str, keep: tuple[str, ...], variables: dict[str, str] | None, counts: Observation | None) -> DataFrame:
-    """keep… and the parsed payload ``__p`` of good payloads; both kinds are counted into ``counts``."""
+    """keep… and the parsed payload ``__p`` (NULL for a reject); both kinds are counted into ``counts``."""
     parsed, why = _parsed(kind, payload, variables)
-    out = df.select(*keep, parsed.alias("__p"), why.alias("__why"))
+    # a reject holds nothing rather than being filtered out: a filter would be pushed below and parse the text again
+    out = df.select(*keep, F.when(why.isNull(), parsed).alias("__p"), *([why.alias("__why")] if counts is not None else []))
     if counts is not None:
-        out = out.observe(counts, F.count(F.lit(1)).alias("payloads"), F.count("__why").alias("rejects"))
-    return out.where(F.col("__why").isNull()).drop("__why")
+        out = out.observe(counts, F.count(F.lit(1)).alias("payloads"), F.count("__why").alias("rejects")).drop("__why")
+    return out
 
 
 def payload_rejects(df: DataFrame, kind: str, *, payload: str = "payload", keep: tuple[str, ...] = (),
@@ -92,8 +93,8 @@ def flatten_series_payload(df: DataFrame, variables: dict[str, str] | list[str],
     """Parallel arrays -> rows.  ``variables``: API name -> column name (or a list of API names)."""
     variables = _named(variables)
     good = _good(df, "series", payload, keep, variables, counts)
-    zipped = F.arrays_zip(F.col("__p.time").alias("time"),
-                          *[F.coalesce(F.col(f"__p.`{v}`"), F.array().cast("array<double>")).alias(v) for v in variables])
+    zipped = F.when(F.col("__p").isNotNull(), F.arrays_zip(F.col("__p.time").alias("time"),
+                    *[F.coalesce(F.col(f"__p.`{v}`"), F.array().cast("array<double>")).alias(v) for v in variables]))
     rows = good.select(*keep, F.inline(zipped))
     return rows.select(*keep, _stamp(F.col("time")).alias(ts), *[F.col(v).alias(name) for v, name in variables.items()]).where(F.col(ts).isNotNull())
 
