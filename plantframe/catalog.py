@@ -6,6 +6,7 @@ SQL text used by the oracle, kept next to each other so they cannot drift.
 * ``readings``    events as irregular meter readings: site_id, ts, kwh, event_id
 * ``hourly``      T1 hourly mean of ``readings`` (non-empty bins only)
 * ``plan_inputs`` ``hourly`` + demand / price + P11 weather and control profiles
+* ``plan_operation`` ``plan_inputs`` with weather and unit outputs that follow the readings
 * ``plan_table``  a stored dispatch plan with storage levels from the readings
 * ``predictions`` lineitem ⋈ part as (model, actual, predicted)
 * ``supplier_prices`` supplier ⋈ nation as per-supplier spot prices (ct/kWh)
@@ -60,6 +61,25 @@ SQL_PLAN_INPUTS = SQL_HOURLY + ", plan_inputs AS (SELECT site_id, ts, 100.0::DOU
     " FROM hourly)"
 
 
+# --------------------------------------------------------- plan operation
+def plan_operation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``plan_inputs`` with weather and unit outputs that follow each row's reading; some weather values are missing."""
+    load = F.col("heat_demand") - F.lit(100.0)
+    part = F.lit(0.5) + F.pmod(load, F.lit(100.0)) / F.lit(100.0)
+    missing = lambda k, hour, c: F.when((F.pmod("site_id", F.lit(7)) == k) & (F.hour("ts") == hour), F.lit(None)).otherwise(c)
+    return plan_inputs(spark, sf_dir).withColumns({
+        "temperature": missing(2, 4, F.col("temperature") - F.lit(12.0) + load * F.lit(0.4)),
+        "solar_irradiance": missing(3, 12, F.col("solar_irradiance") * part),
+        **{c: F.col(c) * part for c in ("chp_power", "boiler_heat", "heat_pump_heat", "electric_heater_heat")}})
+
+
+_PART = "(0.5::DOUBLE + (((heat_demand - 100.0::DOUBLE) % 100.0::DOUBLE) + 100.0::DOUBLE) % 100.0::DOUBLE / 100.0::DOUBLE)"
+SQL_PLAN_OPERATION = SQL_PLAN_INPUTS + (
+    ", plan_operation AS (SELECT * REPLACE (CASE WHEN site_id % 7 = 2 AND hour(ts) = 4 THEN NULL ELSE temperature - 12.0::DOUBLE + (heat_demand - 100.0::DOUBLE) * 0.4::DOUBLE END AS temperature, "
+    f"CASE WHEN site_id % 7 = 3 AND hour(ts) = 12 THEN NULL ELSE solar_irradiance * {_PART} END AS solar_irradiance, "
+    + ", ".join(f"{c} * {_PART} AS {c}" for c in ("chp_power", "boiler_heat", "heat_pump_heat", "electric_heater_heat")) + ") FROM plan_inputs)")
+
+
 # -------------------------------------------------------------- plan table
 def plan_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``plan_inputs`` with gaps: no battery charge at 05:00 on some sites, no demand at 06:00 on others."""

@@ -1,8 +1,8 @@
 """M1–M8 and S10 over the test tables (rows-only checks: model output has no SQL oracle).
 
 Every query trains with the library's own settings (100 rounds, a day of lags).
-The input frames of the models have oracles: ``feature_frame``, ``lag_windows_next``
-and ``lag_concat_current``.
+The input frames of the models have oracles: ``feature_frame``, ``pv_feature_frame``,
+``heat_feature_frame``, ``lag_concat_current``, ``multi_horizon_frame`` and the frames to score.
 """
 
 from __future__ import annotations
@@ -101,6 +101,19 @@ def q_multi_horizon(spark, d):
     return _rounded(out.select("site_id", "anchor_ts", F.col("h").cast("long").alias("h"), "prediction"))
 
 
+@register("multi_horizon_frame", cat.with_sql(cat.SQL_HOURLY, (
+    "n AS (SELECT site_id, ts, kwh, row_number() OVER (PARTITION BY site_id ORDER BY ts) AS p, count(*) OVER (PARTITION BY site_id) AS total FROM hourly)"))
+          + f"SELECT a.site_id, a.ts AS anchor_ts, CASE WHEN b.p > a.p THEN 'ahead' ELSE 'lag' END AS part, CASE WHEN b.p > a.p THEN b.p - a.p ELSE b.p - a.p + {LAGS - 1} END AS place, {R4('b.kwh')} AS v "
+          f"FROM n a JOIN n b ON b.site_id = a.site_id AND b.p BETWEEN a.p - {LAGS - 1} AND a.p + {HORIZONS} WHERE a.p >= {LAGS} AND a.p < a.total")
+def q_multi_horizon_frame(spark, d):
+    """The training frame of M4, element by element: each anchor's lags once (oldest first) and its target of each horizon."""
+    frame = fc.multi_horizon_frame(cat.hourly(spark, d).select("site_id", "ts", "kwh"), "kwh", LAGS, HORIZONS)
+    element = lambda part, place, v: F.struct(F.lit(part).alias("part"), place.cast("long").alias("place"), v.alias("v"))
+    lags = F.when(F.col("h") == 1, F.transform("lags", lambda x, i: element("lag", i, x))).otherwise(F.slice(F.array(element("lag", F.col("h"), F.col("y"))), 1, 0))
+    rows = frame.select("site_id", "anchor_ts", F.explode(F.concat(lags, F.array(element("ahead", F.col("h"), F.col("y"))))).alias("e"))
+    return _rounded(rows.select("site_id", "anchor_ts", "e.*"))
+
+
 # ---------------------------------------------------------------------- M5
 @register("seasonal_regression")
 def q_seasonal(spark, d):

@@ -187,15 +187,16 @@ def q_heat_unit_cost(spark, d):
 
 
 # ----------------------------------------------------------------- P14–P18
-_COP = "greatest(2.5::DOUBLE, least(5.5::DOUBLE, 4.2::DOUBLE * (1.0::DOUBLE - 0.02::DOUBLE * (50.0::DOUBLE - temperature))))"
+PO = cat.SQL_PLAN_OPERATION
+_COP = "greatest(2.5::DOUBLE, least(5.5::DOUBLE, 4.2::DOUBLE * (1.0::DOUBLE - 0.02::DOUBLE * (50.0::DOUBLE - coalesce(temperature, 10.0::DOUBLE)))))"
 
 
-@register("heatpump_cop", W(PI, f"c AS (SELECT site_id, ts, heat_pump_heat, {_COP} AS cop FROM plan_inputs)")
+@register("heatpump_cop", W(PO, f"c AS (SELECT site_id, ts, heat_pump_heat, {_COP} AS cop FROM plan_operation)")
           + f"SELECT site_id, ts, {R4('cop')} AS cop, {R4('CASE WHEN cop > 0 THEN heat_pump_heat / cop ELSE 0.0 END')} "
           "AS heat_pump_power FROM c")
 def q_cop(spark, d):
-    pi = cat.plan_inputs(spark, d)
-    cop = plant.heatpump_cop("temperature")
+    pi = cat.plan_operation(spark, d)
+    cop = plant.heatpump_cop(F.coalesce("temperature", F.lit(10.0)))  # as in component_conversion
     return round_doubles(pi.select("site_id", "ts", cop.alias("cop"),
                                    plant.heatpump_power("heat_pump_heat", cop).alias("heat_pump_power")))
 
@@ -205,9 +206,9 @@ _PV = ("greatest(0.0::DOUBLE, coalesce(solar_irradiance, 0.0::DOUBLE) / 1000.0::
        "* 0.95::DOUBLE * 0.98::DOUBLE)")
 
 
-@register("pv_physical", W(PI) + f"SELECT site_id, ts, {R4(_PV)} AS pv_generation FROM plan_inputs")
+@register("pv_physical", W(PO) + f"SELECT site_id, ts, {R4(_PV)} AS pv_generation FROM plan_operation")
 def q_pv(spark, d):
-    pi = cat.plan_inputs(spark, d)
+    pi = cat.plan_operation(spark, d)
     return round_doubles(pi.select("site_id", "ts", plant.pv_physical("solar_irradiance", "temperature")
                                    .alias("pv_generation")))
 
@@ -215,15 +216,15 @@ def q_pv(spark, d):
 _CHP_HEAT = "chp_power * (0.50::DOUBLE / 0.35::DOUBLE)"
 _CONV = (f"c AS (SELECT *, {_CHP_HEAT} AS chp_heat, (chp_power + {_CHP_HEAT}) / (0.35::DOUBLE + 0.50::DOUBLE) AS chp_fuel, "
          f"{_COP} AS cop, electric_heater_heat / 0.99::DOUBLE AS electric_heater_power, "
-         "boiler_heat / 0.90::DOUBLE AS boiler_fuel FROM plan_inputs)")
+         "boiler_heat / 0.90::DOUBLE AS boiler_fuel FROM plan_operation)")
 
 
-@register("component_conversion", W(PI, _CONV) + f"SELECT site_id, ts, {R4('chp_heat')} AS chp_heat, "
+@register("component_conversion", W(PO, _CONV) + f"SELECT site_id, ts, {R4('chp_heat')} AS chp_heat, "
           f"{R4('chp_fuel')} AS chp_fuel, {R4('cop')} AS cop, "
           f"{R4('CASE WHEN cop > 0 THEN heat_pump_heat / cop ELSE 0.0 END')} AS heat_pump_power, "
           f"{R4('electric_heater_power')} AS electric_heater_power, {R4('boiler_fuel')} AS boiler_fuel FROM c")
 def q_conversion(spark, d):
-    pi = cat.plan_inputs(spark, d)
+    pi = cat.plan_operation(spark, d)
     out = plant.component_conversion(pi)
     return round_doubles(out.select("site_id", "ts", "chp_heat", "chp_fuel", "cop", "heat_pump_power",
                                     "electric_heater_power", "boiler_fuel"))
@@ -238,13 +239,13 @@ _GRID = (_CONV + ", g AS (SELECT *, CASE WHEN cop > 0 THEN heat_pump_heat / cop
 
 
 def _grid_frame(spark, d):
-    pi = cat.plan_inputs(spark, d)
+    pi = cat.plan_operation(spark, d)
     out = plant.component_conversion(pi).withColumn("pv_generation",
                                                     plant.pv_physical("solar_irradiance", "temperature"))
     return plant.grid_exchange(out)
 
 
-@register("grid_exchange", W(PI, _GRID) + f"SELECT site_id, ts, {R4('grid_import')} AS grid_import, "
+@register("grid_exchange", W(PO, _GRID) + f"SELECT site_id, ts, {R4('grid_import')} AS grid_import, "
           f"{R4('grid_export')} AS grid_export FROM g3")
 def q_grid(spark, d):
     return round_doubles(_grid_frame(spark, d).select("site_id", "ts", "grid_import", "grid_export"))
@@ -257,7 +258,7 @@ _ECON = (_GRID + ", e AS (SELECT *, chp_fuel * 0.03::DOUBLE AS fuel_cost, boiler
          "chp_revenue + electricity_revenue AS total_revenue FROM e)")
 
 
-@register("step_economics", W(PI, _ECON) + "SELECT site_id, ts, "
+@register("step_economics", W(PO, _ECON) + "SELECT site_id, ts, "
           + ", ".join(f"{R4(c)} AS {c}" for c in ["fuel_cost", "boiler_fuel_cost", "electricity_cost",
                                                    "electricity_revenue", "chp_revenue", "total_cost", "total_revenue"])
           + f", {R4('total_revenue - total_cost')} AS profit FROM e2")
