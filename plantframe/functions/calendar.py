@@ -98,18 +98,23 @@ HEAT_FEATURES = ["temperature", "humidity", "wind_speed", "hour", "day_of_week",
 
 def feature_frame(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (),
                   target: str | None = None) -> DataFrame:
-    """Select keys + features (+ target) in the model's column order; drop rows with any NULL/NaN."""
-    cols = list(keep) + list(features) + ([target] if target else [])
-    out = df.select(*cols)
-    checks = list(features) + ([target] if target else [])
-    cond = F.lit(True)
-    for c in checks:
-        dt = out.schema[c].dataType.simpleString()
-        ok = F.col(c).isNotNull()
-        if dt in ("double", "float"):
-            ok = ok & ~F.isnan(c)
-        cond = cond & ok
-    return out.filter(cond)
+    """Select keys + features (+ target) in the model's column order; drop rows with any NULL/NaN.
+
+    Incomplete rows are left out of an array rather than filtered: a filter would be pushed below
+    the aggregates that the features are made from, and make every feature again for each raw row.
+    """
+    values = list(features) + ([target] if target else [])
+    out = df.select(*keep, *values)
+
+    def known(row: Column) -> Column:
+        cond = F.lit(True)
+        for c in values:
+            cond = cond & row[c].isNotNull()
+            if out.schema[c].dataType.simpleString() in ("double", "float"):
+                cond = cond & ~F.isnan(row[c])
+        return cond
+
+    return out.select(*keep, F.inline(F.filter(F.array(F.struct(*values)), known)))
 
 
 # --------------------------------------------------------------------- P23

@@ -70,13 +70,19 @@ def fit_once(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
         df.unpersist()
 
 
-#: Rows of a training partition at least, where there are more partitions than that needs.
-TRAIN_ROWS = 50_000
+#: Rows of a training partition at least, where there are more partitions than that needs; and at most, beyond a partition for each core.
+TRAIN_ROWS, FULL_ROWS = 50_000, 4_000_000
 
 
 def packed(held: DataFrame) -> DataFrame:
-    """A persisted frame in no more partitions than its rows are worth: a fit runs hundreds of jobs over them."""
-    return held.coalesce(max(1, -(-held.count() // TRAIN_ROWS)))
+    """A persisted frame in no more partitions than its rows are worth: a fit runs hundreds of jobs over them.
+
+    One for each core is enough, so that a level of a tree is one wave of tasks however many rows there
+    are; only partitions of more than ``FULL_ROWS`` are split into further waves.
+    """
+    rows, cores = held.count(), held.sparkSession.sparkContext.defaultParallelism
+    waves = max(1, -(-rows // (FULL_ROWS * cores)))
+    return held.coalesce(max(1, min(-(-rows // TRAIN_ROWS), waves * cores)))
 
 
 def holdout_mse(model: PipelineModel, test: DataFrame, label: str) -> float:

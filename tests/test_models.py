@@ -132,3 +132,25 @@ def test_multi_horizon_beats_mean(spark, seasonal):
     mean = train.agg(F.avg("y")).first()[0]
     base = test.select(F.sqrt(F.avg((F.col("y") - F.lit(mean)) ** 2))).first()[0]
     assert rmse < 0.5 * base
+
+
+def test_a_fit_has_a_wave_of_partitions(spark, monkeypatch):
+    """Partitions follow the cores, not the rows: a fit's hundreds of jobs send a result for each partition."""
+    monkeypatch.setattr(fc, "TRAIN_ROWS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    held = spark.range(0, 2000, 1, 40)
+    assert fc.packed(held).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(fc, "FULL_ROWS", 2000 // (2 * cores))
+    assert fc.packed(held).rdd.getNumPartitions() == 2 * cores
+    assert fc.packed(spark.range(0, 15, 1, 40)).rdd.getNumPartitions() == 2 and fc.packed(spark.range(0)).rdd.getNumPartitions() <= 1
+
+
+def test_feature_frame_checks_rows_where_they_are_made(spark):
+    """The check of the features isn't pushed below the aggregate, where it made them for each raw row."""
+    df = spark.createDataFrame([(1, D(2024, 1, 1, 12), 1.0), (1, D(2024, 1, 1, 12), 3.0), (2, D(2024, 1, 1, 13), float("nan")), (None, D(2024, 1, 1, 13), 5.0), (3, D(2024, 1, 1, 14), None)],
+                               "site_id long, ts timestamp_ntz, kwh double")
+    f = df.groupBy("site_id", "ts").agg(F.sum("kwh").alias("kwh")).withColumn("wave", F.sin(F.col("site_id") + F.hour("ts")))
+    out = calendar.feature_frame(f, ["wave"], keep=("site_id", "ts"), target="kwh")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "SIN" in x]
+    assert out.columns == ["site_id", "ts", "wave", "kwh"] and [(r.site_id, r.kwh) for r in out.collect()] == [(1, 4.0)]
