@@ -246,6 +246,8 @@ def price_pages(spark, d):
     inner = F.concat(F.lit("<tr><td>see <table>"), tr, F.lit("</table></td></tr>"))
     rows = r.select("site_id", F.floor(F.col("pos") / PAGE_ROWS).cast("long").alias("page"), "pos", "ts",
                     F.when(F.pmod("pos", F.lit(8)) == 0, inner).otherwise(tr).alias("tr"), F.pmod("pos", F.lit(8)).alias("__m"))
+    # the count of partitions is given, as each page is read at a hundred times the cost of its bytes here
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "site_id", "page")
     pages = rows.groupBy("site_id", "page").agg(
         F.min("ts").alias("first_ts"),
         F.array_sort(F.collect_list(F.struct("pos", "tr"))).alias("rows"))

@@ -73,7 +73,8 @@ def _parsed(kind: str, payload: str, variables: dict[str, str] | None = None) ->
 def _good(df: DataFrame, kind: str, payload: str, keep: tuple[str, ...], variables: dict[str, str] | None, counts: Observation | None) -> DataFrame:
     """keep… and the parsed payload ``__p`` (NULL for a reject); both kinds are counted into ``counts``."""
     parsed, why = _parsed(kind, payload, variables)
-    # a reject holds nothing rather than being filtered out: a filter would be pushed below and parse the text again
+    # a reject holds nothing rather than being filtered out, and arrays become rows by outer generators, whose empty row is dropped
+    # behind them: a filter (a plain generator adds one) would be pushed below, there to make and parse the text again for each raw row
     out = df.select(*keep, F.when(why.isNull(), parsed).alias("__p"), *([why.alias("__why")] if counts is not None else []))
     if counts is not None:
         out = out.observe(counts, F.count(F.lit(1)).alias("payloads"), F.count("__why").alias("rejects")).drop("__why")
@@ -95,7 +96,7 @@ def flatten_series_payload(df: DataFrame, variables: dict[str, str] | list[str],
     good = _good(df, "series", payload, keep, variables, counts)
     zipped = F.when(F.col("__p").isNotNull(), F.arrays_zip(F.col("__p.time").alias("time"),
                     *[F.coalesce(F.col(f"__p.`{v}`"), F.array().cast("array<double>")).alias(v) for v in variables]))
-    rows = good.select(*keep, F.inline(zipped))
+    rows = good.select(*keep, F.inline_outer(zipped))
     return rows.select(*keep, _stamp(F.col("time")).alias(ts), *[F.col(v).alias(name) for v, name in variables.items()]).where(F.col(ts).isNotNull())
 
 
@@ -113,7 +114,7 @@ def holiday_dates(df: DataFrame, region: str | Column = "DE-SH", *, payload: str
     column holding each row's code); distinct over all payloads."""
     reg = region if isinstance(region, Column) else F.lit(region)
     good = _good(df.withColumn("__region", reg), "holidays", payload, (*keep, "__region"), None, counts)
-    items = good.select(*keep, "__region", F.explode("__p").alias("h"))
+    items = good.select(*keep, "__region", F.explode_outer("__p").alias("h"))
     sel = items.filter(F.coalesce(F.col("h.global"), F.lit(False)) | F.coalesce(F.array_contains("h.counties", F.col("__region")), F.lit(False)))
     return sel.select(*keep, F.try_to_timestamp(F.col("h.date"), F.lit("yyyy-MM-dd")).cast("date").alias("date")).where("date is not null").distinct()
 
@@ -123,7 +124,7 @@ def flatten_price_json(df: DataFrame, *, payload: str = "payload", keep: tuple[s
                        region: str | None = None, start: str | None = None, end: str | None = None,
                        resolution: str | None = None, counts: Observation | None = None) -> DataFrame:
     """List or ``{"data": [...]}`` -> rows (timestamp, price, region, resolution) + predicates."""
-    rows = _good(df, "prices", payload, keep, None, counts).select(*keep, F.inline("__p"))
+    rows = _good(df, "prices", payload, keep, None, counts).select(*keep, F.inline_outer("__p"))
     rows = rows.withColumnsRenamed({"date": "timestamp", "value": "price"})
     rows = rows.withColumn("timestamp", _stamp(F.col("timestamp"))).where(F.col("timestamp").isNotNull())
     if region is not None:

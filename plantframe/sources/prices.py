@@ -76,9 +76,10 @@ def _step(state: Column, piece: Column) -> Column:
 
 def first_table_rows(html: Column) -> Column:
     """Rows of a page's first table (inner tables included), in the order in which they begin: cells, and the last one's text."""
-    seen = F.regexp_replace(html, HIDDEN, "")
-    start = F.regexp_instr(seen, F.lit(r"(?i)<table\b"))
-    pieces = F.transform(F.split(F.when(start > 0, F.substr(seen, start)).otherwise(seen), TAGS), lambda p: F.struct(
+    # each lambda over an array of one holds a value that is used more than once
+    seen = F.transform(F.array(F.regexp_replace(html, HIDDEN, "")), lambda t: F.struct(t.alias("text"), F.regexp_instr(t, F.lit(r"(?i)<table\b")).alias("start")))
+    table = F.transform(seen, lambda t: F.when(t["start"] > 0, F.substr(t["text"], t["start"])).otherwise(t["text"]))[0]
+    pieces = F.transform(F.split(table, TAGS), lambda p: F.struct(
         F.lower(F.regexp_extract(p, r"(?i)^<(/?(?:table|tr|td|th))\b", 1)).alias("tag"), F.regexp_replace(p, r"(?s)<[^>]*>", "").alias("text")))
     empty = F.array().cast(f"array<{_ROW}>")
     first = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(False).alias("over"), empty.alias("rows"), empty.alias("done")).cast(_STATE)
@@ -95,8 +96,9 @@ def extract_price_table(df: DataFrame, html_col: str = "html", delivery_date_col
     texts = F.transform(wide, lambda r: F.replace(r["text"], F.lit(","), F.lit(".")))
     prices = F.transform(F.filter(texts, lambda t: t.rlike(NUMBER)), lambda t: t.try_cast("double"))
     page = df.select(*keep, F.col(delivery_date_col).alias("delivery_date"), prices.alias("__prices"))
-    page = page.filter(F.size("__prices") >= hours)
-    out = page.select(*keep, "delivery_date", F.posexplode(F.slice("__prices", 1, hours)).alias("hour", "price_eur_mwh"))
+    # the outer generator's empty row is dropped behind it: a filter before it (a plain one adds its own) would fold the page again
+    day = F.when(F.size("__prices") >= hours, F.slice("__prices", 1, hours))
+    out = page.select(*keep, "delivery_date", F.posexplode_outer(day).alias("hour", "price_eur_mwh")).where(F.col("hour").isNotNull())
     return out.withColumns({
         "hour": F.col("hour").cast("long"),
         "ts": F.expr("timestampadd(HOUR, hour, cast(delivery_date as timestamp_ntz))"),

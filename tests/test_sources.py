@@ -331,3 +331,28 @@ def test_bad_holiday_and_price_payloads(spark):
     assert sorted((r.id, r.price) for r in payloads.flatten_price_json(df, keep=("id",), counts=seen).collect()) == [(0, 80.0), (1, 80.0)]
     assert seen.get["rejects"] == 3
     assert sorted((r.id, r.reason) for r in payloads.payload_rejects(df, "prices", keep=("id",)).collect()) == [(2, "not json"), (3, "other shape"), (5, "other shape")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_arrays_of_payloads_become_rows_without_a_second_parse(spark):
+    """No filter over parsed text: it would be pushed below the aggregate that payloads are made from, and parse for each raw row."""
+    raw = spark.createDataFrame([(1, 2024), (1, 2024), (2, None)], "site_id long, year int")
+    text = F.when(F.col("year").isNotNull(), F.format_string('[{"date":"%d-05-01","global":true},{"date":"x","global":true}]', F.col("year")))
+    dates = payloads.holiday_dates(raw.select("site_id", "year").distinct().select("site_id", text.alias("payload")), keep=("site_id",))
+    assert not [line for line in _plan(dates).splitlines() if "Filter" in line and ("from_json" in line or "FromJson" in line or "jsontostructs" in line.lower())]
+    assert [(r.site_id, str(r.date)) for r in dates.collect()] == [(1, "2024-05-01")]
+    series_text = F.lit('{"hourly":{"time":["2024-01-01T00:00",null],"temperature_2m":[1.5]}}')
+    rows = payloads.flatten_series_payload(raw.select("site_id").distinct().select("site_id", series_text.alias("payload")), ["temperature_2m"], keep=("site_id",))
+    assert not [line for line in _plan(rows).splitlines() if "Filter" in line and "from_json" in line.lower()]
+    assert sorted((r.site_id, r.temperature) for r in rows.collect()) == [(1, 1.5), (2, 1.5)]
+
+
+def test_a_price_page_is_folded_once(spark):
+    page = lambda n: "<table>" + "".join(f"<tr><td>{i}</td><td>a</td><td>b</td><td>{i},5</td></tr>" for i in range(n)) + "</table>"
+    df = spark.createDataFrame([(1, page(25)), (2, page(23)), (3, None)], "page long, html string").withColumn("delivery_date", F.lit("2024-01-02").cast("date"))
+    out = prices.extract_price_table(df, keep=("page",))
+    assert _plan(out).count("aggregate(") == 1
+    assert [(r.page, r.hour, r.price_eur_mwh) for r in out.orderBy("page", "hour").collect()] == [(1, h, h + 0.5) for h in range(24)]
