@@ -54,6 +54,12 @@ def time_grid(bounds: DataFrame, every: str, *, site: str = "site_id", start: st
     Expanded in two steps: the days, which are dealt to tasks by (site, day),
     then the stamps within each day.
     """
+    days = _grid_days(bounds, every, site, start, end)
+    return days.select(site, F.explode("__stamps").alias(ts))
+
+
+def _grid_days(bounds: DataFrame, every: str, site: str, start: str = "start", end: str = "end") -> DataFrame:
+    """site, start, end, __day and the array of the day's stamps, dealt by (site, __day)."""
     step_us = interval_micros(every)
     days = bounds.select(site, start, end, F.explode(F.sequence(
         F.to_date(start), F.to_date(end), F.expr("INTERVAL 1 DAY"))).alias("__day"))
@@ -65,10 +71,8 @@ def time_grid(bounds: DataFrame, every: str, *, site: str = "site_id", start: st
     k = F.greatest(F.lit(0), F.ceil(gap / F.lit(float(step_us)))).cast("long")
     first = F.expr(f"timestampadd(MICROSECOND, __k * {step_us}, {start})")
     last = F.least(F.col(end), F.expr("timestampadd(MICROSECOND, 86399999999, cast(__day as timestamp_ntz))"))
-    per_day = days.withColumn("__k", k).select(
-        site, F.explode(F.when(first <= last, F.sequence(first, last, _interval(every)))
-                        .otherwise(F.array())).alias(ts))
-    return per_day
+    return days.withColumn("__k", k).select(
+        site, start, end, "__day", F.when(first <= last, F.sequence(first, last, _interval(every))).otherwise(F.array()).alias("__stamps"))
 
 
 def time_grid_periods(starts: DataFrame, periods: int, every: str, *, site: str = "site_id",
@@ -108,7 +112,8 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str] | str, *, site: str =
     """
     cols = _as_list(cols)
     base = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols})
-    base = chunks.with_chunk(base, ts, chunk)
+    if CHUNK not in base.columns:
+        base = chunks.with_chunk(base, ts, chunk)
     if by == "position":
         base = chunks.positional_index(base, site, ts, pos="__pos")
         x = F.col("__pos").cast("double")
@@ -138,11 +143,22 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str] | str, *, site: str =
 # ---------------------------------------------------------------------- T5
 def upsample_linear(df: DataFrame, every: str, cols: Sequence[str] | str, *, site: str = "site_id",
                     ts: str = "ts", chunk: str = "day") -> DataFrame:
-    """T5: put a coarse series on a finer grid (first to last stamp) and interpolate."""
+    """T5: put a coarse series on a finer grid (first to last stamp) and interpolate.
+
+    A day's stamps meet its points as arrays, one row per (site, day), and are scanned by day where they are made:
+    the coarse series is shuffled, the fine one is not.
+    """
     cols = _as_list(cols)
-    grid = time_grid(bounds(df, site=site, ts=ts), every, site=site, ts=ts)
-    dense = grid.join(df.select(site, ts, *cols), [site, ts], "left")
-    return interpolate_linear(dense, cols, site=site, ts=ts, chunk=chunk, by="time")
+    days = _grid_days(bounds(df, site=site, ts=ts), every, site)
+    points = df.select(site, ts, *cols).groupBy(site, F.to_date(ts).alias("__day")).agg(F.collect_list(F.struct(F.col(ts).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])).alias("__points"))
+    off = lambda p: F.pmod(F.timestamp_diff("MICROSECOND", F.col("start"), p["t"]), F.lit(interval_micros(every)))
+    kind = points.schema["__points"].dataType.simpleString()
+    known = F.coalesce(F.filter("__points", lambda p: off(p) == 0), F.array().cast(kind))
+    unknown = lambda t: F.struct(t.alias("t"), *[F.lit(None).cast(df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(cols)])
+    met = days.join(points, [site, "__day"], "left").select(site, F.col("__day").alias(CHUNK), "__stamps", known.alias("__known"))
+    rows = met.select(site, CHUNK, F.explode_outer(F.concat("__known", F.transform(F.array_except("__stamps", F.transform("__known", lambda p: p["t"])), unknown))).alias("__row"))
+    dense = rows.where(F.col("__row").isNotNull()).select(site, F.col("__row.t").alias(ts), *[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(cols)], CHUNK)
+    return interpolate_linear(dense if chunk == "day" else dense.drop(CHUNK), cols, site=site, ts=ts, chunk=chunk, by="time")
 
 
 # ---------------------------------------------------------------- T6 / J5

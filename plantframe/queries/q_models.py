@@ -174,6 +174,9 @@ def weather_answers(spark, d):
     starts = cat.readings(spark, d).groupBy("site_id").agg(F.to_date(F.max("ts")).cast("timestamp_ntz").alias("start"))
     h = F.transform(F.sequence(F.lit(0), F.lit(ANSWER_HOURS - 1)), lambda i: F.struct(
         F.timestamp_add("HOUR", i, "start").alias("ts"), F.pmod(i, F.lit(24)).cast("double").alias("hour"), i.alias("i")))
+    # an answer is some thousand times its site's row, so the few bytes of rows are dealt out before answers are made
+    # (by the stamp too, as a second exchange by the same key would be left out)
+    starts = starts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "site_id", "start")
     site = F.col("site_id")
     values = {
         "temperature_2m": lambda x: F.when((x["i"] > 0) & (F.pmod(x["hour"] + site, F.lit(9)) == 5), F.lit(None)).otherwise(

@@ -186,3 +186,19 @@ def test_cop_clamped(spark):
     df = spark.createDataFrame([(-30.0,), (40.0,), (60.0,), (80.0,)], "t double")
     got = [r.c for r in df.select(plant.heatpump_cop("t").alias("c")).collect()]
     assert got == pytest.approx([2.5, 4.2 * (1 - 0.02 * 10), 4.2 * (1 + 0.02 * 10), 5.5])
+
+
+def test_upsample_shuffles_the_coarse_series_only(spark):
+    """Points off the grid don't count, points of one stamp stay apart; no exchange lies above the generated stamps but the summary's."""
+    rows = [(1, D(2024, 1, 1, 22), 0.0), (1, D(2024, 1, 1, 23, 10), 99.0), (1, D(2024, 1, 2, 0), 4.0), (1, D(2024, 1, 2, 0), 5.0), (1, D(2024, 1, 2, 1), None),
+            (1, D(2024, 1, 2, 2), 8.0), (2, D(2024, 1, 1), 1.0), (None, D(2024, 1, 1), 1.0), (3, None, 1.0)]
+    s = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, v double")
+    out = series.upsample_linear(s, "1 hour", "v")
+    assert out.columns == ["site_id", "ts", "v"]
+    got = sorted((r.site_id, r.ts, r.v) for r in out.collect())
+    assert [x[:2] for x in got] == [(1, D(2024, 1, 1, 22)), (1, D(2024, 1, 1, 23)), (1, D(2024, 1, 2, 0)), (1, D(2024, 1, 2, 0)), (1, D(2024, 1, 2, 1)), (1, D(2024, 1, 2, 2)), (2, D(2024, 1, 1))]
+    assert [x[2] for x in got if x[1] in (D(2024, 1, 1, 22), D(2024, 1, 2, 0), D(2024, 1, 2, 2), D(2024, 1, 1))] == [0.0, 4.0, 5.0, 8.0, 1.0]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_chunk" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning(site_id" in x and "ts#" in x)
+    above = plan[:plan.index("Generate")]
+    assert sum("Exchange hashpartitioning" in x and "_chunk" in x for x in above.splitlines()) == 0
