@@ -145,20 +145,40 @@ def upsample_linear(df: DataFrame, every: str, cols: Sequence[str] | str, *, sit
                     ts: str = "ts", chunk: str = "day") -> DataFrame:
     """T5: put a coarse series on a finer grid (first to last stamp) and interpolate.
 
-    A day's stamps meet its points as arrays, one row per (site, day), and are scanned by day where they are made:
-    the coarse series is shuffled, the fine one is not.
+    A day's stamps meet its points as arrays, one row per (site, day).  Only the points, and the first stamp of a day that
+    has none there, are shuffled and scanned; the stamps between two of them are made last, each from its neighbours' values.
     """
     cols = _as_list(cols)
+    step_us = interval_micros(every)
     days = _grid_days(bounds(df, site=site, ts=ts), every, site)
     points = df.select(site, ts, *cols).groupBy(site, F.to_date(ts).alias("__day")).agg(F.collect_list(F.struct(F.col(ts).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])).alias("__points"))
-    off = lambda p: F.pmod(F.timestamp_diff("MICROSECOND", F.col("start"), p["t"]), F.lit(interval_micros(every)))
+    off = lambda p: F.pmod(F.timestamp_diff("MICROSECOND", F.col("start"), p["t"]), F.lit(step_us))
     kind = points.schema["__points"].dataType.simpleString()
     known = F.coalesce(F.filter("__points", lambda p: off(p) == 0), F.array().cast(kind))
     unknown = lambda t: F.struct(t.alias("t"), *[F.lit(None).cast(df.schema[c].dataType).alias(f"c{i}") for i, c in enumerate(cols)])
-    met = days.join(points, [site, "__day"], "left").select(site, F.col("__day").alias(CHUNK), "__stamps", known.alias("__known"))
-    rows = met.select(site, CHUNK, F.explode_outer(F.concat("__known", F.transform(F.array_except("__stamps", F.transform("__known", lambda p: p["t"])), unknown))).alias("__row"))
-    dense = rows.where(F.col("__row").isNotNull()).select(site, F.col("__row.t").alias(ts), *[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(cols)], CHUNK)
-    return interpolate_linear(dense if chunk == "day" else dense.drop(CHUNK), cols, site=site, ts=ts, chunk=chunk, by="time")
+    met = days.join(points, [site, "__day"], "left").select(site, F.col("__day").alias("__day"), F.slice("__stamps", 1, 1).alias("__first"), F.try_element_at("__stamps", F.lit(-1)).alias("__last"), known.alias("__known"))
+    rows = met.select(site, "__day", "__last", F.explode_outer(F.concat("__known", F.transform(F.array_except("__first", F.transform("__known", lambda p: p["t"])), unknown))).alias("__row"))
+    value = lambda c: F.when(~F.isnan(c), c)
+    coarse = rows.where(F.col("__row").isNotNull()).select(site, "__day", F.col("__row.t").alias(ts), "__last", *[value(F.col(f"__row.c{i}")).alias(c) for i, c in enumerate(cols)])
+    coarse = coarse.withColumn(CHUNK, F.col("__day") if chunk == "day" else chunks.chunk_expr(ts, chunk))
+    position = lambda t: F.timestamp_diff("MICROSECOND", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), t).cast("double")
+    coarse = coarse.withColumns({f"__pv_{c}": F.when(F.col(c).isNotNull(), F.struct(position(F.col(ts)).alias("p"), F.col(c).alias("x"))) for c in cols})
+    coarse = coarse.withColumn("__next", F.lead(ts).over(Window.partitionBy(site, CHUNK if chunk == "day" else "__day").orderBy(ts)))
+    both = chunks.fill_scan(coarse, site, ts, [f"__pv_{c}" for c in cols], "both", inclusive=False, prev_prefix="__P", next_prefix="__N")
+    # the stamps after a point, up to the next one or the end of the day
+    first = F.expr(f"timestampadd(MICROSECOND, {step_us}, `{ts}`)")
+    last = F.coalesce(F.expr(f"timestampadd(MICROSECOND, -{step_us}, __next)"), F.col("__last"))
+    stamps = F.concat(F.array(F.col(ts)), F.when(first <= last, F.sequence(first, last, _interval(every))).otherwise(F.array().cast("array<timestamp_ntz>")))
+    fine = both.select(site, F.col(ts).alias("__at"), F.explode(stamps).alias(ts), *cols,
+                       *[F.coalesce(f"__pv_{c}", F.col(f"__P__pv_{c}.v")).alias(f"__p{i}") for i, c in enumerate(cols)], *[F.col(f"__N__pv_{c}.v").alias(f"__n{i}") for i, c in enumerate(cols)])
+
+    def between(i: int, c: str) -> Column:
+        p, n = F.col(f"__p{i}"), F.col(f"__n{i}")
+        frac = (position(F.col(ts)) - p.p) / (n.p - p.p)
+        line = F.when(n.isNull() | (n.p == p.p), p.x).otherwise(p.x + (n.x - p.x) * frac)
+        return F.when((F.col("__at") == F.col(ts)) & F.col(c).isNotNull(), F.col(c)).otherwise(line).alias(c)
+
+    return fine.select(site, ts, *[between(i, c) for i, c in enumerate(cols)])
 
 
 # ---------------------------------------------------------------- T6 / J5

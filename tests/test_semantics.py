@@ -202,3 +202,19 @@ def test_upsample_shuffles_the_coarse_series_only(spark):
     assert "_chunk" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning(site_id" in x and "ts#" in x)
     above = plan[:plan.index("Generate")]
     assert sum("Exchange hashpartitioning" in x and "_chunk" in x for x in above.splitlines()) == 0
+
+
+def test_upsample_scans_the_coarse_series_only(spark):
+    """Stamps between points are made above all windows and sorts; values, gaps and edges are as on the whole grid."""
+    nan = float("nan")
+    rows = [(1, D(2024, 1, 1, 22), None, 1.0), (1, D(2024, 1, 1, 23), 2.0, nan), (1, D(2024, 1, 4, 1), 10.0, 5.0), (1, D(2024, 1, 4, 1, 20), 77.0, 77.0)]
+    s = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, v double, w double")
+    out = series.upsample_linear(s, "15 minutes", ["v", "w"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Window")
+    got = {r.ts: (r.v, r.w) for r in out.collect()}
+    assert sorted(got) == [D(2024, 1, 1, 22) + dt.timedelta(minutes=15 * k) for k in range(4 * 51 + 2)]
+    for ts, (v, w) in got.items():
+        hours = (ts - D(2024, 1, 1, 23)) / dt.timedelta(hours=1)
+        assert v is None if hours < 0 else v == pytest.approx(min(2.0 + 8.0 * hours / 50, 10.0))
+        assert w == pytest.approx(min(1.0 + 4.0 * (hours + 1) / 51, 5.0))
