@@ -191,10 +191,12 @@ def fit_validated(train: DataFrame, val: DataFrame, features: Sequence[str], lab
         column = "__scaled"
     keep = [*dict.fromkeys([*features, label])]
     train, val = (x.select(*keep).where(F.col(label).isNotNull()) for x in (train, val))
-    prepared = Pipeline(stages=prepare).fit(train)
-    kept = [prepared.transform(x).select(column, F.col(label).cast("double").alias(label)).persist(StorageLevel.MEMORY_AND_DISK) for x in (train, val)]
+    # features are made once: the scaler, every attempt and the losses read the kept rows
+    kept = [x.persist(StorageLevel.MEMORY_AND_DISK) for x in (train, val)]
     try:
-        held = [packed(x) for x in kept]
+        rows = [packed(x) for x in kept]
+        prepared = Pipeline(stages=prepare).fit(rows[0])
+        held = [prepared.transform(x).select(column, F.col(label).cast("double").alias(label)) for x in rows]
         checked = not held[1].isEmpty()
         n, losses = min(FIRST_ROUNDS, rounds) if checked else rounds, []
         while True:

@@ -123,6 +123,20 @@ def test_validated_boosting_without_validation_rows(spark, noisy):
     assert model.stages[-1].getNumTrees == 4 and losses == []
 
 
+def test_validated_boosting_makes_its_features_once(spark, noisy, monkeypatch):
+    """Scaler, attempts and losses read kept rows: a feature is made once for each row."""
+    monkeypatch.setattr(fc, "FIRST_ROUNDS", 2)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(a):
+        made.add(1)
+        return a
+
+    df = noisy.withColumn("a", F.udf(count, "double")("a"))
+    fc.fit_validated(df.where("not val"), df.where("val"), ["a", "b"], "y", rounds=4, depth=2)
+    assert made.value == 400
+
+
 def test_multi_horizon_beats_mean(spark, seasonal):
     frame = fc.multi_horizon_frame(seasonal, "kwh", 24, 3, rows_per_chunk=256)
     split = samples.random_split(frame.withColumn("k", F.concat_ws("|", "site_id", "anchor_ts", "h")), ["k"])
