@@ -29,28 +29,57 @@ def _days(ts: Column) -> Column:
     return us / F.lit(86_400_000_000.0) - F.lit(J2000_UNIX_DAYS)
 
 
-def sun_position_cols(ts, lat: Column | float, lon: Column | float) -> tuple[Column, Column]:
-    t = F.col(ts) if isinstance(ts, str) else ts
-    phi = (lat if isinstance(lat, Column) else F.lit(float(lat))) * F.lit(RAD)
-    lw = -(lon if isinstance(lon, Column) else F.lit(float(lon))) * F.lit(RAD)
-    d = _days(t)
-    m = F.lit(M0) + F.lit(M1) * d
+def _anomaly(d: Column) -> Column:
+    return F.lit(M0) + F.lit(M1) * d
+
+
+def _longitude(m: Column) -> Column:
     c = F.lit(C1) * F.sin(m) + F.lit(C2) * F.sin(F.lit(2.0) * m) + F.lit(C3) * F.sin(F.lit(3.0) * m)
-    lam = m + c + F.lit(PERIHELION) + F.lit(math.pi)
-    dec = F.asin(F.sin(lam) * F.lit(math.sin(OBLIQUITY)))
+    return m + c + F.lit(PERIHELION) + F.lit(math.pi)
+
+
+def _declination(lam: Column) -> Column:
+    return F.asin(F.sin(lam) * F.lit(math.sin(OBLIQUITY)))
+
+
+def _hour_angle(d: Column, lam: Column, lw: Column) -> Column:
     ra = F.atan2(F.sin(lam) * F.lit(math.cos(OBLIQUITY)), F.cos(lam))
     sidereal = F.lit(THETA0) + F.lit(THETA1) * d - lw
-    h = sidereal - ra
+    return sidereal - ra
+
+
+def _place(lat: Column | float, lon: Column | float) -> tuple[Column, Column]:
+    phi = (lat if isinstance(lat, Column) else F.lit(float(lat))) * F.lit(RAD)
+    return phi, -(lon if isinstance(lon, Column) else F.lit(float(lon))) * F.lit(RAD)
+
+
+def _azimuth_altitude(h: Column, dec: Column, phi: Column) -> tuple[Column, Column]:
     azimuth = F.atan2(F.sin(h), F.cos(h) * F.sin(phi) - F.tan(dec) * F.cos(phi))
     altitude = F.asin(F.sin(phi) * F.sin(dec) + F.cos(phi) * F.cos(dec) * F.cos(h))
     return azimuth, altitude
 
 
+def sun_position_cols(ts, lat: Column | float, lon: Column | float) -> tuple[Column, Column]:
+    phi, lw = _place(lat, lon)
+    d = _days(F.col(ts) if isinstance(ts, str) else ts)
+    lam = _longitude(_anomaly(d))
+    return _azimuth_altitude(_hour_angle(d, lam, lw), _declination(lam), phi)
+
+
 def sun_position(df: DataFrame, lat: Column | float, lon: Column | float, ts: str = "ts") -> DataFrame:
-    """Adds ``azimuth`` and ``altitude`` (radians)."""
-    az, alt = sun_position_cols(ts, lat, lon)
-    return df.withColumn("sun", F.struct(az.alias("azimuth"), alt.alias("altitude"))) \
-        .select("*", "sun.*").drop("sun")
+    """Adds ``azimuth`` and ``altitude`` (radians).
+
+    Each term that is used more than once is a column first: as one expression the terms are
+    written out many times over, too long a method to be compiled behind an aggregate.
+    """
+    phi, lw = _place(lat, lon)
+    c = F.col
+    f = df.withColumns({"__phi": phi, "__lw": lw, "__d": _days(c(ts))})
+    f = f.withColumn("__m", _anomaly(c("__d"))).withColumn("__lam", _longitude(c("__m")))
+    f = f.withColumns({"__h": _hour_angle(c("__d"), c("__lam"), c("__lw")), "__dec": _declination(c("__lam"))})
+    az, alt = _azimuth_altitude(c("__h"), c("__dec"), c("__phi"))
+    return f.withColumn("sun", F.struct(az.alias("azimuth"), alt.alias("altitude"))) \
+        .select("*", "sun.*").drop("sun", "__phi", "__lw", "__d", "__m", "__lam", "__h", "__dec")
 
 
 SQL_DAYS = "(date_diff('microsecond', TIMESTAMP '1970-01-01 00:00:00', {ts}) / 86400000000.0::DOUBLE - {j2000}::DOUBLE)"

@@ -10,13 +10,14 @@ turned into vectors with ``array_to_vector`` inside the same plan.
 from __future__ import annotations
 
 import math
+import sys
 import uuid
 from collections.abc import Sequence
 
 from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,14 +26,19 @@ from pyspark.sql import types as T
 
 from plantframe.operators import chunks, samples
 from plantframe.operators.series import time_grid_periods, with_position
+from plantframe.session import ensure_checkpoint_dir
 
 # Boosted-tree settings of the reference (rounds, depth, learning rate, seed).
 GBT_ROUNDS, GBT_DEPTH, GBT_STEP, GBT_SEED = 100, 6, 0.1, 42
+#: MLlib's defaults: a tree sees a feature in so many bins at most, whose limits come from so many rows.
+GBT_BINS, LIMIT_ROWS = 32, 10_000
+#: Prefix of the columns that hold the bins of a row.
+BIN = "__bin_"
 
 
 def gbt_pipeline(features: Sequence[str], label: str, *, rounds: int = GBT_ROUNDS, depth: int = GBT_DEPTH,
                  step: float = GBT_STEP, seed: int = GBT_SEED, scale: bool = True,
-                 prediction: str = "prediction") -> Pipeline:
+                 prediction: str = "prediction", weight: str | None = None, bins: int = GBT_BINS) -> Pipeline:
     """VectorAssembler (skip rows with NULLs) [-> MinMaxScaler] -> GBTRegressor."""
     stages = [VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="skip")]
     feats = "__raw"
@@ -40,8 +46,8 @@ def gbt_pipeline(features: Sequence[str], label: str, *, rounds: int = GBT_ROUND
         stages.append(MinMaxScaler(inputCol="__raw", outputCol="__scaled"))
         feats = "__scaled"
     gbt = GBTRegressor(featuresCol=feats, labelCol=label, predictionCol=prediction, maxIter=rounds,
-                       maxDepth=depth, stepSize=step, seed=seed)
-    stages.append(gbt)
+                       maxDepth=depth, stepSize=step, seed=seed, maxBins=bins)
+    stages.append(gbt.setWeightCol(weight) if weight else gbt)
     return Pipeline(stages=stages)
 
 
@@ -52,13 +58,84 @@ def score(model: PipelineModel | None, df: DataFrame, prediction: str = "predict
         return df.withColumn(prediction, F.lit(None).cast("double"))
     out = model.transform(df)
     if drop_vectors:
-        out = out.drop(*[c for c in ("__raw", "__scaled", "__vec") if c in out.columns])
+        out = out.drop(*[c for c in out.columns if c in ("__raw", "__scaled", "__vec") or c.startswith(BIN)])
     return out
 
 
 # ---------------------------------------------------------------- M1 / M2
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
-    return fit_once(gbt_pipeline(features, label, **kw), df.select(*dict.fromkeys([*features, label])))
+    """Bucketizer -> the stages of ``gbt_pipeline`` over its bins.
+
+    All that a tree asks of a row is in which of ``GBT_BINS`` bins each feature lies, so rows that share their bins
+    go to the same leaf of every tree.  They are counted together first, by one aggregate over all rows: gains and leaves
+    of squared errors follow from counts and means of the label, and the rounds run over the groups.  There are no more
+    groups than rows, and no more than combinations of bins, however many rows there are.
+    """
+    held = df.select(*dict.fromkeys([*features, label])).persist(StorageLevel.MEMORY_AND_DISK)
+    groups = None
+    try:
+        cut = bucketizer(held, features)
+        groups = grouped(cut.transform(held), cut.getOutputCols(), label).persist(StorageLevel.MEMORY_AND_DISK)
+        n = groups.count()
+        held.unpersist()
+        # dealt out, as the aggregate leaves a few MB of groups in a partition or two; and kept apart from the plan that
+        # made them, which every task of the fit's hundreds of jobs would carry
+        ensure_checkpoint_dir(df.sparkSession)
+        spread = groups.repartition(wave(n, df, GROUP_ROWS)).checkpoint()
+        model = gbt_pipeline([BIN + c for c in features], label, weight="__rows", bins=all_seen(n), **kw).fit(spread)
+    finally:
+        held.unpersist()
+        if groups is not None:
+            groups.unpersist()
+    return PipelineModel(stages=[cut, *model.stages])
+
+
+def split_points(counts: Sequence[tuple[float, int]], bins: int = GBT_BINS) -> list[float]:
+    """MLlib's thresholds of a feature, from its values and their counts: between any two of at most ``bins`` values, else about equal shares apart."""
+    values = sorted(counts)
+    middle = [(a + b) / 2.0 for (a, _), (b, _) in zip(values, values[1:])]
+    if len(middle) < bins:
+        return middle
+    stride = sum(n for _, n in values) / bins
+    out, seen, goal = [], values[0][1], stride
+    for (_, n), m in zip(values[1:], middle):
+        if abs(seen - goal) < abs(seen + n - goal):
+            out.append(m)
+            goal += stride
+        seen += n
+    return out
+
+
+def bucketizer(df: DataFrame, features: Sequence[str], *, seed: int = GBT_SEED) -> Bucketizer:
+    """The stage that puts each feature into its bins (``BIN`` + name) and skips rows with NULLs.
+
+    As MLlib does for its trees, the bins' limits are taken from about ``LIMIT_ROWS`` rows; all rows are binned.
+    """
+    names = list(dict.fromkeys(features))
+    known = df.na.drop(subset=names)
+    rows = known.count()
+    some = known if rows <= LIMIT_ROWS else known.sample(LIMIT_ROWS / rows, seed=seed)
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, c in enumerate(names)]))
+    counts = [[] for _ in names]
+    for r in some.select(each.alias("e")).groupBy("e.i", "e.v").count().collect():
+        counts[r["i"]].append((r["v"], r["count"]))
+    limits = []
+    for c in counts:
+        # a tree's threshold belongs to the bin below it, a bucket's lower limit to the bucket; a constant has one bin (and one that stays empty)
+        inner = sorted({math.nextafter(x, math.inf) for x in split_points(c) if math.isfinite(x)} - {math.inf}) or [sys.float_info.max]
+        limits.append([-math.inf, *inner, math.inf])
+    return Bucketizer(splitsArray=limits, inputCols=names, outputCols=[BIN + c for c in names], handleInvalid="skip")
+
+
+def grouped(df: DataFrame, by: Sequence[str], label: str) -> DataFrame:
+    """The mean label and the number of rows (``__rows``) of each combination of bins; one with a NULL label has none, which a fit refuses."""
+    mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(F.col(label).cast("double")))
+    return df.groupBy(*by).agg(mean.alias(label), F.count(F.lit(1)).cast("double").alias("__rows"))
+
+
+def all_seen(groups: int) -> int:
+    """``maxBins`` by which MLlib looks at all groups for its thresholds (the square of it), so that no bin is overlooked; features have no more bins by it."""
+    return min(max(GBT_BINS, math.isqrt(max(groups - 1, 0)) + 1), 46_340)
 
 
 def fit_once(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
@@ -72,17 +149,24 @@ def fit_once(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
 
 #: Rows of a training partition at least, where there are more partitions than that needs; and at most, beyond a partition for each core.
 TRAIN_ROWS, FULL_ROWS = 50_000, 4_000_000
+#: Groups of a training partition at least, as they are few.
+GROUP_ROWS = 5_000
 
 
 def packed(held: DataFrame) -> DataFrame:
-    """A persisted frame in no more partitions than its rows are worth: a fit runs hundreds of jobs over them.
+    """A persisted frame in no more partitions than its rows are worth: a fit runs hundreds of jobs over them."""
+    return held.coalesce(wave(held.count(), held, TRAIN_ROWS))
+
+
+def wave(rows: int, df: DataFrame, each: int) -> int:
+    """Partitions for a fit over so many rows, of ``each`` rows at least.
 
     One for each core is enough, so that a level of a tree is one wave of tasks however many rows there
     are; only partitions of more than ``FULL_ROWS`` are split into further waves.
     """
-    rows, cores = held.count(), held.sparkSession.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     waves = max(1, -(-rows // (FULL_ROWS * cores)))
-    return held.coalesce(max(1, min(-(-rows // TRAIN_ROWS), waves * cores)))
+    return max(1, min(-(-rows // each), waves * cores))
 
 
 def holdout_mse(model: PipelineModel, test: DataFrame, label: str) -> float:

@@ -168,3 +168,63 @@ def test_feature_frame_checks_rows_where_they_are_made(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "Filter" in x and "SIN" in x]
     assert out.columns == ["site_id", "ts", "wave", "kwh"] and [(r.site_id, r.kwh) for r in out.collect()] == [(1, 4.0)]
+
+
+def _plain(df, features, label, rounds):
+    """MLlib's own fit over single rows."""
+    return fc.gbt_pipeline(features, label, rounds=rounds).fit(df)
+
+
+def test_a_fit_over_bins_is_the_fit_over_rows(spark):
+    """Rows counted together by their bins give MLlib's model of the single rows: few and many values, a constant, repeats, NULLs, NaN."""
+    import random
+    rnd = random.Random(3)
+    rows = [(float(rnd.randrange(7)), rnd.gauss(0, 1), rnd.random() ** 3, 1) for _ in range(1500)]
+    rows = [(a, b, c, k, 3.0 * a + (b > 0.3) * 5.0 + 20 * c + rnd.gauss(0, 0.5)) for a, b, c, k in rows]
+    rows += rows[:400] + [(None, 0.1, 0.2, 1, 7.0), (1.0, float("nan"), 0.2, 1, 7.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k int, y double").repartition(3).persist()
+    names = ["a", "b", "c", "k"]
+    got = fc.score(fc.fit_gbt(df, names, "y", rounds=6), df)
+    want = fc.score(_plain(df, names, "y", 6), df)
+    assert got.columns == [*df.columns, "prediction"]
+    key = lambda r: (r.a, r.b, r.c, r.y)
+    got, want = (sorted(x.collect(), key=key) for x in (got, want))
+    assert len(got) == len(want) == 1900 and [r.prediction for r in got] == pytest.approx([r.prediction for r in want])
+
+
+def test_a_fit_runs_over_as_many_groups_however_many_rows(spark, monkeypatch):
+    """Hours, days and a continuous value: eight times the rows are no eight times the rows of a round."""
+    seen = []
+    real = fc.wave
+    monkeypatch.setattr(fc, "wave", lambda n, df, each: seen.append(n) or real(n, df, each))
+    for n in (4000, 32000):
+        df = spark.range(n).select((F.col("id") % 24).alias("hour"), (F.col("id") % 7).alias("day"), (F.xxhash64("id") / 2.0**62).alias("x"))
+        fc.fit_gbt(df.withColumn("y", F.col("hour") + F.col("x")), ["hour", "day", "x"], "y", rounds=1, depth=2)
+    assert seen[1] <= 24 * 7 * fc.GBT_BINS and seen[1] < 2 * seen[0]
+    assert fc.all_seen(seen[1]) ** 2 >= seen[1] and fc.all_seen(5) == fc.GBT_BINS
+
+
+def test_split_points():
+    assert fc.split_points([]) == [] and fc.split_points([(3.0, 9)]) == []
+    assert fc.split_points([(4.0, 1), (0.0, 99), (1.0, 5)]) == [0.5, 2.5]  # all values are told apart, however rare
+    assert fc.split_points([(float(i), 1) for i in range(8)], bins=4) == [1.5, 3.5, 5.5]
+    assert fc.split_points([(0.0, 97), *((float(i), 1) for i in range(1, 4))], bins=2) == [0.5]
+
+
+def test_a_label_without_a_value_is_refused(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, None), (2.0, 3.0)], "a double, y double")
+    with pytest.raises(Exception, match="(?i)null"):
+        fc.fit_gbt(df, ["a"], "y", rounds=1)
+
+
+def test_sun_position_has_each_term_once(spark):
+    """Staged terms give the values of the whole expressions, and aren't written out again for each use."""
+    from plantframe.functions import solar
+    df = spark.createDataFrame([(i, D(2024, 1 + i % 12, 3, i % 24, 7)) for i in range(48)] + [(99, None)], "site_id long, ts timestamp_ntz")
+    lat, lon = F.lit(47.0) + F.col("site_id") % 8, F.lit(6.0) + F.col("site_id") % 9
+    az, alt = solar.sun_position_cols("ts", lat, lon)
+    out = solar.sun_position(df, lat, lon)
+    assert out.columns == ["site_id", "ts", "azimuth", "altitude"]
+    want = {r.site_id: (r.a, r.b) for r in df.select("site_id", az.alias("a"), alt.alias("b")).collect()}
+    assert {r.site_id: (r.azimuth, r.altitude) for r in out.collect()} == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().upper().count("SIN(") < 20
