@@ -130,7 +130,8 @@ def bucketizer(df: DataFrame, features: Sequence[str], *, seed: int = GBT_SEED)
 def grouped(df: DataFrame, by: Sequence[str], label: str) -> DataFrame:
     """The mean label and the number of rows (``__rows``) of each combination of bins; one with a NULL label has none, which a fit refuses."""
     mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(F.col(label).cast("double")))
-    return df.groupBy(*by).agg(mean.alias(label), F.count(F.lit(1)).cast("double").alias("__rows"))
+    # as sums the bins are plain numbers: Bucketizer marks them as categories, which a tree would take in any order
+    return df.groupBy(*[(F.col(c) + F.lit(0.0)).alias(c) for c in by]).agg(mean.alias(label), F.count(F.lit(1)).cast("double").alias("__rows"))
 
 
 def all_seen(groups: int) -> int:

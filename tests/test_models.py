@@ -170,12 +170,8 @@ def test_feature_frame_checks_rows_where_they_are_made(spark):
     assert out.columns == ["site_id", "ts", "wave", "kwh"] and [(r.site_id, r.kwh) for r in out.collect()] == [(1, 4.0)]
 
 
-def _plain(df, features, label, rounds):
-    """MLlib's own fit over single rows."""
-    return fc.gbt_pipeline(features, label, rounds=rounds).fit(df)
-
-
-def test_a_fit_over_bins_is_the_fit_over_rows(spark):
+@pytest.mark.parametrize("scale", [True, False])
+def test_a_fit_over_bins_is_the_fit_over_rows(spark, scale):
     """Rows counted together by their bins give MLlib's model of the single rows: few and many values, a constant, repeats, NULLs, NaN."""
     import random
     rnd = random.Random(3)
@@ -184,8 +180,8 @@ def test_a_fit_over_bins_is_the_fit_over_rows(spark):
     rows += rows[:400] + [(None, 0.1, 0.2, 1, 7.0), (1.0, float("nan"), 0.2, 1, 7.0)]
     df = spark.createDataFrame(rows, "a double, b double, c double, k int, y double").repartition(3).persist()
     names = ["a", "b", "c", "k"]
-    got = fc.score(fc.fit_gbt(df, names, "y", rounds=6), df)
-    want = fc.score(_plain(df, names, "y", 6), df)
+    got = fc.score(fc.fit_gbt(df, names, "y", rounds=6, scale=scale), df)
+    want = fc.score(fc.gbt_pipeline(names, "y", rounds=6, scale=scale).fit(df), df)  # MLlib's own fit over single rows
     assert got.columns == [*df.columns, "prediction"]
     key = lambda r: (r.a, r.b, r.c, r.y)
     got, want = (sorted(x.collect(), key=key) for x in (got, want))
