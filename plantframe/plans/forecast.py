@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from plantframe.operators import chunks, samples
 from plantframe.operators.series import time_grid_periods, with_position
-from plantframe.session import ensure_checkpoint_dir
+from plantframe.session import ensure_checkpoint_dir, scratch_path
 
 # Boosted-tree settings of the reference (rounds, depth, learning rate, seed).
 GBT_ROUNDS, GBT_DEPTH, GBT_STEP, GBT_SEED = 100, 6, 0.1, 42
@@ -62,6 +62,33 @@ def score(model: PipelineModel | None, df: DataFrame, prediction: str = "predict
     return out
 
 
+def binned(model: PipelineModel | None, df: DataFrame) -> DataFrame:
+    """Rows with the bins of a ``fit_gbt`` model, without those that it skips (NULL features); for another model the rows as they are."""
+    return model.stages[0].transform(df) if _bins(model) else df
+
+
+def score_each(model: PipelineModel | None, rows: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """``score`` of ``binned`` rows, which are read twice: the trees are asked once for each combination of bins.
+
+    The combinations are written with their predictions, so Spark knows their size when it plans the join: few are
+    broadcast, many are shuffled like any table.
+    """
+    bins = _bins(model)
+    if not bins:
+        return score(model, rows, prediction)
+    spark = rows.sparkSession
+    each = PipelineModel(stages=model.stages[1:]).transform(rows.select(*bins).distinct()).select(*bins, prediction)
+    path = scratch_path(spark, f"combinations-{uuid.uuid4().hex}")
+    each.write.parquet(path)
+    return rows.join(spark.read.schema(each.schema).parquet(path), bins).select(*[c for c in rows.columns if c not in bins], prediction)
+
+
+def _bins(model: PipelineModel | None) -> list[str]:
+    """The bins' columns of a ``fit_gbt`` model, which its trees see alone."""
+    first = model.stages[0] if model is not None and len(model.stages) > 1 else None
+    return [c for c in first.getOutputCols() if c.startswith(BIN)] if isinstance(first, Bucketizer) else []
+
+
 # ---------------------------------------------------------------- M1 / M2
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, **kw) -> PipelineModel:
     """Bucketizer -> the stages of ``gbt_pipeline`` over its bins.
@@ -469,6 +496,6 @@ def feature_importances(model: PipelineModel, features: Sequence[str]) -> list[t
     return sorted(zip(features, imp.toArray().tolist()), key=lambda t: -t[1])
 
 
-__all__ = ["gbt_pipeline", "score", "fit_gbt", "fit_validated", "best_round", "cut_ensemble", "holdout_mse", "lag_vector_frame", "fit_gbt_vector",
+__all__ = ["gbt_pipeline", "score", "binned", "score_each", "fit_gbt", "fit_validated", "best_round", "cut_ensemble", "holdout_mse", "lag_vector_frame", "fit_gbt_vector",
            "multi_horizon_frame", "fallback_short_history", "seasonal_features", "seasonal_statistics", "time_span", "fit_seasonal", "apply_seasonal", "forecast_seasonal", "save_model",
            "load_model", "load_or_train", "model_versions", "feature_importances", "vector_to_array"]

@@ -32,7 +32,7 @@ def _rounded(df):
 
 
 def _stored(spark, df, name):
-    """A scored frame that is read twice (rows and error measures) is written once."""
+    """A frame that is read more than once (rows and error measures, say) is written once."""
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -310,10 +310,10 @@ def q_pv_frame(spark, d):
 # ---------------------------------------------------------------------- S10
 @register("model_store")
 def q_model_store(spark, d):
-    data = consumption_frame(spark, d)
+    data = _stored(spark, consumption_frame(spark, d), "s10")
     path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
     model = fc.load_or_train(path, data, calendar.CONSUMPTION_FEATURES, "kwh")
     loaded = fc.load_model(path)
-    a = fc.score(model, data).select("site_id", "ts", F.col("prediction").alias("prediction_trained"))
-    b = fc.score(loaded, data).select("site_id", "ts", F.col("prediction").alias("prediction_loaded"))
+    a, b = (fc.score_each(m, fc.binned(m, data)).select("site_id", "ts", F.col("prediction").alias(name))
+            for m, name in ((model, "prediction_trained"), (loaded, "prediction_loaded")))
     return _rounded(a.join(b, ["site_id", "ts"]))

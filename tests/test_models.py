@@ -224,3 +224,37 @@ def test_sun_position_has_each_term_once(spark):
     want = {r.site_id: (r.a, r.b) for r in df.select("site_id", az.alias("a"), alt.alias("b")).collect()}
     assert {r.site_id: (r.azimuth, r.altitude) for r in out.collect()} == want
     assert out._jdf.queryExecution().optimizedPlan().toString().upper().count("SIN(") < 20
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_trees_are_asked_once_for_each_combination_of_bins(spark, few):
+    """The scores of single rows, repeated ones too, without those that have NULLs; few combinations are broadcast, many are not."""
+    rows = [(i, float(i % 5), float(i % 3) if few else i / 7.0, (i % 5) * 2.0 + i % 3) for i in range(600)]
+    df = spark.createDataFrame(rows + rows[:50] + [(-1, None, 1.0, 2.0), (-2, 1.0, float("nan"), 2.0)], "id long, a double, b double, y double")
+    model = fc.fit_gbt(df, ["a", "b"], "y", rounds=4, depth=3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold if few else "-1")
+        out = fc.score_each(model, fc.binned(model, df))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ("BroadcastHashJoin" in plan) == few and "__raw" not in plan  # the trees' vectors are no part of the rows' plan
+    assert out.columns == [*df.columns, "prediction"]
+    assert len(got) == 650 and got == sorted(map(tuple, fc.score(model, df).collect()))
+    assert fc.binned(None, df) is df and fc.score_each(None, df).where("prediction is not null").count() == 0
+
+
+def test_scored_features_are_the_rows_that_were_scored(spark):
+    from plantframe.plans import scoring
+    rows = [(i, D(2024, 1, 1, i % 24), float(i % 5), float(i % 3), i % 5 + 1.0) for i in range(200)]
+    df = spark.createDataFrame([*rows, (999, D(2024, 1, 1), None, 1.0, 1.0)], "site_id long, ts timestamp_ntz, a double, b double, y double")
+    model = fc.fit_gbt(df, ["a", "b"], "y", rounds=3, depth=2)
+    frame = df.drop("y")
+    both = scoring.scored(model, frame, "out")
+    assert both.forecast.columns == ["site_id", "ts", "out"] and both.features.columns == frame.columns
+    assert sorted(map(tuple, both.features.collect())) == sorted(r[:4] for r in rows)
+    want = {r.site_id: r.prediction for r in fc.score(model, frame).collect()}
+    assert {r.site_id: r.out for r in both.forecast.collect()} == want and len(want) == 200
+    assert "UDF" not in both.forecast._jdf.queryExecution().optimizedPlan().toString()
