@@ -151,24 +151,36 @@ def fill_scan(df: DataFrame, part: Sequence[str] | str, order: Sequence[str] | s
         return F.when(F.col(v).isNotNull(), F.struct(*fields))
 
     w = Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
-    frames = {
-        "prev": w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1),
-        "next": w.rowsBetween(Window.currentRow if inclusive else 1, Window.unboundedFollowing),
-    }
-    pick = {"prev": lambda c: F.last(c, ignorenulls=True), "next": lambda c: F.first(c, ignorenulls=True)}
+    before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    named = lambda c: "`" + c.replace("`", "``") + "`"
+
+    def ahead(c: str, by: list[str], along: list[str]) -> Column:
+        """The next known value: lead goes through a partition once, a frame that ends with it would be read again for each row."""
+        return F.expr(f"lead({named(c)}, 1) IGNORE NULLS OVER (PARTITION BY {', '.join(map(named, by))} ORDER BY {', '.join(map(named, along))})")
+
+    def within(dr: str, v: str) -> Column:
+        if dr == "prev":
+            return F.last(packed(v), ignorenulls=True).over(before)
+        after = ahead(f"__at_{v}", keys, order)
+        return F.coalesce(packed(v), after) if inclusive else after
+
     summarise = {"prev": F.max, "next": F.min}
-    carry_frame = {"prev": (Window.unboundedPreceding, -1), "next": (1, Window.unboundedFollowing)}
     prefix = {"prev": prev_prefix, "next": next_prefix}
 
-    local = df.withColumns({f"__in_{dr}_{v}": pick[dr](packed(v)).over(frames[dr]) for dr in dirs for v in values})
+    held = df.withColumns({f"__at_{v}": packed(v) for v in values}) if "next" in dirs else df
+    local = held.withColumns({f"__in_{dr}_{v}": within(dr, v) for dr in dirs for v in values}).drop(*[f"__at_{v}" for v in values])
     # one row per (site, chunk): the chunk's last / first known value per
     # column, aggregated from the input with map-side partial aggregation, so
     # only one row per (site, chunk, task) is shuffled for it.
     summary = _known_summary(df, keys, order, values, dirs) or \
         df.groupBy(*keys).agg(*[summarise[dr](packed(v)).alias(f"__s_{dr}_{v}") for dr in dirs for v in values])
-    ws = Window.partitionBy(*part).orderBy(chunk)
-    carry = summary.select(*keys, *[pick[dr](F.col(f"__s_{dr}_{v}")).over(ws.rowsBetween(*carry_frame[dr]))
-                                    .alias(f"__c_{dr}_{v}") for dr in dirs for v in values])
+    ws = Window.partitionBy(*part).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+
+    def beyond(dr: str, v: str) -> Column:
+        c = f"__s_{dr}_{v}"
+        return F.last(c, ignorenulls=True).over(ws) if dr == "prev" else ahead(c, part, [chunk])
+
+    carry = summary.select(*keys, *[beyond(dr, v).alias(f"__c_{dr}_{v}") for dr in dirs for v in values])
     joined = local.join(carry, keys, "inner")
     return joined.select(
         *[c for c in local.columns if not c.startswith("__in_")],

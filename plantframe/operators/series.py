@@ -147,11 +147,16 @@ def upsample_linear(df: DataFrame, every: str, cols: Sequence[str] | str, *, sit
 
     A day's stamps meet its points as arrays, one row per (site, day).  Only the points, and the first stamp of a day that
     has none there, are shuffled and scanned; the stamps between two of them are made last, each from its neighbours' values.
+    A site's first and last stamp are taken from the days' points, so that ``df`` (parsed answers, say) is made once: both
+    readings of ``points`` are one shuffle.
     """
     cols = _as_list(cols)
     step_us = interval_micros(every)
-    days = _grid_days(bounds(df, site=site, ts=ts), every, site)
-    points = df.select(site, ts, *cols).groupBy(site, F.to_date(ts).alias("__day")).agg(F.collect_list(F.struct(F.col(ts).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])).alias("__points"))
+    placed = df.select(site, ts, *cols, F.to_date(ts).alias("__day")).where(F.col(site).isNotNull() & F.col("__day").isNotNull())
+    points = placed.groupBy(site, "__day").agg(F.collect_list(F.struct(F.col(ts).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])).alias("__points"))
+    stamps_of = F.transform("__points", lambda p: p["t"])
+    ends = points.groupBy(site).agg(F.min(F.array_min(stamps_of)).alias("start"), F.max(F.array_max(stamps_of)).alias("end"))
+    days = _grid_days(ends, every, site)
     off = lambda p: F.pmod(F.timestamp_diff("MICROSECOND", F.col("start"), p["t"]), F.lit(step_us))
     kind = points.schema["__points"].dataType.simpleString()
     known = F.coalesce(F.filter("__points", lambda p: off(p) == 0), F.array().cast(kind))

@@ -1,8 +1,8 @@
 """Forecasts from landed weather answers (M7, M8, and the quarter-hour heat forecast).
 
 The weather of the days to come arrives as payloads (S4).  Its rows are put on the
-model's stamps (T5, T6), get the model's features, and are written once with
-the prediction; forecast and features are two readings of that table.
+model's stamps (T5, T6), get the model's features, and are written once; forecast
+and features are two readings of that table.
 Without a model the forecast is NULL and the features are the same.
 """
 
@@ -59,8 +59,9 @@ def heat_features(weather: DataFrame, *, every: str = "15 minutes", steps: int =
 
 def scored(model: PipelineModel | None, features: DataFrame, prediction: str) -> Scored:
     """Forecast and features of a feature frame, written once."""
-    out = fc.score(model, features, prediction="prediction").select(*features.columns, F.col("prediction").cast("double").alias(prediction))
+    rows = fc.binned(model, features)
     path = scratch_path(features.sparkSession, f"scored-{uuid.uuid4().hex}")
-    out.write.parquet(path)
-    stored = features.sparkSession.read.schema(out.schema).parquet(path)
-    return Scored(stored.select("site_id", "ts", prediction), stored.select(*features.columns))
+    rows.write.parquet(path)
+    stored = features.sparkSession.read.schema(rows.schema).parquet(path)
+    forecast = fc.score_each(model, stored).select("site_id", "ts", F.col("prediction").cast("double").alias(prediction))
+    return Scored(forecast, stored.select(*features.columns))

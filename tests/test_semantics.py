@@ -218,3 +218,39 @@ def test_upsample_scans_the_coarse_series_only(spark):
         hours = (ts - D(2024, 1, 1, 23)) / dt.timedelta(hours=1)
         assert v is None if hours < 0 else v == pytest.approx(min(2.0 + 8.0 * hours / 50, 10.0))
         assert w == pytest.approx(min(1.0 + 4.0 * (hours + 1) / 51, 5.0))
+
+
+def test_upsample_makes_its_input_once(spark):
+    """First and last stamps come from the days' points: rows that are dear to make (parsed answers) are made once, and days without points are filled."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = [(1, D(2024, 1, 1, 22), 0.0), (1, D(2024, 1, 4, 2), 52.0), (2, D(2024, 1, 1, 5), None), (2, D(2024, 1, 1, 7), 3.0), (None, D(2024, 1, 1), 1.0), (2, None, 9.0)]
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, v double").mapInArrow(count, "site_id long, ts timestamp_ntz, v double")
+    got = sorted((r.site_id, r.ts, r.v) for r in series.upsample_linear(df, "1 hour", "v").collect())
+    assert [x[:2] for x in got[:53]] == [(1, D(2024, 1, 1, 22) + dt.timedelta(hours=h)) for h in range(53)]
+    assert [x[2] for x in got[:53]] == pytest.approx([float(h) for h in range(53)])
+    assert [(s, t.hour) for s, t, _ in got[53:]] == [(2, 5), (2, 6), (2, 7)] and [v for _, _, v in got[53:]] == [None, None, 3.0]
+    assert made.value == len(rows)
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_fill_scan_goes_through_a_chunk_once(spark, inclusive):
+    """Nearest known rows before and after, over chunks without any; no frame runs to the end of its partition, which is read again for each row."""
+    from plantframe.operators import chunks
+    known = {0, 3, 4, 30, 31, 55, 120}
+    rows = [(s, D(2024, 1, 1) + dt.timedelta(hours=h), float(h + s) if h in known else None) for s in (1, 2) for h in range(0, 130, 1) if not 60 <= h < 90]
+    df = chunks.with_chunk(spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, v double").repartition(3), "ts", "day")
+    out = chunks.fill_scan(df, "site_id", "ts", "v", "both", inclusive=inclusive)
+    assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    own = [(s, t, v) for s, t, v in rows if v is not None]
+    at = lambda x: None if x is None else (x.o0, x.v)
+    near = lambda found, pick: pick(found) if found else None
+    for r in out.collect():
+        before = [(t, v) for s, t, v in own if s == r.site_id and (t < r.ts or inclusive and t == r.ts)]
+        after = [(t, v) for s, t, v in own if s == r.site_id and (t > r.ts or inclusive and t == r.ts)]
+        assert (at(r._prev_v), at(r._next_v)) == (near(before, max), near(after, min)), r
