@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from plantframe.operators import chunks, samples
 from plantframe.operators.series import time_grid_periods, with_position
+from plantframe.plans import boosting
 from plantframe.session import ensure_checkpoint_dir, scratch_path
 
 # Boosted-tree settings of the reference (rounds, depth, learning rate, seed).
@@ -117,13 +118,13 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, **kw) -> Pipelin
     return PipelineModel(stages=[cut, *model.stages])
 
 
-def split_points(counts: Sequence[tuple[float, int]], bins: int = GBT_BINS) -> list[float]:
-    """MLlib's thresholds of a feature, from its values and their counts: between any two of at most ``bins`` values, else about equal shares apart."""
+def split_points(counts: Sequence[tuple[float, float]], bins: int = GBT_BINS, *, total: float | None = None) -> list[float]:
+    """MLlib's thresholds of a feature, from its values and their counts: between any two of at most ``bins`` values, else about equal shares (of ``total``) apart."""
     values = sorted(counts)
     middle = [(a + b) / 2.0 for (a, _), (b, _) in zip(values, values[1:])]
     if len(middle) < bins:
         return middle
-    stride = sum(n for _, n in values) / bins
+    stride = (sum(n for _, n in values) if total is None else total) / bins
     out, seen, goal = [], values[0][1], stride
     for (_, n), m in zip(values[1:], middle):
         if abs(seen - goal) < abs(seen + n - goal):
@@ -210,10 +211,17 @@ def lag_vector_frame(df: DataFrame, features: Sequence[str], target: str, w: int
     return win.withColumn("__vec", array_to_vector("x"))
 
 
-def fit_gbt_vector(df: DataFrame, label: str = "y", **kw) -> PipelineModel:
+def fit_gbt_vector(df: DataFrame, label: str = "y", *, parts: tuple[str, str] | None = None, **kw) -> PipelineModel:
+    """Boosted trees over the vectors ``__vec``.
+
+    ``parts``: the columns that ``__vec`` is made of, where neighbouring rows mostly agree in the first (an array) and
+    differ in the second (a number): the fit then counts such rows together (``boosting``).
+    """
     gbt = GBTRegressor(featuresCol="__vec", labelCol=label, maxIter=kw.get("rounds", GBT_ROUNDS),
                        maxDepth=kw.get("depth", GBT_DEPTH), stepSize=kw.get("step", GBT_STEP),
-                       seed=kw.get("seed", GBT_SEED))
+                       seed=kw.get("seed", GBT_SEED), maxBins=GBT_BINS)
+    if parts:
+        return PipelineModel(stages=[boosting.fit_bundles(gbt, df, *parts, lambda n: wave(n, df, TRAIN_ROWS), LIMIT_ROWS)])
     return fit_once(Pipeline(stages=[gbt]), df.select("__vec", label))
 
 

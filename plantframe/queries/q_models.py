@@ -84,7 +84,7 @@ def q_multi_horizon(spark, d):
     h = cat.hourly(spark, d).select("site_id", "ts", "kwh")
     horizons = HORIZONS
     train = fc.multi_horizon_frame(h, "kwh", LAGS, horizons)
-    model = fc.fit_gbt_vector(train, "y")
+    model = fc.fit_gbt_vector(train, "y", parts=("lags", "h"))
     # score from each site's latest window: the last LAGS values, oldest first
     last = series.last_n(h, LAGS).groupBy("site_id").agg(
         F.max("ts").alias("anchor_ts"), F.count(F.lit(1)).alias("n"),

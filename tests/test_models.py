@@ -258,3 +258,88 @@ def test_scored_features_are_the_rows_that_were_scored(spark):
     want = {r.site_id: r.prediction for r in fc.score(model, frame).collect()}
     assert {r.site_id: r.out for r in both.forecast.collect()} == want and len(want) == 200
     assert "UDF" not in both.forecast._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _horizon_rows(spark, sites=3, hours=260, horizons=12, partitions=3):
+    """Samples of noisy series: 11 horizons or fewer at the ends, some targets missing; more than 5,000 rows."""
+    import random
+    rnd = random.Random(11)
+    rows = [(s, D(2024, 1, 1) + dt.timedelta(hours=h), None if h % 97 == 40 else round(20 + 10 * math.sin(h / 4) + 3 * s + rnd.gauss(0, 4), 2) * (h % 53 != 7))
+            for s in range(sites) for h in range(hours)]
+    df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, kwh double")
+    return fc.multi_horizon_frame(df, "kwh", 6, horizons, rows_per_chunk=128).coalesce(partitions)
+
+
+def _same_scores(got, want, rows, depth=4):
+    key = ["site_id", "anchor_ts", "h", "y"]
+    a, b = (sorted(tuple(r) for r in m.transform(rows).select(*key, "prediction").collect()) for m in (got, want))
+    assert len(a) == len(b) > 0 and [x[:4] for x in a] == [x[:4] for x in b]
+    assert [x[4] for x in a] == pytest.approx([x[4] for x in b])
+    assert got.stages[0].getNumTrees == want.stages[0].getNumTrees and got.stages[0].numFeatures == want.stages[0].numFeatures
+    for x, y in zip(got.stages[0].trees, want.stages[0].trees):
+        assert x.numNodes == y.numNodes and x.depth <= depth
+        (r, q) = (t._java_obj.rootNode() for t in (x, y))
+        assert r.impurity() == pytest.approx(q.impurity()) and r.gain() == pytest.approx(q.gain()) and r.impurityStats().count() == q.impurityStats().count()
+
+
+@pytest.mark.parametrize("sites", [2, 5])
+def test_a_fit_over_bundles_is_the_fit_over_rows(spark, sites, tmp_path, monkeypatch):
+    """Rows that share their lags, counted together, give MLlib's trees of the single rows: all rows looked at for the bins (2 sites) or a sample (5)."""
+    from plantframe.plans import boosting
+    monkeypatch.setattr(fc, "TRAIN_ROWS", 2000)
+    monkeypatch.setattr(boosting, "BLOCK_BUNDLES", 100)
+    monkeypatch.setattr(boosting, "CHAIN", 2)  # residuals are made anew from the targets now and then
+    monkeypatch.setattr(boosting, "DIRECT", 2)
+    rows = _horizon_rows(spark, sites)
+    assert (rows.count() > fc.LIMIT_ROWS) == (sites == 5)
+    got = fc.fit_gbt_vector(rows, "y", parts=("lags", "h"), rounds=5, depth=4)
+    _same_scores(got, fc.fit_gbt_vector(rows, "y", rounds=5, depth=4), rows)
+    path = str(tmp_path / "m")
+    got.write().save(path)
+    again = fc.PipelineModel.load(path)
+    assert [r.prediction for r in again.transform(rows).collect()] == [r.prediction for r in got.transform(rows).collect()]
+
+
+def test_a_fit_over_bundles_takes_rows_as_they_come(spark):
+    """Horizons left out, rows that come twice with other targets, rows in any order: each row counts."""
+    rows = _horizon_rows(spark).where("(h + hour(anchor_ts)) % 5 > 0")
+    twice = rows.union(rows.where("h % 3 = 0").withColumn("y", F.col("y") + 1.0)).repartition(3, "site_id").sortWithinPartitions("site_id", "anchor_ts", "h")
+    mixed = rows.repartition(3, F.xxhash64("anchor_ts", "h")).sortWithinPartitions(F.xxhash64("h", "anchor_ts"))
+    for x in (twice, mixed):
+        _same_scores(fc.fit_gbt_vector(x, "y", parts=("lags", "h"), rounds=3, depth=3), fc.fit_gbt_vector(x, "y", rounds=3, depth=3), x, 3)
+
+
+def test_a_bundle_is_looked_at_once_for_all_horizons(spark, monkeypatch):
+    """The work of a level follows the anchors, not anchors times horizons, and no row goes to MLlib's own fit."""
+    from plantframe.plans import boosting
+
+    def refuse(*_):
+        raise AssertionError("a fit over single rows")
+
+    monkeypatch.setattr(fc.GBTRegressor, "_fit", refuse)
+    seen = []
+    real = boosting.boost
+    monkeypatch.setattr(boosting, "boost", lambda blocks, *a: seen.append(blocks.map(lambda b: (b[0].shape[1], int(b[2].sum()))).collect()) or real(blocks, *a))
+    rows = _horizon_rows(spark)
+    fc.fit_gbt_vector(rows, "y", parts=("lags", "h"), rounds=2, depth=3)
+    anchors = rows.select("site_id", "anchor_ts").distinct().count()
+    bundles, counted = (sum(x) for x in zip(*seen[0]))
+    assert counted == rows.count() and anchors <= bundles <= anchors + 6 < counted / 8
+
+
+@pytest.mark.parametrize("x, y", [([1.0, float("nan")], 1.0), ([1.0, 2.0], None), ([1.0, 2.0], float("inf")), ([1.0, None], 1.0)])
+def test_a_fit_over_bundles_refuses_what_has_no_value(spark, x, y):
+    df = spark.createDataFrame([([1.0, 2.0], 1.0, 3.0), (x, 2.0, y)], "lags array<double>, h double, y double")
+    with pytest.raises(Exception, match="(?i)null"):
+        fc.fit_gbt_vector(df, parts=("lags", "h"), rounds=1)
+
+
+def test_a_fit_over_bundles_of_few_rows(spark):
+    """A single row, equal targets and constant features have trees without splits; no rows are refused."""
+    df = spark.createDataFrame([([1.0, 2.0], 1.0, 3.0), ([1.0, 2.0], 2.0, 3.0), ([0.0, 2.0], 1.0, 3.0)], "lags array<double>, h double, y double")
+    df = df.withColumn("__vec", fc.array_to_vector(F.concat("lags", F.array("h"))))
+    for x in (df, df.limit(1)):
+        model = fc.fit_gbt_vector(x, parts=("lags", "h"), rounds=3)
+        assert {r.prediction for r in model.transform(x).collect()} == {3.0}
+    with pytest.raises(Exception, match="(?i)empty"):
+        fc.fit_gbt_vector(df.where("h > 9"), parts=("lags", "h"), rounds=1)
