@@ -261,13 +261,13 @@ def test_scored_features_are_the_rows_that_were_scored(spark):
 
 
 def _horizon_rows(spark, sites=3, hours=260, horizons=12, partitions=3):
-    """Samples of noisy series: 11 horizons or fewer at the ends, some targets missing; more than 5,000 rows."""
+    """Samples of noisy series: 12 horizons or fewer at the ends, some targets missing; kept, so that each fit samples rows of the same order."""
     import random
     rnd = random.Random(11)
     rows = [(s, D(2024, 1, 1) + dt.timedelta(hours=h), None if h % 97 == 40 else round(20 + 10 * math.sin(h / 4) + 3 * s + rnd.gauss(0, 4), 2) * (h % 53 != 7))
             for s in range(sites) for h in range(hours)]
     df = spark.createDataFrame(rows, "site_id long, ts timestamp_ntz, kwh double")
-    return fc.multi_horizon_frame(df, "kwh", 6, horizons, rows_per_chunk=128).coalesce(partitions)
+    return fc.multi_horizon_frame(df, "kwh", 6, horizons, rows_per_chunk=128).coalesce(partitions).persist()
 
 
 def _same_scores(got, want, rows, depth=4):
